@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
+from .language_id import fit_languages, fold, identify
+from .packing import pack
 from .substring_dedup import substring_dedup
 
 
@@ -22,7 +24,19 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op8_substring_dedup)}
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    models = fit_languages(docs.filter(fold("doc_id", 5) != 0))
+    out = identify(docs.select("doc_id", "text"), models)
+    return out.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected", "cross_entropy")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
+
+
+QUERIES = {f.__name__: f for f in (op4_exact_dedup, op7_language_id, op8_substring_dedup, op9_packing)}
 
 LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

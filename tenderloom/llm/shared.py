@@ -73,13 +73,13 @@ def slices(offsets: np.ndarray, limit: int = 2 << 20) -> Iterator[tuple[int, int
         lo = hi
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end (in ``data``) and row of every word of rows lo..hi."""
     a, b = int(offsets[lo]), int(offsets[hi])
     if a == b:
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~SEPARATOR[data[a:b]]
+    inside = ~separator[data[a:b]]
     start, end = inside.copy(), inside.copy()
     start[1:] &= ~inside[:-1]
     end[:-1] &= ~inside[1:]
