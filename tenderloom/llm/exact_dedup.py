@@ -91,7 +91,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     texts = raw.select("_id", lowered(F.col("_raw")).alias("_text"))
     rows = blocks(texts.withColumn("sha", F.sha2("_text", 256)), "_text", "_id", "sha")
-    named = cut(with_names(rows, ["block"], hot, buckets, "sha"))
+    named = cut(with_names(rows, ["block"], hot, buckets, "_id"))
 
     one = named.filter("n_blocks = 1").select("_id", "sha", (F.col("name") * LEVELS).alias("identity")).distinct()
     open_ = named.filter("n_blocks > 1").groupBy("_id", "sha").agg(F.transform(F.array_sort(F.collect_set(F.struct("pos", "name"))), lambda x: x["name"]).alias("names"))
@@ -103,7 +103,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         pairs = open_.select("_id", "sha", (last + 1).alias("n"), F.posexplode(F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(F.get("names", i * 2).alias("a"), F.coalesce(F.get("names", i * 2 + 1), F.lit(-1).cast("long")).alias("b")))).alias("pos", "pair"))
         pairs = pairs.select("_id", "sha", "n", "pos", "pair.a", "pair.b")
         hot = hot_names(pairs.groupBy("a", "b").count(), ["a", "b"], buckets)
-        named = cut(with_names(pairs, ["a", "b"], hot, buckets, "sha"))
+        named = cut(with_names(pairs, ["a", "b"], hot, buckets, "_id"))
         done.append(named.filter("n = 1").select("_id", "sha", (F.col("name") * LEVELS + level).alias("identity")))
         open_ = named.filter("n > 1").groupBy("_id", "sha").agg(F.transform(F.array_sort(F.collect_set(F.struct("pos", "name"))), lambda x: x["name"]).alias("names"))
     ids = done[0]
@@ -111,5 +111,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         ids = ids.unionByName(more)
     ids = cut(ids)
     groups = ids.groupBy("identity").agg(F.count("*").alias("group_size"), F.max("_id").alias("keep_id"))
-    out = lookup(ids, "identity", groups, "group_size", max(2, ids.count() // HOT_KEYS), "sha")
+    out = lookup(ids, "identity", groups, "group_size", max(2, ids.count() // HOT_KEYS), "_id")
     return out.select(F.col("_id").alias(id_col), "keep_id", "group_size", F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; of rows that agree in id and text, one."""
+    out = exact_dedup(docs, id_col, text_col)
+    kept = cut(out.select(F.col(id_col).alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"), "kept"))
+    keyed = docs.withColumn("_sha", F.sha2(lowered(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), 256))
+    keyed = keyed.join(kept.filter("kept"), F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
+    if kept.count() < docs.count():
+        keyed = keyed.dropDuplicates([id_col, "_sha"])
+    return keyed.drop("_sha")

@@ -244,6 +244,27 @@ def fit_languages(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "
     return fitted
 
 
+def judged(own: LanguageModels | None, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score, cross-entropy (NaN without a letter) and rejection of each text."""
+    n = len(texts)
+    lang, score, entropy, out = [NO_LANGUAGE] * n, np.zeros(n), np.full(n, np.nan), np.ones(n, bool)
+    if own is None or not n:
+        return lang, score, entropy, out
+    sums, size = (np.concatenate(x) for x in zip(*own.of_texts(texts)))
+    plain = pc.match_substring_regex(texts.fill_null(""), "[A-Za-z]").to_numpy(zero_copy_only=False)
+    some = np.array([i for i in np.flatnonzero(size > 0).tolist() if plain[i] or any(c.isalpha() for c in texts[i].as_py())], np.int64)
+    h = -sums[some] / size[some, None]
+    best = h.argmin(1) if len(some) else np.zeros(0, np.int64)
+    low = h[np.arange(len(some)), best]
+    room = np.sqrt(own.spread[best] ** 2 + own.noise[best] ** 2 / size[some])
+    score[some] = 1 / np.exp(-SHARPNESS * (h - low[:, None])).sum(1)
+    entropy[some] = low
+    out[some] = (low - own.mean[best]) > REJECT * room
+    for i, k in zip(some.tolist(), best.tolist()):
+        lang[i] = own.names[k]
+    return lang, score, entropy, out
+
+
 def identify(docs: DataFrame, models: LanguageModels | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id_col, lang_pred, score (0 to 1), cross_entropy (nats a character), rejected.
 
@@ -254,38 +275,30 @@ def identify(docs: DataFrame, models: LanguageModels | None, id_col: str = "doc_
     Ties go to the language whose name sorts first.  Other columns of ``docs``
     are ignored.
     """
-    spark = docs.sparkSession
-    tasks(spark)
-    shared = spark.sparkContext.broadcast(models)
+    tasks(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(models)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            n = batch.num_rows
-            lang, score, entropy, out = [NO_LANGUAGE] * n, np.zeros(n), np.full(n, np.nan), np.ones(n, bool)
-            if own is not None:
-                texts = batch.column(1)
-                sums, size = (np.concatenate(x) for x in zip(*own.of_texts(texts)))
-                some = np.flatnonzero(size > 0)
-                plain = pc.match_substring_regex(texts.fill_null(""), "[A-Za-z]").to_numpy(zero_copy_only=False)
-                some = np.array([i for i in some if plain[i] or any(c.isalpha() for c in texts[int(i)].as_py())], np.int64)
-                h = -sums[some] / size[some, None]
-                best = h.argmin(1) if len(some) else np.zeros(0, np.int64)
-                low = h[np.arange(len(some)), best]
-                room = np.sqrt(own.spread[best] ** 2 + own.noise[best] ** 2 / size[some])
-                score[some] = 1 / np.exp(-SHARPNESS * (h - low[:, None])).sum(1)
-                entropy[some] = low
-                out[some] = (low - own.mean[best]) > REJECT * room
-                for i, k in zip(some.tolist(), best.tolist()):
-                    lang[i] = own.names[k]
+            lang, score, entropy, out = judged(shared.value, batch.column(1))
             yield pa.record_batch([batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(entropy, from_pandas=True), pa.array(out)], [id_col, "lang_pred", "score", "cross_entropy", "rejected"])
 
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(scored, f"`{id_col}` {kind}, lang_pred string, score double, cross_entropy double, rejected boolean")
 
 
+def drop_rejected(docs: DataFrame, models: LanguageModels | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text ``identify`` does not reject, with all their columns; no shuffle."""
+    tasks(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(models)
+
+    def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~judged(shared.value, batch.column(text_col).cast(pa.string()))[3], pa.bool_()))
+
+    return docs.mapInArrow(filtered, docs.schema)
+
+
 def fold(id_col: str | Column, folds: int) -> Column:
     """crc32 of the id as text, modulo folds."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(folds))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
 from .language_id import fit_languages, fold, identify
+from .minhash_dedup import minhash_dedup
 from .packing import pack
 from .substring_dedup import substring_dedup
 
@@ -15,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle_words=4, percent=80)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -36,7 +41,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op7_language_id, op8_substring_dedup, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op4_exact_dedup, op7_language_id, op8_substring_dedup, op9_packing)}
 
 LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

@@ -185,3 +185,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sent = dealt.groupBy("_block").applyInArrow(hashes, "_block int, bucket int, hashes binary")
     told = sent.groupBy("bucket").applyInArrow(seen, "_block int, hashes binary")
     return dealt.groupBy("_block").cogroup(told.groupBy("_block")).applyInArrow(removed, out_schema).select(*[c for c in columns if c != "_block"], *new)
+
+
+def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13) -> DataFrame:
+    """``docs`` without repeated passages; texts that lose nothing stay as they are, of others kept_text stays."""
+    out = substring_dedup(docs, id_col, text_col, width)
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col(text_col))
+    return out.withColumn(text_col, text).select(*docs.columns)
