@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .chat import format_chats, read_turns, unescaped
 from .exact_dedup import exact_dedup
+from .html_text import extract, learn_weights
 from .language_id import fit_languages, fold, identify
 from .minhash_dedup import minhash_dedup
 from .neighbours import nearest
@@ -66,6 +67,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages.select("page_id", "url", "html"), learn_weights(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = score_quality(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
@@ -76,7 +82,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_chat_formatting, op4_exact_dedup, op6_quality, op7_language_id, op8_substring_dedup, op9_packing, op10_nearest)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_chat_formatting, op4_exact_dedup, op5_html_text, op6_quality, op7_language_id, op8_substring_dedup, op9_packing, op10_nearest)}
 
 LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
