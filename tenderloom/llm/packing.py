@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BASES, slices, span_hashes, string_buffers, tasks
+from .shared import by_distinct, slices, string_buffers, tasks
 
 CACHED = 500_000
 _caches: dict[tuple, tuple[object, dict[int, bytes]]] = {}
@@ -59,29 +59,9 @@ def encoded(texts: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray,
         _caches[path] = (Tokenizer.from_file(path), {})
     tokenizer, cache = _caches[path]
     data, offsets = string_buffers(texts)
+    encode = lambda new: (np.array(e.ids, np.uint32).tobytes() for e in tokenizer.encode_batch_fast(new, add_special_tokens=False))
     for lo, hi in slices(offsets):
-        starts, ends, rows = units(data, offsets, lo, hi)
-        if not len(starts):
-            yield lo, hi, np.zeros(0, np.uint32), np.zeros(hi - lo + 1, np.int64)
-            continue
-        kinds, first, which = np.unique(span_hashes(data, starts, ends, BASES[0]), return_index=True, return_inverse=True)
-        if len(cache) > CACHED:
-            cache.clear()
-        keys = kinds.tolist()
-        new = [i for i, k in enumerate(keys) if k not in cache]
-        if new:
-            strings = [data[starts[first[i]] : ends[first[i]]].tobytes().decode() for i in new]
-            for i, e in zip(new, tokenizer.encode_batch_fast(strings, add_special_tokens=False)):
-                cache[keys[i]] = np.array(e.ids, np.uint32).tobytes()
-        parts = [cache[k] for k in keys]
-        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        flat = np.frombuffer(b"".join(parts), np.uint32)
-        begin = np.cumsum(size) - size
-        n = size[which]
-        until = np.cumsum(n)
-        ids = flat[np.arange(until[-1]) + np.repeat(begin[which] - (until - n), n)]
-        edge = np.searchsorted(rows, np.arange(lo, hi + 1))
-        yield lo, hi, ids, np.append(0, until)[edge]
+        yield lo, hi, *by_distinct(data, offsets, lo, hi, units(data, offsets, lo, hi), cache, encode, CACHED)
 
 
 def lengths(n: int, longest: int) -> list[int]:

@@ -16,6 +16,7 @@ from .minhash_dedup import minhash_dedup
 from .neighbours import nearest
 from .packing import pack
 from .quality import score_quality
+from .sentencepiece_fst import decode, encode
 from .substring_dedup import substring_dedup
 
 
@@ -46,6 +47,11 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", "n_turns", "d.turns_sha256", "d.loss_chars", "d.loss_sha256", "d.formatted_chars")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return out.select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), F.char_length("decoded").cast("long").alias("decoded_chars"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -82,7 +88,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_chat_formatting, op4_exact_dedup, op5_html_text, op6_quality, op7_language_id, op8_substring_dedup, op9_packing, op10_nearest)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_chat_formatting, op3_sentencepiece, op4_exact_dedup, op5_html_text, op6_quality, op7_language_id, op8_substring_dedup, op9_packing, op10_nearest)}
 
 LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

@@ -126,6 +126,33 @@ def window_hashes(tokens: np.ndarray, rows: np.ndarray, width: int, base: int) -
     return mix((total[width:] - total[:-width]) * powers(inverse, n)[: n - width + 1])
 
 
+def by_distinct(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int, spans: tuple, cache: dict[int, bytes], encode, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids (uint32) of rows lo..hi and where each row's begin and end, from spans whose strings are encoded once each.
+
+    encode: strings to bytes of ids.  cache: by hash of the string; emptied
+    beyond ``most`` entries.
+    """
+    starts, ends, rows = spans
+    if not len(starts):
+        return np.zeros(0, np.uint32), np.zeros(hi - lo + 1, np.int64)
+    kinds, first, which = np.unique(span_hashes(data, starts, ends, BASES[0]), return_index=True, return_inverse=True)
+    if len(cache) > most:
+        cache.clear()
+    keys = kinds.tolist()
+    new = [i for i, k in enumerate(keys) if k not in cache]
+    if new:
+        for i, ids in zip(new, encode([data[starts[first[i]] : ends[first[i]]].tobytes().decode() for i in new])):
+            cache[keys[i]] = ids
+    parts = [cache[k] for k in keys]
+    size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    flat = np.frombuffer(b"".join(parts), np.uint32)
+    begin = np.cumsum(size) - size
+    n = size[which]
+    until = np.cumsum(n)
+    ids = flat[np.arange(until[-1]) + np.repeat(begin[which] - (until - n), n)]
+    return ids, np.append(0, until)[np.searchsorted(rows, np.arange(lo, hi + 1))]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, which driver and executors share; a local one only where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
