@@ -12,6 +12,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import rules as R
 from ..shipping import ship
@@ -79,7 +80,7 @@ def weighted_ratio(a: str, b: str) -> float:
     return max(best, window_ratio(a, b) * scale, words_ratio(a, b, window_ratio) * 0.95 * scale)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([weighted_ratio(x, y) for x, y in zip(a, b)], dtype=float)
 

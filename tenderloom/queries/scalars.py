@@ -65,7 +65,7 @@ def txt08_strip_prefix(spark, d):
 _particles = ", ".join(quoted(p) for p in R.PARTICLES)
 
 
-@query(rf"""n: WITH w AS (SELECT id, string_split({title_sql(f"regexp_replace({sentinel_sql('town_raw')}, '\s+', ' ', 'g')")}, ' ') AS ws FROM n)
+@query(rf"""n: WITH w AS (SELECT id, string_split({title_sql(rf"regexp_replace({sentinel_sql('town_raw')}, '\s+', ' ', 'g')")}, ' ') AS ws FROM n)
     SELECT id, array_to_string(list_transform(ws, lambda x, i: CASE WHEN i > 1 AND x IN ({_particles}) THEN lower(x) ELSE x END), ' ') AS town FROM w""")
 def txt09_town_name(spark, d):
     return notices(spark, d).select("id", S.town_name(C("town_raw")).alias("town"))
