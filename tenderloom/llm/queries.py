@@ -7,6 +7,7 @@ import hashlib
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .chat import format_chats, read_turns, unescaped
 from .exact_dedup import exact_dedup
@@ -28,7 +29,7 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle_words=4, percent=80)
 
 
-@F.pandas_udf("turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+@F.pandas_udf(T.StructType().add("turns_sha256", "string").add("loss_chars", "long").add("loss_sha256", "string").add("formatted_chars", "long"))
 def chat_digest(formatted: pd.Series, spans: pd.Series) -> pd.DataFrame:
     """Read back from the output: turns from the formatted text, loss texts from the masked tokens' spans."""
     out = []
