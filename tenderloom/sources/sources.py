@@ -83,8 +83,12 @@ def read_zipped_lines(spark: SparkSession, path: str | list[str], pattern: str =
 
     An archive is one task; its members are streamed line by line.
     """
-    ship(spark)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
+    return unzipped(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content"))
+
+
+def unzipped(files: DataFrame) -> DataFrame:
+    """file, member, line from a frame of ``path`` and ``content``; what is no archive gives no rows."""
+    ship(files.sparkSession)
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
@@ -112,8 +116,12 @@ def read_zipped_lines(spark: SparkSession, path: str | list[str], pattern: str =
 
 def read_lot_codes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lot-code records from NDJSON in ZIP archives; malformed lines are skipped."""
+    return lot_codes(read_zipped_lines(spark, path))
+
+
+def lot_codes(lines: DataFrame) -> DataFrame:
     r = F.from_json("line", LOT_CODE)
-    return read_zipped_lines(spark, path).select(r.alias("r"), C("file").alias("source_file")).filter(C("r.cig").isNotNull() | C("r.oggetto_gara").isNotNull()).select("r.*", "source_file")
+    return lines.select(r.alias("r"), C("file").alias("source_file")).filter(C("r.cig").isNotNull() | C("r.oggetto_gara").isNotNull()).select("r.*", "source_file")
 
 
 def read_registry(spark: SparkSession, path: str | list[str], schema: str | None = None, encoding: str = "ISO-8859-1", sep: str = ";") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 ROOT = str(Path(__file__).resolve().parent.parent)
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
-SMALL = "/root/testdata/sf0.001"
+
 
 
 @pytest.fixture(scope="session")

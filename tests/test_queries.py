@@ -1,6 +1,5 @@
 import pytest
-from compare import duck_rows, spark_rows
-from conftest import SMALL
+from compare import SMALL, duck_rows, spark_rows
 
 from tenderloom.queries import ORACLE, QUERIES
 
