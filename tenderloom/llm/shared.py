@@ -175,9 +175,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """checkpoint() into the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """A small interim table.  Not checkpoint(): its result carries the constraints of all plans before, which grow from round to round."""
+    return stored(df, "cut")
 
 
 def tasks(spark: SparkSession) -> int:
