@@ -12,10 +12,14 @@ What keeps the work in proportion to the documents:
 * equal sets are one node, named by their smallest id;
 * a list is first compared with one member only, its leader (two rounds with
   leaders drawn anew); the links found are merged into components;
-* a list whose members are all in one component is skipped;
-* a long list that is still open isn't paired up: its members are posted anew
-  under pairs, then triples, of coordinate values, as every candidate pair
-  agrees in MATCHES of them.
+* a list whose members are all in one component is skipped; in the others only
+  pairs of different components are counted, each pair in the first list that
+  both are in, and only those whose sketches (``SKETCH`` more minima, a byte
+  each) agree in SKETCH_MATCHES places go on: at s = 0.8 all but 3e-5 do, at
+  s = 0.7 one in 4000 does;
+* a list of more than ``BLOCK`` members is dealt to cells of two blocks each.
+  Counting inside such a list is quadratic in its open members, but what it
+  emits is not.
 """
 
 from __future__ import annotations
@@ -32,10 +36,11 @@ from .components import components
 from .shared import BASES, HOT_KEYS, cut, lookup, mix, powers, slices, span_hashes, stored, string_buffers, tasks, words
 
 COORDINATES, MINIMA, MATCHES = 20, 3, 3
-SHORT = 50  # members of a list that is paired up at once
+SKETCH, SKETCH_MATCHES = 1024, 768  # 0.8 * 1024 less four deviations
+BLOCK = 2000
 LEADER_ROUNDS = 2
 
-_multipliers = mix(np.arange(1, COORDINATES * MINIMA + 1, dtype=np.uint64) * np.uint64(BASES[0])) | np.uint64(1)
+_multipliers = mix(np.arange(1, COORDINATES * MINIMA + SKETCH + 1, dtype=np.uint64) * np.uint64(BASES[0])) | np.uint64(1)
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
@@ -76,6 +81,40 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return (out >> np.uint64(1)).astype(np.int64)
 
 
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Rows of SKETCH bytes, each a byte of a minimum.  No set is empty."""
+    flat = np.concatenate(sets)
+    begin = np.cumsum([0, *[len(s) for s in sets[:-1]]])
+    out = np.empty((len(sets), SKETCH), np.uint8)
+    for k in range(SKETCH):
+        out[:, k] = mix(np.minimum.reduceat(flat * _multipliers[COORDINATES * MINIMA + k], begin)) & np.uint64(255)
+    return out
+
+
+def cell_pairs(pos: int, side: np.ndarray, component: np.ndarray, n: np.ndarray, code: np.ndarray, sketch: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Candidate pairs (places) of one cell of a list: in different components, first together in this list, alike enough."""
+    inside = not side.any()
+    kinds, which = np.unique(component, return_inverse=True)
+    if len(kinds) < 2:
+        return []
+    usual = which == np.bincount(which).argmax()
+    out = []
+    place = np.arange(len(n))
+    left = np.flatnonzero(~usual) if inside else np.flatnonzero(side == 0)
+    for i in left.tolist():
+        other = (which != which[i]) & ((usual | (place > i)) if inside else (side == 1))
+        other &= np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent
+        b = np.flatnonzero(other)
+        if not len(b):
+            continue
+        same = code[b] == code[i]
+        b = b[(same.argmax(1) == pos) & (same.sum(1) >= MATCHES)]
+        if len(b):
+            b = b[(sketch[b] == sketch[i]).sum(1) >= SKETCH_MATCHES]
+            out += [(i, j) for j in b.tolist()]
+    return out
+
+
 def linked(a: Column, b: Column, percent: int) -> Column:
     """100 * intersection >= percent * union, on full sets."""
     common = F.size(F.array_intersect(a, b)).cast("long")
@@ -129,19 +168,57 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nodes = cut(some.groupBy("set").agg(F.count("*").alias("rows"), F.min("id").alias("node"), F.first("n").alias("n"), F.first("code").alias("code")))
 
     # lists of two and more, under the prefix
-    posts = nodes.select("node", "n", F.posexplode(F.slice("code", 1, COORDINATES - MATCHES + 1)).alias("pos", "key"))
+    posts = nodes.select("node", "n", "code", F.posexplode(F.slice("code", 1, COORDINATES - MATCHES + 1)).alias("pos", "key"))
     shared = posts.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
     posts = cut(lookup(posts, "key", shared, "members", max(1000, nodes.count() * (COORDINATES - MATCHES + 1) // HOT_KEYS), "node").filter("members > 1"))
-    codes = nodes.select("node", "n", "code")
 
     wanted = posts.select(F.col("node").alias("id")).distinct()
     sets = stored(docs.join(wanted, "id", "left_semi").mapInArrow(full, "id long, items array<long>"), "sets")
 
+    def sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                items = batch.column(1)
+                edge, flat = items.offsets.to_numpy(), items.values.to_numpy().view(np.uint64)
+                for lo in range(0, batch.num_rows, 1000):
+                    some = [flat[a:b] for a, b in zip(edge[lo : lo + 1000], edge[lo + 1 : lo + 1001])]
+                    keep = [k for k, x in enumerate(some) if len(x)]
+                    if keep:
+                        rows = sketches([some[k] for k in keep])
+                        yield pa.record_batch([batch.column(0).take(pa.array([lo + k for k in keep])), pa.array([r.tobytes() for r in rows], pa.binary())], ["node", "sketch"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by cell; a cell may go on in the next batch."""
+        held: list[pa.RecordBatch] = []
+
+        def cells_of(table: pa.Table, last: bool):
+            key = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")], 1)
+            turn = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+            edge = [0, *turn.tolist(), len(key)]
+            node, n, component, side, pos = (table.column(c).to_numpy() for c in ("node", "n", "component", "side", "pos"))
+            code = table.column("code").combine_chunks()
+            code = (code.flatten() if isinstance(code, pa.Array) else pa.concat_arrays([c.flatten() for c in code.chunks])).to_numpy().reshape(len(key), COORDINATES)
+            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(key), SKETCH)
+            end = len(edge) - 1 if last else len(edge) - 2
+            found = []
+            for a, b in zip(edge[:end], edge[1:]):
+                if b - a > 1:
+                    found += [(node[a + x], node[a + y]) for x, y in cell_pairs(int(pos[a]), side[a:b], component[a:b], n[a:b], code[a:b], sketch[a:b], percent)]
+            return found, table.slice(edge[end])
+
+        def out(found):
+            return pa.record_batch([pa.array([min(x) for x in found], pa.int64()), pa.array([max(x) for x in found], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            if batch.num_rows:
+                found, rest = cells_of(pa.Table.from_batches([*held, batch]), False)
+                held = rest.to_batches()
+                yield out(found)
+        if held:
+            yield out(cells_of(pa.Table.from_batches(held), True)[0])
+
     def confirmed(pairs: DataFrame) -> DataFrame:
-        """Of distinct candidate pairs a, b those that agree in enough coordinates and are linked."""
-        one, two = (codes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("code").alias(f"code_{x}")) for x in "ab")
-        pairs = pairs.join(one, "a").join(two, "b")
-        pairs = pairs.filter((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (F.size(F.array_intersect("code_a", "code_b")) >= MATCHES)).select("a", "b").distinct()
+        """Of distinct candidate pairs a, b those that are linked."""
         one, two = (sets.select(F.col("id").alias(x), F.col("items").alias(f"items_{x}")) for x in "ab")
         pairs = pairs.join(one, "a").join(two, "b")
         return cut(pairs.filter(linked(F.col("items_a"), F.col("items_b"), percent)).select("a", "b"))
@@ -153,29 +230,28 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n_posts = posts.count()
     pairs = None
     for turn in range(LEADER_ROUNDS):
-        leader = posts.groupBy("key").agg(F.count("*").alias("rows"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("leader")))["leader"].alias("leader"))
-        star = lookup(posts, "key", leader, "rows", max(1000, n_posts // HOT_KEYS), "node").filter("node <> leader").select(*ordered("node", "leader"))
+        first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "code"))
+        leader = posts.groupBy("key").agg(F.count("*").alias("rows"), first.alias("leader"))
+        star = lookup(posts, "key", leader, "rows", max(1000, n_posts // HOT_KEYS), "node").filter("node <> leader.node")
+        alike = (F.least("n", "leader.n") * 100 >= F.greatest("n", "leader.n") * percent) & (F.size(F.array_intersect("code", "leader.code")) >= MATCHES)
+        star = star.filter(alike).select(*ordered("node", "leader.node"))
         pairs = star if pairs is None else pairs.unionByName(star)
     edges = confirmed(pairs.distinct())
     found = cut(components(edges))
 
     # pairs between components, in lists that are still open
-    open_ = posts.join(found.withColumnRenamed("id", "node"), "node", "left").select("key", "pos", "node", F.coalesce("component", "node").alias("component"))
-    more = None
-    for level in range(1, MATCHES + 1):
-        state = open_.groupBy("key").agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-        open_ = cut(lookup(open_, "key", state, "rows", max(1000, n_posts // HOT_KEYS), "node").filter("rows is not null").select("key", "pos", "node", "component", "rows"))
-        now = open_ if level == MATCHES else open_.filter(F.col("rows") <= SHORT)
-        left, right = (now.select("key", F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
-        found_pairs = left.join(right, "key").filter("a < b and of_a <> of_b").select("a", "b")
-        more = found_pairs if more is None else more.unionByName(found_pairs)
-        long_ = open_.filter(F.col("rows") > SHORT)
-        if level == MATCHES or long_.isEmpty():
-            break
-        deeper = long_.join(codes.select("node", "code"), "node")
-        open_ = deeper.select(F.col("key").alias("above"), F.col("pos").alias("last"), "node", "component", F.posexplode(F.slice("code", 1, COORDINATES - MATCHES + 1 + level)).alias("pos", "value")).filter("pos > last")
-        open_ = open_.select(F.expr("xxhash64(above, value) & 9223372036854775807").alias("key"), "pos", "node", "component")
-    edges = edges.unionByName(confirmed(more.distinct()))
+    open_ = posts.join(found.withColumnRenamed("id", "node"), "node", "left").select("key", "pos", "node", "n", "code", F.coalesce("component", "node").alias("component"))
+    state = open_.groupBy("key").agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    open_ = cut(lookup(open_, "key", state, "rows", max(1000, n_posts // HOT_KEYS), "node").filter("rows is not null").select("key", "pos", "node", "n", "code", "component", "rows"))
+    sketched = stored(sets.join(open_.select(F.col("node").alias("id")).distinct(), "id", "left_semi").mapInArrow(sketch_rows, "node long, sketch binary"), "sketches")
+    parts = F.ceil(F.col("rows") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("node", F.lit(7)), parts).cast("int")
+    cells = open_.withColumns({"block": block, "other": F.explode(F.sequence(F.lit(0), parts - 1))})
+    cells = cells.select("key", "pos", "node", "n", "code", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"))
+    cells = cells.join(sketched, "node")
+    cells = cells.repartition(tasks(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "pos", "node", "n", "component", "side", "code", "sketch")
+    more = cells.mapInArrow(counted, "a long, b long")
+    edges = edges.unionByName(confirmed(more))
 
     # sets of one id are one node; then from nodes to all rows with that set
     same = some.select("set", "id").distinct()
@@ -184,11 +260,9 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ties = same.join(twice, "id", "left_semi").join(named, "set").select(*ordered("id", "node"))
     found = components(edges.unionByName(ties)).withColumnRenamed("id", "node")
     named = named.join(found, "node", "left").select(F.col("set").alias("set"), "rows", F.coalesce("component", "node").alias("component_id"))
-    named = named.withColumn("key", F.expr("xxhash64(set) & 9223372036854775807"))
-    # few sets share a 63-bit key, if any; those are told apart below
-    rows = signs.withColumn("key", F.expr("coalesce(xxhash64(set) & 9223372036854775807, -1)"))
+    # sets that very many rows share come by broadcast, HOT_KEYS at most; such rows are then dealt by their id
     hot = named.filter(F.col("rows") >= max(1000, signs.count() // HOT_KEYS)).select(F.col("set").alias("hot_set"), F.col("component_id").alias("hot_component"))
-    rows = rows.join(F.broadcast(hot), F.col("set") == F.col("hot_set"), "left")
+    rows = signs.join(F.broadcast(hot), F.col("set") == F.col("hot_set"), "left")
     cold = named.select(F.col("set").alias("cold_set"), F.col("component_id").alias("cold_component"))
     rows = rows.withColumn("deal", F.when(F.col("hot_set").isNull() & F.col("set").isNotNull(), F.col("set")).otherwise(F.concat(F.lit("-").cast("binary"), F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary"))))
     rows = rows.join(cold, F.col("deal") == F.col("cold_set"), "left")
