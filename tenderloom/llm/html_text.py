@@ -2,12 +2,12 @@
 
 A page is a sequence of tags and text runs.  Words score positive, tags
 negative; words in elements that never hold the article (menus, forms,
-adverts ...) score negative, too.  One linear scan finds the contiguous region
-with the highest sum; the text in it, without those elements, is the result.
+adverts ...) and their tags score nothing.  One linear scan finds the contiguous region with
+the highest sum; the text in it, without those elements, is the result.
 
-Weights are log-odds of lying inside the article, learned from labelled pages:
-those whose markup names the article by ``article`` or ``main``.  They come
-from a bounded sample of such pages (``SAMPLE_PAGES``).
+Weights come from log-odds of lying inside the article, learned from labelled
+pages: those whose markup names the article by ``article`` or ``main``.  They
+come from a bounded sample of such pages (``SAMPLE_PAGES``).
 """
 
 from __future__ import annotations
@@ -48,9 +48,11 @@ _part = re.compile(r"[a-z]+")
 _word = re.compile(r"\S+")
 _space = re.compile(r"\s+")
 
-#: Log-odds used for tags that the labelled pages don't show.
-UNSEEN = -1.0
+#: Weights of tags that the labelled pages don't show: those that articles are written with, and others.
+WRITTEN = frozenset("h1 h2 h3 h4 h5 h6 p br hr blockquote pre ul ol li dl dt dd table thead tbody tr td th figure figcaption".split()) | INLINE
+UNSEEN_WRITTEN, UNSEEN = -0.02, -1.0
 WORD = 1.0
+LEAST, MOST = -30.0, -0.02  # of learned tags
 
 
 def outside(tag: str, attributes: str) -> bool:
@@ -110,11 +112,12 @@ def region(parts: list[tuple[str, str, str, bool]], weights: dict[str, float]) -
     word = weights.get("word", WORD)
     best, best_at, total, start = 0.0, (0, 0), 0.0, 0
     for i, (kind, name, text, out) in enumerate(parts):
-        if kind == "text":
-            n = len(_word.findall(text))
-            value = n * (-word if out else word)
+        if out:
+            value = 0.0
+        elif kind == "text":
+            value = len(_word.findall(text)) * word
         else:
-            value = weights.get(name, UNSEEN)
+            value = weights.get(name, UNSEEN_WRITTEN if name in WRITTEN else UNSEEN)
         if total <= 0:
             total, start = 0.0, i
         total += value
@@ -171,15 +174,15 @@ def learn_weights(pages: DataFrame, html_col: str = "html", id_col: str = "page_
                         total[name, False] += 1
                     elif kind == "text":
                         total["word", depth > 0 and not out] += len(_word.findall(text))
-                    elif name in known:
-                        total[name, depth > 0 and not out] += 1
+                    elif name in known and not out:
+                        total[name, depth > 0] += 1
         yield pa.record_batch([pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.bool_()), pa.array(list(total.values()), pa.int64())], ["name", "inside", "n"])
 
     found = sample.mapInArrow(counted, "name string, inside boolean, n long").groupBy("name").agg(F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(~F.col("inside"), F.col("n")).otherwise(0)).alias("b")).collect()
     out = {}
     for r in found:
         odds = math.log((r["a"] + 1) / (r["b"] + 1))
-        out[r["name"]] = max(0.5, odds) if r["name"] == "word" else min(-0.02, max(-6.0, odds - 4.0))
+        out[r["name"]] = max(0.5, odds) if r["name"] == "word" else min(MOST, max(LEAST, 3 * (odds - 1)))
     return out
 
 

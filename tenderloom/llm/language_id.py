@@ -47,7 +47,7 @@ def gram_hashes(codes: np.ndarray, order: int) -> list[np.ndarray]:
     value, out = np.zeros(len(codes), np.uint64), []
     for n in range(1, order + 1):
         moved = np.zeros(len(codes), np.uint64)
-        moved[n - 1 :] = codes[: len(codes) - n + 1]
+        moved[n - 1 :] = codes[: max(0, len(codes) - n + 1)]
         value = value + moved * weight[n - 1]
         out.append(mix(value + np.uint64(n)))
     return out
