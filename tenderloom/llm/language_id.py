@@ -14,6 +14,7 @@ farther than ``REJECT`` deviations from texts of its language is rejected.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import BASES, mix, powers, slices, span_hashes, string_buffers, tasks, words
+from .shared import BASES, mix, powers, slices, span_hashes, string_buffers, tasks, trimmed, words
 
 ORDER = 5
 DOCS_PER_LANG = 400
@@ -32,7 +33,7 @@ REJECT = 8.0
 SHARPNESS = 12.0
 NO_LANGUAGE = "und"
 BEGIN, END = "\x02", "\x03"
-CACHED = 400_000
+CACHED = 150_000
 
 # bytes that are no letters: ASCII without a-z; texts are lower-cased before
 OTHER = np.ones(256, bool)
@@ -132,6 +133,30 @@ class CharacterModel:
         return np.log(p)
 
 
+class WordScores:
+    """What words cost under one set of models; one table per process, for the models used last."""
+
+    owner: str | None = None
+
+    def __init__(self):
+        self.place: dict[int, int] = {}
+        self.rows = np.zeros((0, 1))
+
+    def of(self, models: LanguageModels, keys: list[int], strings) -> np.ndarray:
+        """Rows of the words; ``strings`` gives those at the places that are new."""
+        if self.owner != models.key or len(self.place) > CACHED:
+            self.owner, self.place, self.rows = models.key, {}, np.zeros((0, len(models.models)))
+        new = [i for i, k in enumerate(keys) if k not in self.place]
+        if new:
+            found = models.of_words(strings(new))
+            self.place.update(zip((keys[i] for i in new), range(len(self.rows), len(self.rows) + len(new))))
+            self.rows = np.concatenate([self.rows, found])
+        return self.rows[[self.place[k] for k in keys]]
+
+
+_known = WordScores()
+
+
 @dataclass
 class LanguageModels:
     names: list[str]
@@ -139,11 +164,7 @@ class LanguageModels:
     mean: np.ndarray = None
     spread: np.ndarray = None  # of documents' cross-entropies
     noise: np.ndarray = None  # of one character
-    cache: dict = field(default_factory=dict)
-    scores: list = field(default_factory=list)
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("cache", "scores")} | {"cache": {}, "scores": []}
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def of_words(self, found: list[str]) -> np.ndarray:
         """Per word and language the sum of ln p of its characters and its end sign."""
@@ -168,16 +189,7 @@ class LanguageModels:
                 yield np.zeros((n, len(self.models))), np.zeros(n)
                 continue
             kinds, first, which = np.unique(span_hashes(data, starts, ends, BASES[0]), return_index=True, return_inverse=True)
-            if len(self.cache) > CACHED:
-                self.cache.clear(), self.scores.clear()
-            keys = kinds.tolist()
-            new = [i for i, k in enumerate(keys) if k not in self.cache]
-            if new:
-                found = self.of_words([data[starts[first[i]] : ends[first[i]]].tobytes().decode() for i in new])
-                for i, v in zip(new, found):
-                    self.cache[keys[i]] = len(self.scores)
-                    self.scores.append(v)
-            per = np.array([self.scores[self.cache[k]] for k in keys])
+            per = _known.of(self, kinds.tolist(), lambda new: [data[starts[first[i]] : ends[first[i]]].tobytes().decode() for i in new])
             sums = np.stack([np.bincount(rows - lo, per[which, i], n) for i in range(len(self.models))], 1)
             size = ends - starts
             # characters, not bytes: bytes that continue a code point don't count
@@ -284,7 +296,7 @@ def identify(docs: DataFrame, models: LanguageModels | None, id_col: str = "doc_
             lang, score, entropy, out = judged(shared.value, batch.column(1))
             yield pa.record_batch([batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(entropy, from_pandas=True), pa.array(out)], [id_col, "lang_pred", "score", "cross_entropy", "rejected"])
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(scored, f"`{id_col}` {kind}, lang_pred string, score double, cross_entropy double, rejected boolean")
+    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(lambda batches: trimmed(scored(batches)), f"`{id_col}` {kind}, lang_pred string, score double, cross_entropy double, rejected boolean")
 
 
 def drop_rejected(docs: DataFrame, models: LanguageModels | None, text_col: str = "text") -> DataFrame:
@@ -296,7 +308,7 @@ def drop_rejected(docs: DataFrame, models: LanguageModels | None, text_col: str
         for batch in batches:
             yield batch.filter(pa.array(~judged(shared.value, batch.column(text_col).cast(pa.string()))[3], pa.bool_()))
 
-    return docs.mapInArrow(filtered, docs.schema)
+    return docs.mapInArrow(lambda batches: trimmed(filtered(batches)), docs.schema)
 
 
 def fold(id_col: str | Column, folds: int) -> Column:

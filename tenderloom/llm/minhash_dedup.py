@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import BASES, HOT_KEYS, cut, lookup, mix, powers, slices, span_hashes, stored, string_buffers, tasks, words
+from .shared import BASES, HOT_KEYS, cut, lookup, mix, powers, slices, span_hashes, stored, string_buffers, tasks, trimmed, words
 
 COORDINATES, MINIMA, MATCHES = 20, 3, 3
 SKETCH, SKETCH_MATCHES = 1024, 768  # 0.8 * 1024 less four deviations
@@ -163,7 +163,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     values = np.concatenate(sets).view(np.int64)
                     yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(values))], ["id", "items"])
 
-    signs = stored(docs.mapInArrow(signed, "id long, n long, set binary, code array<long>"), "signatures")
+    signs = stored(docs.mapInArrow(lambda batches: trimmed(signed(batches)), "id long, n long, set binary, code array<long>"), "signatures")
     some = signs.filter("n > 0 and id is not null")
     nodes = cut(some.groupBy("set").agg(F.count("*").alias("rows"), F.min("id").alias("node"), F.first("n").alias("n"), F.first("code").alias("code")))
 
@@ -173,7 +173,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     posts = cut(lookup(posts, "key", shared, "members", max(1000, nodes.count() * (COORDINATES - MATCHES + 1) // HOT_KEYS), "node").filter("members > 1"))
 
     wanted = posts.select(F.col("node").alias("id")).distinct()
-    sets = stored(docs.join(wanted, "id", "left_semi").mapInArrow(full, "id long, items array<long>"), "sets")
+    sets = stored(docs.join(wanted, "id", "left_semi").mapInArrow(lambda batches: trimmed(full(batches)), "id long, items array<long>"), "sets")
 
     def sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,14 +243,14 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     open_ = posts.join(found.withColumnRenamed("id", "node"), "node", "left").select("key", "pos", "node", "n", "code", F.coalesce("component", "node").alias("component"))
     state = open_.groupBy("key").agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
     open_ = cut(lookup(open_, "key", state, "rows", max(1000, n_posts // HOT_KEYS), "node").filter("rows is not null").select("key", "pos", "node", "n", "code", "component", "rows"))
-    sketched = stored(sets.join(open_.select(F.col("node").alias("id")).distinct(), "id", "left_semi").mapInArrow(sketch_rows, "node long, sketch binary"), "sketches")
+    sketched = stored(sets.join(open_.select(F.col("node").alias("id")).distinct(), "id", "left_semi").mapInArrow(lambda batches: trimmed(sketch_rows(batches)), "node long, sketch binary"), "sketches")
     parts = F.ceil(F.col("rows") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("node", F.lit(7)), parts).cast("int")
     cells = open_.withColumns({"block": block, "other": F.explode(F.sequence(F.lit(0), parts - 1))})
     cells = cells.select("key", "pos", "node", "n", "code", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"))
     cells = cells.join(sketched, "node")
     cells = cells.repartition(tasks(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "pos", "node", "n", "component", "side", "code", "sketch")
-    more = cells.mapInArrow(counted, "a long, b long")
+    more = cells.mapInArrow(lambda batches: trimmed(counted(batches)), "a long, b long")
     edges = edges.unionByName(confirmed(more))
 
     # sets of one id are one node; then from nodes to all rows with that set

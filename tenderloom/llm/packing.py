@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import by_distinct, slices, string_buffers, tasks
+from .shared import by_distinct, slices, string_buffers, tasks, trimmed
 
-CACHED = 500_000
+CACHED = 200_000
 _caches: dict[tuple, tuple[object, dict[int, bytes]]] = {}
 
 
@@ -105,7 +105,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
                         at += n
                 yield pa.record_batch([batch.column(0).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(raw, pa.binary()), pa.array(total, pa.int64())], [id_col, "start", "length", "ids", "doc_tokens"])
 
-    out = docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(pieces, f"`{id_col}` {kind}, start long, length long, ids binary, doc_tokens long")
+    out = docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(lambda batches: trimmed(pieces(batches)), f"`{id_col}` {kind}, start long, length long, ids binary, doc_tokens long")
     return out.withColumns({"bucket": F.log2("length").cast("int"), "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BASES, slices, span_hashes, stored, string_buffers, tasks, words
+from .shared import BASES, slices, span_hashes, stored, string_buffers, tasks, trimmed, words
 
 FEATURES = ("words", "word_length", "letters", "capitals", "digits", "symbols", "marks", "stops", "tails", "repeats", "distinct", "lines", "blanks")
 D = len(FEATURES)
@@ -151,7 +151,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             edge = pa.array(np.arange(len(x) + 1, dtype=np.int32) * D)
             yield pa.record_batch([batch.column(0), pa.ListArray.from_arrays(edge, pa.array(x.reshape(-1)))], [id_col, "x"])
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(measured, f"`{id_col}` {kind}, x array<double>")
+    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(lambda batches: trimmed(measured(batches)), f"`{id_col}` {kind}, x array<double>")
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.7) -> DataFrame:

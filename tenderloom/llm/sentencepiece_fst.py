@@ -28,11 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packing import tokenizer_path
-from .shared import by_distinct, slices, string_buffers, tasks
+from .shared import by_distinct, slices, string_buffers, tasks, trimmed
 
 META = "▁"
 END = ""  # key of the piece that ends at a trie node
-CACHED = 500_000
+CACHED = 200_000
+CACHED_PAIRS = 300_000
 _compiled: dict[str, PieceTransducer] = {}
 
 
@@ -111,6 +112,8 @@ class PieceTransducer:
                 limit, strict, left = self.score[left], True, cut_left[1]
             else:
                 limit, strict, right = self.score[right], False, cut_right[0]
+        if len(self.fits) > CACHED_PAIRS:
+            self.fits.clear()
         self.fits[a, b] = good
         return good
 
@@ -206,7 +209,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
                 limits = edge.tolist()
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(edge)), pa.array([ids[a:b].tobytes() for a, b in zip(limits, limits[1:])], pa.binary())], [id_col, "n_tokens", "ids"])
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(encoded, f"`{id_col}` {kind}, n_tokens long, ids binary")
+    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(lambda batches: trimmed(encoded(batches)), f"`{id_col}` {kind}, n_tokens long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str | None = None, ids_col: str = "ids") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,6 +20,8 @@ SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
+BATCH_ROWS = 1000
+
 # Odd multipliers of the two polynomial hashes modulo 2**64.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -63,7 +66,7 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def slices(offsets: np.ndarray, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows that hold about ``limit`` bytes each, one row at least."""
     n, lo = len(offsets) - 1, 0
     while lo < n:
@@ -153,6 +156,21 @@ def by_distinct(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int, spans:
     return ids, np.append(0, until)[np.searchsorted(rows, np.arange(lo, hi + 1))]
 
 
+def trim() -> None:
+    """Give freed memory back to the system: workers live on between stages, and an executor has several."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
+def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, and ``trim`` after the last."""
+    yield from batches
+    trim()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, which driver and executors share; a local one only where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -180,8 +198,15 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def tasks(spark: SparkSession) -> int:
-    """Shuffle partitions of the session; also sees to it that workers can import this package."""
+    """Shuffle partitions of the session.
+
+    Also sees to it that workers can import this package, and that Arrow
+    batches hold ``BATCH_ROWS`` rows at most: texts are large, and a worker
+    holds some copies of a batch.
+    """
     ship(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 

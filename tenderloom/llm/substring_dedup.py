@@ -8,8 +8,8 @@ bucket tells every block but the first that has a hash that it was seen
 before.  Inside a block, the smallest id of a hash is known without that.
 
 A window is told apart by 64 hash bits and those of its bucket, which come
-from a second polynomial.  With about 2 million windows a bucket the expected
-number of false matches among n windows is n * 2e6 / 2**65: 1e-3 for 10**10.
+from a second polynomial.  With about a million windows a bucket the expected
+number of false matches among n windows is n * 1e6 / 2**65: 3e-4 for 10**10.
 """
 
 from __future__ import annotations
@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import BASES, slices, span_hashes, stored, string_buffers, tasks, window_hashes, words
+from .shared import BASES, slices, span_hashes, string_buffers, tasks, trim, window_hashes, words
 
-BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 12 << 20  # of text, about 2 million windows
+BLOCK_BYTES = 4 << 20
+BUCKET_BYTES = 6 << 20  # of text, about a million windows
 
 
 def windows_of(texts: pa.ChunkedArray, width: int, buckets: int):
@@ -111,6 +111,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         h, bucket = h[order], bucket[order]
         edges = np.flatnonzero(np.diff(bucket, prepend=-1)) if len(bucket) else np.zeros(0, np.int64)
         ends = np.append(edges[1:], len(bucket))
+        trim()
         return pa.table({"_block": pa.array([block] * len(edges), pa.int32()), "bucket": pa.array(bucket[edges], pa.int32()), "hashes": pa.array([packed(h[a:b]) for a, b in zip(edges, ends)], pa.binary())})
 
     def seen(table: pa.Table) -> pa.Table:
@@ -130,6 +131,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         h, owner = h[by], owner[by]
         edges = np.flatnonzero(np.diff(owner, prepend=-1)) if len(owner) else np.zeros(0, np.int64)
         ends = np.append(edges[1:], len(owner))
+        trim()
         return pa.table({"_block": pa.array(owner[edges], pa.int32()), "hashes": pa.array([packed(h[a:b]) for a, b in zip(edges, ends)], pa.binary())})
 
     fields = [f for f in dealt.schema.fields if f.name != "_block"]
@@ -177,6 +179,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         table = table.drop_columns(["_block"])
         for name, values, kind in (("n_words", n_words, pa.int64()), ("n_removed", n_removed, pa.int64()), ("removed", spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("kept_text", kept, pa.string())):
             table = table.append_column(name, pa.array(values, kind))
+        del parts, gone, h, at
+        trim()
         return table
 
     from pyspark.sql.pandas.types import to_arrow_schema
