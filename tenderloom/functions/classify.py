@@ -136,8 +136,8 @@ def sql_passes(expr: str, clauses: list[R.Clause]) -> str:
 
 def sql_confidence(expr: str, patterns: list[tuple[str, float]]) -> str:
     """NULL if no pattern of the category matches."""
-    weights = "list_filter([" + ", ".join(f"CASE WHEN {sql_match(expr, p)} THEN {float(w)} END" for p, w in patterns) + "], lambda x: x IS NOT NULL)"
-    return f"(SELECT CASE WHEN len(w) > 0 THEN round(least(1.0, list_max(w) + least(0.15, (len(w) - 1) * 0.05)), 3) END FROM (SELECT {weights} AS w))"
+    weights = "list_filter([" + ", ".join(f"CASE WHEN {sql_match(expr, p)} THEN {float(w)}e0 END" for p, w in patterns) + "], lambda x: x IS NOT NULL)"
+    return f"(SELECT CASE WHEN len(w) > 0 THEN round(least(1.0e0, list_max(w) + least(0.15e0, (len(w) - 1) * 0.05e0)), 3) END FROM (SELECT {weights} AS w))"
 
 
 def sql_vetoed(expr: str) -> str:

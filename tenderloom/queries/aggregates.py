@@ -71,9 +71,9 @@ def ag08_cr4(spark, d):
     return M.concentration(tenders(spark, d), ["category"], "supplier", "amount", 4)
 
 
-@query(f"t: WITH {_shares} SELECT category, supplier, round(v, 2) AS value, round(share, 4) AS share FROM p WHERE r = 1 AND share > 2")
+@query(f"t: WITH {_shares} SELECT category, supplier, round(v, 2) AS value, round(share, 4) AS share FROM p WHERE r = 1 AND share > 1")
 def ag09_dominant(spark, d):
-    return M.dominant(tenders(spark, d), ["category"], "supplier", "amount", 2)
+    return M.dominant(tenders(spark, d), ["category"], "supplier", "amount", 1)
 
 
 @query("""t: WITH s AS (SELECT supplier, sum(amount) AS v FROM t GROUP BY 1 ORDER BY v DESC, supplier LIMIT 20), r AS (SELECT *, row_number() OVER (ORDER BY v DESC, supplier) AS k FROM s)

@@ -91,7 +91,7 @@ def cls14_minor_price(spark, d):
     return notices(spark, d).select("id", K.minor_price(C("procedure_raw"), C("subject")).alias("minor"))
 
 
-@query(f"""n: WITH {_LABELS}, s AS (SELECT l.id, n.text, CASE WHEN len(ls) > 0 THEN ls[1].c ELSE 0.0 END AS score FROM l JOIN n USING (id))
+@query(f"""n: WITH {_LABELS}, s AS (SELECT l.id, n.text, CASE WHEN len(ls) > 0 THEN ls[1].c ELSE 0.0e0 END AS score FROM l JOIN n USING (id))
     SELECT id, score, nullif(regexp_extract(text, '(?i)CIG[:\\s]+([A-Z0-9]{{10}})', 1), '') AS code FROM s WHERE score > 0.7""")
 def cls15_relevance_gate(spark, d):
     """The cheap score first; the expensive extraction only for what passes."""
