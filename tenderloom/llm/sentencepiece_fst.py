@@ -32,8 +32,8 @@ from .shared import by_distinct, slices, string_buffers, tasks, trimmed
 
 META = "▁"
 END = ""  # key of the piece that ends at a trie node
-CACHED = 200_000
-CACHED_PAIRS = 300_000
+CACHED = 1_000_000
+CACHED_PAIRS = 1_000_000
 _compiled: dict[str, PieceTransducer] = {}
 
 
@@ -120,6 +120,7 @@ class PieceTransducer:
     def shortest(self, text: str) -> list[int]:
         """The ids on the shortest path of the lattice over ``text``, which has meta signs for blanks."""
         n = len(text)
+        bpe, score, fits, trie = self.bpe, self.score, self.fits, self.trie
         # states by position: (weight, last piece or None, back state)
         states: list[list[tuple]] = [[] for _ in range(n + 1)]
         states[0].append((0.0, None, None))
@@ -127,19 +128,30 @@ class PieceTransducer:
             here = states[i]
             if not here:
                 continue
-            node, j, single = self.trie, i, False
-            while j < n and (node := node.get(text[j])) is not None:
+            node, j, single = trie, i, False
+            while j < n:
+                node = node.get(text[j])
+                if node is None:
+                    break
                 j += 1
                 piece = node.get(END)
                 if piece is None:
                     continue
-                single = single or j == i + 1
+                if j == i + 1:
+                    single = True
                 best = None
                 for s in here:
-                    if (best is None or s[0] < best[0]) and (not self.bpe or s[1] is None or s[1] < 0 or self.neighbours(s[1], piece)):
+                    if best is None or s[0] < best[0]:
+                        last = s[1]
+                        if bpe and last is not None and last >= 0:
+                            good = fits.get((last, piece))
+                            if good is None:
+                                good = self.neighbours(last, piece)
+                            if not good:
+                                continue
                         best = s
                 if best is not None:
-                    states[j].append((best[0] - self.score[piece], piece, best))
+                    states[j].append((best[0] - score[piece], piece, best))
             if not single:
                 best = min(here, key=lambda s: s[0])
                 states[i + 1].append((best[0] + self.worst, -1 - ord(text[i]), best))
