@@ -127,10 +127,19 @@ def jn08_fuzzy_levenshtein(spark, d):
     return Z.canonical(parts, "p_name", 60, k, blocked=False, score=Z.levenshtein_ratio)
 
 
+def spelt_entities(spark, d):
+    """Raw entity names with a place for each run of 1,500 ids; of an entity's 125 rows in a run, 25 are spelt in five other ways."""
+    md5 = F.md5(F.floor(C("id") / 1500).cast("string"))
+    place = F.concat_ws(" ", F.substring(md5, 1, 6), F.substring(md5, 7, 6))
+    n = notices(spark, d).select("id", F.concat_ws(" ", "entity_raw", place).alias("e"), F.concat_ws(" ", place, "entity_raw").alias("turned"), F.floor(C("id") % 1500 / 12).alias("i"))
+    spelt = F.when(C("i") < 100, C("e")).when(C("i") < 105, F.expr("left(e, length(e) - 1)")).when(C("i") < 110, F.expr("e || right(e, 1)")).when(C("i") < 115, F.concat("turned", F.lit(".")))
+    return n.select("id", spelt.when(C("i") < 120, F.concat(F.upper("e"), F.lit(" SRL"))).otherwise(F.expr("'X' || substr(e, 2)")).alias("entity"))
+
+
 @query()
 def jn08_fuzzy_weighted(spark, d):
-    """Top-1 fuzzy join with blocking and the weighted ratio over raw entity names."""
-    return Z.canonical(notices(spark, d).withColumn("entity", F.concat_ws(" ", "entity_raw", F.substring("subject", 1, 12))), "entity", 85, 30)
+    """Top-1 fuzzy join with blocking and the weighted ratio over entity names."""
+    return Z.canonical(spelt_entities(spark, d), "entity", 85, 30)
 
 
 @query("t: WITH c AS (SELECT supplier, count(*) AS n FROM t GROUP BY 1), k(keyword) AS (VALUES ('00001'), ('0002'), ('#0')), j AS (SELECT keyword, supplier, n, row_number() OVER (PARTITION BY keyword ORDER BY n DESC, supplier) AS rank FROM c JOIN k ON contains(lower(supplier), keyword)) SELECT * FROM j WHERE rank <= 10")

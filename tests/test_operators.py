@@ -76,6 +76,18 @@ def test_fuzzy_canonical(spark):
     assert "nan" not in got
 
 
+def test_fuzzy_query_compares_names(spark):
+    from compare import SMALL
+
+    from tenderloom.queries import QUERIES, dedup_joins
+
+    got = sorted(map(tuple, QUERIES["jn08_fuzzy_weighted"](spark, SMALL).collect()))
+    assert got == sorted(map(tuple, Z.canonical(dedup_joins.spelt_entities(spark, SMALL), "entity", 85, 30, blocked=False).collect()))
+    frequent, matched = {r[0] for r in got if r[1] >= 30}, [r for r in got if r[3] is not None]
+    assert len(frequent) == 12 and len(got) == 72
+    assert len(matched) == 60 and all(r[2] in frequent for r in matched)
+
+
 RELEASE = {
     "ocid": "o1", "id": "r1", "date": "2024-02-10 17:35:30.228T12:00:00Z",
     "tender": {"title": "Illuminazione", "description": "pubblica", "procurementMethodDetails": "x TITLE: procedura aperta", "lots": [{"id": "L1", "title": "a"}, {"id": "", "title": "b"}], "value": {"amount": 10.0}},
