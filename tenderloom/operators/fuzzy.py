@@ -4,13 +4,14 @@ Similarity is a weighted ratio over longest common subsequences: the full
 ratio, the best-window ratio and the ratios of sorted and of shared words,
 each scaled by how far the lengths differ.  Candidates share a word or a
 leading part with the name (blocking), which can miss pairs that a full scan
-finds; ``blocked=False`` compares all, for small tables.
+finds; ``blocked=False`` compares all, for small tables.  Every word blocks:
+the names of a common one are dealt over a grid of cells.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,8 +19,8 @@ from ..functions import rules as R
 from ..shipping import ship
 
 C = F.col
-#: A block word that more names share is too common to block on; the leading part still does.
-COMMON_WORD = 2_000
+#: About so many names a side meet in one cell of a block; a block with more is dealt over several cells.
+CELL = 256
 
 
 def comparable(c: Column) -> Column:
@@ -90,6 +91,26 @@ def levenshtein_ratio(a: Column, b: Column) -> Column:
     return F.round(100.0 * (1 - F.levenshtein(a, b) / F.greatest(F.char_length(a), F.char_length(b), F.lit(1))), 4)
 
 
+def block_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of left (name, keys, ...) and right (candidate, c_keys, ...) that share a key, each once.
+
+    A key's names are dealt over rows of cells, its candidates over columns,
+    and each side goes to all cells of its row or column, so that no task
+    holds a whole common key.  A pair counts in the first key it shares.
+    """
+    spark = left.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    x, y = left.withColumn("key", F.explode("keys")), right.withColumn("key", F.explode("c_keys"))
+    sizes = x.groupBy("key").agg(F.count("*").alias("k")).join(y.groupBy("key").agg(F.count("*").alias("c_k")), "key")
+    grid = sizes.select("key", F.ceil(C("k") / CELL).alias("rows"), F.ceil(C("c_k") / CELL).alias("columns"))
+    part = lambda c, of: F.pmod(F.xxhash64(c), C(of))
+    every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), C(of) - 1))
+    x = x.join(grid, "key").withColumns({"_i": part("name", "rows"), "_j": every("columns")}).drop("rows", "columns")
+    y = y.join(grid, "key").withColumns({"_j": part("candidate", "columns"), "_i": every("rows")}).drop("rows", "columns")
+    pairs = x.repartition(n, "key", "_i", "_j").join(y.repartition(n, "key", "_i", "_j"), ["key", "_i", "_j"])
+    return pairs.filter(C("key") == F.array_min(F.array_intersect("keys", "c_keys"))).drop("key", "_i", "_j", "keys", "c_keys")
+
+
 def canonical(df: DataFrame, name: str, threshold: float = 90, min_occurrences: int = 2, blocked: bool = True, score=None) -> DataFrame:
     """name -> canonical, one row per distinct name.
 
@@ -105,13 +126,10 @@ def canonical(df: DataFrame, name: str, threshold: float = 90, min_occurrences:
     f = frequent.select(C("name").alias("candidate"), C("n").alias("c_n"), C("norm").alias("c_norm"))
     if blocked:
         keys = lambda c: F.array_distinct(F.concat(F.filter(F.split(c, " "), lambda w: F.length(w) > 2), F.array(F.concat(F.lit("^"), F.substring(c, 1, 4)))))
-        left = rare.withColumn("key", F.explode(keys(C("norm"))))
-        right = f.withColumn("key", F.explode(keys(C("c_norm"))))
-        usual = right.groupBy("key").agg(F.count("*").alias("k")).filter((C("k") <= COMMON_WORD) | C("key").startswith("^")).select("key")
-        pairs = left.join(right.join(usual, "key"), "key").select("name", "norm", "candidate", "c_norm", "c_n").distinct()
+        pairs = block_pairs(rare.select("name", "norm", keys(C("norm")).alias("keys")), f.withColumn("c_keys", keys(C("c_norm"))))
     else:
         pairs = rare.join(f, F.lit(True))
     scored = pairs.withColumn("score", score(C("norm"), C("c_norm"))).filter(C("score") >= threshold)
-    rank = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("score"), F.desc("c_n"), "candidate"))
-    best = scored.withColumn("r", rank).filter("r = 1").select("name", C("candidate").alias("canonical"), "score")
+    best = scored.groupBy("name").agg(F.min(F.struct((-C("score")).alias("s"), (-C("c_n")).alias("n"), "candidate")).alias("b"))
+    best = best.select("name", C("b.candidate").alias("canonical"), (-C("b.s")).alias("score"))
     return counts.select("name", "n").join(best, "name", "left").select("name", "n", F.coalesce("canonical", "name").alias("canonical"), "score")

@@ -76,6 +76,14 @@ def test_fuzzy_canonical(spark):
     assert "nan" not in got
 
 
+def test_fuzzy_common_word_blocks(spark, monkeypatch):
+    monkeypatch.setattr(Z, "CELL", 100, raising=False)
+    rows = [(f"comune {i}",) for i in range(2_001)] * 2 + [("nuovo comune 7",), ("vecchio comune 1999",), ("altro",)]
+    df = spark.createDataFrame(rows, "n string")
+    got, want = ({r.name: (r.canonical, r.score) for r in Z.canonical(df, "n", 60, blocked=b).collect() if r.n == 1} for b in (True, False))
+    assert got == want and got["nuovo comune 7"][0] == "comune 7" and got["vecchio comune 1999"][1] >= 60 and got["altro"][1] is None
+
+
 def test_fuzzy_query_compares_names(spark):
     from compare import SMALL
 
