@@ -10,6 +10,9 @@ the names of a common one are dealt over a grid of cells.
 
 from __future__ import annotations
 
+from collections import Counter
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,14 +68,19 @@ def words_ratio(a: str, b: str, compare=ratio) -> float:
     left, right = sorted({*x} - {*shared}), sorted({*y} - {*shared})
     if shared and (not left or not right):
         return 100.0
+    if shared and compare is window_ratio:  # the shared words are a part of either side
+        return 100.0
     base, one, two = " ".join(shared), " ".join(shared + left), " ".join(shared + right)
     best = max(compare(" ".join(x), " ".join(y)), compare(one, two))
     return max(best, compare(base, one), compare(base, two)) if shared else best
 
 
-def weighted_ratio(a: str, b: str) -> float:
+def weighted_ratio(a: str, b: str, least: float = 0.0) -> float:
+    """The weighted ratio; 0 as soon as a bound shows that it is under ``least``."""
     if not a or not b:
         return 0.0
+    if least and most_ratio(a, b) < least - 1e-6:
+        return 0.0
     far = max(len(a), len(b)) / min(len(a), len(b))
     best = ratio(a, b)
     if far < 1.5:
@@ -81,9 +89,49 @@ def weighted_ratio(a: str, b: str) -> float:
     return max(best, window_ratio(a, b) * scale, words_ratio(a, b, window_ratio) * 0.95 * scale)
 
 
-@F.pandas_udf(T.DoubleType())
-def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([weighted_ratio(x, y) for x, y in zip(a, b)], dtype=float)
+@lru_cache(1 << 12)
+def parts_of(a: str) -> tuple[Counter, frozenset[str], bool]:
+    """Characters, words, and whether a word comes twice or spare blanks do."""
+    words = frozenset(a.split())
+    return Counter(a), words, sum(map(len, words)) + len(words) - 1 != len(a)
+
+
+def most_ratio(a: str, b: str) -> float:
+    """A bound of the weighted ratio from lengths, characters in common and shared words.
+
+    A common subsequence has no more characters than the texts have in common.
+    Of the texts that words_ratio compares, the shared words are a prefix of
+    the others, so their ratio follows from lengths.
+    """
+    small, large = sorted((len(a), len(b)))
+    (chars, words, again), (c_chars, c_words, c_again) = parts_of(a), parts_of(b)
+    shared = words & c_words
+    if large / small >= 1.5:
+        if shared or again or c_again:
+            return 100.0
+        common = (chars & c_chars).total()
+        scale = 0.9 if large / small <= 8 else 0.6
+        return max(200.0 * small / (small + large), 200.0 * common / (small + common) * scale)
+    if again or c_again:
+        return 100.0
+    best = 0.0
+    if shared:
+        if len(shared) in (len(words), len(c_words)):
+            return 100.0
+        base = sum(map(len, shared)) + len(shared) - 1
+        best = 95.0 * 2 * base / (base + small)
+    full = 200.0 * small / (small + large)
+    return max(best, 200.0 * (chars & c_chars).total() / (small + large) if full > best else full)
+
+
+def similarity(least: float = 0.0):
+    """The weighted ratio as a column function; 0 where it is under ``least``."""
+
+    @F.pandas_udf(T.DoubleType())
+    def similarity_(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([weighted_ratio(x, y, least) for x, y in zip(a, b)], dtype=float)
+
+    return similarity_
 
 
 def levenshtein_ratio(a: Column, b: Column) -> Column:
@@ -118,7 +166,7 @@ def canonical(df: DataFrame, name: str, threshold: float = 90, min_occurrences:
     and the candidates for the rest.  Best score wins, then count, then name.
     """
     ship(df.sparkSession)
-    score = score or similarity
+    score = score or similarity(threshold)
     counts = df.filter(C(name).isNotNull() & (F.trim(name) != "") & ~F.lower(name).isin("nan", "none")).groupBy(C(name).alias("name")).agg(F.count("*").alias("n"))
     counts = counts.withColumn("norm", comparable(C("name")))
     frequent = counts.filter(C("n") >= min_occurrences)

@@ -1,6 +1,7 @@
 """Operators on small hand-made frames: ties, nulls, empty tables, metamorphic checks."""
 
 import json
+import random
 import zipfile
 
 import pytest
@@ -84,6 +85,27 @@ def test_fuzzy_common_word_blocks(spark, monkeypatch):
     assert got == want and got["nuovo comune 7"][0] == "comune 7" and got["vecchio comune 1999"][1] >= 60 and got["altro"][1] is None
 
 
+def test_bound_of_weighted_ratio():
+    rng = random.Random(5)
+    text = lambda: " ".join(rng.choice(["enel", "sole", "luce", "lu", "a", "hera", "coop servizi", " x", "sole enel verde spazio"]) for _ in range(rng.randint(0, 5)))
+    for _ in range(3_000):
+        a, b, least = text(), text(), rng.choice([40, 60, 85, 90])
+        score = Z.weighted_ratio(a, b)
+        assert not a or not b or Z.most_ratio(a, b) >= score - 1e-9
+        screened = Z.weighted_ratio(a, b, least)
+        assert screened == score if score >= least else screened < least
+    assert Z.most_ratio("comune di milano", "comune di torino e asti") < 85
+
+
+def test_fuzzy_leading_part_in_cells(spark, monkeypatch):
+    monkeypatch.setattr(Z, "CELL", 8)
+    left = spark.createDataFrame([(f"cust{i}", ["^cust"]) for i in range(64)], "name string, keys array<string>")
+    right = spark.createDataFrame([(f"cust{i}", ["^cust"]) for i in range(64)], "candidate string, c_keys array<string>")
+    pairs = Z.block_pairs(left, right)
+    assert pairs.count() == pairs.distinct().count() == 64 * 64
+    assert pairs.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 64 * 64 / 4
+
+
 def test_fuzzy_query_compares_names(spark):
     from compare import SMALL
 
