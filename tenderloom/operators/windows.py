@@ -57,3 +57,28 @@ def extremes(df: DataFrame, key: str) -> DataFrame:
     """The most and the least frequent key; ties go to the smaller."""
     g = df.filter(C(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     return g.agg(F.max_by(key, F.struct("n", (-C(key)).alias("k"))).alias("most"), F.min_by(key, F.struct("n", key)).alias("least"))
+
+
+def ranked(df: DataFrame, key: Column, parts: int = 32, sample: int = 3200) -> DataFrame:
+    """All rows with their ``rank`` by falling key (nulls of a struct's fields last), sorted; keys are unique.
+
+    Rows are dealt to ranges of the key, whose bounds come from the rows with
+    the smallest hashes; a range's offset is the number of rows above it.
+    """
+    df = df.withColumn("_k", key)
+    kind = df.schema["_k"].dataType
+    few = sorted_keys(df.select("_k").orderBy(F.xxhash64("_k")).limit(sample))
+    cuts = few[len(few) // parts :: max(1, len(few) // parts)][: parts - 1]
+    part = F.lit(0)
+    for c in cuts:
+        part = part + (C("_k") < F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(c, kind.fields)])).cast("int")
+    df = df.withColumn("_part", part)
+    above = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = df.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy(F.desc("_k")))
+    out = df.withColumn("_r", rank).join(F.broadcast(offsets), "_part").withColumn("rank", C("_above") + C("_r"))
+    return out.drop("_k", "_part", "_r", "_above").orderBy("rank")
+
+
+def sorted_keys(df: DataFrame) -> list:
+    return df.agg(F.reverse(F.array_sort(F.collect_list("_k")))).first()[0]

@@ -84,6 +84,12 @@ def sl01_sort_nulls_last(spark, d):
     return notices(spark, d).select("id", "date_raw").orderBy(F.desc_nulls_last("date_raw"), "id").limit(500)
 
 
+@query("n: SELECT id, date_raw, row_number() OVER (ORDER BY date_raw DESC NULLS LAST, id) AS rank FROM n")
+def sl10_sort_all_nulls_last(spark, d):
+    """The sort of sl01 over all rows, with ranks."""
+    return W.ranked(notices(spark, d).select("id", "date_raw"), F.struct("date_raw", (-C("id")).alias("id")))
+
+
 @query("(SELECT o_orderkey AS id, o_totalprice AS v, 'top' AS side FROM orders ORDER BY v DESC, id LIMIT 10) UNION ALL (SELECT o_orderkey, o_totalprice, 'bottom' FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 10)")
 def sl02_top_k(spark, d):
     o = table(spark, d, "orders").select(C("o_orderkey").alias("id"), C("o_totalprice").alias("v"))

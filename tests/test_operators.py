@@ -61,6 +61,18 @@ def test_concentration_curve_equals_plain_order(spark):
     assert abs(rows[-1].percent - 100) < 1e-9
 
 
+def test_sort_query_keeps_all_rows(spark):
+    from compare import SMALL
+
+    from tenderloom.queries import QUERIES
+
+    rows = QUERIES["sl10_sort_all_nulls_last"](spark, SMALL).collect()
+    assert [r["rank"] for r in rows] == list(range(1, 1_501))
+    dated = [r for r in rows if r.date_raw is not None]
+    assert 0 < len(dated) < 1_500 and rows[: len(dated)] == dated
+    assert [(r.date_raw, r.id) for r in dated] == sorted(sorted(((r.date_raw, r.id) for r in dated), key=lambda x: x[1]), key=lambda x: x[0], reverse=True)
+
+
 def test_weighted_ratio():
     assert Z.weighted_ratio("enel sole", "enel sole") == 100
     assert Z.weighted_ratio("sole enel", "enel sole") >= 95
