@@ -53,6 +53,17 @@ def pl04_minutes_table(spark, d):
     return P.minutes_table(registry, n.filter("id % 3 = 0").select("id", "code", C("award_date").alias("data_verbale")), awards)
 
 
+@query("""n: WITH m AS (SELECT id, lpad(CAST(id // 2 AS VARCHAR), 10, '0') AS code, award_date AS d FROM n), r AS (SELECT code, min(s) AS subject FROM (SELECT lpad(CAST(id // 2 AS VARCHAR), 10, '0') AS code, CASE WHEN id % 5 = 0 THEN subject END AS s FROM n) GROUP BY 1),
+    a AS (SELECT lpad(CAST(id // 2 AS VARCHAR), 10, '0') AS code, CASE WHEN id % 7 = 0 THEN round(award, 2) END AS award FROM n)
+    SELECT id, code, strftime(d, '%d/%m/%Y') AS data_verbale, subject, award FROM m LEFT JOIN r USING (code) LEFT JOIN a USING (code)""")
+def pl08_minutes_of_all_notices(spark, d):
+    """pl04 with all notices as minutes; registry and awards have gaps in their columns."""
+    n = notices(spark, d).withColumn("code", F.lpad(F.floor(C("id") / 2).cast("string"), 10, "0"))
+    registry = n.groupBy("code").agg(F.min(F.when(C("id") % 5 == 0, C("subject"))).alias("subject"))
+    awards = n.select("code", F.when(C("id") % 7 == 0, F.round("award", 2)).alias("award"))
+    return P.minutes_table(registry, n.select("id", "code", C("award_date").alias("data_verbale")), awards)
+
+
 @query("""n: WITH r AS (SELECT id, lpad(CAST(id AS VARCHAR), 10, '0') AS code, subject, text, base FROM n WHERE contains(lower(concat_ws(' ', subject, text)), 'servizio luce') OR contains(lower(concat_ws(' ', subject, text)), 'illuminazione pubblica') OR contains(lower(concat_ws(' ', subject, text)), 'pubblica illuminazione')),
     a AS (SELECT lpad(CAST(id AS VARCHAR), 10, '0') AS code, award, award_date, CAST(award_date + to_days(CAST(id % 400 AS INTEGER)) AS DATE) AS expiry FROM n WHERE id % 2 = 0)
     SELECT id, code, TRY_CAST(nullif(regexp_extract(lower(concat_ws(' ', subject, text)), 'servizio luce ([1-4])', 1), '') AS INTEGER) AS edition, round(CASE WHEN award > 0 AND award <= base THEN (base - award) / base * 100 END, 4) AS discount,

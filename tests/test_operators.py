@@ -73,6 +73,15 @@ def test_sort_query_keeps_all_rows(spark):
     assert [(r.date_raw, r.id) for r in dated] == sorted(sorted(((r.date_raw, r.id) for r in dated), key=lambda x: x[1]), key=lambda x: x[0], reverse=True)
 
 
+def test_minutes_query_keeps_all_notices(spark):
+    from compare import SMALL
+
+    from tenderloom.queries import QUERIES
+
+    got = QUERIES["pl08_minutes_of_all_notices"](spark, SMALL).agg(F.countDistinct("id"), F.count("subject"), F.count("award"), F.count("*")).first()
+    assert got[0] == 1_500 and 0 < got[1] < got[3] and 0 < got[2] < got[3]
+
+
 def test_weighted_ratio():
     assert Z.weighted_ratio("enel sole", "enel sole") == 100
     assert Z.weighted_ratio("sole enel", "enel sole") >= 95
