@@ -49,7 +49,7 @@ def src03_tolerant(spark, d):
 
 
 def archives(spark, d):
-    """One archive a month of lot-code records, one line of each broken."""
+    """Archives of about PER_FILE lot-code records of a month, one line of each broken."""
     r = lot_code_records(spark, d)
     lines = r.select(F.substring("data_pubblicazione", 1, 7).alias("month"), F.to_json(F.struct(*r.columns)).alias("line"))
 
@@ -67,8 +67,9 @@ def archives(spark, d):
         return texts.map(one)
 
     text = F.concat(F.array_join(F.array_sort(F.collect_list("line")), "\n"), F.lit("\n{ broken"))
-    months = lines.groupBy("month").agg(text.alias("text"))
-    return months.select(F.concat(F.lit("cig_json_"), F.translate("month", "-", "_"), F.lit(".zip")).alias("path"), zipped("text").alias("content"))
+    files = lines.groupBy("month").agg(F.ceil(F.count("*") / PER_FILE).alias("files"))
+    parts = lines.join(files, "month").withColumn("part", F.pmod(F.xxhash64("line"), C("files"))).groupBy("month", "part").agg(text.alias("text"))
+    return parts.select(F.concat(F.lit("cig_json_"), F.translate("month", "-", "_"), F.lit("_"), C("part").cast("string"), F.lit(".zip")).alias("path"), zipped("text").alias("content"))
 
 
 @query("n: SELECT CAST(id AS VARCHAR) AS cpv, subject FROM n")

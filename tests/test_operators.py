@@ -82,6 +82,18 @@ def test_minutes_query_keeps_all_notices(spark):
     assert got[0] == 1_500 and 0 < got[1] < got[3] and 0 < got[2] < got[3]
 
 
+def test_archives_of_a_month_are_bounded(spark, monkeypatch):
+    from compare import SMALL
+
+    from tenderloom.queries import feeds
+
+    monkeypatch.setattr(feeds, "PER_FILE", 5)
+    got = feeds.archives(spark, SMALL).select(I.month_of(C("path")).alias("month"), "path")
+    assert got.filter("month is null").count() == 0 and got.count() == got.distinct().count() > 2 * got.select("month").distinct().count()
+    per_file = sources.unzipped(feeds.archives(spark, SMALL)).groupBy("file").count()
+    assert per_file.agg(F.max("count")).first()[0] < 20
+
+
 def test_weighted_ratio():
     assert Z.weighted_ratio("enel sole", "enel sole") == 100
     assert Z.weighted_ratio("sole enel", "enel sole") >= 95
