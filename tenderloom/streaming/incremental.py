@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
+import re
+import tempfile
+import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,10 +16,12 @@ C = F.col
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder of spark.checkpoint.dir; a temporary one only where that is unset."""
-    import tempfile
-
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    """A fresh path in the folder of spark.checkpoint.dir; a temporary one only where that is unset and all runs on this machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="spark-")
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -44,29 +51,77 @@ def drop_late(df: DataFrame, period: str, processed: str) -> DataFrame:
     return df.filter(C(period) > processed)
 
 
+LEDGER = "sequence long, stream string, batch long, rows long, total long, seconds double, updated timestamp, folders map<int,string>"
+
+
 class KeyedTable:
-    """A Parquet table with versions in a shared folder: each merge writes a new one and a pointer names it.
+    """A Parquet table of one row per key in a shared folder; it survives its Python object.
 
-    A version is named after its batch, so a batch that runs again writes the
-    same content: merging is idempotent.
+    Keys are dealt to ``parts`` hash parts.  A merge writes the parts that the
+    batch touches, into a folder of its own, and after that one row of the
+    ledger (``path``/ledger), which names the folder of every part.  The last
+    row of the ledger is the table, so a merge that breaks off leaves the
+    table as it was, and its folder unused.  One writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], order: list[str]):
-        self.spark, self.path, self.keys, self.order = spark, path, keys, order
-        self.version: str | None = None
-        self.ledger: list[tuple[int, int]] = []
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], order: list[str], parts: int = 64):
+        self.spark, self.path, self.keys, self.order, self.parts = spark, path.rstrip("/"), keys, order, parts
 
-    def read(self) -> DataFrame | None:
-        return self.spark.read.parquet(self.version) if self.version else None
+    def ledger(self) -> DataFrame:
+        """One row per merge: sequence, stream, batch, rows, total (rows of the table after it), seconds, updated, folders."""
+        entries = self._files("ledger")
+        return self.spark.read.schema(LEDGER).parquet(*entries) if entries else self.spark.createDataFrame([], LEDGER)
+
+    def _files(self, *below: str) -> list[str]:
+        """Folders under a folder of the table; none if it does not exist."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path("/".join((self.path, *below)))
+        store = folder.getFileSystem(conf)
+        return [s.getPath().toString() for s in store.listStatus(folder) if store.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))] if store.exists(folder) else []
 
-    def merge(self, batch: DataFrame, batch_id: int) -> None:
-        """Keep the last row of each key by the order; for use in foreachBatch."""
-        old = self.read()
-        rows = batch if old is None else old.unionByName(batch)
-        target = f"{self.path}/v{batch_id}"
-        last_per_key(rows, self.keys, [F.desc(c) for c in self.order]).write.mode("overwrite").parquet(target)
-        self.version = target
-        self.ledger.append((batch_id, batch.count()))
+    def _last(self):
+        return self.ledger().orderBy(F.desc("sequence")).first()
+
+    def _rows(self, folders: dict[int, str]) -> DataFrame | None:
+        paths = [p for k, f in sorted(folders.items()) for p in [f"{f}/_part={k}"]]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def read(self) -> DataFrame | None:
+        """The table; None before the first merge and after ``clear``."""
+        last = self._last()
+        return self._rows(last["folders"]) if last else None
+
+    def clear(self) -> None:
+        """The empty table, for a run that reads everything again; the ledger goes on."""
+        self._append("clear", -1, 0, 0, 0.0, {})
+
+    def _append(self, stream: str, batch: int, rows: int, total: int, seconds: float, folders: dict[int, str], after: int | None = None) -> None:
+        last = self.ledger().agg(F.max("sequence")).first()[0] if after is None else after
+        row = (0 if last is None else last + 1, stream, batch, rows, total, seconds, datetime.datetime.now(), folders)
+        self.spark.createDataFrame([row], LEDGER).coalesce(1).write.parquet(f"{self.path}/ledger/{row[0]:012d}")
+
+    def merge(self, batch: DataFrame, batch_id: int, stream: str = "") -> None:
+        """Keep the last row of each key by the order (which is complete); for use in foreachBatch.
+
+        A batch of a stream that the ledger has is not merged again, unless
+        the table was cleared since.
+        """
+        began = time.time()
+        own = (C("stream") == stream) & (C("batch") == batch_id)
+        last, cleared, merged = self.ledger().agg(F.max_by(F.struct("sequence", "folders"), "sequence"), F.max(F.when(C("stream") == "clear", C("sequence"))), F.max(F.when(own, C("sequence")))).first()
+        if merged is not None and (cleared is None or cleared < merged):
+            return
+        part = F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int")
+        found = {r["_part"]: r["n"] for r in batch.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).collect()}  # one row a part
+        if not found:
+            return
+        folders = dict(last["folders"]) if last else {}
+        old = self._rows({k: f for k, f in folders.items() if k in found})
+        rows = batch if old is None else old.select(*batch.columns).unionByName(batch)
+        target = f"{self.path}/data/{uuid.uuid4().hex}"
+        last_per_key(rows, self.keys, [F.desc(c) for c in self.order]).withColumn("_part", part).write.partitionBy("_part").parquet(target)
+        folders.update(dict.fromkeys(found, target))
+        self._append(stream, batch_id, sum(found.values()), self._rows(folders).count(), time.time() - began, folders, last["sequence"] if last else -1)
 
 
 def ingest(spark: SparkSession, source: str, schema, table: KeyedTable, checkpoint: str, glob: str = "*", late_after: tuple[str, str] | None = None) -> None:
@@ -74,9 +129,26 @@ def ingest(spark: SparkSession, source: str, schema, table: KeyedTable, checkpoi
     stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", glob).parquet(source)
     if late_after:
         stream = drop_late(stream, *late_after)
-    q = stream.writeStream.foreachBatch(table.merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q = stream.writeStream.foreachBatch(lambda batch, k: table.merge(batch, k, checkpoint)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
-def ledger_frame(spark: SparkSession, table: KeyedTable) -> DataFrame:
-    return spark.createDataFrame(table.ledger or [(-1, 0)], "batch long, rows long")
+def update(spark: SparkSession, source: str, schema, table: KeyedTable, checkpoint: str, rebuild: Callable[[DataFrame], None], force: bool = False) -> dict:
+    """One run: ingest what is new, then ``rebuild`` what derives from the table, if anything was new.
+
+    force: the table is read again from all files, and rebuilt.  The next run
+    goes on from there; name the same checkpoint each time.
+    """
+    began = time.time()
+    if force:
+        table.clear()
+    # each clearing starts a checkpoint of its own below the given one
+    epoch = table.ledger().filter(C("stream") == "clear").count()
+    before = table.ledger().count()
+    ingest(spark, source, schema, table, f"{checkpoint.rstrip('/')}/{epoch}")
+    merges = table.ledger().count() - before
+    if merges or force:
+        rows = table.read()
+        if rows is not None:
+            rebuild(rows)
+    return {"merges": merges, "rebuilt": bool(merges or force), "seconds": round(time.time() - began, 1)}
