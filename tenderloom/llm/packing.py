@@ -6,8 +6,8 @@ its own and sequences of one length form a bucket, so that batches need no
 padding and no sequence crosses documents.  Nothing is shuffled.
 
 Encoding: byte-level BPE never joins what lies on both sides of a step from a
-non-space to a space, so texts are cut there, equal cuttings are encoded once
-per batch, and a bounded cache keeps them between batches.
+non-space to a space, so texts are cut there and a bounded cache, keyed by the
+bytes themselves, keeps the ids of cuttings.
 """
 
 from __future__ import annotations
@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import by_distinct, slices, string_buffers, tasks, trimmed
+from .shared import SpanCache, edges, slices, string_buffers, tasks, trimmed
 
-CACHED = 200_000
-_caches: dict[tuple, tuple[object, dict[int, bytes]]] = {}
+SLICE = 1 << 21
+_caches: dict[str, SpanCache] = {}
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -56,22 +56,22 @@ def encoded(texts: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray,
     if path not in _caches:
         from tokenizers import Tokenizer
 
-        _caches[path] = (Tokenizer.from_file(path), {})
-    tokenizer, cache = _caches[path]
+        tokenizer = Tokenizer.from_file(path)
+        _caches[path] = SpanCache(lambda new: [e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)])
     data, offsets = string_buffers(texts)
-    encode = lambda new: (np.array(e.ids, np.uint32).tobytes() for e in tokenizer.encode_batch_fast(new, add_special_tokens=False))
-    for lo, hi in slices(offsets):
-        yield lo, hi, *by_distinct(data, offsets, lo, hi, units(data, offsets, lo, hi), cache, encode, CACHED)
+    for lo, hi in slices(offsets, SLICE):
+        a, b = int(offsets[lo]), int(offsets[hi])
+        own, local = np.append(data[a:b], np.zeros(16, np.uint8)), offsets[lo : hi + 1] - a
+        starts, ends, rows = units(own, local, 0, hi - lo)
+        ids, many = _caches[path].ids(own, starts, ends)
+        yield lo, hi, ids, edges(rows, many, 0, hi - lo)
 
 
-def lengths(n: int, longest: int) -> list[int]:
-    """Full sequences, then the binary digits of the rest from the highest."""
-    out = [longest] * (n // longest)
-    rest = n % longest
-    while rest:
-        out.append(1 << (rest.bit_length() - 1))
-        rest -= out[-1]
-    return out
+def lengths(n: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Full sequences, then the binary digits of the rest from the highest: the lengths of all pieces, and how many each document has."""
+    digits = 1 << np.arange(longest.bit_length() - 2, -1, -1, dtype=np.int64)
+    many = np.column_stack([n // longest, (n % longest)[:, None] & digits != 0])
+    return np.repeat(np.tile(np.append(longest, digits), len(n)), many.ravel()), many.sum(1)
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, longest: int = 2048, end_id: int = 1) -> DataFrame:
@@ -94,16 +94,14 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
             if not batch.num_rows:
                 continue
             for lo, hi, ids, edge in encoded(batch.column(1), path):
-                row, start, length, raw, total = [], [], [], [], []
-                limits = edge.tolist()
-                for k in range(hi - lo):
-                    own = np.append(ids[limits[k] : limits[k + 1]], np.uint32(end_id)).tobytes()
-                    at = 0
-                    for n in lengths(len(own) // 4, longest):
-                        row.append(lo + k), start.append(at), length.append(n), total.append(len(own) // 4)
-                        raw.append(own[4 * at : 4 * (at + n)])
-                        at += n
-                yield pa.record_batch([batch.column(0).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(raw, pa.binary()), pa.array(total, pa.int64())], [id_col, "start", "length", "ids", "doc_tokens"])
+                own = np.insert(ids, edge[1:], np.uint32(end_id))  # documents with their end, one after the other
+                total = np.diff(edge) + 1
+                length, many = lengths(total, longest)
+                until = np.cumsum(length)
+                doc = np.repeat(np.arange(hi - lo), many)
+                raw = pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(np.append(0, until) * 4), pa.py_buffer(own)])
+                start = until - length - (np.cumsum(total) - total)[doc]
+                yield pa.record_batch([batch.column(0).take(pa.array(lo + doc)), pa.array(start), pa.array(length), raw.cast(pa.binary()), pa.array(total[doc])], [id_col, "start", "length", "ids", "doc_tokens"])
 
     out = docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(lambda batches: trimmed(pieces(batches)), f"`{id_col}` {kind}, start long, length long, ids binary, doc_tokens long")
     return out.withColumns({"bucket": F.log2("length").cast("int"), "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import ctypes
+import hashlib
+import itertools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -22,8 +24,9 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 
 BATCH_ROWS = 1000
 
-# Odd multipliers of the two polynomial hashes modulo 2**64.
+# Odd multipliers, modulo 2**64.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+MASK = (1 << 64) - 1
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -96,6 +99,42 @@ def words(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int, separator: np
     return starts, ends, rows
 
 
+SHORT = 15  # bytes that fit two machine words beside their number
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def short_keys(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of up to ``SHORT`` bytes as two words that hold the bytes and their number: equal words mean equal bytes.
+
+    ``data`` has 16 bytes more than the spans reach.
+    """
+    eights = np.lib.stride_tricks.as_strided(data[:8].view(np.uint64), (len(data) - 7,), (1,))
+    low = eights[starts] & _LOW_BYTES[np.minimum(size, 8)]
+    high = eights[starts + 8] & _LOW_BYTES[np.maximum(size - 8, 0)]
+    return low, high | size.astype(np.uint64) << np.uint64(56)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0, lower: bool = False) -> np.ndarray:
+    """A hash of each byte span: two rounds of ``mix`` over the bytes themselves, a keyed BLAKE2 of long spans.
+
+    No polynomial: those give one value to some pairs of long words, whatever
+    the base.  Spans are ascending and disjoint.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    a, b = int(starts[0]), int(ends[-1])
+    raw = np.zeros(b - a + 16, np.uint8)
+    raw[: b - a] = LOWER[data[a:b]] if lower else data[a:b]
+    starts, size = starts - a, ends - starts
+    low, high = short_keys(raw, starts, np.minimum(size, SHORT))
+    out = mix(mix(low + np.uint64(BASES[0] + seed & MASK)) ^ (high + np.uint64(BASES[1] - seed)) * np.uint64(BASES[1]))
+    long = np.flatnonzero(size > SHORT)
+    key = seed.to_bytes(8, "little") + b"tenderloom"
+    for i, x, y in zip(long.tolist(), starts[long].tolist(), (starts + size)[long].tolist()):
+        out[i] = int.from_bytes(hashlib.blake2b(raw[x:y], digest_size=8, key=key).digest(), "little")
+    return out
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int, lower: bool = False) -> np.ndarray:
     """A polynomial hash of each byte span, mixed; spans are ascending and disjoint."""
     if not len(starts):
@@ -129,6 +168,89 @@ def window_hashes(tokens: np.ndarray, rows: np.ndarray, width: int, base: int) -
     return mix((total[width:] - total[:-width]) * powers(inverse, n)[: n - width + 1])
 
 
+class SpanCache:
+    """Ids of byte spans; a span is encoded again only when it has left the cache.
+
+    Short spans lie in a table of ``slots`` places under their own bytes, a
+    newcomer in place of the one before, so that frequent ones are mostly
+    there.  Long spans are encoded once a call.  Bytes decide in both cases.
+    encode: list of strings to list of lists of ids, at most one a byte.
+    """
+
+    def __init__(self, encode, slots: int = 1 << 20):
+        self.encode, self.shift = encode, np.uint64(64 - (slots.bit_length() - 1))
+        self.low, self.high = np.zeros(slots, np.uint64), np.zeros(slots, np.uint64)
+        self.begin, self.size = np.zeros(slots, np.int64), np.zeros(slots, np.int64)
+        self.flat, self.used = np.empty((SHORT + 1) * slots, np.uint32), 0
+
+    def fresh(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        got = self.encode([data[a:b].tobytes().decode() for a, b in zip(starts.tolist(), ends.tolist())])
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(size.sum())), size
+
+    def tidy(self) -> None:
+        """Drop the ids that no place holds any more, once they fill most of the room."""
+        if self.used > len(self.flat) * 3 // 4:
+            live = np.flatnonzero(self.size)
+            until = np.cumsum(self.size[live])
+            flat = expand(self.flat, self.begin[live], self.size[live])
+            self.begin[live], self.used = until - self.size[live], len(flat)
+            self.flat[: self.used] = flat
+
+    def ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the spans in order, and how many each has; ``data`` has 16 bytes more than the spans reach."""
+        self.tidy()
+        size, n = ends - starts, len(starts)
+        begin, many = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        short = np.flatnonzero((size <= SHORT) & (size > 0))
+        low, high = short_keys(data, starts[short], size[short])
+        slot = mix(low ^ high * np.uint64(BASES[0])) >> self.shift
+        slot = slot.astype(np.int64)
+        hit = (self.low[slot] == low) & (self.high[slot] == high)
+        begin[short[hit]], many[short[hit]] = self.begin[slot[hit]], self.size[slot[hit]]
+        miss = np.flatnonzero(~hit)
+        order = miss[np.lexsort((low[miss], high[miss]))]
+        head = np.ones(len(order), bool)
+        head[1:] = (low[order[1:]] != low[order[:-1]]) | (high[order[1:]] != high[order[:-1]])
+        kinds = order[head]
+        new, sizes = self.fresh(data, starts[short[kinds]], ends[short[kinds]])
+        base = np.cumsum(sizes) - sizes
+        which = np.cumsum(head) - 1
+        begin[short[order]], many[short[order]] = self.used + base[which], sizes[which]
+        extra = []
+        long = np.flatnonzero(size > SHORT)
+        if len(long):
+            seen: dict[bytes, int] = {}
+            own = np.array([seen.setdefault(data[a:b].tobytes(), len(seen)) for a, b in zip(starts[long].tolist(), ends[long].tolist())])
+            _, first = np.unique(own, return_index=True)
+            ids, counts = self.fresh(data, starts[long[first]], ends[long[first]])
+            begin[long], many[long] = self.used + len(new) + (np.cumsum(counts) - counts)[own], counts[own]
+            extra = [ids]
+        if extra or self.used + len(new) > len(self.flat):
+            out = expand(np.concatenate([self.flat[: self.used], new, *extra]), begin, many)
+        if self.used + len(new) <= len(self.flat):
+            self.flat[self.used : self.used + len(new)] = new
+            if not extra:
+                out = expand(self.flat, begin, many)
+            at = slot[kinds]
+            self.low[at], self.high[at] = low[kinds], high[kinds]
+            # of several newcomers for one place the last stays in all four columns
+            self.begin[at], self.size[at] = self.used + base, sizes
+            self.used += len(new)
+        return out, many
+
+
+def expand(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """flat[begin : begin + size] of all spans, one after the other."""
+    until = np.cumsum(size)
+    return flat[np.arange(until[-1] if len(until) else 0) + np.repeat(begin - (until - size), size)]
+
+
+def edges(rows: np.ndarray, many: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """Where the ids of rows lo..hi begin, and where the last end, from each span's row and number of ids."""
+    return np.append(0, np.cumsum(many))[np.searchsorted(rows, np.arange(lo, hi + 1))]
+
+
 def by_distinct(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int, spans: tuple, cache: dict[int, bytes], encode, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids (uint32) of rows lo..hi and where each row's begin and end, from spans whose strings are encoded once each.
 
