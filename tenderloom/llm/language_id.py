@@ -2,9 +2,9 @@
 
 One model per language, over the characters of words between two boundary
 signs.  Probabilities of observed n-grams and back-off weights of observed
-contexts lie in arrays sorted by a hash of the n-gram; a lookup is a binary
-search.  A text's cross-entropy is that of all its words divided by their
-characters, so each distinct word of a batch is scored once.
+contexts lie in arrays sorted by a hash of the n-gram; a lookup searches from
+the place that the hash's leading bits give.  A text's cross-entropy is that of all its words divided by their
+characters, so words are scored once while they stay in a cache.
 
 The models learn from a bounded sample of labelled rows (``DOCS_PER_LANG``
 documents of each language, those with the smallest hash of their id); a
@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import BASES, mix, powers, slices, span_hashes, string_buffers, tasks, trimmed, words
+from .shared import BASES, MASK, SHORT, mix, powers, short_keys, slices, string_buffers, tasks, trimmed, words
 
 ORDER = 5
 DOCS_PER_LANG = 400
@@ -33,7 +33,7 @@ REJECT = 8.0
 SHARPNESS = 12.0
 NO_LANGUAGE = "und"
 BEGIN, END = "\x02", "\x03"
-CACHED = 150_000
+PLACES = 1 << 20
 
 # bytes that are no letters: ASCII without a-z; texts are lower-cased before
 OTHER = np.ones(256, bool)
@@ -62,8 +62,8 @@ def codes_of(text: str) -> np.ndarray:
 class CharacterModel:
     """Sorted hashes of n-grams with their probability, sorted hashes of contexts with their back-off weight."""
 
-    grams: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-    contexts: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
+    grams: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
+    contexts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
     floor: float = 1e-4
 
     @classmethod
@@ -101,19 +101,25 @@ class CharacterModel:
         return model
 
     @staticmethod
-    def table(values: dict[str, float], n: int) -> tuple[np.ndarray, np.ndarray]:
+    def table(values: dict[str, float], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ascending hashes with a last one beyond all, their values, and where the hashes with each leading bits begin."""
         if n == 0:
-            return np.zeros(1, np.uint64), np.array(list(values.values()) or [1.0])
+            return np.zeros(1, np.uint64), np.array(list(values.values()) or [1.0]), np.zeros(1, np.int64)
         keys = gram_hashes(codes_of("".join(values)), n)[n - 1][n - 1 :: n] if values else np.zeros(0, np.uint64)
         order = np.argsort(keys)
-        return keys[order], np.fromiter(values.values(), float, len(values))[order]
+        bits = max(1, len(keys).bit_length())
+        first = np.searchsorted(keys[order], np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+        return np.append(keys[order], np.uint64(MASK)), np.append(np.fromiter(values.values(), float, len(values))[order], 1.0), first
 
     @staticmethod
-    def find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        have, values = table
-        if not len(have):
-            return np.zeros(len(keys), bool), np.ones(len(keys))
-        at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
+    def find(table: tuple[np.ndarray, np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each key is there, and its value: a search from the place that its leading bits give."""
+        have, values, first = table
+        at = first[(keys >> np.uint64(65 - len(first).bit_length())).astype(np.int64)]
+        on = np.flatnonzero(have[at] < keys)
+        while len(on):
+            at[on] += 1
+            on = on[have[at[on]] < keys[on]]
         return have[at] == keys, values[at]
 
     def log_probabilities(self, hashes: list[np.ndarray], place: np.ndarray) -> np.ndarray:
@@ -134,24 +140,36 @@ class CharacterModel:
 
 
 class WordScores:
-    """What words cost under one set of models; one table per process, for the models used last."""
+    """What words cost under one set of models; one table per process, for the models used last.
 
-    owner: str | None = None
+    Words of up to ``SHORT`` bytes lie under their own bytes in a table of
+    ``PLACES``, a newcomer in place of the one before; long ones are scored
+    once a call.
+    """
 
-    def __init__(self):
-        self.place: dict[int, int] = {}
-        self.rows = np.zeros((0, 1))
+    owner: str | None = None
 
-    def of(self, models: LanguageModels, keys: list[int], strings) -> np.ndarray:
-        """Rows of the words; ``strings`` gives those at the places that are new."""
-        if self.owner != models.key or len(self.place) > CACHED:
-            self.owner, self.place, self.rows = models.key, {}, np.zeros((0, len(models.models)))
-        new = [i for i, k in enumerate(keys) if k not in self.place]
-        if new:
-            found = models.of_words(strings(new))
-            self.place.update(zip((keys[i] for i in new), range(len(self.rows), len(self.rows) + len(new))))
-            self.rows = np.concatenate([self.rows, found])
-        return self.rows[[self.place[k] for k in keys]]
+    def of(self, models: LanguageModels, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """One row per word; ``data`` has 16 bytes more than the words reach."""
+        if self.owner != models.key:
+            self.owner = models.key
+            self.low, self.high = np.zeros(PLACES, np.uint64), np.zeros(PLACES, np.uint64)
+            self.rows = np.zeros((PLACES, len(models.models)))
+        size = ends - starts
+        low, high = short_keys(data, starts, np.minimum(size, SHORT))
+        slot = (mix(low ^ high * np.uint64(BASES[0])) >> np.uint64(65 - PLACES.bit_length())).astype(np.int64)
+        short = size <= SHORT
+        hit = short & (self.low[slot] == low) & (self.high[slot] == high)
+        out = self.rows[slot]
+        new = np.flatnonzero(~hit)
+        if len(new):
+            seen: dict[bytes, int] = {}
+            own = np.array([seen.setdefault(data[a:b].tobytes(), len(seen)) for a, b in zip(starts[new].tolist(), ends[new].tolist())])
+            found = models.of_words([w.decode() for w in seen])
+            out[new] = found[own]
+            kept = new[short[new]]
+            self.low[slot[kept]], self.high[slot[kept]], self.rows[slot[kept]] = low[kept], high[kept], out[kept]
+        return out
 
 
 _known = WordScores()
@@ -188,9 +206,9 @@ class LanguageModels:
             if not len(starts):
                 yield np.zeros((n, len(self.models))), np.zeros(n)
                 continue
-            kinds, first, which = np.unique(span_hashes(data, starts, ends, BASES[0]), return_index=True, return_inverse=True)
-            per = _known.of(self, kinds.tolist(), lambda new: [data[starts[first[i]] : ends[first[i]]].tobytes().decode() for i in new])
-            sums = np.stack([np.bincount(rows - lo, per[which, i], n) for i in range(len(self.models))], 1)
+            a = int(starts[0])
+            per = _known.of(self, np.append(data[a : int(ends[-1])], np.zeros(16, np.uint8)), starts - a, ends - a)
+            sums = np.stack([np.bincount(rows - lo, per[:, i], n) for i in range(len(self.models))], 1)
             size = ends - starts
             # characters, not bytes: bytes that continue a code point don't count
             goes_on = np.append(0, np.cumsum((data[starts[0] : ends[-1]] & 0xC0) == 0x80))
