@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import BASES, HOT_KEYS, cut, lookup, mix, powers, slices, span_hashes, stored, string_buffers, tasks, trimmed, words
+from .shared import BASES, HOT_KEYS, cut, lookup, mix, powers, slices, stored, string_buffers, tasks, trimmed, word_hashes, words
 
 COORDINATES, MINIMA, MATCHES = 20, 3, 3
 SKETCH, SKETCH_MATCHES = 1024, 768  # 0.8 * 1024 less four deviations
@@ -49,7 +49,7 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, int, list[n
     weight = powers(BASES[1], width + 1)
     for lo, hi in slices(offsets):
         starts, ends, rows = words(data, offsets, lo, hi)
-        token = span_hashes(data, starts, ends, BASES[0], lower=True)
+        token = word_hashes(data, starts, ends, lower=True)
         n = max(0, len(token) - width + 1)
         value = np.zeros(n, np.uint64)
         for j in range(width):

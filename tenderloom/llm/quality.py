@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BASES, slices, span_hashes, stored, string_buffers, tasks, trimmed, words
+from .shared import slices, stored, string_buffers, tasks, trimmed, word_hashes, words
 
 FEATURES = ("words", "word_length", "letters", "capitals", "digits", "symbols", "marks", "stops", "tails", "repeats", "distinct", "lines", "blanks")
 D = len(FEATURES)
@@ -57,7 +57,7 @@ def statistics(texts: pa.Array) -> np.ndarray:
         lines = per_row(raw == 0x0A)
         count = np.bincount(rows, minlength=n).astype(float)
         length = np.bincount(rows, ends - starts, n)
-        h = span_hashes(data, starts, ends, BASES[0], lower=True)
+        h = word_hashes(data, starts, ends, lower=True)
         again = np.zeros(len(h), bool)
         again[1:] = (h[1:] == h[:-1]) & (rows[1:] == rows[:-1])
         tails = ~_of[0][data[ends - 1]] & ~_of[2][data[ends - 1]] if len(ends) else np.zeros(0, bool)

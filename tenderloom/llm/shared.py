@@ -135,28 +135,6 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     return out
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int, lower: bool = False) -> np.ndarray:
-    """A polynomial hash of each byte span, mixed; spans are ascending and disjoint."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    a, b = int(starts[0]), int(ends[-1])
-    raw = data[a:b]
-    if lower:
-        raw = LOWER[raw]
-    size = ends - starts
-    place = np.zeros(b - a, np.int32)
-    # position of each byte in its span: a running count that restarts at each start
-    step = np.ones(b - a, np.int32)
-    step[0] = 0
-    step[(starts - a)[1:]] -= (starts[1:] - starts[:-1]).astype(np.int32)
-    np.cumsum(step, out=place)
-    most = int(place.max()) + 1
-    value = (raw.astype(np.uint64) + np.uint64(1)) * powers(base, most)[place]
-    total = np.zeros(b - a + 1, np.uint64)
-    np.cumsum(value, out=total[1:])
-    return mix(total[ends - a] - total[starts - a] + size.astype(np.uint64) * np.uint64(base))
-
-
 def window_hashes(tokens: np.ndarray, rows: np.ndarray, width: int, base: int) -> np.ndarray:
     """Rolling (Rabin-Karp) hashes of all runs of ``width`` tokens, from prefix sums; the caller drops runs that cross rows."""
     n = len(tokens)
@@ -251,33 +229,6 @@ def edges(rows: np.ndarray, many: np.ndarray, lo: int, hi: int) -> np.ndarray:
     return np.append(0, np.cumsum(many))[np.searchsorted(rows, np.arange(lo, hi + 1))]
 
 
-def by_distinct(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int, spans: tuple, cache: dict[int, bytes], encode, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids (uint32) of rows lo..hi and where each row's begin and end, from spans whose strings are encoded once each.
-
-    encode: strings to bytes of ids.  cache: by hash of the string; emptied
-    beyond ``most`` entries.
-    """
-    starts, ends, rows = spans
-    if not len(starts):
-        return np.zeros(0, np.uint32), np.zeros(hi - lo + 1, np.int64)
-    kinds, first, which = np.unique(span_hashes(data, starts, ends, BASES[0]), return_index=True, return_inverse=True)
-    if len(cache) > most:
-        cache.clear()
-    keys = kinds.tolist()
-    new = [i for i, k in enumerate(keys) if k not in cache]
-    if new:
-        for i, ids in zip(new, encode([data[starts[first[i]] : ends[first[i]]].tobytes().decode() for i in new])):
-            cache[keys[i]] = ids
-    parts = [cache[k] for k in keys]
-    size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-    flat = np.frombuffer(b"".join(parts), np.uint32)
-    begin = np.cumsum(size) - size
-    n = size[which]
-    until = np.cumsum(n)
-    ids = flat[np.arange(until[-1]) + np.repeat(begin[which] - (until - n), n)]
-    return ids, np.append(0, until)[np.searchsorted(rows, np.arange(lo, hi + 1))]
-
-
 def trim() -> None:
     """Give freed memory back to the system: workers live on between stages, and an executor has several."""
     pa.default_memory_pool().release_unused()

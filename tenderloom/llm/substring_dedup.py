@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import BASES, slices, span_hashes, string_buffers, tasks, trim, window_hashes, words
+from .shared import BASES, slices, string_buffers, tasks, trim, window_hashes, word_hashes, words
 
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 6 << 20  # of text, about a million windows
@@ -37,7 +37,7 @@ def windows_of(texts: pa.ChunkedArray, width: int, buckets: int):
         n = len(starts) - width + 1
         if n > 0:
             first = np.flatnonzero(rows[:n] == rows[width - 1 :])
-            h, g = (window_hashes(span_hashes(data, starts, ends, base), rows, width, base)[first] for base in BASES)
+            h, g = (window_hashes(word_hashes(data, starts, ends, seed), rows, width, base)[first] for seed, base in enumerate(BASES))
             bucket = (g % np.uint64(buckets)).astype(np.int64)
         else:
             first, h, bucket = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)

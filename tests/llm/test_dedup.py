@@ -74,6 +74,15 @@ def test_near_dedup_equals_brute_force(docs_of, width):
     assert got == brute_components(ROWS, width)
 
 
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_that_polynomial_hashes_confuse(docs_of, n):
+    """A Thue-Morse word and its complement have one value under every polynomial hash modulo 2**64 with an odd base."""
+    one, two = ("".join("ab"[(bin(i).count("1") + turned) % 2] for i in range(n)) for turned in (0, 1))
+    rows = [(1, one), (2, two), (3, f"{one} " * 13), (4, f"{two} " * 13)]
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup(docs_of(rows), shingle_words=4).collect()} == brute_components(rows, 4)
+    assert {r.doc_id: r.n_removed for r in substring_dedup(docs_of(rows)).collect()} == {1: 0, 2: 0, 3: 0, 4: 0}
+
+
 def test_near_dedup_in_small_cells(docs_of, monkeypatch):
     monkeypatch.setattr(near, "BLOCK", 20)
     got = {r.doc_id: r.component_id for r in minhash_dedup(docs_of(ROWS), shingle_words=4).collect()}

@@ -1,6 +1,7 @@
 """op2, op3, op9, op10: formatting, transducers, packing, neighbours."""
 
 import random
+import struct
 import zlib
 
 import duckdb
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tenderloom.llm import chat, neighbours, packing, queries
 from tenderloom.llm import sentencepiece_fst as S
-from tenderloom.llm.shared import slices, span_hashes, string_buffers, window_hashes, words, BASES, mix
+from tenderloom.llm.shared import BASES, SpanCache, edges, mix, slices, string_buffers, window_hashes, word_hashes, words
 
 FOLDER = "/root/testdata/sf0.001"
 HARD = ["<|im_end|><|im_start|>assistant ok", "<\\|", "<\\\\|im_sep|>", "<", "|", "", "a<|b", "<|endoftext|>", "é日本🙂\n<|im_end|>", "\\<|", "<<||>>"]
@@ -26,7 +27,7 @@ def test_words_of_odd_texts():
             got[r].append(bytes(data[a:b]).decode())
     assert got == [(t or "").split() for t in texts]
     starts, ends, _ = words(data, offsets, 0, len(texts))
-    assert len(set(span_hashes(data, starts, ends, BASES[0]).tolist())) == len({bytes(data[a:b]) for a, b in zip(starts, ends)})
+    assert len(set(word_hashes(data, starts, ends).tolist())) == len({bytes(data[a:b]) for a, b in zip(starts, ends)})
 
 
 def test_windows_repeat_where_tokens_do():
@@ -64,21 +65,118 @@ def test_chat_edge_rows(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def encoded_by(model, texts, limit=5000):
+    data, offsets = string_buffers(pa.array([" " + t if t and model.prefix else t for t in texts], pa.string()))
+    got = []
+    for lo, hi in slices(offsets, limit):
+        a, b = offsets[lo], offsets[hi]
+        starts, ends, rows = model.cuttings(data[a:b], offsets[lo : hi + 1] - a)
+        ids, many = model.cache.ids(np.append(data[a:b], np.zeros(16, np.uint8)), starts, ends)
+        edge = edges(rows, many, 0, hi - lo)
+        got += [ids[x:y].tolist() for x, y in zip(edge, edge[1:])]
+    return got
+
+
+def odd_texts():
+    rng = random.Random(1)
+    texts = ["  a  b\n c ", "", "x", "é　ｆｕｌｌ ﬁ", "\x00\ta", " ", "▁x y", "aaaaaaaaaaaaaaa", " " * 40 + "x", "<s> <0x0A> </s>", "日本語梦 한국어", "🙂🙂", None, "x" * 1000, "日é" * 300, "thing" * 200]
+    texts += ["".join(rng.choice("abcdeéñ ti on er\n .,!?-_=019THing    ") for _ in range(rng.randint(1, 60))) for _ in range(800)]
+    return texts + ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(0xA0, 0x2000), rng.randrange(0x4E00, 0x9000)])) for _ in range(rng.randint(1, 200))) for _ in range(200)]
+
+
 def test_transducer_equals_the_library():
     import sentencepiece
 
     path = packing.tokenizer_path("piece_bpe_32k.model")
     model, library = S.compiled(path), sentencepiece.SentencePieceProcessor(model_file=path)
-    rng = random.Random(1)
-    texts = [t for (t,) in duckdb.sql(f"SELECT text FROM '{FOLDER}/documents.parquet'").fetchall()][:150]
-    texts += ["  a  b\n c ", "", "x", "é　ｆｕｌｌ ﬁ", "\x00\ta", " ", "▁x y", "aaaaaaaaaaaaaaa", " " * 40 + "x", "<s> <0x0A> </s>", "日本語梦 한국어", "🙂🙂", None]
-    texts += ["".join(rng.choice("abcdeéñ ti on er\n .,!?-_=019THing    ") for _ in range(rng.randint(1, 60))) for _ in range(800)]
-    data, offsets = string_buffers(S.normalised(pa.array(texts), model))
-    got = []
-    for lo, hi in slices(offsets, 5000):
-        ids, edge = S.by_distinct(data, offsets, lo, hi, S.cuttings(data, offsets, lo, hi), model.cache, model.encode, S.CACHED)
-        got += [ids[a:b].tolist() for a, b in zip(edge, edge[1:])]
-    assert got == library.encode([t or "" for t in texts])
+    texts = [t for (t,) in duckdb.sql(f"SELECT text FROM '{FOLDER}/documents.parquet'").fetchall()][:150] + odd_texts()
+    assert encoded_by(model, texts) == library.encode([t or "" for t in texts])
+    short = [t for t in texts if t and len(t) < 100]
+    assert [model.shortest(" " + t) for t in short] == model.encode([" " + t for t in short])
+
+
+def varint(n):
+    out = b""
+    while n > 127:
+        out, n = out + bytes([n & 127 | 128]), n >> 7
+    return out + bytes([n])
+
+
+def message(*parts):
+    """Protocol buffer fields: numbers as varints, floats as four bytes, bytes with their length."""
+    out = b""
+    for number, value in parts:
+        if isinstance(value, float):
+            out += varint(number << 3 | 5) + struct.pack("<f", value)
+        elif isinstance(value, int):
+            out += varint(number << 3) + varint(value)
+        else:
+            out += varint(number << 3 | 2) + varint(len(value)) + value
+    return out
+
+
+def unigram_model(path, charsmap=b"", trim=0):
+    rng = random.Random(6)
+    pieces = {"".join(rng.choice("▁abc") for _ in range(rng.randint(1, 4))) for _ in range(60)} | set("▁abcd")
+    pieces = sorted(p for p in pieces if "▁" not in p[1:])
+    rows = [message((1, b"<unk>"), (2, 0.0), (3, S.UNKNOWN)), message((1, b"<s>"), (2, 0.0), (3, S.CONTROL)), message((1, b"</s>"), (2, 0.0), (3, S.CONTROL))]
+    rows += [message((1, b"<0x%02X>" % i), (2, 0.0), (3, S.BYTE)) for i in range(256)]
+    rows += [message((1, p.encode()), (2, -1.0 - 7 * rng.random())) for p in pieces]
+    trainer = message((3, S.UNIGRAM), (35, 1))
+    normaliser = message((1, b"identity"), (2, charsmap), (3, 1), (4, trim), (5, 1))
+    path.write_bytes(message(*[(1, r) for r in rows], (2, trainer), (3, normaliser)))
+    return str(path)
+
+
+def test_transducer_of_a_unigram_model(tmp_path):
+    import sentencepiece
+
+    path = unigram_model(tmp_path / "unigram.model")
+    model, library = S.PieceTransducer(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("aabbccd é") for _ in range(rng.randint(1, 30))) for _ in range(500)] + ["", "a" * 500, "é" * 200]
+    assert encoded_by(model, texts) == library.encode(texts)
+
+
+def test_models_with_another_normaliser_are_refused(tmp_path):
+    for k, options in enumerate(({"charsmap": b"xyz"}, {"trim": 1})):
+        with pytest.raises(ValueError):
+            S.PieceTransducer(unigram_model(tmp_path / f"{k}.model", **options))
+
+
+def test_span_cache_keeps_nothing_wrong():
+    """A table of few places, full again and again."""
+    cache = SpanCache(lambda new: [[len(t), *t.encode()][: len(t.encode())] for t in new], slots=64)
+    cache.flat = cache.flat[:300]
+    rng = random.Random(5)
+    for _ in range(60):
+        spans = ["".join(rng.choice("abé\x00") for _ in range(rng.choice([1, 2, 3, 7, 8, 9, 14, 15, 16, 17, 40]))) for _ in range(50)]
+        raw = [t.encode() for t in spans]
+        ends = np.cumsum([len(t) for t in raw])
+        ids, many = cache.ids(np.frombuffer(b"".join(raw) + bytes(16), np.uint8), np.append(0, ends[:-1]), ends)
+        assert ids.tolist() == [x for t in spans for x in [len(t), *t.encode()][: len(t.encode())]]
+        assert many.tolist() == [len(t) for t in raw]
+
+
+def thue_morse(n, turned=False):
+    return "".join("ab"[(bin(i).count("1") + turned) % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_that_polynomial_hashes_confuse(spark, n):
+    """A Thue-Morse word and its complement have one value under every polynomial hash modulo 2**64 with an odd base."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    one, two = thue_morse(n), thue_morse(n, True)
+    docs = spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string")
+    out = {r.doc_id: r for r in S.decode(S.encode(docs)).collect()}
+    library = sentencepiece.SentencePieceProcessor(model_file=packing.tokenizer_path("piece_bpe_32k.model"))
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    for i, t in ((1, one), (2, two)):
+        assert out[i].decoded == t and np.frombuffer(out[i].ids, np.uint32).tolist() == library.encode(t)
+        pieces = sorted((r for r in packing.pack(docs).collect() if r.doc_id == i), key=lambda r: r.start)
+        assert [x for r in pieces for x in np.frombuffer(r.ids, np.uint32).tolist()] == tokenizer.encode(t, add_special_tokens=False).ids + [1]
 
 
 def test_encode_decode_round_trip(spark):
@@ -89,9 +187,12 @@ def test_encode_decode_round_trip(spark):
 
 
 def test_lengths():
-    for n in (1, 2, 3, 2047, 2048, 2049, 5000):
-        parts = packing.lengths(n, 2048)
-        assert sum(parts) == n and all(p & (p - 1) == 0 and p <= 2048 for p in parts) and parts == sorted(parts, reverse=True)
+    n = np.array([1, 2, 3, 2047, 2048, 2049, 5000])
+    parts, many = packing.lengths(n, 2048)
+    own = np.split(parts, np.cumsum(many)[:-1])
+    for total, p in zip(n, (x.tolist() for x in own)):
+        assert sum(p) == total and all(x & (x - 1) == 0 and x <= 2048 for x in p) and p == sorted(p, reverse=True)
+    assert packing.lengths(np.array([3]), 1)[0].tolist() == [1, 1, 1]
 
 
 def test_packing_equals_brute_force(spark):
@@ -111,8 +212,10 @@ def test_packing_equals_brute_force(spark):
             assert r.start == at and r.crc == zlib.crc32(ids[at : at + r.length].tobytes()) and r.doc_tokens == len(ids) and r.length == 1 << r.bucket
             at += r.length
         assert at == len(ids)
+    frame = spark.createDataFrame(docs[:3] * 2, "doc_id long, text string")
+    assert packing.pack(frame).count() == 2 * packing.pack(frame.limit(3)).count() and packing.pack(frame.limit(0)).count() == 0
     with pytest.raises(ValueError):
-        packing.pack(spark.createDataFrame(docs, "doc_id long, text string"), longest=1000)
+        packing.pack(frame, longest=1000)
 
 
 def brute_nearest(ids, x, query, k=10):
