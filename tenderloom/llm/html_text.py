@@ -17,6 +17,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,17 +35,28 @@ BLOCKS = frozenset(
     "head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
-# Elements and names of classes, ids and roles that are not the article.
+# Elements that are not the article.
 OUTSIDE = frozenset("nav header footer aside form script style noscript template head title svg math iframe noembed noframes button select textarea input dialog menu canvas object audio video map xmp".split())
+# Names that classes, ids and roles give to what is not the article: whole ones, and words that may stand beside them.
+# A name with any other word in it, such as post-header or related-work, says nothing.
 NAMES = frozenset(
     "ad ads advert advertisement adverts advertising sponsor sponsored promo promotion banner menu menubar nav navbar navigation breadcrumb breadcrumbs "
-    "sidebar header footer masthead cookie cookies consent notice notices notification alert popup modal overlay newsletter subscribe signup comment comments "
-    "disqus reply replies respond discussion share sharing social related recommended widget complementary contentinfo search toolbar pagination pager".split()
+    "sidebar header footer masthead cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login comment comments "
+    "disqus reply replies respond discussion share sharing social related recommended recommendations widget complementary contentinfo search toolbar pagination pager skip".split()
+)
+BESIDE = frozenset(
+    "site page global top bottom left right main primary secondary upper lower box block section wrap wrapper container inner outer area list item items bar panel slot unit "
+    "links buttons icons user reader readers visitor facebook google policy message text title form thread count box row col column group module links".split()
 )
 
-_token = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+_open = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_stop = re.compile(r"[>\"']")
 _attribute = re.compile(r"(?:^|\s)(class|id|role|aria-label|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
+_name = re.compile(r"[a-z]+(?:[^a-z\s]+[a-z]+)*")
+_hump = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _part = re.compile(r"[a-z]+")
+_zeros = re.compile(r"&#([xX]?)00+(?=[0-9a-fA-F])")
+_number = re.compile(r"&#(?:[0-9]{8,}|[xX][0-9a-fA-F]{7,});?")
 _word = re.compile(r"\S+")
 _space = re.compile(r"\s+")
 
@@ -56,40 +68,98 @@ LEAST, MOST = -30.0, -0.02  # of learned tags
 
 
 def outside(tag: str, attributes: str) -> bool:
-    """Whether an element is none of the article, by its name or what it is called."""
+    """Whether an element is none of the article, by its tag or by a class, id or role that is a name of such elements as a whole."""
     if tag in OUTSIDE:
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
     for m in _attribute.finditer(attributes):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name in ("class", "id", "role") and not NAMES.isdisjoint(_part.findall(value)):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
+        if name in ("class", "id", "role"):
+            for one in _name.findall(_hump.sub("-", value).lower()):
+                parts = set(_part.findall(one))
+                if parts & NAMES and parts <= NAMES | BESIDE:
+                    return True
     return False
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, bool, str, bool]]:
+    """Start, end, name, whether it closes, attributes of each tag, and whether what lies between it and its fellow is no markup.
+
+    Comments and declarations have no name.
+
+    One pass: what was not found ahead of one place is not looked for again
+    from a later one.  A tag ends at the next ``>`` outside quotes.  Once a
+    quote has run to the end of the page, quotes count no more.  Where no
+    ``>`` follows, ``<`` is text.
+    """
+    at, quotes, unended = 0, True, set()
+    while True:
+        start = page.find("<", at)
+        if start < 0:
+            return
+        if page.startswith(("<!", "<?"), start):
+            mark = "-->" if page.startswith("<!--", start) else "]]>" if page.startswith("<![CDATA[", start) else ">"
+            end = page.find(mark, start + 2)
+            at = len(page) if end < 0 else end + len(mark)
+            yield start, at, "", False, "", False
+            continue
+        m = _open.match(page, start)
+        if not m or ">" in unended:
+            at = start + 1
+            continue
+        end, look = -1, m.end()
+        while quotes:
+            stop = _stop.search(page, look)
+            if not stop:
+                quotes = False
+            elif stop[0] == ">":
+                end = stop.start()
+                break
+            else:
+                close = page.find(stop[0], stop.end())
+                if close < 0:
+                    quotes = False
+                look = close + 1
+        if end < 0:
+            end = page.find(">", m.end())
+        if end < 0:
+            unended.add(">")
+            at = start + 1
+            continue
+        name, attributes = m[2].lower(), page[m.end() : end]
+        at = end + 1
+        close, end = None, -1
+        if not m[1] and name in RAW and name not in unended and not attributes.rstrip().endswith("/"):
+            close = _raw_end(name).search(page, at)
+            end = page.find(">", close.end()) if close else -1
+            if end < 0:
+                unended.add(name)
+        yield start, at, name, bool(m[1]), attributes, end >= 0
+        if end >= 0:
+            at = end + 1
+            yield close.start(), at, name, True, "", True
+
+
+@cache
+def _raw_end(name: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(name)}(?![^\s/>])", re.IGNORECASE)
+
+
 def pieces(page: str) -> list[tuple[str, str, str, bool]]:
     """(kind, name, text, in an outside element) of each tag and text run; kind: "open", "close", "text"."""
     out, at, skip, depth = [], 0, None, 0
-    for m in _token.finditer(page):
-        if m.start() < at:
+    for start, end, name, closing, attributes, raw in tags(page):
+        if start > at and not (raw and closing):
+            out.append(("text", "", page[at:start], skip is not None))
+        at = end
+        if not name:
             continue
-        if m.start() > at:
-            out.append(("text", "", page[at : m.start()], skip is not None))
-        at = m.end()
-        if m[2] is None:
+        if raw:
+            out.append(("close" if closing else "open", name, "", True))
             continue
-        name, closing = m[2].lower(), bool(m[1])
-        if not closing and name in RAW and not m[3].rstrip().endswith("/"):
-            # its content is no markup of the page
-            end = re.compile(rf"</{re.escape(name)}\s*[^>]*>", re.IGNORECASE).search(page, at)
-            if end:
-                out.append(("open", name, "", True))
-                at = end.end()
-                out.append(("close", name, "", True))
-                continue
         if skip is not None:
             if name in ("article", "main") and not closing and skip not in ("article", "main"):
                 skip = None  # an element that was never closed does not hold the article
@@ -99,7 +169,7 @@ def pieces(page: str) -> list[tuple[str, str, str, bool]]:
                     out.append(("close", name, "", True))
                     skip = None
                     continue
-        elif not closing and name not in VOID and outside(name, m[3]) and not m[3].rstrip().endswith("/"):
+        elif not closing and name not in VOID and outside(name, attributes) and not attributes.rstrip().endswith("/"):
             skip, depth = name, 1
         out.append(("close" if closing else "open", name, "", skip is not None))
     if at < len(page):
@@ -108,8 +178,12 @@ def pieces(page: str) -> list[tuple[str, str, str, bool]]:
 
 
 def region(parts: list[tuple[str, str, str, bool]], weights: dict[str, float]) -> tuple[int, int]:
-    """[start, end) of the parts with the highest sum; (0, 0) if no sum is positive.  Of ties the first."""
-    word = weights.get("word", WORD)
+    """[start, end) of the parts with the highest sum; (0, 0) if no sum is positive.  Of ties the first.
+
+    Where the page itself marks its article, tags inside cost what those cost
+    that articles are written with: labelled pages can't count against them.
+    """
+    word, marks = weights.get("word", WORD), 0
     best, best_at, total, start = 0.0, (0, 0), 0.0, 0
     for i, (kind, name, text, out) in enumerate(parts):
         if out:
@@ -118,6 +192,10 @@ def region(parts: list[tuple[str, str, str, bool]], weights: dict[str, float]) -
             value = len(_word.findall(text)) * word
         else:
             value = weights.get(name, UNSEEN_WRITTEN if name in WRITTEN else UNSEEN)
+            if name in ("article", "main"):
+                marks = marks + 1 if kind == "open" else max(0, marks - 1)
+            elif marks:
+                value = max(value, UNSEEN_WRITTEN)
         if total <= 0:
             total, start = 0.0, i
         total += value
@@ -133,7 +211,9 @@ def main_text(page: str, weights: dict[str, float]) -> str:
     blocks, own = [], []
 
     def close():
-        text = _space.sub(" ", html_lib.unescape("".join(own))).strip()
+        # numbers beyond all code points, however long
+        plain = _number.sub("\ufffd", _zeros.sub(r"&#\1", "".join(own)))
+        text = _space.sub(" ", html_lib.unescape(plain)).strip()
         own.clear()
         if text:
             blocks.append(text)
@@ -154,14 +234,20 @@ def learn_weights(pages: DataFrame, html_col: str = "html", id_col: str = "page_
     """Log-odds of words and tags inside the article; tags are held below zero, words above.
 
     Labelled pages are those with an ``article`` or ``main`` element; of them
-    the ``sample_pages`` with the smallest hash of the id are counted.  Only
+    the ``sample_pages`` with the smallest hash of the id are counted, and all
+    others of the same id.  Only
     names that HTML knows are kept, so the table is bounded.  Empty without
     labelled pages: then the defaults hold.
     """
     tasks(pages.sparkSession)
     known = VOID | RAW | BLOCKS | INLINE | OUTSIDE
-    labelled = pages.filter(F.col(html_col).rlike("(?i)<(article|main)[\\s>]"))
-    sample = labelled.select(F.xxhash64(id_col).alias("h"), F.col(html_col).cast("string").alias("html")).orderBy("h").limit(sample_pages).select("html")
+    hashed = pages.select(F.xxhash64(id_col).alias("h"), F.col(html_col).cast("string").alias("html"))
+    article = F.col("html").rlike("(?i)<(article|main)[\\s>]")
+    # the largest of the smallest hashes; only hashes move
+    last = hashed.filter(article).select("h").orderBy("h").limit(sample_pages).agg(F.max("h")).first()[0]
+    if last is None:
+        return {}
+    sample = hashed.filter((F.col("h") <= last) & article).select("html")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
@@ -190,7 +276,10 @@ def extract(pages: DataFrame, weights: dict[str, float], html_col: str = "html")
     """``pages`` with ``text`` and ``n_chars`` (its code points) instead of ``html_col``.
 
     Null or empty pages, and pages without a region of positive sum, have the
-    empty text.  Columns named text or n_chars are replaced.  No shuffle.
+    empty text.  Repeated rows are read each.  A page costs time in proportion
+    to its length, however malformed.  Columns named text or n_chars are
+    replaced.  No shuffle (``learn_weights`` reads the pages before, and moves
+    hashes and counts).
     """
     tasks(pages.sparkSession)
 

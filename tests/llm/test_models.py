@@ -1,8 +1,13 @@
 """op5, op6, op7: extraction, quality, language."""
 
+import html
+import re
+import time
+
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from tenderloom.llm import html_text as H
 from tenderloom.llm import language_id as L
@@ -26,6 +31,28 @@ def test_page():
     assert H.main_text("<p>cut off <b>here <a href='x", {"word": 2.0}).startswith("cut off")
 
 
+@pytest.mark.parametrize("unit", ["<a ", '<a b="', "<svg>", "<a <", "<script></script", "<!", "<a '>\"", "&#1", "</", "<p class='x ", "<a b=\"'>"])
+def test_malformed_pages_take_linear_time(unit):
+    page = unit * (1_000_000 // len(unit))
+    began = time.process_time()
+    H.main_text(page, {})
+    H.main_text("<a \"><p>" + page, {})
+    assert time.process_time() - began < 8  # about 1 s; quadratic ways take hours
+
+
+def test_odd_markup():
+    for page in ("&#" + "9" * 5000 + ";", "&#x" + "f" * 5000, "&#" + "0" * 5000 + "9" * 8):
+        assert H.main_text(page, {}) == "\ufffd"
+    assert H.main_text("<p>&#000000000065;&#x00000041 b</p>", {"p": -0.1}) == "AA b"
+    assert H.main_text('<p title="a > b">one <b title=\'<p>\'>two</b> three</p>', {"p": -0.1, "b": -0.1}) == "one two three"
+    assert H.main_text("<p>1 < 2 and 3 <4</p>", {"p": -0.1}) == "1 < 2 and 3 <4"
+    assert H.main_text("<p>one <!-- > no --> two <![CDATA[ > no ]]>three</p>", {"p": -0.1}) == "one two three"
+    kept = '<main><div class="post-header"><h1>Title</h1></div><div class="related-work"><p>Others did much of this before us.</p></div><p>Last words of it.</p></main>'
+    assert H.main_text(kept, {}) == "Title\nOthers did much of this before us.\nLast words of it."
+    for name in ("comments", "reader-comments", "commentList", "cookie-notice", "ad", "ad-slot", "site-header", "share-buttons", "x y sidebar_left"):
+        assert H.main_text(f'<article><p>Some words.</p><div class="{name}"><p>not these words</p></div></article>', {}) == "Some words.", name
+
+
 def test_region_is_the_best_contiguous_one():
     rng = np.random.default_rng(3)
     for _ in range(200):
@@ -45,10 +72,16 @@ def test_extract_edge_rows(spark):
 
 
 def test_pages_hold_documents(spark):
-    """Pages were made from documents: below the heading each has one document's text."""
+    """Pages were made from documents: the article is a heading and one document's text, read here with plain patterns."""
     docs = {" ".join(t.split()) for (t,) in duckdb.sql(f"SELECT text FROM '{FOLDER}/documents.parquet'").fetchall()}
+    pages = dict(duckdb.sql(f"SELECT page_id, html FROM '{FOLDER}/pages.parquet'").fetchall())
     rows = queries.op5_html_text(spark, FOLDER).collect()
+    assert len(rows) == len(pages)
     assert np.mean([" ".join(" ".join(r.text.split("\n")[1:]).split()) in docs for r in rows]) > 0.99
+    for r in rows:
+        article = re.search(r"<article>(.*)</article>", pages[r.page_id], re.DOTALL)[1]
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " " if "<br>" in b else "", re.sub(r"<br>", " ", b))).split()) for b in re.split(r"</?(?:p|h1)>", article)]
+        assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
 
 
 def test_statistics_are_finite():
