@@ -11,42 +11,99 @@ from pyspark.sql import functions as F
 from . import rules as R
 
 FLAGS = "(?iU)"  # accents and word borders as in Unicode
+LITERAL = 3  # characters from which on a literal is worth a look of its own
 
 
 def matches(c: Column, pattern: str) -> Column:
     return c.rlike(FLAGS + pattern)
 
 
-def any_match(c: Column, patterns: list[str]) -> Column:
-    """One alternation: the text is scanned once."""
-    return matches(c, "|".join(f"(?:{p})" for p in patterns))
-
-
-def vetoed(c: Column, negatives: list[str] = R.NEGATIVES, categories: dict = R.CATEGORIES, rescue: list[str] = R.RESCUE) -> Column:
-    """A negative pattern matches and no rescue category's first pattern does; also texts of less than five characters."""
-    return (F.char_length(F.trim(c)) < 5) | (any_match(c, negatives) & ~any_match(c, [categories[r][0][0] for r in rescue]))
-
-
-def labels(c: Column, categories: dict[str, list[tuple[str, float]]] = R.CATEGORIES) -> Column:
-    """array<struct<category, confidence>>, best first, ties in the order of the rule set; empty for NULL or vetoed texts.
+def folded(c: Column) -> Column:
+    """Lower case, once for all patterns; the long s is an s."""
+    return F.replace(F.lower(c), F.lit("ſ"), F.lit("s"))
+
+
+def literals(pattern: str) -> list[str]:
+    """Runs of characters that every match of the pattern contains; none if it has alternatives at its top."""
+    runs, own, i = [], "", 0
+    while i < len(pattern):
+        ch, optional = pattern[i], False
+        if ch == "|":
+            return []
+        if ch in "([":
+            depth, i = 1, i + 1
+            while depth:
+                if pattern[i] == "\\":
+                    i += 1
+                elif ch == "[":
+                    depth -= pattern[i] == "]"
+                else:
+                    depth += (pattern[i] == "(") - (pattern[i] == ")")
+                i += 1
+            runs.append(own)
+            own = ""
+            continue
+        if ch == "\\":
+            i += 1
+            if pattern[i].isalnum():
+                runs.append(own)
+                own = ""
+            else:
+                own += pattern[i]
+        elif ch in "?*{":
+            runs.append(own[:-1] if own else "")
+            own = ""
+            if ch == "{":
+                i = pattern.index("}", i)
+        elif ch in "+.^$":
+            runs.append(own)
+            own = ""
+        else:
+            own += ch
+        i += 1
+    return [r for r in [*runs, own] if r]
+
+
+def hit(t: Column, pattern: str) -> Column:
+    """Whether the pattern matches a folded text: first a look for what every match contains, then the pattern."""
+    need = literals(pattern)
+    if need == [pattern]:
+        return t.contains(pattern)
+    look = [t.contains(n) for n in sorted(need, key=len, reverse=True)[:2] if len(n) >= LITERAL]
+    return reduce(lambda a, b: a & b, [*look, t.rlike("(?U)" + pattern)])
+
+
+def any_match(t: Column, patterns: list[str]) -> Column:
+    return reduce(or_, [hit(t, p) for p in patterns])
+
+
+def vetoed(t: Column, negatives: list[str] = R.NEGATIVES, categories: dict = R.CATEGORIES, rescue: list[str] = R.RESCUE) -> Column:
+    """Of a folded text: a negative pattern matches and no rescue category's first pattern does; also texts of less than five characters."""
+    return (F.char_length(F.trim(t)) < 5) | (any_match(t, negatives) & ~any_match(t, [categories[r][0][0] for r in rescue]))
+
+
+def labels(t: Column, categories: dict[str, list[tuple[str, float]]] = R.CATEGORIES) -> Column:
+    """array<struct<category, confidence>> of a folded text, best first, ties in the order of the rule set; empty for NULL or vetoed texts.
 
     Confidence: the highest weight of a category's matching patterns plus 0.05
     for each further match, 0.15 at most; 1 at most; three digits.
     """
-    found = []
-    for place, (name, patterns) in enumerate(categories.items()):
-        weights = F.array_compact(F.array(*[F.when(matches(c, p), F.lit(float(w))) for p, w in patterns]))
-        extra = F.least(F.lit(0.15), (F.size(weights) - 1) * 0.05)
-        confidence = F.round(F.least(F.lit(1.0), F.array_max(weights) + extra), 3)
-        # the category's patterns are tried one by one only if one of them matches at all
-        found.append(F.when(any_match(c, [p for p, _ in patterns]), F.struct((-confidence).alias("order"), F.lit(place).alias("place"), F.lit(name).alias("category"), confidence.alias("confidence"))))
-    ranked = F.transform(F.array_sort(F.array_compact(F.array(*found))), lambda x: F.struct(x["category"].alias("category"), x["confidence"].alias("confidence")))
-    return F.when(c.isNotNull() & ~vetoed(c, categories=categories), ranked).otherwise(F.array().cast("array<struct<category:string,confidence:double>>"))
-
-
-def could_match(c: Column, categories: dict[str, list[tuple[str, float]]] = R.CATEGORIES) -> Column:
-    """A cheap condition that every labelled text fulfils: one scan for all patterns."""
-    return any_match(c, [p for ps in categories.values() for p, _ in ps])
+    # one array of all matches; what follows works on its few elements
+    hits = F.array_compact(F.array(*[F.when(hit(t, p), F.struct(F.lit(place).alias("place"), F.lit(float(w)).alias("w"))) for place, patterns in enumerate(categories.values()) for p, w in patterns]))
+    names = F.array(*map(F.lit, categories))
+
+    def ranked(h: Column) -> Column:
+        def label(place: Column) -> Column:
+            weights = F.transform(F.filter(h, lambda x: x["place"] == place), lambda x: x["w"])
+            extra = F.least(F.lit(0.15), (F.size(weights) - 1) * 0.05)
+            confidence = F.round(F.least(F.lit(1.0), F.array_max(weights) + extra), 3)
+            return F.struct((-confidence).alias("order"), place.alias("place"), confidence.alias("confidence"))
+
+        found = F.array_sort(F.transform(F.array_distinct(F.transform(h, lambda x: x["place"])), label))
+        return F.transform(found, lambda x: F.struct(F.get(names, x["place"]).alias("category"), x["confidence"].alias("confidence")))
+
+    out = F.get(F.transform(F.array(hits), ranked), F.lit(0))
+    return F.when(t.isNotNull() & ~vetoed(t, categories=categories), out).otherwise(F.array().cast("array<struct<category:string,confidence:double>>"))
 
 
 def label_names(found: Column) -> Column:

@@ -108,6 +108,12 @@ NOTICES_SQL = f"""SELECT {K} AS id,
 NOTICES_SQL = NOTICES_SQL.replace("STRING", "VARCHAR")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows in as many tasks as there are cores, where a scan has fewer: for costly expressions over small or unsplit files."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(NOTICES_SQL.replace("VARCHAR", "STRING").replace("FROM orders", "FROM {orders}"), orders=table(spark, sf_dir, "orders"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import classify as K
 from ..functions import extract as X
 from ..functions import rules as R
-from ..plans.bindings import notices, table
+from ..plans.bindings import notices, spread, table
 from .registry import query
 from .scalars import _date_sql  # noqa: F401  the date SQL is shared
 
@@ -21,8 +21,8 @@ _LABELS = f"""q AS (SELECT id, text, {K.sql_vetoed('text')} AS bad, {_conf} FROM
 
 
 def labelled(spark, d):
-    """Notices that could match, with their label array; evaluated once behind the cheap condition."""
-    return notices(spark, d).select("id", F.when(K.could_match(C("text")), K.labels(C("text"))).alias("found"))
+    """Notices with their label array."""
+    return spread(notices(spark, d)).select("id", "text", K.folded(C("text")).alias("t")).select("id", "text", K.labels(C("t")).alias("found"))
 
 
 @query(f"n: WITH {_LABELS} SELECT id, array_to_string(list_transform(ls, lambda x: x.n || '=' || CAST(x.c AS VARCHAR)), ';') AS labels FROM l")
@@ -47,7 +47,7 @@ def cls04_keep(spark, d):
 
 @query(f"n: SELECT id, {K.sql_vetoed('text')} AS vetoed FROM n")
 def cls05_veto_with_rescue(spark, d):
-    return notices(spark, d).select("id", K.vetoed(C("text")).alias("vetoed"))
+    return spread(notices(spark, d)).select("id", K.folded(C("text")).alias("t")).select("id", K.vetoed(C("t")).alias("vetoed"))
 
 
 _fw = "CASE WHEN " + K.sql_match("subject", R.FRAMEWORK_HINT) + " AND NOT " + K.sql_match("subject", R.FRAMEWORK_VETO) + " THEN " + K.sql_first([(K.sql_match("subject", p), f"{K.quoted(a)} || '/' || {K.quoted(e)} || '/' || '{c}'") for p, a, e, c in R.FRAMEWORKS], "NULL") + " END"
@@ -95,8 +95,7 @@ def cls14_minor_price(spark, d):
     SELECT id, score, nullif(regexp_extract(text, '(?i)CIG[:\\s]+([A-Z0-9]{{10}})', 1), '') AS code FROM s WHERE score > 0.7""")
 def cls15_relevance_gate(spark, d):
     """The cheap score first; the expensive extraction only for what passes."""
-    df = notices(spark, d).select("id", "text", F.when(K.could_match(C("text")), K.labels(C("text"))).alias("found"))
-    df = df.select("id", "text", F.coalesce(F.try_element_at("found", F.lit(1))["confidence"], F.lit(0.0)).alias("score")).filter("score > 0.7")
+    df = labelled(spark, d).select("id", "text", F.coalesce(F.try_element_at("found", F.lit(1))["confidence"], F.lit(0.0)).alias("score")).filter("score > 0.7")
     return df.select("id", "score", X.lot_code_in(C("text")).alias("code"))
 
 
@@ -139,7 +138,7 @@ def ext04_entity(spark, d):
     TRY_CAST(replace(replace(regexp_extract(text, '(?i)euro\s*([\d.,]+)', 1), '.', ''), ',', '.') AS DOUBLE) AS amount, strftime(try_strptime({_it}, '%d/%m/%Y'), '%Y-%m-%d') AS date,
     trim(regexp_replace(regexp_extract(text, '(?i)comune\s+di\s+([^,\n]+)', 1), '\s+', ' ', 'g')) AS entity FROM n""")
 def ext05_batch_row(spark, d):
-    return X.notice_fields(notices(spark, d).select("id", "text"), "text").drop("text")
+    return X.notice_fields(spread(notices(spark, d)).select("id", "text"), "text").drop("text")
 
 
 _numbers = r"list_filter(list_transform(regexp_extract_all(text, '\d{1,3}(?:\.\d{3})*(?:,\d+)?|\d+(?:,\d+)?'), lambda x: TRY_CAST(replace(replace(x, '.', ''), ',', '.') AS DOUBLE)), lambda x: x IS NOT NULL)"

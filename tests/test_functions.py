@@ -1,6 +1,8 @@
 """Golden vectors for scalar functions, classification and extraction."""
 
 import datetime
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from tenderloom.functions import classify as K
 from tenderloom.functions import extract as X
 from tenderloom.functions import rules as R
 from tenderloom.functions import scalars as S
+from tenderloom.plans.bindings import SUBJECTS
 
 
 def one(spark, value, f):
@@ -94,10 +97,31 @@ LABELS = [
 
 @pytest.mark.parametrize("text,want", LABELS)
 def test_labels(spark, text, want):
-    got = one(spark, text, K.labels)
+    got = one(spark, text, lambda c: K.labels(K.folded(c)))
     assert [(x["category"], x["confidence"]) for x in got] == want
-    if want:
-        assert one(spark, text, K.could_match)
+
+
+def test_labels_equal_plain_patterns(spark):
+    """Looking for literals first changes nothing: each pattern's answer, and the labels, by Python's patterns."""
+    every = [(name, p, w) for name, ps in R.CATEGORIES.items() for p, w in ps]
+    pieces = [re.sub(r"\\[sb]\+?\*?", " ", re.sub(r"\(\?:([^|)]*)[^)]*\)\??", r"\1", re.sub(r"\[(.)[^\]]*\]", r"\1", p.replace(".*", " e ").replace("?", "")))) for _, p, _ in every]
+    rng = random.Random(1)
+    texts = SUBJECTS + pieces + [" ".join(rng.choice(pieces + SUBJECTS) for _ in range(3)).upper() for _ in range(200)]
+    assert all(lit in re.sub(r"\\", "", p) for _, p, _ in every for lit in K.literals(p))
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string").select("i", K.labels(K.folded(F.col("v"))).alias("r")).collect()
+    found = 0
+    for i, labels in got:
+        t = texts[i]
+        m = lambda p: re.search(p, t, re.I)
+        want = []
+        if len(t.strip(" ")) >= 5 and not (any(map(m, R.NEGATIVES)) and not any(m(R.CATEGORIES[r][0][0]) for r in R.RESCUE)):
+            for place, (name, ps) in enumerate(R.CATEGORIES.items()):
+                w = [w for p, w in ps if m(p)]
+                if w:
+                    want.append((-round(min(1.0, max(w) + min(0.15, 0.05 * (len(w) - 1))), 3), place, name))
+        assert [(x["category"], x["confidence"]) for x in labels] == [(n, -c) for c, _, n in sorted(want)]
+        found += len(want)
+    assert found > 300
 
 
 def test_framework_veto_and_order(spark):
