@@ -4,7 +4,7 @@ Similarity is a weighted ratio over longest common subsequences: the full
 ratio, the best-window ratio and the ratios of sorted and of shared words,
 each scaled by how far the lengths differ.  Candidates share a word or a
 leading part with the name (blocking), which can miss pairs that a full scan
-finds; ``blocked=False`` compares all, for small tables.  Every word blocks:
+finds; the Levenshtein form has a blocking that misses none.  Every word blocks:
 the names of a common one are dealt over a grid of cells.
 """
 
@@ -14,7 +14,7 @@ from collections import Counter
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -159,11 +159,40 @@ def block_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     return pairs.filter(C("key") == F.array_min(F.array_intersect("keys", "c_keys"))).drop("key", "_i", "_j", "keys", "c_keys")
 
 
-def canonical(df: DataFrame, name: str, threshold: float = 90, min_occurrences: int = 2, blocked: bool = True, score=None) -> DataFrame:
+def gram_keys(names: DataFrame, norm: str, threshold: float) -> DataFrame:
+    """``names`` with ``keys``: any two whose Levenshtein ratio reaches the threshold share one (threshold above 50).
+
+    With L the longer length, at most (1 - threshold) * L edits lie between
+    them, each of which touches two of the L - 1 places of letter pairs, so
+    that some places with the same pairs survive.  The rarest of those pairs
+    comes first on both sides: a name needs only its rarest pairs, until fewer
+    places are left than must survive.  Where none must (short names), single
+    letters are keys too, and all pairs are.
+    """
+    if threshold <= 50:
+        raise ValueError("below half of the letters in common, no letter pair need survive")
+    edits = 1 - threshold / 100
+    length = F.char_length(norm)
+    survive = F.ceil(length * (1 - 2 * edits) - 1 - 1e-9)
+    places = F.when(length > 1, F.transform(F.sequence(F.lit(1), length - 1), lambda i: F.substring(C(norm), i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+    one = names.select("name", norm, F.explode(places).alias("gram"), survive.alias("survive")).groupBy("name", norm, "gram", "survive").agg(F.count("*").alias("k"))
+    frequency = one.groupBy("gram").agg(F.count("*").alias("f"))
+    w = Window.partitionBy("name").orderBy(F.desc("f"), F.desc("gram"))  # a name's letter pairs
+    one = one.join(frequency, "gram").withColumn("left", F.sum("k").over(w))
+    pairs = one.filter(C("left") >= C("survive")).groupBy("name").agg(F.collect_set("gram").alias("pairs"))
+    letters = F.when(survive <= 0, F.transform(F.split(C(norm), ""), lambda x: F.concat(F.lit("."), x))).otherwise(F.array().cast("array<string>"))
+    keys = F.array_distinct(F.concat(F.coalesce("pairs", F.array().cast("array<string>")), letters))
+    return names.join(pairs, "name", "left").withColumn("keys", keys).drop("pairs")
+
+
+def canonical(df: DataFrame, name: str, threshold: float = 90, min_occurrences: int = 2, blocked: bool | str = True, score=None) -> DataFrame:
     """name -> canonical, one row per distinct name.
 
     Names that occur ``min_occurrences`` times are their own canonical form
     and the candidates for the rest.  Best score wins, then count, then name.
+    blocked: True for words and leading parts, "grams" for ``gram_keys``
+    (loses nothing under ``levenshtein_ratio``), False for all pairs of small
+    tables.
     """
     ship(df.sparkSession)
     score = score or similarity(threshold)
@@ -172,7 +201,12 @@ def canonical(df: DataFrame, name: str, threshold: float = 90, min_occurrences:
     frequent = counts.filter(C("n") >= min_occurrences)
     rare = counts.filter(C("n") < min_occurrences)
     f = frequent.select(C("name").alias("candidate"), C("n").alias("c_n"), C("norm").alias("c_norm"))
-    if blocked:
+    if blocked == "grams":
+        keyed = gram_keys(counts, "norm", threshold)
+        near = F.abs(F.char_length("norm") - F.char_length("c_norm")) <= (1 - threshold / 100 + 1e-9) * F.greatest(F.char_length("norm"), F.char_length("c_norm"))
+        f = keyed.filter(C("n") >= min_occurrences).select(C("name").alias("candidate"), C("n").alias("c_n"), C("norm").alias("c_norm"), C("keys").alias("c_keys"))
+        pairs = block_pairs(keyed.filter(C("n") < min_occurrences).select("name", "norm", "keys"), f).filter(near)
+    elif blocked:
         keys = lambda c: F.array_distinct(F.concat(F.filter(F.split(c, " "), lambda w: F.length(w) > 2), F.array(F.concat(F.lit("^"), F.substring(c, 1, 4)))))
         pairs = block_pairs(rare.select("name", "norm", keys(C("norm")).alias("keys")), f.withColumn("c_keys", keys(C("c_norm"))))
     else:

@@ -21,19 +21,57 @@ def summary(df: DataFrame, keys: list[str], amount: str, digits: int = 2) -> Dat
     return keyed(df, *keys).groupBy(*keys).agg(F.count("*").alias("n"), F.round(F.coalesce(F.sum(amount), F.lit(0.0)), digits).alias("total"), F.round(F.avg(amount), 8).alias("mean"))
 
 
+def quantiles(df: DataFrame, value: str | Column, qs: list[float], accuracy: int = 100_000) -> DataFrame:
+    """One row: ``q``, the exact interpolated quantiles of a column; NULLs without values.
+
+    Two passes, and no task holds all values: a sketch (a mergeable summary of
+    some ``accuracy`` entries) gives an interval around each quantile; then
+    rows are counted, those inside intervals by value, all others by gap.
+    Tables below 10 * accuracy rows are one interval.
+    """
+    margin = 3.0 / accuracy
+    v = df.select((C(value) if isinstance(value, str) else value).cast("double").alias("v")).filter("v is not null")
+    ends = [x for q in qs for x in (max(0.0, q - margin), min(1.0, q + margin))]
+    b = v.agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.percentile_approx("v", ends, accuracy).alias("b"))
+    few = C("n") < 10 * accuracy
+    b = b.select("n", *[F.when(few | F.lit(q <= margin), C("lo")).otherwise(C("b")[2 * i]).alias(f"lo{i}") for i, q in enumerate(qs)], *[F.when(few | F.lit(q >= 1 - margin), C("hi")).otherwise(C("b")[2 * i + 1]).alias(f"hi{i}") for i, q in enumerate(qs)])
+    inside, passed = F.lit(False), F.lit(0)
+    for i in range(len(qs)):
+        inside = inside | C("v").between(C(f"lo{i}"), C(f"hi{i}"))
+        passed = passed + (C("v") >= C(f"lo{i}")).cast("int") + (C("v") > C(f"hi{i}")).cast("int")
+    g = v.crossJoin(F.broadcast(b)).groupBy(passed.alias("gap"), F.when(inside, C("v")).alias("own")).agg(F.count("*").alias("k"), F.min("v").alias("m"), F.max("n").alias("n"))
+    g = g.withColumn("until", F.sum("k").over(Window.orderBy("m")))  # values inside the intervals, and some gaps
+
+    def at(q: float) -> Column:
+        r = (F.max("n") - 1) * q
+        return F.floor(r), F.ceil(r), r - F.floor(r)
+
+    ranks = g.agg(*[x.alias(f"{name}{i}") for i, q in enumerate(qs) for name, x in zip("abr", at(q))])
+    g = g.crossJoin(F.broadcast(ranks))
+    low, high = (lambda i: F.min(F.when(C("until") > C(f"a{i}"), C("m")))), (lambda i: F.min(F.when(C("until") > C(f"b{i}"), C("m"))))
+    return g.agg(F.array(*[low(i) + F.max(f"r{i}") * (high(i) - low(i)) for i in range(len(qs))]).alias("q"))
+
+
+def beside(row: DataFrame, *others: DataFrame) -> DataFrame:
+    """Frames of one row each, as one row."""
+    for other in others:
+        row = row.crossJoin(F.broadcast(other))
+    return row
+
+
 def headline(df: DataFrame, amount: str, discount: str, offers: str, buyer: str, supplier: str, key: str) -> DataFrame:
-    """All headline figures in one pass."""
-    return df.agg(
+    """All headline figures: plain sums, distinct counts and the median come from aggregates of their own, since distinct counts multiply rows."""
+    plain = df.agg(
         F.count("*").alias("n"),
         F.round(F.coalesce(F.sum(amount), F.lit(0.0)), 2).alias("total"),
         F.round(F.avg(discount), 4).alias("mean_discount"),
         F.round(F.avg(offers), 4).alias("mean_offers"),
-        F.countDistinct(buyer).alias("buyers"),
-        F.countDistinct(supplier).alias("suppliers"),
-        F.countDistinct(key).alias("keys"),
-        F.round(F.percentile(amount, F.lit(0.5)), 2).alias("median"),
         F.round(F.max(amount), 2).alias("largest"),
     )
+    kinds = [keyed(df, c).select(c).distinct().agg(F.count("*").alias(name)) for c, name in ((buyer, "buyers"), (supplier, "suppliers"), (key, "keys"))]
+    median = quantiles(df, amount, [0.5]).select(F.round(C("q")[0], 2).alias("median"))
+    out = beside(plain, *kinds, median)
+    return out.select("n", "total", "mean_discount", "mean_offers", "buyers", "suppliers", "keys", "median", "largest")
 
 
 def min_max_scaled(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
@@ -47,9 +85,12 @@ def shares(df: DataFrame, within: list[str], of: str, amount: str) -> DataFrame:
     """One row per (within, of): value, its share of the group in percent, its rank.
 
     The window runs over sums, so a group holds as many rows as it has members.
+    Over a whole table that would be one task: see ``concentration_curve``.
     """
+    if not within:
+        raise ValueError("name the columns to divide by")
     g = keyed(df, *within, of).groupBy(*within, of).agg(F.coalesce(F.sum(amount), F.lit(0.0)).alias("value"), F.count("*").alias("n"))
-    w = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
+    w = Window.partitionBy(*within)
     rank = F.row_number().over(w.orderBy(F.desc("value"), of))
     return g.withColumns({"share": F.try_divide(C("value") * 100, F.sum("value").over(w)), "rank": rank})
 
@@ -77,10 +118,11 @@ def modes(df: DataFrame, key: str, value: str) -> DataFrame:
 
 def described(df: DataFrame, cols: list[str]) -> DataFrame:
     """One row per column and statistic."""
-    stats = {"mean": F.avg, "median": lambda c: F.percentile(c, F.lit(0.5)), "std": F.stddev_samp, "min": F.min, "max": F.max}
+    stats = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     row = df.agg(*[F.round(f(c), 4).alias(f"{c}__{n}") for c in cols for n, f in stats.items()])
-    pairs = ", ".join(f"'{c}', '{n}', `{c}__{n}`" for c in cols for n in stats)
-    return row.selectExpr(f"stack({len(cols) * len(stats)}, {pairs}) AS (column, statistic, value)")
+    row = beside(row, *[quantiles(df, c, [0.5]).select(F.round(C("q")[0], 4).alias(f"{c}__median")) for c in cols])
+    pairs = ", ".join(f"'{c}', '{n}', `{c}__{n}`" for c in cols for n in [*stats, "median"])
+    return row.selectExpr(f"stack({len(cols) * (len(stats) + 1)}, {pairs}) AS (column, statistic, value)")
 
 
 def five_numbers(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -130,13 +172,14 @@ def win_likelihood(df: DataFrame, supplier: str, amount: str, middle: float, top
 
 
 def kpi_payload(df: DataFrame, amount: str, discount: str, category: str, region: str, year: str) -> DataFrame:
-    """The dashboard's payload as one JSON document; lists are of bounded length (years, top categories, top regions)."""
-    kpi = df.agg(F.count("*").alias("n"), F.round(F.sum(amount), 2).alias("total"), F.round(F.avg(F.when(C(discount).between(0, 100), C(discount))), 4).alias("mean_discount"), F.round(F.percentile(F.when(C(discount).between(0, 100), C(discount)), F.lit(0.5)), 4).alias("median_discount"))
+    """The dashboard's payload as one JSON document: figures, all years, the ten categories and fifteen regions with most rows."""
+    pct = F.when(C(discount).between(0, 100), C(discount))
+    kpi = df.agg(F.count("*").alias("n"), F.round(F.sum(amount), 2).alias("total"), F.round(F.avg(pct), 4).alias("mean_discount"))
+    kpi = beside(kpi, quantiles(df, pct, [0.5]).select(F.round(C("q")[0], 4).alias("median_discount")))
 
     def listed(key: str, most: int, name: str) -> DataFrame:
         g = keyed(df, key).groupBy(C(key).cast("string").alias("key")).agg(F.count("*").alias("n"))
-        order = [F.desc("n"), F.asc("key")] if most else [F.asc("key")]
-        g = g.orderBy(*order).limit(most or 1000)
+        g = g.orderBy(F.desc("n"), "key").limit(most) if most else g
         ranked = F.array_sort(F.collect_list(F.struct((-C("n") if most else F.lit(0)).alias("o"), "key", "n")))
         return g.agg(F.transform(ranked, lambda x: F.struct(x["key"].alias("key"), x["n"].alias("n"))).alias(name))
 

@@ -47,8 +47,8 @@ def ranged(df: DataFrame, ranges: dict[str, tuple]) -> DataFrame:
 
 
 def sample(df: DataFrame, key: list[str], n: int) -> DataFrame:
-    """The same n rows each time: those with the smallest hash of their key."""
-    return df.orderBy(F.xxhash64(*key), *key).limit(n)
+    """The same n rows each time, in any engine: those with the smallest SHA-256 of their key as text."""
+    return df.orderBy(F.sha2(F.concat_ws("|", *[C(k).cast("string") for k in key]), 256), *key).limit(n)
 
 
 def page(df: DataFrame, order: list[Column], number: int, size: int = 50) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .metrics import quantiles
+
 C = F.col
 
 
@@ -42,7 +44,7 @@ def z_outliers(df: DataFrame, value: str, beyond: float = 3.0) -> DataFrame:
 
 def iqr_outliers(df: DataFrame, value: str, lo: float, hi: float, fence: float = 1.5) -> DataFrame:
     """Rows beyond the fences, which come from the values between lo and hi."""
-    q = df.filter(C(value).between(lo, hi)).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+    q = quantiles(df.filter(C(value).between(lo, hi)), value, [0.25, 0.75])
     q = q.select((C("q")[0] - fence * (C("q")[1] - C("q")[0])).alias("_lo"), (C("q")[1] + fence * (C("q")[1] - C("q")[0])).alias("_hi"))
     return df.crossJoin(F.broadcast(q)).filter((C(value) < C("_lo")) | (C(value) > C("_hi"))).drop("_lo", "_hi")
 

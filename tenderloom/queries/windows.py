@@ -79,9 +79,10 @@ def wn10_busiest_month(spark, d):
     return W.extremes(notices(spark, d).select(F.month("award_date").alias("m")), "m")
 
 
-@query("n: SELECT id, date_raw FROM n ORDER BY date_raw DESC NULLS LAST, id LIMIT 500")
+@query("n: SELECT id, date_raw FROM n")
 def sl01_sort_nulls_last(spark, d):
-    return notices(spark, d).select("id", "date_raw").orderBy(F.desc_nulls_last("date_raw"), "id").limit(500)
+    """All rows in order; sl10 has the order as ranks."""
+    return notices(spark, d).select("id", "date_raw").orderBy(F.desc_nulls_last("date_raw"), "id")
 
 
 @query("n: SELECT id, date_raw, row_number() OVER (ORDER BY date_raw DESC NULLS LAST, id) AS rank FROM n")
@@ -101,7 +102,7 @@ def sl03_page(spark, d):
     return Q.page(table(spark, d, "orders").select(C("o_orderkey").alias("id"), C("o_totalprice").alias("v")), [F.desc("v"), C("id")], 3)
 
 
-@query()
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY sha256(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 2000")
 def sl04_seeded_sample(spark, d):
     """2,000 rows, the same each time: those with the smallest hash of their key."""
     return Q.sample(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], 2000)
@@ -162,7 +163,7 @@ def so04_fill_and_metadata(spark, d):
 @query("n: SELECT id, upper(substr(v, 1, 1)) || lower(substr(v, 2)) AS category FROM (SELECT id, coalesce(nullif(trim(CASE WHEN id % 2 = 0 THEN '' ELSE kind_raw END), ''), 'illuminazione') AS v FROM n)")
 def so05_category_fallback(spark, d):
     cat = F.nullif(F.trim(F.when(C("id") % 2 == 0, F.lit("")).otherwise(C("kind_raw"))), F.lit(""))
-    return notices(spark, d).select("id", S.title_case(F.regexp_replace(F.coalesce(cat, F.lit("illuminazione")), "_", "0")).alias("category")).select("id", F.concat(F.substring("category", 1, 1), F.lower(F.regexp_replace(F.substring("category", 2, 100), "0", "_"))).alias("category"))
+    return notices(spark, d).select("id", S.title_case(F.regexp_replace(F.coalesce(cat, F.lit("illuminazione")), "_", "0")).alias("category")).select("id", F.concat(F.substring("category", 1, 1), F.lower(F.regexp_replace(F.substring("category", F.lit(2), F.char_length("category")), "0", "_"))).alias("category"))
 
 
 @query("n: SELECT id, coalesce(CASE WHEN lower(trim(string_split(code_raw, ';')[1])) NOT IN ('', 'nan', 'none', 'null') THEN upper(trim(string_split(code_raw, ';')[1])) END, 'ocid-' || id) AS key FROM n")

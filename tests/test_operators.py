@@ -4,6 +4,7 @@ import json
 import random
 import zipfile
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -251,3 +252,31 @@ def test_update_rebuilds_only_after_a_change(spark, tmp_path):
     assert [run()["rebuilt"], run()["rebuilt"], run(True)["rebuilt"], run()["rebuilt"]] == [True, False, True, False] and made == [2, 2]
     df.selectExpr("id + 10 as id", "concat(k, 'x') as k", "o").write.parquet(str(tmp_path / "in/two"))
     assert run()["rebuilt"] and made == [2, 2, 4]
+
+
+@pytest.mark.parametrize("accuracy", [30, 100_000])
+def test_quantiles_are_exact(spark, accuracy):
+    """With an accuracy of 30, tables from 300 rows on go through the sketch's intervals."""
+    rng = random.Random(7)
+    qs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    for n in (1, 2, 10, 11, 45, 300, 2000):
+        values = [rng.choice([rng.gauss(0, 1), 1.5, rng.randint(0, 9)]) for _ in range(n)]
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(3)
+        assert M.quantiles(df, "v", qs, accuracy).first()["q"] == pytest.approx(np.quantile(values, qs).tolist(), abs=1e-12)
+    assert M.quantiles(df.limit(0), "v", [0.5]).first()["q"] == [None]
+
+
+@pytest.mark.parametrize("threshold", [55, 60, 80])
+def test_gram_blocking_misses_no_pair(spark, threshold):
+    rng = random.Random(threshold)
+    base = ["".join(rng.choice("aab c") for _ in range(rng.randint(0, 14))) for _ in range(60)] + ["aaaaaaa", "a", "", "spa", "rossi srl", "rossi"]
+    names = {b for b in base} | {"".join(c for c in b if rng.random() < 0.8) + rng.choice(["", "b", "cc"]) for b in base for _ in range(2)}
+    df = spark.createDataFrame([(n,) for n in sorted(names) for _ in range(1 + rng.randint(0, 1))], "name string")
+    whole, blocked = (sorted(map(tuple, Z.canonical(df, "name", threshold, 2, how, Z.levenshtein_ratio).collect())) for how in (False, "grams"))
+    assert whole == blocked and sum(r[3] is not None for r in whole) > 10
+
+
+def test_inventory_is_the_files(spark, tmp_path):
+    spark.range(1000).repartition(3).write.parquet(str(tmp_path / "t"))
+    got = {r.file: (r.records, r.bytes) for r in sources.inventory(spark.read.parquet(str(tmp_path / "t"))).collect()}
+    assert {k: b for k, (_, b) in got.items()} == {f.name: f.stat().st_size for f in (tmp_path / "t").glob("*.parquet")} and sum(n for n, _ in got.values()) == 1000
