@@ -8,8 +8,9 @@ characters, so words are scored once while they stay in a cache.
 
 The models learn from a bounded sample of labelled rows (``DOCS_PER_LANG``
 documents of each language, those with the smallest hash of their id); a
-quarter of it is not counted but sets the level for rejection: what is
-farther than ``REJECT`` deviations from texts of its language is rejected.
+quarter of it is not counted but calibrates the rejection: a text goes that
+costs as much under the best model as other languages' texts do, with more
+room the shorter it is.
 """
 
 from __future__ import annotations
@@ -29,7 +30,10 @@ from .shared import BASES, MASK, SHORT, mix, powers, short_keys, slices, string_
 
 ORDER = 5
 DOCS_PER_LANG = 400
-REJECT = 8.0
+#: Rejection: the quantile of foreign texts' costs that sets the level, deviations of room for short texts, least level,
+#: words of a short piece; mean, noise and level where nothing was held back.
+NEAREST, DEVIATIONS, LEAST_LEVEL, PIECE = 0.05, 4.0, 0.75, 10
+NO_SAMPLE = (2.5, 2.0, 1.5)
 SHARPNESS = 12.0
 NO_LANGUAGE = "und"
 BEGIN, END = "\x02", "\x03"
@@ -179,11 +183,25 @@ _known = WordScores()
 class LanguageModels:
     names: list[str]
     models: list[CharacterModel]
-    mean: np.ndarray = None
-    spread: np.ndarray = None  # of documents' cross-entropies
-    noise: np.ndarray = None  # of one character
+    mean: np.ndarray = None  # of the cross-entropies of each language's texts
+    level: np.ndarray = None  # how far above it a long text is rejected
+    noise: np.ndarray = None  # deviation of one character's cost: short texts get more room
     key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
+    def calibrate(self, lang: np.ndarray, entropy: np.ndarray, size: np.ndarray) -> None:
+        """Levels of rejection from held-back texts (rows: cross-entropy under each model).
+
+        A language's own texts lie around ``mean``.  Texts of the other
+        languages show what foreign ones look like under its model: the level
+        is where the nearest of those begin.
+        """
+        k = len(self.names)
+        own = [entropy[lang == i, i] for i in range(k)]
+        self.mean = np.array([np.median(x) if len(x) else NO_SAMPLE[0] for x in own])
+        self.noise = np.array([np.sqrt(np.mean((x - m) ** 2 * size[lang == i])) if len(x) >= 5 else NO_SAMPLE[1] for i, (x, m) in enumerate(zip(own, self.mean))])
+        foreign = [entropy[lang != i, i] - self.mean[i] for i in range(k)]
+        self.level = np.array([max(np.quantile(x, NEAREST), LEAST_LEVEL) if len(x) >= 5 else NO_SAMPLE[2] for x in foreign])
+
     def of_words(self, found: list[str]) -> np.ndarray:
         """Per word and language the sum of ln p of its characters and its end sign."""
         codes = codes_of("".join(f"{BEGIN}{w}{END}" for w in found))
@@ -254,23 +272,17 @@ def fit_languages(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "
     fitted = LanguageModels(names, [CharacterModel.fitted(by[n], order) for n in names])
 
     def levels(batches):
+        """Cross-entropies under all models of each held-back document, and of its first words alone."""
         for batch in batches:
             langs = batch.column("_lang").to_pylist()
-            sums, size = (np.concatenate(x) for x in zip(*fitted.of_texts(batch.column("_text"))))
-            own = [fitted.names.index(x) if x in fitted.names else -1 for x in langs]
-            keep = [i for i, k in enumerate(own) if k >= 0 and size[i]]
-            yield pa.record_batch([pa.array([own[i] for i in keep], pa.int32()), pa.array([-sums[i, own[i]] / size[i] for i in keep], pa.float64()), pa.array([size[i] for i in keep], pa.float64())], ["lang", "entropy", "size"])
-
-    level = sample.filter("_level").select("_lang", "_text").mapInArrow(levels, "lang int, entropy double, size double").toPandas()
-    mean, spread, noise = [], [], []
-    overall = level if len(level) else None
-    for i in range(len(names)):
-        own = level[level["lang"] == i] if overall is not None else level
-        own = own if len(own) >= 5 else level
-        mid = float(own["entropy"].median()) if len(own) else 2.5
-        away = float((own["entropy"] - mid).abs().median()) * 1.4826 if len(own) else 0.3
-        mean.append(mid), spread.append(max(away, 0.15)), noise.append(2.0)
-    fitted.mean, fitted.spread, fitted.noise = np.array(mean), np.array(spread), np.array(noise)
+            for texts in (batch.column("_text"), pc.binary_join(pc.list_slice(pc.utf8_split_whitespace(batch.column("_text")), 0, PIECE), " ")):
+                sums, size = (np.concatenate(x) for x in zip(*fitted.of_texts(texts)))
+                keep = [i for i, x in enumerate(langs) if x in fitted.names and size[i]]
+                entropy = [(-sums[i] / size[i]).tolist() for i in keep]
+                yield pa.record_batch([pa.array([fitted.names.index(langs[i]) for i in keep], pa.int32()), pa.array(entropy, pa.list_(pa.float64())), pa.array([size[i] for i in keep], pa.float64())], ["lang", "entropy", "size"])
+
+    level = sample.filter("_level").select("_lang", "_text").mapInArrow(levels, "lang int, entropy array<double>, size double").toPandas()
+    fitted.calibrate(level["lang"].to_numpy(int), np.array(level["entropy"].tolist()).reshape(-1, len(names)), level["size"].to_numpy(float))
     return fitted
 
 
@@ -286,10 +298,10 @@ def judged(own: LanguageModels | None, texts: pa.Array) -> tuple[list[str], np.n
     h = -sums[some] / size[some, None]
     best = h.argmin(1) if len(some) else np.zeros(0, np.int64)
     low = h[np.arange(len(some)), best]
-    room = np.sqrt(own.spread[best] ** 2 + own.noise[best] ** 2 / size[some])
+    room = own.level[best] + DEVIATIONS * own.noise[best] / np.sqrt(size[some])
     score[some] = 1 / np.exp(-SHARPNESS * (h - low[:, None])).sum(1)
     entropy[some] = low
-    out[some] = (low - own.mean[best]) > REJECT * room
+    out[some] = low - own.mean[best] > room
     for i, k in zip(some.tolist(), best.tolist()):
         lang[i] = own.names[k]
     return lang, score, entropy, out

@@ -15,6 +15,7 @@ number of false matches among n windows is n * 1e6 / 2**65: 3e-4 for 10**10.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,6 +27,8 @@ from pyspark.sql import types as T
 from .shared import BASES, slices, string_buffers, tasks, trim, window_hashes, word_hashes, words
 
 BLOCK_BYTES = 4 << 20
+WEIGHED = 1 << 16  # bytes of text that count as one document when blocks are cut
+RANK = 20  # blocks whose numbers agree beyond these bits hold one id
 BUCKET_BYTES = 6 << 20  # of text, about a million windows
 
 
@@ -76,17 +79,26 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total = size[0] or 0
     n_blocks = max(tasks(spark), math.ceil(total / BLOCK_BYTES))
     n_buckets = max(tasks(spark), math.ceil(total / BUCKET_BYTES))
-    # bounds of the blocks: n_blocks - 1 numbers, whatever the number of documents
-    cuts = docs.agg(F.percentile_approx(id_col, [i / n_blocks for i in range(1, n_blocks)] or [0.5], 20 * n_blocks)).first()[0] or []
-    bounds = np.unique(np.array(cuts, np.int64))
-
-    @F.pandas_udf("int")
-    def block_of(ids: pd.Series) -> pd.Series:
-        found = np.searchsorted(bounds, ids.fillna(0).to_numpy(np.int64), "left").astype(np.int32)
-        return pd.Series(np.where(ids.isna(), -1, found))
-
-    dealt = docs.withColumn("_block", block_of(F.col(id_col).cast("long")))
-    columns = dealt.columns
+    # bounds of the blocks: n_blocks - 1 numbers, whatever the number of documents; long texts count several times
+    weight = F.greatest(F.lit(1), F.ceil(F.octet_length(text_col) / WEIGHED)).cast("int")
+    ids = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.explode(F.array_repeat(F.col(id_col).cast("long"), weight)).alias("id"))
+    cuts = ids.agg(F.percentile_approx("id", [i / n_blocks for i in range(1, n_blocks)] or [0.5], 20 * n_blocks)).first()[0] or []
+    values, times = np.unique(np.array(cuts, np.int64), return_counts=True)
+    # an id with several blocks' worth of rows has blocks of its own, of equal rank
+    hot, times = values[times > 1], times[times > 1] + 1
+    bounds = np.unique(np.concatenate([values, hot - 1]))
+
+    @F.pandas_udf("long")
+    def block_of(ids: pd.Series, texts: pd.Series) -> pd.Series:
+        ids, texts = ids.to_numpy(np.int64), texts.to_numpy(np.int64)
+        out = np.searchsorted(bounds, ids, "left").astype(np.int64) << RANK
+        if len(hot):
+            at = np.minimum(np.searchsorted(hot, ids), len(hot) - 1)
+            out += np.where(hot[at] == ids, texts % times[at], 0)
+        return pd.Series(out)
+
+    nameless = docs.filter(F.col(id_col).isNull())
+    dealt = docs.filter(F.col(id_col).isNotNull()).withColumn("_block", block_of(F.col(id_col).cast("long"), F.xxhash64(text_col)))
 
     def ordered(table: pa.Table) -> pa.Table:
         return table.take(pa.compute.sort_indices(table.column(id_col)))
@@ -102,8 +114,6 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def hashes(table: pa.Table) -> pa.Table:
         block = table.column("_block")[0].as_py()
-        if block < 0:
-            return pa.table({"_block": pa.array([], pa.int32()), "bucket": pa.array([], pa.int32()), "hashes": pa.array([], pa.binary())})
         _, _, h, bucket, _ = first_rows(table)
         h, where = np.unique(h, return_index=True)
         bucket = bucket[where]
@@ -112,10 +122,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         edges = np.flatnonzero(np.diff(bucket, prepend=-1)) if len(bucket) else np.zeros(0, np.int64)
         ends = np.append(edges[1:], len(bucket))
         trim()
-        return pa.table({"_block": pa.array([block] * len(edges), pa.int32()), "bucket": pa.array(bucket[edges], pa.int32()), "hashes": pa.array([packed(h[a:b]) for a, b in zip(edges, ends)], pa.binary())})
+        return pa.table({"_block": pa.array([block] * len(edges), pa.int64()), "bucket": pa.array(bucket[edges], pa.int32()), "hashes": pa.array([packed(h[a:b]) for a, b in zip(edges, ends)], pa.binary())})
 
     def seen(table: pa.Table) -> pa.Table:
-        """For each block of this bucket: its hashes that a smaller block has, too."""
+        """For each block of this bucket: its hashes that a block of smaller rank has, too."""
         blocks = table.column("_block").to_numpy()
         lists = [unpacked(x.as_py()) for x in table.column("hashes")]
         order = np.argsort(blocks)
@@ -124,18 +134,19 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         del lists
         by = np.argsort(h, kind="stable")  # blocks stay ascending within a hash
         h, owner = h[by], owner[by]
-        again = np.zeros(len(h), bool)
-        again[1:] = h[1:] == h[:-1]
+        new = np.ones(len(h), bool)
+        new[1:] = h[1:] != h[:-1]
+        first = owner[new][np.cumsum(new) - 1]
+        again = owner >> RANK > first >> RANK
         h, owner = h[again], owner[again]
         by = np.argsort(owner, kind="stable")
         h, owner = h[by], owner[by]
         edges = np.flatnonzero(np.diff(owner, prepend=-1)) if len(owner) else np.zeros(0, np.int64)
         ends = np.append(edges[1:], len(owner))
         trim()
-        return pa.table({"_block": pa.array(owner[edges], pa.int32()), "hashes": pa.array([packed(h[a:b]) for a, b in zip(edges, ends)], pa.binary())})
+        return pa.table({"_block": pa.array(owner[edges], pa.int64()), "hashes": pa.array([packed(h[a:b]) for a, b in zip(edges, ends)], pa.binary())})
 
-    fields = [f for f in dealt.schema.fields if f.name != "_block"]
-    out_schema = T.StructType([*fields, *[T.StructField(k, T._parse_datatype_string(v)) for k, v in new.items()]])
+    out_schema = T.StructType([*docs.schema.fields, *[T.StructField(k, T._parse_datatype_string(v)) for k, v in new.items()]])
 
     def removed(table: pa.Table, told: pa.Table) -> pa.Table:
         if table.num_rows == 0:
@@ -144,13 +155,22 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         known = [unpacked(x.as_py()) for x in told.column("hashes")]
         known = np.sort(np.concatenate(known)) if known else np.zeros(0, np.uint64)
         parts, ids, h, _, at = first_rows(table)
-        if table.column("_block")[0].as_py() < 0:
-            gone = np.zeros(len(h), bool)
-        else:
-            _, where, which = np.unique(h, return_index=True, return_inverse=True)
-            gone = ids[at] > ids[at[where]][which]
-            if len(known):
-                gone |= known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+        _, where, which = np.unique(h, return_index=True, return_inverse=True)
+        gone = ids[at] > ids[at[where]][which]
+        if len(known):
+            gone |= known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+        return finished(table.drop_columns(["_block"]), parts, gone)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows that lose nothing."""
+        for batch in batches:
+            if batch.num_rows:
+                table = pa.Table.from_batches([batch])
+                parts = list(windows_of(table.column(text_col), width, n_buckets))
+                yield from finished(table, parts, np.zeros(sum(len(p[7]) for p in parts), bool)).cast(None_table.schema).to_batches()
+
+    def finished(table: pa.Table, parts: list, gone: np.ndarray) -> pa.Table:
+        """The new columns, from the windows that go."""
         n_words, n_removed, spans, kept, done = [], [], [], [], 0
         for data, lo, hi, starts, ends, rows, first, own, _ in parts:
             flags = gone[done : done + len(own)]
@@ -176,19 +196,19 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     spans.append([])
                 n_removed.append(b - a - len(text))
                 kept.append(b" ".join(text).decode())
-        table = table.drop_columns(["_block"])
         for name, values, kind in (("n_words", n_words, pa.int64()), ("n_removed", n_removed, pa.int64()), ("removed", spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("kept_text", kept, pa.string())):
             table = table.append_column(name, pa.array(values, kind))
-        del parts, gone, h, at
+        del parts, gone
         trim()
         return table
 
     from pyspark.sql.pandas.types import to_arrow_schema
 
     None_table = to_arrow_schema(out_schema).empty_table()
-    sent = dealt.groupBy("_block").applyInArrow(hashes, "_block int, bucket int, hashes binary")
-    told = sent.groupBy("bucket").applyInArrow(seen, "_block int, hashes binary")
-    return dealt.groupBy("_block").cogroup(told.groupBy("_block")).applyInArrow(removed, out_schema).select(*[c for c in columns if c != "_block"], *new)
+    sent = dealt.groupBy("_block").applyInArrow(hashes, "_block long, bucket int, hashes binary")
+    told = sent.groupBy("bucket").applyInArrow(seen, "_block long, hashes binary")
+    out = dealt.groupBy("_block").cogroup(told.groupBy("_block")).applyInArrow(removed, out_schema)
+    return out.unionByName(nameless.mapInArrow(whole, out_schema)).select(*docs.columns, *new)
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13) -> DataFrame:

@@ -158,3 +158,22 @@ def test_substring_dedup_edge_rows(docs_of):
     assert substring_dedup(docs_of(rows).limit(0)).count() == 0
     out = {r.doc_id: r.text for r in drop_repeats(docs_of(rows)).collect()}
     assert out[7] == "x y" and out[8] == "" and out[9] is None
+
+
+def test_substring_dedup_of_one_hot_id(docs_of):
+    """Very many rows of one id, which never count against each other, and rows without an id."""
+    rng = random.Random(9)
+    passages = [text_of(rng, 15) for _ in range(3)]
+    hot = [(50, f"{text_of(rng, 3)} {rng.choice(passages)} {text_of(rng, 14)}") for _ in range(300)]
+    rows = [(3, passages[0]), (49, passages[1]), *hot, (51, passages[2]), (70, hot[7][1]), *[(None, hot[k][1]) for k in range(20)]]
+    earlier = {tuple(w[k : k + 13]) for i, t in rows[:2] for w in [t.split()] for k in range(3)}
+    every = earlier | {tuple(w[k : k + 13]) for _, t in hot for w in [t.split()] for k in range(len(w) - 12)}
+
+    def left(text, seen):
+        w = text.split()
+        gone = {k + j for k in range(len(w) - 12) if tuple(w[k : k + 13]) in seen for j in range(13)}
+        return " ".join(x for k, x in enumerate(w) if k not in gone)
+
+    got = sorted((r.doc_id or 0, r.text, r.kept_text) for r in substring_dedup(docs_of(rows)).collect())
+    seen = {3: set(), 49: set(), 50: earlier, 51: every, 70: every, None: set()}
+    assert got == sorted((i or 0, t, left(t, seen[i])) for i, t in rows)

@@ -1,6 +1,8 @@
 """op5, op6, op7: extraction, quality, language."""
 
+import collections
 import html
+import random
 import re
 import time
 
@@ -120,16 +122,77 @@ def test_discriminant_matches_densities():
     assert np.allclose(np.log(m.scores(x) / (1 - m.scores(x))), want)
 
 
-def test_probabilities_sum_to_one():
-    """Over all characters that may follow a seen context, and a remainder for unseen ones."""
-    model = L.CharacterModel.fitted({"abba": 3, "abc": 2, "cab": 1}, 3)
-    for context in ("a", "b", L.BEGIN):
+def kneser_ney(counts, order):
+    """p(character, context) by the textbook's recursion over plain dictionaries."""
+    words = [(L.BEGIN + w + L.END, k) for w, k in counts.items()]
+    raw = collections.Counter()
+    for w, k in words:
+        for i in range(1, len(w)):
+            for j in range(max(0, i - order + 1), i + 1):
+                raw[w[j : i + 1]] += k
+    grams = {g for g in raw if len(g) == order or g[0] == L.BEGIN}
+    count = {g: raw[g] for g in grams}
+    for n in range(order - 1, 0, -1):  # how many characters stand before a shorter one
+        for g in {g for g in raw if len(g) == n and g[0] != L.BEGIN}:
+            count[g] = len({x[0] for x in raw if len(x) == n + 1 and x[1:] == g})
+    alphabet = {g for g in count if len(g) == 1}
+    discount = {}
+    for n in range(1, order + 1):
+        ones, twos = (sum(c == k and len(g) == n for g, c in count.items()) for k in (1, 2))
+        discount[n] = ones / (ones + 2 * twos) if ones and twos else 0.5
+
+    def p(c, h):
+        lower = p(c, h[1:]) if h else 1 / (len(alphabet) + 1000)
+        follow = {g[-1]: k for g, k in count.items() if len(g) == len(h) + 1 and g[:-1] == h}
+        if not follow:
+            return lower
+        d, total = discount[len(h) + 1], sum(follow.values())
+        return max(follow.get(c, 0) - d, 0) / total + d * len(follow) / total * lower
+
+    return p, alphabet
+
+
+@pytest.mark.parametrize("order", [2, 3, 5])
+def test_model_is_interpolated_kneser_ney(order):
+    """Against an independent implementation; over the alphabet and the thousand unseen characters, probabilities sum to 1."""
+    rng = random.Random(order)
+    counts = {"".join(rng.choice("abcé") for _ in range(rng.randint(1, 6))): rng.randint(1, 4) for _ in range(25)}
+    model, (p, alphabet) = L.CharacterModel.fitted(counts, order), kneser_ney(counts, order)
+    contexts = {(L.BEGIN + w)[: k + 1][-(order - 1) :] for w in counts for k in range(len(w) + 1)}
+    contexts = {h for h in contexts if len(h) == order - 1 or h[0] == L.BEGIN}
+    for h in sorted(contexts):
         total = 0.0
-        for c in "abc" + L.END:
-            codes = L.codes_of(context + c)
-            place = np.array([5, 6]) if context != L.BEGIN else np.array([0, 1])
-            total += np.exp(model.log_probabilities(L.gram_hashes(codes, 3), np.minimum(place, [0, 1]))[1])
-        assert 0.8 < total <= 1 + 1e-9
+        for c in sorted(alphabet) + ["ß"]:
+            codes = L.codes_of(h + c)
+            place = np.arange(len(codes)) + (0 if h[0] == L.BEGIN else order)
+            got = np.exp(model.log_probabilities(L.gram_hashes(codes, order), place))[-1]
+            assert got == pytest.approx(p(c, h), rel=1e-9)
+            total += got * (1000 if c == "ß" else 1)
+        assert total == pytest.approx(1.0, abs=1e-9)
+
+
+def test_rejection_is_calibrated(spark):
+    """Texts of languages that were not learned go, those of learned ones stay, however short."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    models = L.fit_languages(docs)
+    foreign = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.", "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+        "xqzj vkwq zzxp qqpw vbnm jkjk wrtq pqxz kkjw xxqz", "日本語のテキストがここにありますので読んでください", "Все люди рождаются свободными и равными в своем достоинстве",
+    ]
+    own = [" ".join(t.split()[:n]) for (t,) in duckdb.sql(f"SELECT text FROM '{FOLDER}/documents.parquet' WHERE len(text) > 300 AND NOT regexp_matches(text, '[0-9=@#$%]')").fetchall()[:300] for n in (5, 30)]
+    rejected = L.judged(models, pa.array(foreign + own))[3]
+    assert rejected[: len(foreign)].all() and rejected[len(foreign) :].mean() <= 0.005
+    whole = L.judged(models, pa.array([t for (t,) in duckdb.sql(f"SELECT text FROM '{FOLDER}/documents.parquet'").fetchall()]))[3]
+    assert whole.mean() < 0.005
+
+
+def test_very_long_text_and_repeats():
+    models = L.LanguageModels(["a", "b"], [L.CharacterModel.fitted({"aba": 2, "aab": 1}), L.CharacterModel.fitted({"bbc": 2})])
+    models.calibrate(np.zeros(0, int), np.zeros((0, 2)), np.zeros(0))
+    lang, score, entropy, _ = L.judged(models, pa.array(["aba " * 500_000, "aba", "aba", "b" * 2_000_000]))
+    assert lang == ["a", "a", "a", "b"] and entropy[0] == pytest.approx(entropy[1]) and entropy[1] == entropy[2]
+    x = Q.statistics(pa.array(["word " * 500_000, "w" * 3_000_000]))
+    assert np.isfinite(x).all()
 
 
 def test_language_on_held_out_rows(spark):

@@ -2,7 +2,6 @@
 
 from test_dedup import ROWS, brute_components, brute_removal, LOW
 
-import __spark_entry__
 import corpus_pipeline
 from compare import duck_rows, spark_rows
 from tenderloom.llm.queries import ORACLE, QUERIES
@@ -31,11 +30,6 @@ def test_stages(spark):
         assert stages[name](spark, docs.limit(0), FOLDER).count() == 0
 
 
-def test_run(spark):
-    out = __spark_entry__.queries()["pipeline"](spark, FOLDER)
-    assert out.count() > 0 and {"doc_id", "start", "length", "ids_crc32", "sequence_id"} <= {*out.columns}
-
-
 def test_queries_equal_their_sql(spark):
     for name, sql in ORACLE.items():
         assert spark_rows(QUERIES[name](spark, FOLDER)) == duck_rows(sql, FOLDER), name
