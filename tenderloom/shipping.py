@@ -1,8 +1,9 @@
-"""Makes this package importable in Python workers."""
+"""What runs beyond the driver needs: this package in Python workers, and a folder that all share."""
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -27,3 +28,13 @@ def ship(spark: SparkSession) -> None:
         for p in sorted(ROOT.rglob("*.py")):
             z.write(p, p.relative_to(ROOT.parent))
     spark.sparkContext.addPyFile(target)
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; a temporary one only where that is unset and all runs on this machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="spark-")
+    return folder.rstrip("/")

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import re
-import tempfile
 import time
 import uuid
 from collections.abc import Callable
@@ -12,17 +10,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..shipping import shared_root
+
 C = F.col
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder of spark.checkpoint.dir; a temporary one only where that is unset and all runs on this machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="spark-")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the folder that driver and executors share."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def month_of(name: Column) -> Column:
