@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packing import tokenizer_path
-from .shared import tasks
+from .shared import prepared_tasks
 
 START, SEP, STOP = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 _escape, _unescape = re.compile(r"<(\\*)\|"), re.compile(r"<(\\*)\\\|")
@@ -98,7 +98,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     spark = turns.sparkSession
     path = path or tokenizer_path()
     rows = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.repartition(tasks(spark), "conv").sortWithinPartitions("conv", "turn", "role", "text").select("conv", "role", "text")
+    rows = rows.repartition(prepared_tasks(spark), "conv").sortWithinPartitions("conv", "turn", "role", "text").select("conv", "role", "text")
     kind = turns.schema[conv_col].dataType.simpleString()
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

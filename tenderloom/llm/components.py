@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import HOT_KEYS, cut, lookup, tasks
+from .shared import HOT_KEYS, cut, lookup, prepared_tasks
 
 #: A remainder of so many edges is finished by one task.
 FEW = 10_000
@@ -41,7 +41,7 @@ def components(edges: DataFrame) -> DataFrame:
     with very many neighbours are looked up through ``lookup``.  Loops and
     repeated edges are allowed; without edges the result is empty.
     """
-    tasks(edges.sparkSession)
+    prepared_tasks(edges.sparkSession)
     edges = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     labels = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("label", F.col("id"))
     edges = edges.filter("a <> b")

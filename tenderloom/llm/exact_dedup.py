@@ -20,7 +20,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import HOT_KEYS, cut, lookup, tasks
+from .shared import HOT_KEYS, cut, lookup, prepared_tasks
 
 RANK_BITS = 36
 BUCKETS = 1 << 20
@@ -71,7 +71,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are ignored whatever their names.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    buckets = min(BUCKETS, tasks(spark) * 16)
+    buckets = min(BUCKETS, prepared_tasks(spark) * 16)
     raw = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_raw"))
     group = block_chars * 64  # two steps, so that substring() doesn't start anew for each block of a very long text
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import tasks
+from .shared import prepared_tasks
 
 SAMPLE_PAGES = 2000
 
@@ -239,7 +239,7 @@ def learn_weights(pages: DataFrame, html_col: str = "html", id_col: str = "page_
     names that HTML knows are kept, so the table is bounded.  Empty without
     labelled pages: then the defaults hold.
     """
-    tasks(pages.sparkSession)
+    prepared_tasks(pages.sparkSession)
     known = VOID | RAW | BLOCKS | INLINE | OUTSIDE
     hashed = pages.select(F.xxhash64(id_col).alias("h"), F.col(html_col).cast("string").alias("html"))
     article = F.col("html").rlike("(?i)<(article|main)[\\s>]")
@@ -281,7 +281,7 @@ def extract(pages: DataFrame, weights: dict[str, float], html_col: str = "html")
     replaced.  No shuffle (``learn_weights`` reads the pages before, and moves
     hashes and counts).
     """
-    tasks(pages.sparkSession)
+    prepared_tasks(pages.sparkSession)
 
     @F.pandas_udf("string")
     def text_of(html):

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import BASES, MASK, SHORT, mix, powers, short_keys, slices, string_buffers, tasks, trimmed, words
+from .shared import BASES, MASK, SHORT, mix, powers, short_keys, slices, string_buffers, prepared_tasks, trimmed, words
 
 ORDER = 5
 DOCS_PER_LANG = 400
@@ -249,7 +249,7 @@ def learning_sample(labelled: DataFrame, lang_col: str, id_col: str, most: int)
 
 def fit_languages(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = DOCS_PER_LANG, order: int = ORDER) -> LanguageModels | None:
     """Models of all languages in ``labelled`` (rows without language or text are ignored); None if there are none."""
-    tasks(labelled.sparkSession)
+    prepared_tasks(labelled.sparkSession)
     labelled = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("_lang"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     sample = learning_sample(labelled, "_lang", "_id", docs_per_lang).withColumn("_level", F.col("_rank") % 4 == 0)
 
@@ -317,7 +317,7 @@ def identify(docs: DataFrame, models: LanguageModels | None, id_col: str = "doc_
     Ties go to the language whose name sorts first.  Other columns of ``docs``
     are ignored.
     """
-    tasks(docs.sparkSession)
+    prepared_tasks(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(models)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -331,7 +331,7 @@ def identify(docs: DataFrame, models: LanguageModels | None, id_col: str = "doc_
 
 def drop_rejected(docs: DataFrame, models: LanguageModels | None, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text ``identify`` does not reject, with all their columns; no shuffle."""
-    tasks(docs.sparkSession)
+    prepared_tasks(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import BASES, HOT_KEYS, cut, lookup, mix, powers, slices, stored, string_buffers, tasks, trimmed, word_hashes, words
+from .shared import BASES, HOT_KEYS, cut, lookup, mix, powers, slices, stored, string_buffers, prepared_tasks, trimmed, word_hashes, words
 
 COORDINATES, MINIMA, MATCHES = 20, 3, 3
 SKETCH, SKETCH_MATCHES = 1024, 768  # 0.8 * 1024 less four deviations
@@ -134,7 +134,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     an empty result.
     """
     spark = docs.sparkSession
-    tasks(spark)
+    prepared_tasks(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,7 +249,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     cells = open_.withColumns({"block": block, "other": F.explode(F.sequence(F.lit(0), parts - 1))})
     cells = cells.select("key", "pos", "node", "n", "code", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"))
     cells = cells.join(sketched, "node")
-    cells = cells.repartition(tasks(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "pos", "node", "n", "component", "side", "code", "sketch")
+    cells = cells.repartition(prepared_tasks(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "pos", "node", "n", "component", "side", "code", "sketch")
     more = cells.mapInArrow(lambda batches: trimmed(counted(batches)), "a long, b long")
     edges = edges.unionByName(confirmed(more))
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SpanCache, edges, slices, string_buffers, tasks, trimmed
+from .shared import SpanCache, edges, slices, string_buffers, prepared_tasks, trimmed
 
 SLICE = 1 << 21
 _caches: dict[str, SpanCache] = {}
@@ -85,7 +85,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
-    tasks(docs.sparkSession)
+    prepared_tasks(docs.sparkSession)
     path = path or tokenizer_path()
     kind = docs.schema[id_col].dataType.simpleString()
 

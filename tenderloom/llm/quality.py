@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import slices, stored, string_buffers, tasks, trimmed, word_hashes, words
+from .shared import slices, stored, string_buffers, prepared_tasks, trimmed, word_hashes, words
 
 FEATURES = ("words", "word_length", "letters", "capitals", "digits", "symbols", "marks", "stops", "tails", "repeats", "distinct", "lines", "blanks")
 D = len(FEATURES)
@@ -107,7 +107,7 @@ def fit_quality(labelled: DataFrame, label_col: str = "label") -> Discriminant |
     Sums are formed in Spark; what reaches the driver is 2 * (1 + D + D * D)
     numbers.  With one class only, or none, the constant score 1, 0 or 0.5.
     """
-    tasks(labelled.sparkSession)
+    prepared_tasks(labelled.sparkSession)
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 1 + D + D * D))
@@ -142,7 +142,7 @@ def fit_quality(labelled: DataFrame, label_col: str = "label") -> Discriminant |
 
 def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col and x, the statistics of the whole text; null counts as empty."""
-    tasks(docs.sparkSession)
+    prepared_tasks(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

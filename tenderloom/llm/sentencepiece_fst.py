@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packing import tokenizer_path
-from .shared import BASES, SpanCache, edges, mix, slices, string_buffers, tasks, trimmed
+from .shared import BASES, SpanCache, edges, mix, slices, string_buffers, prepared_tasks, trimmed
 
 META = "▁"
 #: Cuttings of more characters are composed one by one, all others together.
@@ -354,7 +354,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     text costs time in proportion to its length.  A model that the transducers
     don't cover is an error.  No shuffle.
     """
-    tasks(docs.sparkSession)
+    prepared_tasks(docs.sparkSession)
     path = path or tokenizer_path("piece_bpe_32k.model")
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -383,7 +383,7 @@ def decode(encoded: DataFrame, path: str | None = None, ids_col: str = "ids") ->
     emits its piece's characters, a byte its byte, a meta sign a blank; the
     normaliser's first blank goes.
     """
-    tasks(encoded.sparkSession)
+    prepared_tasks(encoded.sparkSession)
     path = path or tokenizer_path("piece_bpe_32k.model")
 
     @F.pandas_udf("string")

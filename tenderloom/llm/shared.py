@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import hashlib
 import itertools
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -14,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shipping import ship
+from ..shipping import shared_root, ship
 
 # Word separators of the contracts: blank and \x09-\x0D.
 SEPARATOR = np.zeros(256, bool)
@@ -244,38 +243,52 @@ def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     trim()
 
 
+_stored: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which driver and executors share; a local one only where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        held = spark.sparkContext.getCheckpointDir()
-        if held:
-            return held
-        folder = tempfile.mkdtemp(prefix="spark-")
+    """The folder of spark.checkpoint.dir, which driver and executors share."""
+    folder = shared_root(spark)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: cuts the lineage, survives lost executors."""
+    """Write a frame to the shared folder and read it back: cuts the lineage, survives lost executors.  See ``sweep``."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    _stored.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sweep(spark: SparkSession, keep: list[DataFrame] = []) -> int:  # noqa: B006
+    """Delete the interim tables that operators of this process have written, but those that frames in ``keep`` read.
+
+    A result reads interim tables until it is written: call this after that.
+    Returns how many went.
+    """
+    files = {f for df in keep for f in df.inputFiles()}
+    gone = [p for p in _stored if not any(f"/{p.rsplit('/', 1)[1]}/" in f for f in files)]
+    for path in gone:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _stored.remove(path)
+    return len(gone)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """A small interim table.  Not checkpoint(): its result carries the constraints of all plans before, which grow from round to round."""
     return stored(df, "cut")
 
 
-def tasks(spark: SparkSession) -> int:
-    """Shuffle partitions of the session.
+def prepared_tasks(spark: SparkSession) -> int:
+    """Prepare the session for Python tasks; its shuffle partitions.
 
-    Also sees to it that workers can import this package, and that Arrow
-    batches hold ``BATCH_ROWS`` rows at most: texts are large, and a worker
-    holds some copies of a batch.
+    Workers can import this package from then on, and Arrow batches of the
+    session hold ``BATCH_ROWS`` rows at most (it stays so: results are lazy):
+    texts are large, and a worker holds some copies of a batch.
     """
     ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import BASES, slices, string_buffers, tasks, trim, window_hashes, word_hashes, words
+from .shared import BASES, slices, string_buffers, prepared_tasks, trim, window_hashes, word_hashes, words
 
 BLOCK_BYTES = 4 << 20
 WEIGHED = 1 << 16  # bytes of text that count as one document when blocks are cut
@@ -77,8 +77,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.drop(*new)
     size = docs.agg(F.sum(F.octet_length(text_col)), F.max(id_col)).first()
     total = size[0] or 0
-    n_blocks = max(tasks(spark), math.ceil(total / BLOCK_BYTES))
-    n_buckets = max(tasks(spark), math.ceil(total / BUCKET_BYTES))
+    n_blocks = max(prepared_tasks(spark), math.ceil(total / BLOCK_BYTES))
+    n_buckets = max(prepared_tasks(spark), math.ceil(total / BUCKET_BYTES))
     # bounds of the blocks: n_blocks - 1 numbers, whatever the number of documents; long texts count several times
     weight = F.greatest(F.lit(1), F.ceil(F.octet_length(text_col) / WEIGHED)).cast("int")
     ids = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.explode(F.array_repeat(F.col(id_col).cast("long"), weight)).alias("id"))

@@ -177,3 +177,16 @@ def test_substring_dedup_of_one_hot_id(docs_of):
     got = sorted((r.doc_id or 0, r.text, r.kept_text) for r in substring_dedup(docs_of(rows)).collect())
     seen = {3: set(), 49: set(), 50: earlier, 51: every, 70: every, None: set()}
     assert got == sorted((i or 0, t, left(t, seen[i])) for i, t in rows)
+
+
+def test_sweep_deletes_interim_tables(docs_of, tmp_path):
+    import os
+
+    from tenderloom.llm.shared import shared_folder, stored, sweep
+
+    spark = docs_of([]).sparkSession
+    kept = stored(exact_dedup(docs_of([(1, "a"), (2, "a"), (3, "b")])), "kept")
+    assert sweep(spark, [kept]) > 0
+    left = os.listdir(f"{shared_folder(spark).removeprefix('file://')}/tables")
+    assert [f.split("-")[0] for f in left] == ["kept"] and kept.count() == 3
+    assert sweep(spark) == 1
