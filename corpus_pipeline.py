@@ -14,7 +14,7 @@ from tenderloom.llm.exact_dedup import drop_copies
 from tenderloom.llm.language_id import drop_rejected, fit_languages
 from tenderloom.llm.minhash_dedup import drop_near_copies
 from tenderloom.llm.packing import pack
-from tenderloom.llm.shared import stored
+from tenderloom.llm.shared import stored, sweep
 from tenderloom.llm.substring_dedup import drop_repeats
 
 
@@ -56,4 +56,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES):
             docs = stored(docs, name)
+            sweep(spark, [docs])  # what the stage wrote in between
     return docs
