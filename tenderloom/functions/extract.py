@@ -10,6 +10,8 @@ from .scalars import clean_text, date_of, italian_number
 
 NUMBER = r"\d{1,3}(?:\.\d{3})*(?:,\d+)?|\d+(?:,\d+)?"
 
+DISCOUNT_PATTERNS = [r"(\d+[.,]\d+)\s*%", r"[-–]\s*(\d+[.,]\d+)", r"^(\d+[.,]\d+)$", r"^(\d+)$"]
+
 
 def _found(c: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
@@ -47,8 +49,7 @@ def entity_in(c: Column) -> Column:
 
 def discount_in(c: Column) -> Column:
     """A discount of 0 to 100 by four patterns in order."""
-    patterns = [r"(\d+[.,]\d+)\s*%", r"[-–]\s*(\d+[.,]\d+)", r"^(\d+[.,]\d+)$", r"^(\d+)$"]
-    values = [F.replace(_found(c, p), F.lit(","), F.lit(".")).try_cast("double") for p in patterns]
+    values = [F.replace(_found(c, p), F.lit(","), F.lit(".")).try_cast("double") for p in DISCOUNT_PATTERNS]
     return F.coalesce(*[F.when(v.between(0, 100), v) for v in values])
 
 

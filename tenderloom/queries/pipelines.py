@@ -4,15 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import classify as K
+from ..functions import rules as R
+from ..functions.extract import DISCOUNT_PATTERNS
 from ..plans import pipelines as P
 from ..plans.bindings import notices
-from .nested import lot_code_records, releases
+from .nested import _base, lot_code_records, releases
 from .registry import query
 from ..operators import nested as N
 
 C = F.col
 
 
+def _sentinel(e: str) -> str:
+    return f"CASE WHEN lower(trim({e})) NOT IN ('', 'nan', 'none', 'null') THEN trim({e}) END"
+
+
+def _first(e: str) -> str:
+    return f"upper({_sentinel(f'string_split({e}, chr(59))[1]')})"
+
+
+def _framework(name: str, rows: str) -> str:
+    """The framework table of some notices, as SQL."""
+    first = lambda k: K.sql_first([(K.sql_match("subject", x[0]), f"{x[3]}e0" if k == 3 else K.quoted(x[k])) for x in R.FRAMEWORKS], "NULL")
+    hint = f"{K.sql_match('subject', R.FRAMEWORK_HINT)} AND NOT {K.sql_match('subject', R.FRAMEWORK_VETO)}"
+    return f"""{name} AS (SELECT * FROM (SELECT id, {_first('code_raw')} AS code, code_raw AS codes, subject, entity_raw AS buyer, award, award_date, {first(1)} AS agreement, {first(2)} AS edition, {first(3)} AS confidence, source
+        FROM {rows} AND {hint}) WHERE agreement IS NOT NULL QUALIFY code IS NULL OR row_number() OVER (PARTITION BY code ORDER BY CASE source WHEN 'OCDS' THEN 0 ELSE 1 END, id) = 1)"""
+
+
+_discount = "coalesce(" + ", ".join(f"(SELECT CASE WHEN v BETWEEN 0 AND 100 THEN v END FROM (SELECT TRY_CAST(replace(nullif(regexp_extract(discount_raw, {K.quoted(x)}, 1), ''), ',', '.') AS DOUBLE) AS v))" for x in DISCOUNT_PATTERNS) + ")"
+_section = "CASE upper(trim(section_raw)) WHEN 'SEZIONE REGIONALE LOMBARDIA' THEN 'Lombardia' WHEN 'SEZIONE REGIONALE EMILIA ROMAGNA' THEN 'Emilia-Romagna' END"
+_method = "CASE method_raw " + " ".join(f"WHEN {K.quoted(k)} THEN {K.quoted(v)}" for k, v in R.METHOD_LABELS.items()) + " ELSE method_raw END"
+_title = "CASE WHEN o_orderkey % 2 = 0 THEN 'Procedura ' || substr(o_orderpriority, 1, 2) || upper(substr(o_orderpriority, 3, 1)) || lower(substr(o_orderpriority, 4)) ELSE o_orderpriority END"
+#: The four sources in the canonical columns, as SQL.
+_SOURCES = f"""{_framework('fw', 'n WHERE true')}, u AS (
+    SELECT 'Gazzetta' AS fonte, {_sentinel('code_raw')} AS cig, NULL AS ocid, {_sentinel('subject')} AS oggetto, round(award, 2) AS importo, round({_discount}, 4) AS sconto, award_date AS day, {_sentinel('town_raw')} AS comune,
+        {_sentinel('entity_raw')} AS ente, NULL AS regione, NULL AS aggiudicatario, {_sentinel('procedure_raw')} AS procedura, NULL AS cpv, NULL AS accordo, NULL AS edizione FROM n WHERE source = 'Gazzetta'
+    UNION ALL SELECT 'OCDS', NULL, 'ocds-' || o_orderkey, 'Gara ' || any_value(o_orderstatus), round(sum(l_extendedprice), 2), CASE WHEN sum(l_extendedprice) > 0 THEN 0.0e0 END, CAST(any_value(o_orderdate) AS DATE), NULL, any_value(c_name),
+        CASE any_value(o_orderkey % 3) WHEN 0 THEN 'Lombardia' WHEN 1 THEN 'Lazio' END, any_value(coalesce(s_name, 'nessuno')), any_value({_title}), '45000000', NULL, NULL {_base} GROUP BY o_orderkey
+    UNION ALL SELECT 'CIG_JSON', {_first('code_raw')}, NULL, {_sentinel('subject')}, round(award, 2), round(CASE WHEN base > 0 AND award > 0 AND award <= base THEN (base - award) / base * 100 END, 4), award_date, NULL, {_sentinel('entity_raw')},
+        {_section}, NULL, {_sentinel(_method)}, CAST(id AS VARCHAR), NULL, NULL FROM n
+    UNION ALL SELECT 'CONSIP', code, NULL, {_sentinel('subject')}, round(award, 2), NULL, award_date, NULL, {_sentinel('buyer')}, NULL, NULL, NULL, NULL, {_sentinel('agreement')}, {_sentinel('edition')} FROM fw)"""
+
+
 def sources(spark, d):
     n = notices(spark, d)
     return [
@@ -31,12 +65,28 @@ def pl01_standardised(spark, d):
     return union_aligned(sources(spark, d))
 
 
+@query(f"n: WITH {_SOURCES} SELECT * FROM u")
+def pl09_standardised_golden(spark, d):
+    """pl01 in the columns that say most, as SQL derives them from the raw tables."""
+    df = pl01_standardised(spark, d)
+    kept = {"oggetto": "oggetto", "comune": "comune", "ente": "ente_appaltante", "regione": "regione", "aggiudicatario": "aggiudicatario", "cpv": "cpv_code", "accordo": "tipo_accordo", "edizione": "edizione"}
+    return df.select("fonte", "cig", "ocid", F.round("importo_aggiudicazione", 2).alias("importo"), F.round("sconto", 4).alias("sconto"), C("data_aggiudicazione").cast("date").alias("day"), F.regexp_replace("procedura", "Not Specified", "Not specified").alias("procedura"), *[C(v).alias(k) for k, v in kept.items()])
+
+
+@query(f"""n: WITH {_SOURCES}, k AS (SELECT fonte, {_first('cig')} AS key, CASE fonte WHEN 'Gazzetta' THEN 0 WHEN 'CONSIP' THEN 1 WHEN 'OCDS' THEN 2 ELSE 3 END AS prio FROM u)
+    SELECT key AS cig, arg_min(fonte, prio) AS fonte, 1 AS n FROM k WHERE key IS NOT NULL GROUP BY key UNION ALL SELECT NULL, fonte, count(*) FROM k WHERE key IS NULL GROUP BY fonte""")
+def pl10_unified_keys(spark, d):
+    """Which source's row stays for each code, and how many rows without a code, of the unified table."""
+    return P.unify(sources(spark, d)).groupBy("cig", "fonte").agg(F.count("*").alias("n"))
+
+
 @query()
 def pl02_unified(spark, d):
     return P.unify(sources(spark, d), fuzzy=True)
 
 
-@query()
+@query(f"""n: WITH {_framework('f', 'n WHERE id % 2 = 1')}, {_framework('h', 'n WHERE id % 2 = 0')}, codes AS (SELECT DISTINCT upper(trim(unnest(string_split(codes, ';')))) AS k FROM f)
+    SELECT * FROM f UNION ALL SELECT NULL, code, NULL, subject, NULL, NULL, NULL, agreement, edition, NULL, NULL FROM h WHERE code IS NULL OR upper(trim(code)) NOT IN (SELECT k FROM codes WHERE k IS NOT NULL AND k <> '')""")
 def pl03_framework_table(spark, d):
     n = notices(spark, d)
     history = P.framework_table(n.filter("id % 2 = 0")).select("code", "subject", "agreement", "edition")
