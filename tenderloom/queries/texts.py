@@ -21,8 +21,8 @@ _LABELS = f"""q AS (SELECT id, text, {K.sql_vetoed('text')} AS bad, {_conf} FROM
 
 
 def labelled(spark, d):
-    """Notices with their label array."""
-    return spread(notices(spark, d)).select("id", "text", K.folded(C("text")).alias("t")).select("id", "text", K.labels(C("t")).alias("found"))
+    """Notices with their label array, computed once: filters on it can't be moved below ``explode`` and into the scan's few tasks."""
+    return spread(notices(spark, d)).select("id", "text", K.folded(C("text")).alias("t")).select("id", "text", F.explode(F.array(K.labels(C("t")))).alias("found"))
 
 
 @query(f"n: WITH {_LABELS} SELECT id, array_to_string(list_transform(ls, lambda x: x.n || '=' || CAST(x.c AS VARCHAR)), ';') AS labels FROM l")
