@@ -90,15 +90,18 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     """One row per conversation: conv_col, n_turns, formatted, ids (little-endian unsigned 32-bit), loss_mask (a byte per token), loss_spans.
 
     loss_spans are read off the mask and the tokens' offsets: [start, end) code
-    points of ``formatted``.  Null roles and texts count as empty; rows without
-    a conversation form one; ties in the turn go by role, then text; repeated
-    rows are turns each.  Other columns are ignored.  A conversation is one
-    row, so it must fit a task; conversations are streamed, not collected.
+    points of ``formatted``.  Null roles and texts count as empty; a row
+    without a conversation is one of its own, with null in conv_col; ties in
+    the turn go by role, then text; repeated rows are turns each.  Other
+    columns are ignored.  An empty table gives an empty result.  A
+    conversation is one row, so it must fit a task; conversations are
+    streamed, not collected.
     """
     spark = turns.sparkSession
     path = path or tokenizer_path()
     rows = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.repartition(prepared_tasks(spark), "conv").sortWithinPartitions("conv", "turn", "role", "text").select("conv", "role", "text")
+    alone = F.when(F.col("conv").isNull(), F.xxhash64("turn", "role", "text"))
+    rows = rows.repartition(prepared_tasks(spark), "conv", alone).sortWithinPartitions("conv", "turn", "role", "text").select("conv", "role", "text")
     kind = turns.schema[conv_col].dataType.simpleString()
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +122,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
         for batch in batches:
             schema = batch.schema.field(0).type
             for c, role, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if any_ and c != conv:
+                if any_ and (c is None or c != conv):
                     done.append((conv, own))
                     own = []
                     if size > 1 << 20:

@@ -63,6 +63,12 @@ def test_chat_edge_rows(spark):
     assert out[1].n_turns == 3 and out[None].n_turns == 1
     assert [t for _, t in chat.read_turns(out[2].formatted)] == ["first", "later"]
     assert chat.format_chats(df.limit(0)).count() == 0
+    nameless = spark.createDataFrame([(None, k % 2, "user", f"t{k % 5}") for k in range(20)], "conv_id long, turn long, role string, text string")
+    got = chat.format_chats(nameless).collect()
+    assert len(got) == 20 and {r.n_turns for r in got} == {1} and sorted(chat.read_turns(r.formatted)[0][1] for r in got) == sorted(f"t{k % 5}" for k in range(20))
+    long = spark.createDataFrame([(1, k, "assistant", "word " * 2000) for k in range(100)], "conv_id long, turn long, role string, text string")
+    (one,) = chat.format_chats(long).collect()
+    assert one.n_turns == 100 and sum(s.end - s.start for s in one.loss_spans) == 1_000_000
 
 
 def encoded_by(model, texts, limit=5000):
