@@ -163,9 +163,11 @@ def cast_or(c: Column, kind: str, default) -> Column:
 
 def date_of(c: Column) -> Column:
     """The first of the fixed formats that fits, Italian month names allowed; ``non specificat...`` and others NULL."""
-    t = F.lower(F.trim(c))
+    plain = F.lower(F.trim(c))
+    t = plain
     for i, m in enumerate(R.MONTHS, 1):
         t = F.regexp_replace(t, rf"\s*\b{m}\b\s*", f"/{i:02d}/")
+    t = F.when(plain.rlike("[a-z]"), t).otherwise(plain)
     shapes = {"d": r"\d{1,2}", "M": r"\d{1,2}", "yyyy": r"\d{4}", "yy": r"\d{2}"}
 
     def shaped(fmt: str) -> str:
@@ -174,7 +176,9 @@ def date_of(c: Column) -> Column:
         sep = next(x for x in fmt if x in "/-.")
         return "^" + ("\\" + sep).join(shapes[p] for p in fmt.split(sep)) + "$"
 
-    return F.coalesce(*[F.when(t.rlike(shaped(f)), F.try_to_timestamp(t, F.lit(f)).cast("date")) for f in R.DATE_FORMATS])
+    # as an array of one, so that all formats look at one evaluation of the text
+    first = F.transform(F.array(t), lambda x: F.coalesce(*[F.when(x.rlike(shaped(f)), F.try_to_timestamp(x, F.lit(f)).cast("date")) for f in R.DATE_FORMATS]))
+    return F.get(first, F.lit(0))
 
 
 def safe_date(c: Column) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, compress: bool = True) -> None:
@@ -12,8 +11,8 @@ def write_csv(df: DataFrame, path: str, compress: bool = True) -> None:
 
 
 def write_table(df: DataFrame, path: str, partition: str = "anno") -> None:
-    """Parquet by year, so that readers prune; rows of a year are brought together before, to write few files."""
-    df.repartition(F.col(partition)).write.mode("errorifexists").partitionBy(partition).parquet(path)
+    """Parquet by year, so that readers prune; rows of a year are brought together before, to write few files, and a large year is split again."""
+    df.hint("rebalance", partition).write.mode("errorifexists").partitionBy(partition).parquet(path)
 
 
 def swap_table(spark: SparkSession, df: DataFrame, path: str) -> None:

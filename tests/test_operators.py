@@ -280,3 +280,23 @@ def test_inventory_is_the_files(spark, tmp_path):
     spark.range(1000).repartition(3).write.parquet(str(tmp_path / "t"))
     got = {r.file: (r.records, r.bytes) for r in sources.inventory(spark.read.parquet(str(tmp_path / "t"))).collect()}
     assert {k: b for k, (_, b) in got.items()} == {f.name: f.stat().st_size for f in (tmp_path / "t").glob("*.parquet")} and sum(n for n, _ in got.values()) == 1000
+
+
+GOLDEN = [
+    ("this is a test", "this is a new test!!!", 85.5), ("this is a word", "THIS IS A WORD", 21.428571428571427), ("this is a test", "this is a new test", 95.0),
+    ("fuzzy wuzzy was a bear", "wuzzy fuzzy was a bear", 95.0), ("same", "same", 100.0), ("", "x", 0.0), ("abc", "xyz", 0.0),
+]
+
+
+@pytest.mark.parametrize("a,b,want", GOLDEN)
+def test_weighted_ratio_golden(a, b, want):
+    """Published values of the weighted ratio, and its corner cases."""
+    assert Z.weighted_ratio(a, b) == pytest.approx(want) and Z.weighted_ratio(b, a) == pytest.approx(want)
+    assert Z.most_ratio(a, b) >= want - 1e-9 if a and b else True
+
+
+def test_partitioned_table_splits_a_large_year(spark, tmp_path):
+    df = spark.range(3000).selectExpr("id", "cast(if(id % 3 = 0, 1990 + id % 7, 2000) as int) as anno")
+    sinks.write_table(df, str(tmp_path / "t"))
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.count() == 3000 and {p.name for p in (tmp_path / "t").iterdir() if p.is_dir()} == {f"anno={y}" for y in [*range(1990, 1997), 2000]}
