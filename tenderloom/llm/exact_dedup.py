@@ -24,6 +24,7 @@ from .shared import HOT_KEYS, cut, lookup, prepared_tasks
 
 RANK_BITS = 36
 BUCKETS = 1 << 20
+TASK_BYTES = 64 << 20
 LEVELS = 64
 
 
@@ -33,12 +34,12 @@ def lowered(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
-def with_names(rows: DataFrame, content: list[str], hot: DataFrame, buckets: int, spread: str) -> DataFrame:
+def with_names(rows: DataFrame, content: list[str], hot: DataFrame, buckets: int, spread: str, tasks: int) -> DataFrame:
     """rows with ``name``, one integer per distinct value of the content columns, instead of those columns.
 
     ``hot``: the content columns and ``hot_name`` of the most frequent values,
     HOT_KEYS rows at most.  ``spread``: a column that deals rows evenly which
-    already have their name.
+    already have their name.  ``tasks``: how many sort the buckets.
     """
     named = hot.select(*[F.col(c).alias(f"_h_{c}") for c in content], "hot_name")
     match = [F.col(c) == F.col(f"_h_{c}") for c in content]
@@ -49,6 +50,7 @@ def with_names(rows: DataFrame, content: list[str], hot: DataFrame, buckets: int
         F.pmod(F.when(F.col("hot_name").isNull(), F.xxhash64(*content)).otherwise(F.xxhash64(spread)), F.lit(buckets)).alias("bucket"),
         *[F.when(F.col("hot_name").isNull(), F.col(c)).alias(c) for c in content],
     )
+    out = out.repartition(tasks, "bucket")
     rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy(*content)).cast("long")
     name = F.coalesce("hot_name", F.shiftleft("bucket", RANK_BITS) + rank)
     return out.select(*[c for c in rows.columns if c not in content], name.alias("name"))
@@ -71,8 +73,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are ignored whatever their names.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    buckets = min(BUCKETS, prepared_tasks(spark) * 16)
     raw = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_raw"))
+    # enough tasks that each sorts about TASK_BYTES of text, whatever the session's setting
+    size = raw.agg(F.sum(F.octet_length("_raw"))).first()[0] or 0
+    tasks = max(prepared_tasks(spark), -(-size // TASK_BYTES))
+    buckets = min(BUCKETS, tasks * 16)
     group = block_chars * 64  # two steps, so that substring() doesn't start anew for each block of a very long text
 
     def blocks(df: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -91,7 +96,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     texts = raw.select("_id", lowered(F.col("_raw")).alias("_text"))
     rows = blocks(texts.withColumn("sha", F.sha2("_text", 256)), "_text", "_id", "sha")
-    named = cut(with_names(rows, ["block"], hot, buckets, "_id"))
+    named = cut(with_names(rows, ["block"], hot, buckets, "_id", tasks))
 
     one = named.filter("n_blocks = 1").select("_id", "sha", (F.col("name") * LEVELS).alias("identity")).distinct()
     open_ = named.filter("n_blocks > 1").groupBy("_id", "sha").agg(F.transform(F.array_sort(F.collect_set(F.struct("pos", "name"))), lambda x: x["name"]).alias("names"))
@@ -103,7 +108,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         pairs = open_.select("_id", "sha", (last + 1).alias("n"), F.posexplode(F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(F.get("names", i * 2).alias("a"), F.coalesce(F.get("names", i * 2 + 1), F.lit(-1).cast("long")).alias("b")))).alias("pos", "pair"))
         pairs = pairs.select("_id", "sha", "n", "pos", "pair.a", "pair.b")
         hot = hot_names(pairs.groupBy("a", "b").count(), ["a", "b"], buckets)
-        named = cut(with_names(pairs, ["a", "b"], hot, buckets, "_id"))
+        named = cut(with_names(pairs, ["a", "b"], hot, buckets, "_id", tasks))
         done.append(named.filter("n = 1").select("_id", "sha", (F.col("name") * LEVELS + level).alias("identity")))
         open_ = named.filter("n > 1").groupBy("_id", "sha").agg(F.transform(F.array_sort(F.collect_set(F.struct("pos", "name"))), lambda x: x["name"]).alias("names"))
     ids = done[0]
