@@ -1,5 +1,6 @@
 """op2, op3, op9, op10: formatting, transducers, packing, neighbours."""
 
+import os
 import random
 import struct
 import zlib
@@ -7,6 +8,7 @@ import zlib
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -231,14 +233,19 @@ def brute_nearest(ids, x, query, k=10):
     return [(int(ids[i]), float(d[i])) for i in order if np.isfinite(d[i])]
 
 
-def test_recall_and_distances(spark):
-    rows = duckdb.sql("SELECT vec_id, embedding FROM '/root/testdata/sf0.1/embeddings.parquet'").fetchall()
-    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.1", "/root/testdata/check_s", "/root/testdata/check_l"])
+def test_recall_and_distances(spark, folder):
+    """2,000, 10,000 and 51,000 vectors; the larger tables where they exist."""
+    if not os.path.exists(folder):
+        pytest.skip("no such tables here")
+    table = pq.read_table(f"{folder}/embeddings.parquet")
+    ids, x = table["vec_id"].to_numpy(), np.array(table["embedding"].to_pylist())
     out = {}
-    for r in queries.op10_nearest(spark, "/root/testdata/sf0.1").collect():
+    for r in queries.op10_nearest(spark, folder).collect():
         out.setdefault(r.query_id, []).append(r)
     hit = []
-    for q in np.flatnonzero(ids % 100 == 0):
+    assert set(out) == set(ids[ids % 100 == 0].tolist())
+    for q in np.flatnonzero(ids % 100 == 0)[:150]:
         want = brute_nearest(ids, x, q)
         got = sorted(out[ids[q]], key=lambda r: r["rank"])
         assert [r["rank"] for r in got] == list(range(1, 11))
