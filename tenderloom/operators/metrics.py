@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,35 +24,42 @@ def summary(df: DataFrame, keys: list[str], amount: str, digits: int = 2) -> Dat
     return keyed(df, *keys).groupBy(*keys).agg(F.count("*").alias("n"), F.round(F.coalesce(F.sum(amount), F.lit(0.0)), digits).alias("total"), F.round(F.avg(amount), 8).alias("mean"))
 
 
-def quantiles(df: DataFrame, value: str | Column, qs: list[float], accuracy: int = 100_000) -> DataFrame:
-    """One row: ``q``, the exact interpolated quantiles of a column; NULLs without values.
+def quantiles(df: DataFrame, value: str | Column, qs: list[float], keys: list[str] = [], accuracy: int = 100_000) -> DataFrame:  # noqa: B006
+    """Keys and ``q``, the exact interpolated quantiles of a column per key; without keys one row, NULLs without values.
 
-    Two passes, and no task holds all values: a sketch (a mergeable summary of
-    some ``accuracy`` entries) gives an interval around each quantile; then
-    rows are counted, those inside intervals by value, all others by gap.
-    Tables below 10 * accuracy rows are one interval.
+    Two passes, and no task holds all values of a group: a sketch (a mergeable
+    summary of some ``accuracy`` entries) gives an interval around each
+    quantile; then rows are counted, those inside intervals by value, all
+    others by gap.  Groups below 10 * accuracy rows are one interval.  Groups
+    without values have no row.
     """
     margin = 3.0 / accuracy
-    v = df.select((C(value) if isinstance(value, str) else value).cast("double").alias("v")).filter("v is not null")
+    own_keys = [f"_k{i}" for i in range(len(keys))]
+    v = df.select(*[C(k).alias(o) for k, o in zip(keys, own_keys)], (C(value) if isinstance(value, str) else value).cast("double").alias("v")).filter("v is not null")
     ends = [x for q in qs for x in (max(0.0, q - margin), min(1.0, q + margin))]
-    b = v.agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.percentile_approx("v", ends, accuracy).alias("b"))
+    b = v.groupBy(*own_keys).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.percentile_approx("v", ends, accuracy).alias("b"))
     few = C("n") < 10 * accuracy
-    b = b.select("n", *[F.when(few | F.lit(q <= margin), C("lo")).otherwise(C("b")[2 * i]).alias(f"lo{i}") for i, q in enumerate(qs)], *[F.when(few | F.lit(q >= 1 - margin), C("hi")).otherwise(C("b")[2 * i + 1]).alias(f"hi{i}") for i, q in enumerate(qs)])
+    b = b.select(*[C(o).alias(f"b{o}") for o in own_keys], "n", *[F.when(few | F.lit(q <= margin), C("lo")).otherwise(C("b")[2 * i]).alias(f"lo{i}") for i, q in enumerate(qs)], *[F.when(few | F.lit(q >= 1 - margin), C("hi")).otherwise(C("b")[2 * i + 1]).alias(f"hi{i}") for i, q in enumerate(qs)])
     inside, passed = F.lit(False), F.lit(0)
     for i in range(len(qs)):
         inside = inside | C("v").between(C(f"lo{i}"), C(f"hi{i}"))
         passed = passed + (C("v") >= C(f"lo{i}")).cast("int") + (C("v") > C(f"hi{i}")).cast("int")
-    g = v.crossJoin(F.broadcast(b)).groupBy(passed.alias("gap"), F.when(inside, C("v")).alias("own")).agg(F.count("*").alias("k"), F.min("v").alias("m"), F.max("n").alias("n"))
-    g = g.withColumn("until", F.sum("k").over(Window.orderBy("m")))  # values inside the intervals, and some gaps
+    v = v.join(b, reduce(and_, [C(o).eqNullSafe(C(f"b{o}")) for o in own_keys])) if keys else v.crossJoin(F.broadcast(b))
+    g = v.groupBy(*own_keys, passed.alias("gap"), F.when(inside, C("v")).alias("own")).agg(F.count("*").alias("k"), F.min("v").alias("m"), F.max("n").alias("n"))
+    g = g.withColumn("until", F.sum("k").over(Window.partitionBy(*own_keys).orderBy("m")))  # values inside the intervals, and some gaps
 
     def at(q: float) -> Column:
-        r = (F.max("n") - 1) * q
-        return F.floor(r), F.ceil(r), r - F.floor(r)
+        rank = (C("n") - 1) * q
+        low, high = (F.min(F.when(C("until") > f(rank), C("m"))) for f in (F.floor, F.ceil))
+        return low + F.max(rank - F.floor(rank)) * (high - low)
+
+    return g.groupBy(*own_keys).agg(F.array(*map(at, qs)).alias("q")).withColumnsRenamed(dict(zip(own_keys, keys)))
+
 
-    ranks = g.agg(*[x.alias(f"{name}{i}") for i, q in enumerate(qs) for name, x in zip("abr", at(q))])
-    g = g.crossJoin(F.broadcast(ranks))
-    low, high = (lambda i: F.min(F.when(C("until") > C(f"a{i}"), C("m")))), (lambda i: F.min(F.when(C("until") > C(f"b{i}"), C("m"))))
-    return g.agg(F.array(*[low(i) + F.max(f"r{i}") * (high(i) - low(i)) for i in range(len(qs))]).alias("q"))
+def with_quantiles(summary: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """``summary`` (a row per key) with ``q`` of ``quantiles``; NULL for keys without values."""
+    found = found.withColumnsRenamed({k: f"_{k}" for k in keys})
+    return summary.join(found, reduce(and_, [C(k).eqNullSafe(C(f"_{k}")) for k in keys]), "left").drop(*[f"_{k}" for k in keys])
 
 
 def beside(row: DataFrame, *others: DataFrame) -> DataFrame:
@@ -126,8 +136,8 @@ def described(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def five_numbers(df: DataFrame, key: str, value: str) -> DataFrame:
-    q = F.percentile(value, F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)]))
-    g = keyed(df, key).groupBy(key).agg(q.alias("q"))
+    df = keyed(df, key)
+    g = with_quantiles(df.select(key).distinct(), quantiles(df, value, [0.0, 0.25, 0.5, 0.75, 1.0], [key]), [key])
     return g.select(key, *[F.round(C("q")[i], 4).alias(n) for i, n in enumerate(("low", "q1", "mid", "q3", "high"))])
 
 

@@ -96,7 +96,9 @@ def ag11_described(spark, d):
 
 @query("t: SELECT CAST(quarter(award_date) AS INTEGER) AS quarter, count(*) AS n, round(sum(amount), 2) AS total, round(avg(discount), 4) AS mean, round(quantile_cont(discount, 0.5), 4) AS median FROM t GROUP BY 1")
 def ag12_quarters(spark, d):
-    return tenders(spark, d).groupBy(F.quarter("award_date").alias("quarter")).agg(F.count("*").alias("n"), F.round(F.sum("amount"), 2).alias("total"), F.round(F.avg("discount"), 4).alias("mean"), F.round(F.percentile("discount", F.lit(0.5)), 4).alias("median"))
+    t = tenders(spark, d).select(F.quarter("award_date").alias("quarter"), "amount", "discount")
+    g = t.groupBy("quarter").agg(F.count("*").alias("n"), F.round(F.sum("amount"), 2).alias("total"), F.round(F.avg("discount"), 4).alias("mean"))
+    return M.with_quantiles(g, M.quantiles(t, "discount", [0.5], ["quarter"]), ["quarter"]).select(*g.columns, F.round(C("q")[0], 4).alias("median"))
 
 
 @query("t: SELECT round(corr(offers, discount), 6) AS r FROM t")
@@ -141,7 +143,9 @@ def ag18_five_numbers(spark, d):
     SELECT year, count(*) AS n, count(s) AS available, round(count(s) / count(*), 6) AS availability, round(avg(s), 2) AS mean, round(quantile_cont(s, 0.5), 2) AS median FROM v GROUP BY year""")
 def ag19_discount_payload(spark, d):
     s = F.when(C("discount").between(0, 100), C("discount"))
-    return M.keyed(tenders(spark, d), "year").groupBy("year").agg(F.count("*").alias("n"), F.count(s).alias("available"), F.round(F.count(s) / F.count("*"), 6).alias("availability"), F.round(F.avg(s), 2).alias("mean"), F.round(F.percentile(s, F.lit(0.5)), 2).alias("median"))
+    t = M.keyed(tenders(spark, d), "year")
+    g = t.groupBy("year").agg(F.count("*").alias("n"), F.count(s).alias("available"), F.round(F.count(s) / F.count("*"), 6).alias("availability"), F.round(F.avg(s), 2).alias("mean"))
+    return M.with_quantiles(g, M.quantiles(t, s, [0.5], ["year"]), ["year"]).select(*g.columns, F.round(C("q")[0], 2).alias("median"))
 
 
 @query("n: SELECT CAST(year(award_date) AS INTEGER) AS year, count(*) FILTER (regexp_matches(upper(concat_ws(' ', procedure_raw, subject)), 'MINOR|PREZZO')) AS n FROM n GROUP BY 1")

@@ -262,8 +262,12 @@ def test_quantiles_are_exact(spark, accuracy):
     for n in (1, 2, 10, 11, 45, 300, 2000):
         values = [rng.choice([rng.gauss(0, 1), 1.5, rng.randint(0, 9)]) for _ in range(n)]
         df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(3)
-        assert M.quantiles(df, "v", qs, accuracy).first()["q"] == pytest.approx(np.quantile(values, qs).tolist(), abs=1e-12)
+        assert M.quantiles(df, "v", qs, accuracy=accuracy).first()["q"] == pytest.approx(np.quantile(values, qs).tolist(), abs=1e-12)
     assert M.quantiles(df.limit(0), "v", [0.5]).first()["q"] == [None]
+    groups = {"a": [1.0, 2.0, 2.0, 9.0], None: [4.0], "b": [rng.random() for _ in range(700)]}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs] + [("c", None)], "k string, v double")
+    got = {r["k"]: r["q"] for r in M.with_quantiles(df.select("k").distinct(), M.quantiles(df, "v", qs, ["k"], accuracy), ["k"]).collect()}
+    assert got.pop("c") is None and got == {k: pytest.approx(np.quantile(v, qs).tolist(), abs=1e-12) for k, v in groups.items()}
 
 
 @pytest.mark.parametrize("threshold", [55, 60, 80])
