@@ -93,21 +93,21 @@ def pl03_framework_table(spark, d):
     return P.framework_table(n.filter("id % 2 = 1"), history)
 
 
-@query("""n: WITH m AS (SELECT id, lpad(CAST(id % 700 AS VARCHAR), 5, '0') AS code, award_date AS d FROM n WHERE id % 3 = 0), r AS (SELECT lpad(CAST(id % 700 AS VARCHAR), 5, '0') AS code, min(subject) AS subject FROM n WHERE id % 5 = 0 GROUP BY 1),
-    a AS (SELECT lpad(CAST(id % 700 AS VARCHAR), 5, '0') AS code, round(award, 2) AS award FROM n WHERE id % 7 = 0)
+@query("""n: WITH m AS (SELECT id, lpad(CAST(id // 3 AS VARCHAR), 10, '0') AS code, award_date AS d FROM n), r AS (SELECT lpad(CAST(id // 3 AS VARCHAR), 10, '0') AS code, min(subject) AS subject FROM n GROUP BY 1),
+    a AS (SELECT lpad(CAST(id // 3 AS VARCHAR), 10, '0') AS code, round(award, 2) AS award FROM n)
     SELECT id, code, strftime(d, '%d/%m/%Y') AS data_verbale, subject, award FROM m LEFT JOIN r USING (code) LEFT JOIN a USING (code)""")
 def pl04_minutes_table(spark, d):
-    n = notices(spark, d).withColumn("code", F.lpad((C("id") % 700).cast("string"), 5, "0"))
-    registry = n.filter("id % 5 = 0").groupBy("code").agg(F.min("subject").alias("subject"))
-    awards = n.filter("id % 7 = 0").select("code", F.round("award", 2).alias("award"))
-    return P.minutes_table(registry, n.filter("id % 3 = 0").select("id", "code", C("award_date").alias("data_verbale")), awards)
+    """All notices as minutes; neighbours share a code, whose award rows multiply."""
+    n = notices(spark, d).withColumn("code", F.lpad(F.floor(C("id") / 3).cast("string"), 10, "0"))
+    registry = n.groupBy("code").agg(F.min("subject").alias("subject"))
+    return P.minutes_table(registry, n.select("id", "code", C("award_date").alias("data_verbale")), n.select("code", F.round("award", 2).alias("award")))
 
 
 @query("""n: WITH m AS (SELECT id, lpad(CAST(id // 2 AS VARCHAR), 10, '0') AS code, award_date AS d FROM n), r AS (SELECT code, min(s) AS subject FROM (SELECT lpad(CAST(id // 2 AS VARCHAR), 10, '0') AS code, CASE WHEN id % 5 = 0 THEN subject END AS s FROM n) GROUP BY 1),
     a AS (SELECT lpad(CAST(id // 2 AS VARCHAR), 10, '0') AS code, CASE WHEN id % 7 = 0 THEN round(award, 2) END AS award FROM n)
     SELECT id, code, strftime(d, '%d/%m/%Y') AS data_verbale, subject, award FROM m LEFT JOIN r USING (code) LEFT JOIN a USING (code)""")
 def pl08_minutes_of_all_notices(spark, d):
-    """pl04 with all notices as minutes; registry and awards have gaps in their columns."""
+    """As pl04; registry and awards have gaps in their columns."""
     n = notices(spark, d).withColumn("code", F.lpad(F.floor(C("id") / 2).cast("string"), 10, "0"))
     registry = n.groupBy("code").agg(F.min(F.when(C("id") % 5 == 0, C("subject"))).alias("subject"))
     awards = n.select("code", F.when(C("id") % 7 == 0, F.round("award", 2)).alias("award"))
@@ -120,7 +120,8 @@ def pl08_minutes_of_all_notices(spark, d):
         CASE WHEN date_diff('day', award_date, expiry) BETWEEN 1 AND 10949 THEN CAST(date_diff('day', award_date, expiry) AS INTEGER) END AS days, 'https://portale.example/' || code AS url FROM r LEFT JOIN a USING (code)""")
 def pl05_lighting_table(spark, d):
     n = notices(spark, d).withColumn("code", F.lpad(C("id").cast("string"), 10, "0"))
-    awards = n.filter("id % 2 = 0").select("code", "award", "award_date", F.date_add("award_date", (C("id") % 400).cast("int")).alias("expiry_date"))
+    gaps = lambda c, name: F.when(C("id") % 2 == 0, c).alias(name)
+    awards = n.select("code", gaps(C("award"), "award"), gaps(C("award_date"), "award_date"), gaps(F.date_add("award_date", (C("id") % 400).cast("int")), "expiry_date"))
     out = P.lighting_table(n.select("id", "code", "subject", "text", "base"), awards, "https://portale.example/")
     return out.select("id", "code", "edition", F.round("discount", 4).alias("discount"), "days", "url")
 
