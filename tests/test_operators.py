@@ -304,3 +304,18 @@ def test_partitioned_table_splits_a_large_year(spark, tmp_path):
     sinks.write_table(df, str(tmp_path / "t"))
     back = spark.read.parquet(str(tmp_path / "t"))
     assert back.count() == 3000 and {p.name for p in (tmp_path / "t").iterdir() if p.is_dir()} == {f"anno={y}" for y in [*range(1990, 1997), 2000]}
+
+
+def test_unified_row_is_enriched(spark):
+    """Golden values of the unified table's derived columns."""
+    names = "code_raw string, subject string, text string, award double, discount_raw string, award_date date, town_raw string, entity_raw string, procedure_raw string, kind_raw string, plant_raw string, duration_raw string"
+    rows = [
+        (" a1;b2", "s", "t", 100.0, "10,5 %", "2024-03-05", "TORINO", "COMUNE X", "PROCEDURA APERTA", "Works", "pubblica_illuminazione", "nan"),
+        ("C3", "s", "t", 2e10, "150%", "1980-01-01", "Ignota", None, "boh", None, None, None),
+    ]
+    df = spark.createDataFrame(rows, names.replace("date date", "date string")).withColumn("award_date", C("award_date").cast("date"))
+    one, two = P.unify([P.from_gazette(df)]).orderBy("cig").collect()
+    assert (one.cig, one.chiave, one.importo_aggiudicazione, one.sconto, one.anno) == ("A1", "A1", 100.0, 10.5, 2024)
+    assert (one.comune, one.regione, one.procedura, one.fonte, one.durata_appalto) == ("Torino", "Piemonte", "Procedura Aperta", "Gazzetta", None)
+    assert (two.cig, two.importo_aggiudicazione, two.sconto, two.data_aggiudicazione, two.anno, two.regione) == ("C3", None, None, None, None, None)
+    assert two.procedura == R.OTHER_PROCEDURE and two.ente_appaltante is None
