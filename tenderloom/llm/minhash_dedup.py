@@ -5,7 +5,9 @@ the shingle set, so two sets of similarity s agree in one with s**MINIMA.
 Documents are posted under each coordinate-value pair.  Candidates must agree
 in ``MATCHES`` coordinates at least: at s = 0.8 all but 1.3e-4 of pairs do, and
 above s = 0.85 all but 1e-6.  Hence the first COORDINATES - MATCHES + 1
-coordinates suffice for posting (prefix).  Candidates are confirmed on full sets.
+coordinates suffice for posting (prefix), and collisions are counted by merging
+a document's sorted lists, the longest of which are only probed (skip).
+Candidates are confirmed on full sets.
 
 What keeps the work in proportion to the documents:
 
@@ -29,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,25 +94,60 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def postings(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per coordinate (column) the places sorted by its value, and where the list of each place's own value begins and ends there."""
+    order = np.argsort(code, 0, kind="stable")
+    ranked = np.take_along_axis(code, order, 0)
+    new = np.ones(code.shape, bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    at = np.arange(len(code))[:, None]
+    start = np.maximum.accumulate(np.where(new, at, 0), 0)
+    last = np.ones(code.shape, bool)
+    last[:-1] = new[1:]
+    end = np.minimum.accumulate(np.where(last, at + 1, len(code))[::-1], 0)[::-1]
+    begin, until = np.empty_like(start), np.empty_like(end)
+    np.put_along_axis(begin, order, start, 0)
+    np.put_along_axis(until, order, end, 0)
+    return order, begin, until
+
+
+def collisions(lists: list[np.ndarray], least: int) -> np.ndarray:
+    """The places that at least ``least`` of the ascending lists hold, by skip merging.
+
+    The least - 1 longest lists are set aside: what they alone hold can't
+    reach the threshold.  The others are merged and counted; only what that
+    leaves is looked up in the long ones, by binary search, longest last.
+    """
+    lists = sorted(lists, key=len)
+    aside = max(0, least - 1)
+    short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
+    found, count = np.unique(np.concatenate(short), return_counts=True) if short else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    for k, one in enumerate(long):
+        open_ = count + len(long) - k >= least  # still within reach
+        found, count = found[open_], count[open_]
+        at = np.minimum(np.searchsorted(one, found), len(one) - 1)
+        count = count + (one[at] == found)
+    return found[count >= least]
+
+
 def cell_pairs(pos: int, side: np.ndarray, component: np.ndarray, n: np.ndarray, code: np.ndarray, sketch: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Candidate pairs (places) of one cell of a list: in different components, first together in this list, alike enough."""
     inside = not side.any()
     kinds, which = np.unique(component, return_inverse=True)
-    if len(kinds) < 2:
+    if len(kinds) < 2 or pos + MATCHES > COORDINATES:
         return []
     usual = which == np.bincount(which).argmax()
+    # all agree in coordinate pos; MATCHES - 1 further agreements come after it
+    order, begin, until = postings(code[:, pos + 1 :])
     out = []
-    place = np.arange(len(n))
     left = np.flatnonzero(~usual) if inside else np.flatnonzero(side == 0)
     for i in left.tolist():
-        other = (which != which[i]) & ((usual | (place > i)) if inside else (side == 1))
-        other &= np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent
-        b = np.flatnonzero(other)
-        if not len(b):
-            continue
-        same = code[b] == code[i]
-        b = b[(same.argmax(1) == pos) & (same.sum(1) >= MATCHES)]
+        b = collisions([order[x:y, c] for c, (x, y) in enumerate(zip(begin[i].tolist(), until[i].tolist()))], MATCHES - 1)
+        keep = (which[b] != which[i]) & ((usual[b] | (b > i)) if inside else (side[b] == 1))
+        keep &= np.minimum(n[b], n[i]) * 100 >= np.maximum(n[b], n[i]) * percent
+        b = b[keep]
         if len(b):
+            b = b[(code[b, :pos] != code[i, :pos]).all(1)]
             b = b[(sketch[b] == sketch[i]).sum(1) >= SKETCH_MATCHES]
             out += [(i, j) for j in b.tolist()]
     return out
@@ -129,7 +167,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of them as one; null, empty and blank texts have an empty set and no link.
     Two documents are linked if 100 * intersection >= percent * union;
     component_id is the smallest id reachable.  kept: id = component_id.  Ids
-    are longs >= 0; rows with one id are one node, and a row without id has no
+    are longs >= 0 (a negative one is an error); rows with one id are one node, and a row without id has no
     component, and is kept.  Other columns are ignored; an empty table gives
     an empty result.
     """
@@ -141,6 +179,8 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for batch in batches:
             if not batch.num_rows:
                 continue
+            if pc.min(batch.column(0)).as_py() is not None and pc.min(batch.column(0)).as_py() < 0:
+                raise ValueError("ids must not be negative")
             for lo, hi, sets in shingle_sets(batch.column(1), shingle_words):
                 some = [i for i, s in enumerate(sets) if len(s)]
                 codes = signatures([sets[i] for i in some]) if some else np.zeros((0, COORDINATES), np.int64)

@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tenderloom.llm import components as components_module
@@ -74,6 +75,34 @@ def test_near_dedup_equals_brute_force(docs_of, width):
     assert got == brute_components(ROWS, width)
 
 
+def test_collisions_equal_counting():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        lists = [np.sort(rng.choice(30, rng.integers(1, 20), replace=False)) for _ in range(rng.integers(1, 8))]
+        for least in (1, 2, 3, 5):
+            count = np.bincount(np.concatenate(lists), minlength=30)
+            assert near.collisions(lists, least).tolist() == np.flatnonzero(count >= least).tolist()
+
+
+def test_pairs_of_a_cell_equal_all_pairs(monkeypatch):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(near, "SKETCH_MATCHES", 0)
+    for inside in (True, False):
+        for pos in (0, 5, 17):
+            code = rng.integers(0, 3, (40, near.COORDINATES))
+            code[:, pos] = 7
+            code[:, :pos] += np.arange(40)[:, None] * rng.integers(0, 2, (40, 1)) * 5
+            component, n = rng.integers(0, 6, 40), rng.integers(90, 130, 40)
+            side = np.zeros(40, int) if inside else np.arange(40) % 2
+            got = {(min(p), max(p)) for p in near.cell_pairs(pos, side, component, n, code, np.zeros((40, 4), np.uint8), 80)}
+            want = set()
+            for i, j in itertools.combinations(range(40), 2):
+                same = code[i] == code[j]
+                if component[i] != component[j] and (inside or side[i] != side[j]) and min(n[i], n[j]) * 100 >= max(n[i], n[j]) * 80 and same.argmax() == pos and same.sum() >= near.MATCHES:
+                    want.add((i, j))
+            assert got == want and want
+
+
 @pytest.mark.parametrize("n", [1024, 2048])
 def test_words_that_polynomial_hashes_confuse(docs_of, n):
     """A Thue-Morse word and its complement have one value under every polynomial hash modulo 2**64 with an odd base."""
@@ -94,6 +123,8 @@ def test_near_dedup_edge_rows(docs_of, spark):
     assert sorted((r.doc_id, r.component_id, r.kept) for r in out if r.doc_id) == [(1, 1, True), (1, 1, True), (2, 1, False)]
     assert [r.kept for r in out if r.doc_id is None] == [True]
     assert minhash_dedup(docs_of(ROWS).limit(0)).count() == 0
+    with pytest.raises(Exception, match="negative"):
+        minhash_dedup(docs_of([(-1, "a b c d e"), (2, "x")]))
     assert {r.doc_id for r in drop_near_copies(docs_of([(1, "a b c d e f"), (3, "a b c d e f"), (2, None)])).collect()} == {1, 2}
 
 
