@@ -37,7 +37,7 @@ NO_SAMPLE = (2.5, 2.0, 1.5)
 SHARPNESS = 12.0
 NO_LANGUAGE = "und"
 BEGIN, END = "\x02", "\x03"
-PLACES = 1 << 20
+PLACES = 1 << 19
 
 # bytes that are no letters: ASCII without a-z; texts are lower-cased before
 OTHER = np.ones(256, bool)

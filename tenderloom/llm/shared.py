@@ -154,10 +154,10 @@ class SpanCache:
     encode: list of strings to list of lists of ids, at most one a byte.
     """
 
-    def __init__(self, encode, slots: int = 1 << 20):
+    def __init__(self, encode, slots: int = 1 << 19):
         self.encode, self.shift = encode, np.uint64(64 - (slots.bit_length() - 1))
         self.low, self.high = np.zeros(slots, np.uint64), np.zeros(slots, np.uint64)
-        self.begin, self.size = np.zeros(slots, np.int64), np.zeros(slots, np.int64)
+        self.begin, self.size = np.zeros(slots, np.int32), np.zeros(slots, np.uint8)  # SHORT ids at most
         self.flat, self.used = np.empty((SHORT + 1) * slots, np.uint32), 0
 
     def fresh(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,9 +169,9 @@ class SpanCache:
         """Drop the ids that no place holds any more, once they fill most of the room."""
         if self.used > len(self.flat) * 3 // 4:
             live = np.flatnonzero(self.size)
-            until = np.cumsum(self.size[live])
-            flat = expand(self.flat, self.begin[live], self.size[live])
-            self.begin[live], self.used = until - self.size[live], len(flat)
+            size = self.size[live].astype(np.int64)
+            flat = expand(self.flat, self.begin[live].astype(np.int64), size)
+            self.begin[live], self.used = np.cumsum(size) - size, len(flat)
             self.flat[: self.used] = flat
 
     def ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
