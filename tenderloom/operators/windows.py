@@ -1,7 +1,7 @@
 """Windows, outliers and pivots.
 
 A running total over a whole table would put all rows into one task; here it
-runs over sums by key, whose number a parameter bounds or a report lists.
+runs in ranges of the order (ordering.py).
 """
 
 from __future__ import annotations
@@ -10,29 +10,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .metrics import quantiles
+from .ordering import Ordered
 
 C = F.col
 
 
-def concentration_curve(df: DataFrame, key: str, amount: str, parts: int = 32) -> DataFrame:
-    """Rank, cumulative sum and cumulative percent of keys by value, in two distributed steps.
-
-    Keys are dealt to value ranges; a range's offset is the sum of those above
-    it (one row per range), and ranks and sums run inside ranges.
-    """
+def concentration_curve(df: DataFrame, key: str, amount: str) -> DataFrame:
+    """Rank, cumulative sum and cumulative percent of keys by falling value (ties: by key), see ``Ordered``."""
     g = df.filter(C(key).isNotNull()).groupBy(key).agg(F.sum(amount).alias("value"))
-    cuts = g.agg(F.percentile_approx("value", [i / parts for i in range(1, parts)], 10_000)).first()[0] or []
-    part = F.lit(0)
-    for c in sorted({*cuts}):
-        part = part + (C("value") < c).cast("int")
-    g = g.withColumn("_part", part)
-    sums = g.groupBy("_part").agg(F.sum("value").alias("s"), F.count("*").alias("k"))
-    above = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("_part", F.coalesce(F.sum("s").over(above), F.lit(0.0)).alias("_s"), F.coalesce(F.sum("k").over(above), F.lit(0)).alias("_k"), F.sum("s").over(Window.partitionBy(F.lit(0))).alias("_all"))
-    own = Window.partitionBy("_part").orderBy(F.desc("value"), key)
-    out = g.join(F.broadcast(sums), "_part")
-    run = F.sum("value").over(own.rowsBetween(Window.unboundedPreceding, 0)) + C("_s")
-    return out.select(key, "value", (F.row_number().over(own) + C("_k")).alias("rank"), run.alias("cumulative"), F.try_divide(run * 100, "_all").alias("percent"))
+    out = Ordered(g, [F.desc("value"), C(key)]).running(C("value"), "cumulative")
+    return out.select(key, "value", "rank", "cumulative", F.try_divide(C("cumulative") * 100, "cumulative_all").alias("percent"))
 
 
 def z_outliers(df: DataFrame, value: str, beyond: float = 3.0) -> DataFrame:
@@ -59,28 +46,3 @@ def extremes(df: DataFrame, key: str) -> DataFrame:
     """The most and the least frequent key; ties go to the smaller."""
     g = df.filter(C(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     return g.agg(F.max_by(key, F.struct("n", (-C(key)).alias("k"))).alias("most"), F.min_by(key, F.struct("n", key)).alias("least"))
-
-
-def ranked(df: DataFrame, key: Column, parts: int = 32, sample: int = 3200) -> DataFrame:
-    """All rows with their ``rank`` by falling key (nulls of a struct's fields last), sorted; keys are unique.
-
-    Rows are dealt to ranges of the key, whose bounds come from the rows with
-    the smallest hashes; a range's offset is the number of rows above it.
-    """
-    df = df.withColumn("_k", key)
-    kind = df.schema["_k"].dataType
-    few = sorted_keys(df.select("_k").orderBy(F.xxhash64("_k")).limit(sample))
-    cuts = few[len(few) // parts :: max(1, len(few) // parts)][: parts - 1]
-    part = F.lit(0)
-    for c in cuts:
-        part = part + (C("_k") < F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(c, kind.fields)])).cast("int")
-    df = df.withColumn("_part", part)
-    above = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = df.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy(F.desc("_k")))
-    out = df.withColumn("_r", rank).join(F.broadcast(offsets), "_part").withColumn("rank", C("_above") + C("_r"))
-    return out.drop("_k", "_part", "_r", "_above").orderBy("rank")
-
-
-def sorted_keys(df: DataFrame) -> list:
-    return df.agg(F.reverse(F.array_sort(F.collect_list("_k")))).first()[0]

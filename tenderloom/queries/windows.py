@@ -10,6 +10,7 @@ from ..operators import joins as J
 from ..operators import metrics as M
 from ..operators import search as Q
 from ..operators import windows as W
+from ..operators.ordering import Ordered, numbered
 from ..plans.bindings import notices, table, tenders
 from .registry import query
 
@@ -88,7 +89,7 @@ def sl01_sort_nulls_last(spark, d):
 @query("n: SELECT id, date_raw, row_number() OVER (ORDER BY date_raw DESC NULLS LAST, id) AS rank FROM n")
 def sl10_sort_all_nulls_last(spark, d):
     """The sort of sl01 over all rows, with ranks."""
-    return W.ranked(notices(spark, d).select("id", "date_raw"), F.struct("date_raw", (-C("id")).alias("id")))
+    return numbered(notices(spark, d).select("id", "date_raw"), [F.desc_nulls_last("date_raw"), C("id")]).orderBy("rank")
 
 
 @query("(SELECT o_orderkey AS id, o_totalprice AS v, 'top' AS side FROM orders ORDER BY v DESC, id LIMIT 10) UNION ALL (SELECT o_orderkey, o_totalprice, 'bottom' FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 10)")
@@ -102,6 +103,12 @@ def sl03_page(spark, d):
     return Q.page(table(spark, d, "orders").select(C("o_orderkey").alias("id"), C("o_totalprice").alias("v")), [F.desc("v"), C("id")], 3)
 
 
+@query("SELECT o_orderkey AS id, o_totalprice AS v, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders ORDER BY v DESC, id LIMIT 10 OFFSET 1000")
+def sl11_deep_page(spark, d):
+    """Page 101 of all orders, from the ranges that hold it."""
+    return Ordered(table(spark, d, "orders").select(C("o_orderkey").alias("id"), C("o_totalprice").alias("v")), [F.desc("v"), C("id")]).page(101, 10)
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY sha256(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 2000")
 def sl04_seeded_sample(spark, d):
     """2,000 rows, the same each time: those with the smallest hash of their key."""

@@ -13,6 +13,7 @@ from tenderloom.operators import fuzzy as Z
 from tenderloom.operators import metrics as M
 from tenderloom.operators import nested as N
 from tenderloom.operators import windows as W
+from tenderloom.operators.ordering import Ordered
 from tenderloom.plans import pipelines as P
 from tenderloom.functions import rules as R
 from tenderloom.sources import sinks, sources
@@ -56,12 +57,34 @@ def test_fill_forward_then_backward(spark):
 
 def test_concentration_curve_equals_plain_order(spark):
     df = spark.createDataFrame([(f"k{i}", float((i * 7) % 50)) for i in range(200)], "k string, v double")
-    rows = sorted(W.concentration_curve(df, "k", "v", parts=5).collect(), key=lambda r: r["rank"])
+    rows = sorted(W.concentration_curve(df, "k", "v").collect(), key=lambda r: r["rank"])
     assert [r["rank"] for r in rows] == list(range(1, 201))
     assert all(a.value >= b.value for a, b in zip(rows, rows[1:]))
     assert abs(rows[-1].percent - 100) < 1e-9
 
 
+def test_order_in_ranges(spark):
+    """A tenth of equal values, nulls and repeated rows; ranges share the equal values; pages at any depth read their ranges only."""
+    rows = [(i % 1000 if i % 10 else 7, i if i % 3 else None) for i in range(5000)] + [(7, 1)] * 20
+    df = spark.createDataFrame(rows, "v int, k int").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small ranges would be joined
+    order = Ordered(df, [F.desc_nulls_last("v"), F.asc_nulls_first("k")])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = sorted(rows, key=lambda r: (-r[0], r[1] is not None, r[1] or 0))
+    got = sorted(order.numbered().collect(), key=lambda r: r["rank"])
+    assert [r["rank"] for r in got] == list(range(1, len(rows) + 1)) and [(r.v, r.k) for r in got] == want
+    spread = {r["_part"]: r["n"] for r in order.rows.filter("v = 7").groupBy("_part").agg(F.count("*").alias("n")).collect()}
+    whole = {r["_part"]: r["_n"] for r in order.ranges().collect()}
+    assert sum(spread.values()) == 525 and max(whole.values()) < len(rows) / 2
+    run = sorted(order.running(C("v"), "run").collect(), key=lambda r: r["rank"])
+    assert [r.run for r in run] == np.cumsum([v for v, _ in want]).tolist() and {r.run_all for r in run} == {sum(v for v, _ in want)}
+    page = order.page(100, 50)
+    assert [(r.v, r.k) for r in page.collect()] == want[4950:5000] and len({f.split("_part=")[1].split("/")[0] for f in page.inputFiles()}) <= 2
+    assert order.page(102, 50).count() == 0 and [r["rank"] for r in order.page(101, 50).collect()] == list(range(5001, 5021))
+    empty = Ordered(df.limit(0), ["v"])
+    assert empty.numbered().count() == 0 and empty.page(1).count() == 0 and empty.running(C("v"), "run").count() == 0
+
+
 def test_sort_query_keeps_all_rows(spark):
     from compare import SMALL
 
