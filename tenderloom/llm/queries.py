@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .byte_bpe import decode_ranks, encode_ranks
 from .chat import format_chats, read_turns, unescaped
 from .exact_dedup import exact_dedup
 from .html_text import extract, learn_weights
@@ -17,6 +18,7 @@ from .minhash_dedup import minhash_dedup
 from .neighbours import nearest
 from .packing import pack
 from .quality import score_quality
+from .resampling import resample
 from .sentencepiece_fst import decode, encode
 from .substring_dedup import substring_dedup
 
@@ -89,7 +91,17 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_chat_formatting, op3_sentencepiece, op4_exact_dedup, op5_html_text, op6_quality, op7_language_id, op8_substring_dedup, op9_packing, op10_nearest)}
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decode_ranks(encode_ranks(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("text"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_chat_formatting, op3_sentencepiece, op4_exact_dedup, op5_html_text, op6_quality, op7_language_id, op8_substring_dedup, op9_packing, op10_nearest, op12_byte_bpe, op13_importance_resampling)}
 
 LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
