@@ -26,13 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SpanCache, edges, prepared_tasks, string_buffers, trimmed
+from .shared import SpanCache, edges, prepared_tasks, string_buffers, trimmed, windows
 
 SLICE = 1 << 21
 SLOTS = 1 << 20
 LETTER, NUMBER, SPACE, OTHER = range(4)
 # What an apostrophe joins to itself.
 SHORTENED = ("s", "t", "re", "ve", "m", "ll", "d")
+# Between an ASCII character that is no white space and a blank or line feed a pre-token ends, whatever stands around.
+VISIBLE, GAP = np.zeros(256, bool), np.zeros(256, bool)
+VISIBLE[0x21:0x7F] = GAP[[0x20, 0x0A]] = True
 
 
 class RankQueue:
@@ -208,33 +211,6 @@ def pre_tokens(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return lead[start]
 
 
-def windows(data: np.ndarray, offsets: np.ndarray, limit: int = SLICE) -> tuple[np.ndarray, np.ndarray]:
-    """The rows' bounds with further ones inside long rows, and which of the bounds are the rows' own.
-
-    A further bound lies between an ASCII character that is no white space and
-    a blank or line feed: there a pre-token ends, whatever stands around.
-    """
-    more = []
-    for a, b in zip(offsets[:-1][np.diff(offsets) > limit].tolist(), offsets[1:][np.diff(offsets) > limit].tolist()):
-        while b - a > limit:
-            near = np.zeros(0, np.int64)
-            at = a + limit
-            while at < b and not len(near):
-                part = data[at - 1 : min(b, at + (1 << 16))]
-                near = np.flatnonzero(((part[1:] == 0x20) | (part[1:] == 0x0A)) & (part[:-1] > 0x20) & (part[:-1] < 0x7F))
-                if len(near):
-                    at += int(near[0])
-                else:
-                    at += 1 << 16
-            if at >= b:
-                break
-            more.append(at)
-            a = at
-    every = np.concatenate([offsets, np.array(more, np.int64)])
-    order = np.argsort(every, kind="stable")
-    return every[order], np.argsort(order, kind="stable")[: len(offsets)]
-
-
 _vocabularies: dict[str, RankCache] = {}
 
 
@@ -249,7 +225,7 @@ def vocabulary(path: str) -> RankCache:
 def encoded(texts: pa.Array, ranks: RankCache, limit: int = SLICE) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts in order, and how many each has."""
     data, offsets = string_buffers(texts)
-    bounds, own = windows(data, offsets, limit)
+    bounds, own = windows(data, offsets, VISIBLE, GAP, limit)
     lo, parts, many = 0, [], [np.zeros(1, np.int64)]
     while lo < len(bounds) - 1:
         hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + limit, "right")) - 1)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from .byte_bpe import decode_ranks, encode_ranks
 from .chat import format_chats, read_turns, unescaped
+from .collocations import collocations
 from .exact_dedup import exact_dedup
 from .html_text import extract, learn_weights
 from .language_id import fit_languages, fold, identify
@@ -91,6 +92,10 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decode_ranks(encode_ranks(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -101,7 +106,7 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_chat_formatting, op3_sentencepiece, op4_exact_dedup, op5_html_text, op6_quality, op7_language_id, op8_substring_dedup, op9_packing, op10_nearest, op12_byte_bpe, op13_importance_resampling)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_chat_formatting, op3_sentencepiece, op4_exact_dedup, op5_html_text, op6_quality, op7_language_id, op8_substring_dedup, op9_packing, op10_nearest, op11_collocations, op12_byte_bpe, op13_importance_resampling)}
 
 LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -124,4 +129,21 @@ ORACLE = {
                    list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(ps, x[2])), lambda x: x[1]) END, ' ')) AS kept_sha256
         FROM d LEFT JOIN r USING (doc_id)
     """,
+    "op11_collocations": rf"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array({LOWER_AZ}, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents),
+        g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 5) AS r(k) WHERE len(w) >= k)),
+        f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+        n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+        c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+        s AS (SELECT c.lang, c.phrase, c.k, c.a, x.cut, h.a AS l, t.a AS r, ((2000000::HUGEINT * c.a) // (h.a::HUGEINT + t.a))::BIGINT AS score
+              FROM c JOIN range(1, 4) AS x(cut) ON x.cut < c.k
+              JOIN f h ON h.lang = c.lang AND h.k = x.cut AND h.phrase = array_to_string(c.w[1:x.cut], ' ')
+              JOIN f t ON t.lang = c.lang AND t.k = c.k - x.cut AND t.phrase = array_to_string(c.w[x.cut + 1:], ' ')),
+        b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        i AS (SELECT lang, array_to_string(w[y.i:y.i + z.m - 1], ' ') AS phrase, max(a) AS longer
+              FROM c JOIN range(2, 4) AS z(m) ON z.m < c.k JOIN range(1, 4) AS y(i) ON y.i + z.m - 1 <= c.k GROUP BY 1, 2),
+        q AS (SELECT b.lang, b.phrase, b.a, b.l, b.r, b.score, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank
+              FROM b LEFT JOIN i USING (lang, phrase) WHERE i.longer IS NULL OR 100::HUGEINT * i.longer < 80::HUGEINT * b.a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM q JOIN n USING (lang) WHERE rank <= 2000
+    """,
 }

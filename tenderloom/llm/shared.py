@@ -78,6 +78,28 @@ def slices(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int
         lo = hi
 
 
+def windows(data: np.ndarray, offsets: np.ndarray, before: np.ndarray, behind: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows' bounds with further ones inside rows of more than ``limit`` bytes, and which of the bounds are the rows' own.
+
+    A further bound lies where the tables (by byte) allow the byte before it
+    and the one behind; a row without such a place stays whole.
+    """
+    more, long = [], np.flatnonzero(np.diff(offsets) > limit)
+    for a, b in zip(offsets[long].tolist(), offsets[long + 1].tolist()):
+        at = a + limit
+        while at < b:
+            part = data[at - 1 : min(b, at + (1 << 16))]
+            near = np.flatnonzero(before[part[:-1]] & behind[part[1:]])
+            if len(near):
+                more.append(at + int(near[0]))
+                at = more[-1] + limit
+            else:
+                at += 1 << 16
+    every = np.concatenate([offsets, np.array(more, np.int64)])
+    order = np.argsort(every, kind="stable")
+    return every[order], np.argsort(order, kind="stable")[: len(offsets)]
+
+
 def words(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end (in ``data``) and row of every word of rows lo..hi."""
     a, b = int(offsets[lo]), int(offsets[hi])
