@@ -1,13 +1,13 @@
-"""Phrase mining: frequency-ranked ids, pairs counted in tiles, frequent pairs ranked again.
+"""Phrase mining: ids ranked by frequency, pairs counted in tiles, frequent pairs ranked again.
 
 Texts become blocks of word sequences.  A block knows its own distinct words;
-their counts are summed in Spark, the frequent ones are ranked by frequency
-(ordering.py), and each block is told the ids of those it has.  A pair of
-neighbouring ids is a cell of a matrix that is cut into square tiles: the few
-tiles where frequent ids meet are dense and counted by ``bincount``, what falls
-into the others as sorted coordinates.  Spark sums the cells of all blocks, a
-cell at most once a block, so no pair is hot.  Frequent pairs are ranked in turn
-and take the place of the ids: two neighbouring pairs that overlap are a phrase
+their counts are summed in Spark, and each block is told which of its words are
+frequent, with their ids and frequencies.  It ranks those by frequency.  A pair
+of neighbouring ranks is a cell of a matrix that is cut into square tiles: the
+few tiles where frequent ranks meet are dense and counted by ``bincount``, what
+falls into the others as sorted coordinates.  Spark sums the cells of all blocks;
+a block sends a cell once, so no pair is hot.  Frequent pairs get ids in turn and
+take the place of the words: two neighbouring pairs that overlap are a phrase
 of three words, two of those a phrase of four.  A phrase can only be frequent
 if both parts are, so sequences thin out from level to level.
 
@@ -27,13 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.ordering import numbered
 from .shared import BASES, LOWER, SHORT, lookup, mix, prepared_tasks, short_keys, slices, stored, string_buffers, trim, windows, words
 
 BLOCK = 8 << 20  # bytes of text
 BAND = 1024  # ids along a side of a tile
 DENSE = BAND * BAND // 8  # pairs from which a tile is counted cell by cell
-BLOCKS_AT_ONCE = 8  # in one Arrow batch
+BLOCKS_AT_ONCE = 4  # in one Arrow batch
 
 # What ends a piece, and what stands between words.
 BREAK = np.zeros(256, bool)
@@ -105,9 +104,9 @@ def pair_cells(x: np.ndarray, y: np.ndarray, m: int) -> tuple[np.ndarray, np.nda
     return np.concatenate([*left, cell // m]), np.concatenate([*right, cell % m]), np.concatenate([*many, count]), index
 
 
-def next_block(sequence: np.ndarray, at: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """From a block's sequence and the ids of its frequent numbers: the sequence of pairs, and the pairs (both ids, count)."""
-    order = np.argsort(ids)  # ranked by frequency, so that frequent ones share tiles
+def next_block(sequence: np.ndarray, at: np.ndarray, ids: np.ndarray, frequency: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """From a block's sequence and its frequent numbers, their ids and frequencies: the sequence of pairs, and the pairs (both ids, count)."""
+    order = np.lexsort((ids, -frequency))  # the most frequent first, so that they share tiles
     own = np.full(int(sequence.max(initial=-1)) + 2, -1, np.int64)  # the last place is what -1 reads
     own[at[order]] = np.arange(len(order))
     s = own[sequence]
@@ -166,14 +165,14 @@ def word_blocks(docs: DataFrame, text_col: str, lang_col: str, block: int = BLOC
 
 
 def pair_blocks(blocks: DataFrame, answers: DataFrame, last: bool) -> DataFrame:
-    """Rows (block, sequence, a, b, counts) of the blocks that have answers (block, answer: at, id); the last level needs no sequence."""
+    """Rows (block, sequence, a, b, counts) of the blocks that have answers (block, answer: at, id, f); the last level needs no sequence."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 answer = batch.column(2)[k].values
-                at, ids = (answer.field(c).to_numpy(zero_copy_only=False) for c in ("at", "id"))
-                sequence, a, b, many = next_block(opened(batch.column(1)[k].as_py()), at, ids)
+                own = [answer.field(c).to_numpy(zero_copy_only=False) for c in ("at", "id", "f")]
+                sequence, a, b, many = next_block(opened(batch.column(1)[k].as_py()), *own)
                 if len(a):
                     yield pa.record_batch([batch.column(0).slice(k, 1), pa.array([b"" if last else shut(sequence)]), *[pa.array([x]) for x in (a, b, many)]], ["block", "sequence", "a", "b", "counts"])
         trim()
@@ -182,6 +181,19 @@ def pair_blocks(blocks: DataFrame, answers: DataFrame, last: bool) -> DataFrame:
     return joined.mapInArrow(pairs, "block long, sequence binary, a array<long>, b array<long>, counts array<long>")
 
 
+def frequent(counts: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
+    """Of rows (block, at, keys, k) those whose key has k summed to ``least``: with f, that sum, id, a number of the key, and head, true in one row of each key.
+
+    One shuffle: a window sums, and the rows stay with it.  A key has a row a
+    block at most.  Rows come from a stored table, so that their own numbers,
+    of which a key takes the least, are the same if a task runs again.
+    """
+    w = Window.partitionBy(*keys)
+    out = counts.withColumn("_row", F.monotonically_increasing_id()).withColumns({"f": F.sum("k").over(w), "id": F.min("_row").over(w)})
+    out = out.filter(F.col("f") >= least).withColumn("head", F.col("_row") == F.col("id")).drop("_row", "k")
+    return stored(out, name)
+
+
 def with_parts(pairs: DataFrame, parts: DataFrame, side: str, names: dict[str, str]) -> DataFrame:
     """Pairs with columns of the part on one side; a part that very many pairs share is broadcast."""
     rows = pairs.groupBy(F.col(side).alias("id")).agg(F.count("*").alias("_rows"))
@@ -208,29 +220,24 @@ def candidates(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     blocks = stored(word_blocks(docs, text_col, lang_col), "word-blocks")
     totals = blocks.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y).alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
 
-    own = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "z")).select("block", "lang", "at", F.col("z.words").alias("phrase"), F.col("z.counts").alias("k"))
-    found = stored(own.groupBy("lang", "phrase").agg(F.sum("k").alias("f")).filter(F.col("f") >= least), "words")
-    level = numbered(found, [F.desc("f"), F.col("lang"), F.col("phrase")], "id")
-    level = stored(level.withColumns({"tail": F.col("phrase"), "heads": F.array("f"), "tails": F.array("f")}), "ranked-words")
-    told = own.join(level.select("lang", "phrase", "id"), ["lang", "phrase"])
+    own = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "z")).select("block", "at", "lang", F.col("z.words").alias("phrase"), F.col("z.counts").alias("k"))
+    found = frequent(own, ["lang", "phrase"], least, "words")
+    level = found.filter("head").select("id", "lang", "phrase", F.col("phrase").alias("tail"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"))
     levels = []
     for k in range(2, most_words + 1):
-        answers = told.groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias("answer"))
+        answers = found.groupBy("block").agg(F.collect_list(F.struct("at", "id", "f")).alias("answer"))
         with few_rows(spark, BLOCKS_AT_ONCE):
             blocks = stored(pair_blocks(blocks, answers, k == most_words), f"blocks-{k}")
-        cells = blocks.select(F.explode(F.arrays_zip("a", "b", "counts")).alias("z")).select("z.a", "z.b", F.col("z.counts").alias("k"))
-        found = stored(cells.groupBy("a", "b").agg(F.sum("k").alias("f")).filter(F.col("f") >= least), f"pairs-{k}")
-        pairs = stored(numbered(found, [F.desc("f"), F.col("a"), F.col("b")], "id"), f"ranked-{k}")
+        own = blocks.select("block", F.posexplode(F.arrays_zip("a", "b", "counts")).alias("at", "z")).select("block", "at", "z.a", "z.b", F.col("z.counts").alias("k"))
+        found = frequent(own, ["a", "b"], least, f"pairs-{k}")
+        pairs = found.filter("head").select("id", "a", "b", "f")
         inner = pairs.select(F.col("a").alias("id"), "f").unionByName(pairs.select(F.col("b").alias("id"), "f")).groupBy("id").agg(F.max("f").alias("within"))
         if k > 2:
             levels.append(level.join(inner, "id", "left"))
         out = with_parts(pairs, level, "a", {"lang": "lang", "phrase": "_front", "heads": "_heads"})
         out = with_parts(out, level, "b", {"tail": "_tail", "tails": "_tails"})
         phrase = F.concat_ws(" ", "_front", F.col("_tail"))
-        level = stored(out.select("id", "a", "b", "lang", phrase.alias("phrase"), F.col("_tail").alias("tail"), "f", *[F.concat(F.col(f"_{c}"), F.array("f")).alias(c) for c in ("heads", "tails")]), f"level-{k}")
-        if k < most_words:
-            own = blocks.select("block", F.posexplode(F.arrays_zip("a", "b")).alias("at", "z")).select("block", "at", "z.a", "z.b")
-            told = own.join(level.select("a", "b", "id"), ["a", "b"])
+        level = stored(out.select("id", "lang", phrase.alias("phrase"), F.col("_tail").alias("tail"), "f", *[F.concat(F.col(f"_{c}"), F.array("f")).alias(c) for c in ("heads", "tails")]), f"level-{k}")
     levels.append(level.withColumn("within", F.lit(None).cast("long")))
     return with_scores(levels).join(totals, "lang")
 
