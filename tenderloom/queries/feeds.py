@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..plans.bindings import notices, table
 from ..sources import sinks, sources
+from ..sources.archives import write_archives
 from ..streaming.incremental import month_of, shared_path
 from .nested import _base, _ocid, lot_code_records, releases
 from .registry import query
@@ -49,40 +48,36 @@ def src03_tolerant(spark, d):
 
 
 def archives(spark, d):
-    """Archives of about PER_FILE lot-code records of a month, one line of each broken."""
+    """A folder of archives of about PER_FILE lot-code records of a month each, one line of each broken."""
+    path = shared_path(spark, "archives")
     r = lot_code_records(spark, d)
     lines = r.select(F.substring("data_pubblicazione", 1, 7).alias("month"), F.to_json(F.struct(*r.columns)).alias("line"))
-
-    @F.pandas_udf(T.BinaryType())
-    def zipped(texts: pd.Series) -> pd.Series:
-        import io
-        import zipfile
-
-        def one(text):
-            out = io.BytesIO()
-            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-                z.writestr("records.json", text)
-            return out.getvalue()
-
-        return texts.map(one)
-
     text = F.concat(F.array_join(F.array_sort(F.collect_list("line")), "\n"), F.lit("\n{ broken"))
     files = lines.groupBy("month").agg(F.ceil(F.count("*") / PER_FILE).alias("files"))
     parts = lines.join(files, "month").withColumn("part", F.pmod(F.xxhash64("line"), C("files"))).groupBy("month", "part").agg(text.alias("text"))
-    return parts.select(F.concat(F.lit("cig_json_"), F.translate("month", "-", "_"), F.lit("_"), C("part").cast("string"), F.lit(".zip")).alias("path"), zipped("text").alias("content"))
+    name = F.concat(F.lit("cig_json_"), F.translate("month", "-", "_"), F.lit("_"), C("part").cast("string"), F.lit(".zip"))
+    write_archives(parts.select(name.alias("name"), F.lit("records.json").alias("member"), "text"), path)
+    return path
 
 
 @query("n: SELECT CAST(id AS VARCHAR) AS cpv, subject FROM n")
 def src04_zipped_lines(spark, d):
-    return sources.lot_codes(sources.unzipped(archives(spark, d))).select("cpv", C("oggetto_gara").alias("subject"))
+    return sources.read_lot_codes(spark, archives(spark, d)).select("cpv", C("oggetto_gara").alias("subject"))
 
 
 @query("n: SELECT strftime(award_date, '%Y-%m') AS month, count(*) AS n FROM n GROUP BY 1")
 def src05_archives_by_month(spark, d):
-    got = sources.lot_codes(sources.unzipped(archives(spark, d)))
+    got = sources.read_lot_codes(spark, archives(spark, d))
     return got.groupBy(month_of(C("source_file")).alias("month")).agg(F.count("*").alias("n"))
 
 
+@query("n: SELECT count(*) AS good, true AS one_bad_line_each FROM n")
+def src12_malformed_lines_of_archives(spark, d):
+    """Lines that are no records, counted per archive: each has one."""
+    got = sources.malformed_lines(sources.read_zipped_lines(spark, archives(spark, d), suffix=".json"))
+    return got.agg(F.sum(C("lines") - C("malformed")).alias("good"), F.every(C("malformed") == 1).alias("one_bad_line_each"))
+
+
 def written_registry(spark, d, part: int | None = None):
     path = shared_path(spark, "registry")
     n = notices(spark, d) if part is None else notices(spark, d).filter(C("id") % 2 == part)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..shipping import ship
+from .archives import member_lines, members_of
+from .packages import documents_of
 
 C = F.col
 
@@ -34,36 +36,35 @@ def release_schema() -> T.StructType:
 
 
 def read_releases(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per release with a tender, tagged with its file; unreadable files give no rows.
+    """One row per release with a tender, tagged with its file.
 
-    A package is one JSON document, so a file is one task: write the result
-    as Parquet once and work on that.
+    A file is read by as many tasks as Spark cuts it into (packages.py).  One
+    whose brackets or quotes don't close gives no rows, a release that can't be
+    parsed neither.
     """
-    schema = T.StructType([T.StructField("releases", T.ArrayType(release_schema())), T.StructField("_corrupt", T.StringType())])
-    packages = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    rows = packages.select(F.explode("releases").alias("r"), F.col("_metadata.file_name").alias("source_file"))
-    return rows.select("r.*", "source_file").filter(C("tender").isNotNull())
+    found, _ = documents_of(spark, path)
+    return found.filter("kind = 'package'").select(F.from_json("text", release_schema()).alias("r"), "source_file").filter(C("r.tender").isNotNull()).select("r.*", "source_file")
 
 
 def read_releases_tolerant(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per release from packages or bare releases, whole-file or line by line; bad lines come back in ``bad``.
 
-    A file is first read as one document; if that fails, as lines.
+    Files that are one document are read as such; the others, whose names the
+    driver lists, as lines, each a package or a bare release.
     """
-    package = f"struct<releases:array<struct<{_fields(RELEASE)}>>>"
-    files = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_name").alias("source_file"))
-
-    def parsed(df: DataFrame) -> DataFrame:
-        p, r = F.from_json("value", package), F.from_json("value", f"struct<{_fields(RELEASE)}>")
-        bare = F.when(r["tender"].isNotNull() | r["buyer"].isNotNull() | r["awards"].isNotNull(), F.array(r))
-        return df.withColumn("found", F.coalesce(p["releases"], bare))
-
-    whole = parsed(files)
-    lines = whole.filter("found is null").select(F.explode(F.split("value", r"\r?\n")).alias("value"), "source_file").filter(F.trim("value") != "")
-    lines = parsed(lines)
-    good = whole.filter("found is not null").unionByName(lines.filter("found is not null")).select(F.explode("found").alias("r"), "source_file", F.lit(None).cast("string").alias("bad"))
-    bad = lines.filter("found is null").select(F.lit(None).cast(release_schema()).alias("r"), "source_file", C("value").alias("bad"))
-    return good.unionByName(bad).select("r.*", "source_file", "bad")
+    found, files = documents_of(spark, path)
+    own = F.from_json("text", release_schema())
+    some = C("r.tender").isNotNull() | C("r.buyer").isNotNull() | C("r.awards").isNotNull()
+    good = found.select(own.alias("r"), "source_file", "kind").filter((C("kind") == "package") | some).select("r.*", "source_file", F.lit(None).cast("string").alias("bad"))
+    as_lines = [r["path"] for r in files.filter("kind = 'lines'").select("path").collect()]
+    if not as_lines:
+        return good
+    lines = spark.read.text(as_lines).select("value", F.xxhash64("_metadata.file_path").alias("file")).filter(F.trim("value") != "")
+    lines = lines.join(F.broadcast(files.filter("kind = 'lines'").select("file", "source_file")), "file").drop("file")
+    package, bare = F.from_json("value", f"struct<releases:array<struct<{_fields(RELEASE)}>>>")["releases"], F.from_json("value", f"struct<{_fields(RELEASE)}>")
+    bare = F.when(bare["tender"].isNotNull() | bare["buyer"].isNotNull() | bare["awards"].isNotNull(), F.array(bare))
+    lines = lines.withColumn("found", F.coalesce(package, bare)).withColumn("bad", F.when(C("found").isNull(), C("value")))
+    return good.unionByName(lines.select(F.explode_outer("found").alias("r"), "source_file", "bad").filter(C("r").isNotNull() | C("bad").isNotNull()).select("r.*", "source_file", "bad"))
 
 
 def _fields(ddl: str) -> str:
@@ -78,45 +79,23 @@ def _fields(ddl: str) -> str:
     return ", ".join(out)
 
 
-def read_zipped_lines(spark: SparkSession, path: str | list[str], pattern: str = "*.zip") -> DataFrame:
-    """file, member, line of every text member of ZIP archives; undecodable bytes are replaced.
+def read_zipped_lines(spark: SparkSession, path: str | list[str], pattern: str = "*.zip", suffix: str = "") -> DataFrame:
+    """file, member, line of the members of ZIP archives whose name ends with ``suffix``; undecodable bytes are replaced.
 
-    An archive is one task; its members are streamed line by line.
+    A member is one task at least, and is inflated as it is read (archives.py).
     """
-    return unzipped(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content"))
-
-
-def unzipped(files: DataFrame) -> DataFrame:
-    """file, member, line from a frame of ``path`` and ``content``; what is no archive gives no rows."""
-    ship(files.sparkSession)
-
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
-        import zipfile
-
-        for batch in batches:
-            for file, content in zip(batch["path"], batch["content"]):
-                try:
-                    archive = zipfile.ZipFile(io.BytesIO(content))
-                except zipfile.BadZipFile:
-                    continue
-                for member in archive.namelist():
-                    rows = []
-                    with archive.open(member) as f:
-                        for raw in f:
-                            rows.append(raw.decode("utf-8", "replace").rstrip("\r\n"))
-                            if len(rows) == 10_000:
-                                yield pd.DataFrame({"file": file.rsplit("/", 1)[-1], "member": member, "line": rows})
-                                rows = []
-                    if rows:
-                        yield pd.DataFrame({"file": file.rsplit("/", 1)[-1], "member": member, "line": rows})
-
-    return files.mapInPandas(lines, "file string, member string, line string")
+    return member_lines(members_of(spark, path, pattern, suffix))
 
 
 def read_lot_codes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lot-code records from NDJSON in ZIP archives; malformed lines are skipped."""
-    return lot_codes(read_zipped_lines(spark, path))
+    return lot_codes(read_zipped_lines(spark, path, suffix=".json"))
+
+
+def malformed_lines(lines: DataFrame) -> DataFrame:
+    """Per file: how many lines its members have, and how many of them are no JSON objects."""
+    broken = F.try_parse_json("line").isNull()
+    return lines.filter(F.trim("line") != "").groupBy("file").agg(F.count("*").alias("lines"), F.count_if(broken | ~F.ltrim("line").startswith("{")).alias("malformed"))
 
 
 def lot_codes(lines: DataFrame) -> DataFrame:
@@ -151,11 +130,37 @@ def section_links(pages: DataFrame, id_col: str, html_col: str, marker: str, hea
     return parts.select(id_col, "section", F.array_distinct(F.regexp_extract_all("part", F.lit('href="([^"]*)"'), 1)).alias("links"))
 
 
+def tag_blocks(html: str | None, tag: str) -> list[str]:
+    """What stands inside each element of a tag, by where it begins: nested ones too, one that is never closed up to the end.
+
+    Tags in comments, scripts and styles don't count, nor do closing tags without
+    an open element.
+    """
+    if not html:
+        return []
+    pattern = re.compile(rf"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I | re.S)
+    found, open_ = [], []
+    for m in pattern.finditer(html):
+        if m[2] == "":
+            open_.append(len(found))
+            found.append((m.end(), len(html)))
+        elif m[2] and open_:
+            at = open_.pop()
+            found[at] = (found[at][0], m.start())
+    return [html[a:b] for a, b in found]
+
+
 def html_blocks(pages: DataFrame, id_col: str, html_col: str, tag: str, keep: str) -> DataFrame:
-    """Text and first link of each block of a tag, where the text matches ``keep``."""
+    """Text and first link of each block of a tag (see ``tag_blocks``), where the text matches ``keep``."""
     from ..functions.scalars import strip_tags
 
-    blocks = pages.select(id_col, F.posexplode(F.regexp_extract_all(html_col, F.lit(rf"(?s)<{tag}[^>]*>(.*?)</{tag}>"), 1)).alias("block", "raw"))
+    ship(pages.sparkSession)
+
+    @F.pandas_udf("array<string>")
+    def found(html: pd.Series) -> pd.Series:
+        return html.map(lambda x: tag_blocks(x, tag))
+
+    blocks = pages.select(id_col, F.posexplode(found(html_col)).alias("block", "raw"))
     rows = blocks.select(id_col, "block", strip_tags(C("raw")).alias("text"), F.nullif(F.regexp_extract("raw", 'href="([^"]*)"', 1), F.lit("")).alias("link"))
     return rows.filter(C("text").rlike(keep))
 
