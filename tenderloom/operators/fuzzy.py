@@ -2,16 +2,17 @@
 
 Similarity is a weighted ratio over longest common subsequences: the full
 ratio, the best-window ratio and the ratios of sorted and of shared words,
-each scaled by how far the lengths differ.  Candidates share a word or a
-leading part with the name (blocking), which can miss pairs that a full scan
-finds; the Levenshtein form has a blocking that misses none.  Every word blocks:
-the names of a common one are dealt over a grid of cells.
+each scaled by how far the lengths differ.  Candidates share a key with the
+name (blocking).  The keys lose no pair that a full scan finds: each way in
+which two names can reach the threshold leaves something rare in common, which
+``weighted_pairs`` and ``gram_keys`` derive.  The names of a common key are dealt
+over a grid of cells.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions import rules as R
 from ..shipping import ship
+from .interim import stored
 
 C = F.col
 #: About so many names a side meet in one cell of a block; a block with more is dealt over several cells.
@@ -185,19 +187,167 @@ def gram_keys(names: DataFrame, norm: str, threshold: float) -> DataFrame:
     return names.join(pairs, "name", "left").withColumn("keys", keys).drop("pairs")
 
 
+PART = 4  # letters of a part of the shorter name that must lie in the longer one
+
+
+def _length(c: str) -> Column:
+    return F.char_length(c)
+
+
+def _far(a: str, b: str) -> Column:
+    return F.greatest(_length(a), _length(b)) / F.least(_length(a), _length(b))
+
+
+def _grams(text: Column, n: int) -> Column:
+    """All runs of n characters."""
+    return F.when(F.char_length(text) >= n, F.transform(F.sequence(F.lit(1), F.char_length(text) - (n - 1)), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
+
+def _inside_words(words: Column, n: int) -> Column:
+    return F.flatten(F.transform(words, lambda x: _grams(x, n)))
+
+
+def _combined(bands: Column, grams: Column) -> Column:
+    return F.flatten(F.transform(bands, lambda b: F.transform(grams, lambda g: F.concat_ws("|", F.lit("p"), b.cast("string"), g))))
+
+
+def _rarest(items: DataFrame, item: str, weight: str, spared: Column, by: list[str]) -> DataFrame:
+    """``by`` and ``own``: of each row's items the rarest, but for so many frequent ones as weigh less than ``spared``.
+
+    Frequency is the number of rows with an item, and of equally frequent ones
+    the greater goes first, alike in all rows.
+    """
+    frequency = items.groupBy(item).agg(F.count("*").alias("_f"))
+    w = Window.partitionBy(*by).orderBy(F.desc("_f"), F.desc(item))
+    kept = items.join(frequency, item).withColumn("_until", F.sum(weight).over(w)).filter(C("_until") >= spared)
+    return kept.groupBy(*by).agg(F.collect_set(item).alias("own"))
+
+
+def order_keys(names: DataFrame, threshold: float) -> DataFrame:
+    """(name, norm, side) with ``keys``: pairs whose texts reach the threshold as a whole, in whatever order of words, share one.
+
+    With lengths a and b and a common subsequence of l letters, a - l letters
+    of the first go and b - l come in.  One that goes touches two letter pairs,
+    one that comes in parts one; pairs inside words don't depend on the words'
+    order.  l >= (a + b) * threshold / 200, so a bounded part of a's pairs
+    goes, whatever b is, and the rest is in common.  Names with so short words
+    that none need be left share their length instead.
+    """
+    t = threshold / 200
+    least, most = t / (1 - t), (1 - t) / t
+    lost = (2 - 3 * t) + least * (1 - 3 * t)
+    none = F.array().cast("array<string>")
+    words = F.split("form", " ")
+    forms = names.select("name", "norm", "side", F.explode(F.array_distinct(F.array("norm", F.array_join(F.array_distinct(F.split("norm", " ")), " ")))).alias("form"))
+    forms = forms.withColumn("pairs", _inside_words(words, 2)).withColumn("left", F.ceil(F.size("pairs") - _length("form") * lost - 1e-9))
+    one = forms.select("name", "form", "left", F.explode("pairs").alias("gram")).groupBy("name", "form", "left", "gram").agg(F.count("*").alias("k"))
+    out = forms.join(_rarest(one, "gram", "k", C("left"), ["name", "form"]), ["name", "form"], "left")
+    band = lambda n: F.floor(F.log(n) / F.log(F.lit(most)) + 1e-9)
+    near = F.when(C("side") == 0, F.array(band(_length("form")))).otherwise(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: band(_length("form")) + i))
+    # names without pairs that must be left: by length, against all names of the other side
+    span = F.sequence(F.ceil(_length("form") * least - 1e-9), F.floor(_length("form") * most + 1e-9))
+    tags = [F.when(C("side") == 0, F.lit(x)).otherwise(F.lit(y)) for x, y in (("s", "t"), ("t", "s"))]
+    short = F.when(C("left") <= 0, F.transform(span, lambda n: F.concat(tags[0], n.cast("string")))).otherwise(none)
+    keys = F.concat(_combined(near, F.coalesce("own", none)), short, F.array(F.concat(tags[1], _length("form").cast("string"))))
+    return out.withColumn("keys", keys).groupBy("name", "norm", "side").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"))
+
+
+def word_keys(names: DataFrame, threshold: float) -> DataFrame:
+    """``names`` with ``keys``: two names whose shared words make up enough of one of them share one.
+
+    Shared words against those and the rest of a name: their ratio follows
+    from lengths, and says which part of the name's letters and blanks may be
+    missing.  A name's rarest words beyond that part are looked up among all words
+    of the other, both ways.
+    """
+    t = threshold / 200
+    missing = 1 - t / (1 - t)
+    one = names.select("name", F.explode(F.array_distinct(F.split("norm", " "))).alias("word")).withColumn("weight", _length("word") + 1)
+    total = one.groupBy("name").agg(F.sum("weight").alias("total"))
+    # frequent words are spared as long as they, with all rarer ones missing, would not be enough
+    rare = _rarest(one.join(total, "name"), "word", "weight", C("total") * (1 - missing) - 1e-9, ["name"])
+    words = F.array_distinct(F.split("norm", " "))
+    tags = [F.when(C("side") == 0, F.lit(x)).otherwise(F.lit(y)) for x, y in (("u", "v"), ("v", "u"))]
+    tag = lambda k, c: F.transform(c, lambda x: F.concat(tags[k], x))
+    out = names.join(rare, "name", "left")
+    return out.withColumn("keys", F.concat(tag(0, F.coalesce("own", F.array().cast("array<string>"))), tag(1, words))).drop("own")
+
+
+def part_keys(names: DataFrame, text: Column, threshold: float) -> DataFrame:
+    """``names`` with ``keys``: a text and a much longer one, a window of which reaches the threshold against it, share one.
+
+    No more than 2 * length * (1 - threshold / 100) letters go or come in, each
+    in one of as many parts of the shorter text and one more, so that a part
+    lies unchanged in the longer one.  Of each part its rarest run of letters is
+    looked up among all runs of the other's, both ways.
+    """
+    t = names.withColumn("_t", text)
+    parts = F.floor(2 * _length("_t") * (1 - threshold / 100) + 1e-9) + 1
+    at = lambda k: F.floor(_length("_t") * k / parts)
+    pieces = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda k: F.struct(k.alias("k"), F.substring(C("_t"), (at(k) + 1).cast("int"), (at(k + 1) - at(k)).cast("int")).alias("piece")))
+    runs = F.array_distinct(F.concat(*[_grams(C("_t"), n) for n in range(1, PART + 1)]))
+    frequency = t.select(F.explode(runs).alias("gram")).groupBy("gram").agg(F.count("*").alias("f"))
+    one = t.filter(_length("_t") > 0).select("name", F.explode(pieces).alias("p")).select("name", "p.k", "p.piece")
+    own = F.when(_length("piece") <= PART, F.array("piece")).otherwise(_grams(C("piece"), PART))
+    rare = one.select("name", "k", F.explode(own).alias("gram")).join(frequency, "gram").groupBy("name", "k").agg(F.min_by("gram", F.struct("f", "gram")).alias("gram"))
+    rare = rare.groupBy("name").agg(F.collect_set("gram").alias("own"))
+    tags = [F.when(C("side") == 0, F.lit(x)).otherwise(F.lit(y)) for x, y in (("s", "l"), ("l", "s"))]
+    tag = lambda k, c: F.transform(c, lambda x: F.concat(tags[k], x))
+    return t.join(rare, "name", "left").withColumn("keys", F.concat(tag(0, F.coalesce("own", F.array().cast("array<string>"))), tag(1, runs))).drop("own", "_t")
+
+
+def weighted_pairs(counts: DataFrame, min_occurrences: int, threshold: float) -> DataFrame:
+    """All pairs of a rare name and the frequent name that is best for it under the weighted ratio, and others, each with (name, norm, candidate, c_n, c_norm).
+
+    Below 1.5 times the length: texts as a whole (``order_keys``), or shared
+    words (``word_keys``).  From there to 8 times: the window ratio
+    (``part_keys``), of texts or of their sorted words; and a shared word
+    alone, which is worth the same in all names, so that of those with
+    one word and length only the most frequent one can be best.  Beyond
+    8 times nothing reaches a threshold above 80.
+    """
+    if threshold <= 80:
+        raise ValueError("the weighted ratio has keys for thresholds above 80")
+    names = counts.filter(C("norm") != "").withColumn("side", (C("n") >= min_occurrences).cast("int"))
+
+    def met(keyed: DataFrame, near: Column) -> DataFrame:
+        left = keyed.filter("side = 0").select("name", "norm", "keys")
+        right = keyed.filter("side = 1").select(C("name").alias("candidate"), C("n").alias("c_n"), C("norm").alias("c_norm"), C("keys").alias("c_keys"))
+        return block_pairs(left, right).filter(near).select("name", "norm", "candidate", "c_n", "c_norm")
+
+    like, long = _far("norm", "c_norm") < 1.5, (_far("norm", "c_norm") >= 1.5) & (_far("norm", "c_norm") <= 8)
+    by = names.select("name", "n")
+    out = [met(order_keys(names, threshold).join(by, "name"), like)]
+    if threshold <= 95:
+        out.append(met(word_keys(names, threshold / 0.95), like))
+    if threshold <= 90:
+        out.append(met(part_keys(names, C("norm"), threshold / 0.9), long))
+    if threshold <= 85.5:
+        ordered = F.array_join(F.array_sort(F.split("norm", " ")), " ")
+        out.append(met(part_keys(names, ordered, threshold / 0.855), long))
+        words = F.array_distinct(F.split("norm", " "))
+        one = names.filter("side = 1").select("name", "n", "norm", F.explode(words).alias("word"))
+        best = one.groupBy("word", _length("norm").alias("size")).agg(F.min(F.struct((-C("n")).alias("m"), "name", "norm")).alias("b"))
+        best = best.groupBy(C("b.name").alias("name"), (-C("b.m")).alias("n"), C("b.norm").alias("norm")).agg(F.collect_set("word").alias("keys")).withColumn("side", F.lit(1))
+        rare = names.filter("side = 0").select("name", "n", "norm", words.alias("keys"), "side")
+        out.append(met(rare.unionByName(best), long))
+    return reduce(DataFrame.unionByName, out)
+
+
 def canonical(df: DataFrame, name: str, threshold: float = 90, min_occurrences: int = 2, blocked: bool | str = True, score=None) -> DataFrame:
     """name -> canonical, one row per distinct name.
 
     Names that occur ``min_occurrences`` times are their own canonical form
     and the candidates for the rest.  Best score wins, then count, then name.
-    blocked: True for words and leading parts, "grams" for ``gram_keys``
-    (loses nothing under ``levenshtein_ratio``), False for all pairs of small
-    tables.
+    blocked: True for ``weighted_pairs`` (loses nothing under the weighted
+    ratio above 80; below, words and leading parts are the keys, which can miss
+    pairs), "grams" for ``gram_keys`` (the same for
+    ``levenshtein_ratio``), False for all pairs of small tables.
     """
     ship(df.sparkSession)
     score = score or similarity(threshold)
     counts = df.filter(C(name).isNotNull() & (F.trim(name) != "") & ~F.lower(name).isin("nan", "none")).groupBy(C(name).alias("name")).agg(F.count("*").alias("n"))
-    counts = counts.withColumn("norm", comparable(C("name")))
+    counts = stored(counts.withColumn("norm", comparable(C("name"))), "names")  # keys ask for it many times
     frequent = counts.filter(C("n") >= min_occurrences)
     rare = counts.filter(C("n") < min_occurrences)
     f = frequent.select(C("name").alias("candidate"), C("n").alias("c_n"), C("norm").alias("c_norm"))
@@ -206,6 +356,8 @@ def canonical(df: DataFrame, name: str, threshold: float = 90, min_occurrences:
         near = F.abs(F.char_length("norm") - F.char_length("c_norm")) <= (1 - threshold / 100 + 1e-9) * F.greatest(F.char_length("norm"), F.char_length("c_norm"))
         f = keyed.filter(C("n") >= min_occurrences).select(C("name").alias("candidate"), C("n").alias("c_n"), C("norm").alias("c_norm"), C("keys").alias("c_keys"))
         pairs = block_pairs(keyed.filter(C("n") < min_occurrences).select("name", "norm", "keys"), f).filter(near)
+    elif blocked and threshold > 80:
+        pairs = weighted_pairs(counts, min_occurrences, threshold)
     elif blocked:
         keys = lambda c: F.array_distinct(F.concat(F.filter(F.split(c, " "), lambda w: F.length(w) > 2), F.array(F.concat(F.lit("^"), F.substring(c, 1, 4)))))
         pairs = block_pairs(rare.select("name", "norm", keys(C("norm")).alias("keys")), f.withColumn("c_keys", keys(C("c_norm"))))
