@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from .interim import stored
+from .joins import looked_up
 
 C = F.col
 
@@ -70,7 +72,11 @@ def beside(row: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def headline(df: DataFrame, amount: str, discount: str, offers: str, buyer: str, supplier: str, key: str) -> DataFrame:
-    """All headline figures: plain sums, distinct counts and the median come from aggregates of their own, since distinct counts multiply rows."""
+    """All headline figures: plain sums, distinct counts and the median come from aggregates of their own, since distinct counts multiply rows.
+
+    ``df`` runs once: its six columns are stored for the aggregates.
+    """
+    df = stored(df.select(amount, discount, offers, buyer, supplier, key), "headline")
     plain = df.agg(
         F.count("*").alias("n"),
         F.round(F.coalesce(F.sum(amount), F.lit(0.0)), 2).alias("total"),
@@ -84,6 +90,12 @@ def headline(df: DataFrame, amount: str, discount: str, offers: str, buyer: str,
     return out.select("n", "total", "mean_discount", "mean_offers", "buyers", "suppliers", "keys", "median", "largest")
 
 
+def town_map(df: DataFrame, town: str, amount: str, discount: str, kind: str) -> DataFrame:
+    """Per town with a known place: rows, value, mean discount, most frequent kind (the least of several), latitude and longitude."""
+    g = keyed(df, town).groupBy(F.upper(F.trim(town)).alias("town")).agg(F.count("*").alias("n"), F.round(F.coalesce(F.sum(amount), F.lit(0.0)), 2).alias("total"), F.round(F.avg(discount), 4).alias("mean_discount"), F.mode(kind, True).alias("kind"))
+    return looked_up(g, C("town"), R.TOWN_POINT, "lat", "lon").filter(C("lat").isNotNull())
+
+
 def min_max_scaled(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     """Each column to 0..1 over all rows; NULL where all are equal.  The extremes are one aggregated row."""
     ends = df.agg(*[f(c).alias(f"_{n}_{c}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))])
@@ -127,7 +139,8 @@ def modes(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def described(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row per column and statistic."""
+    """One row per column and statistic.  ``df`` runs once: its columns are stored."""
+    df = stored(df.select(*cols), "described")
     stats = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     row = df.agg(*[F.round(f(c), 4).alias(f"{c}__{n}") for c in cols for n, f in stats.items()])
     row = beside(row, *[quantiles(df, c, [0.5]).select(F.round(C("q")[0], 4).alias(f"{c}__median")) for c in cols])
@@ -136,7 +149,8 @@ def described(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def five_numbers(df: DataFrame, key: str, value: str) -> DataFrame:
-    df = keyed(df, key)
+    """Extremes and quartiles per key.  ``df`` runs once: both columns are stored."""
+    df = stored(keyed(df, key).select(key, value), "five_numbers")
     g = with_quantiles(df.select(key).distinct(), quantiles(df, value, [0.0, 0.25, 0.5, 0.75, 1.0], [key]), [key])
     return g.select(key, *[F.round(C("q")[i], 4).alias(n) for i, n in enumerate(("low", "q1", "mid", "q3", "high"))])
 
