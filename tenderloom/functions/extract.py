@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from . import rules as R
 from .scalars import clean_text, date_of, italian_number
 
-NUMBER = r"\d{1,3}(?:\.\d{3})*(?:,\d+)?|\d+(?:,\d+)?"
-
-DISCOUNT_PATTERNS = [r"(\d+[.,]\d+)\s*%", r"[-–]\s*(\d+[.,]\d+)", r"^(\d+[.,]\d+)$", r"^(\d+)$"]
+DISCOUNT_PATTERNS = R.DISCOUNT_PATTERNS
 
 
 def _found(c: Column, pattern: str, group: int = 1) -> Column:
@@ -24,27 +22,25 @@ def _behind(c: Column, word: str, pattern: str) -> Column:
 
 def lot_code_in(c: Column) -> Column:
     """The code after its label, else the first token of ten capitals and digits that begins like a code."""
-    tokens = F.filter(F.regexp_extract_all(c, F.lit(r"\b([A-Z0-9]{10})\b"), 1), lambda x: x.rlike("^(?:[0-9]|Z0|Y0|X0)"))
-    return F.coalesce(_behind(c, "cig", r"(?i)CIG[:\s]+([A-Z0-9]{10})"), F.try_element_at(tokens, F.lit(1)))
+    tokens = F.filter(F.regexp_extract_all(c, F.lit(R.LOT_CODE_TOKEN), 1), lambda x: x.rlike(R.LOT_CODE_BEGINS))
+    return F.coalesce(_behind(c, "cig", R.LOT_CODE_LABELLED), F.try_element_at(tokens, F.lit(1)))
 
 
 def amount_in(c: Column) -> Column:
     """The first amount by five patterns in order, in Italian notation."""
-    patterns = [("€", r"€\s*([\d.,]+)"), ("euro", r"(?i)euro\s*([\d.,]+)"), ("€", r"([\d.,]+)\s*€"), ("euro", r"(?i)([\d.,]+)\s*euro"), ("importo", r"(?i)importo[:\s]+([\d.,]+)")]
-    return F.coalesce(*[italian_number(F.regexp_replace(_behind(c, w, p), r"[.,]+$", "")) for w, p in patterns])
+    return F.coalesce(*[italian_number(F.regexp_replace(_behind(c, w, p), r"[.,]+$", "")) for w, p in R.AMOUNT_PATTERNS])
 
 
 def date_in(c: Column) -> Column:
     """The first numeric date, else the first with an Italian month, as yyyy-MM-dd."""
-    numeric = _found(c, r"(\d{1,2}[/-]\d{1,2}[/-]\d{4})")
+    numeric = _found(c, R.NUMERIC_DATE)
     worded = _found(c, rf"(?i)(\d{{1,2}}\s+(?:{'|'.join(R.MONTHS)})\s+\d{{4}})")
     return F.date_format(F.coalesce(date_of(numeric), date_of(worded)), "yyyy-MM-dd")
 
 
 def entity_in(c: Column) -> Column:
     """What follows the first of: comune di, provincia di, regione, ministero, azienda."""
-    patterns = [("comune", r"comune\s+di\s+"), ("provincia", r"provincia\s+di\s+"), ("regione", r"regione\s+"), ("ministero", r"ministero\s+"), ("azienda", r"azienda\s+")]
-    return F.coalesce(*[F.nullif(clean_text(_behind(c, w, "(?i)" + p + r"([^,\n]+)")), F.lit("")) for w, p in patterns])
+    return F.coalesce(*[F.nullif(clean_text(_behind(c, w, "(?i)" + p + r"([^,\n]+)")), F.lit("")) for w, p in R.ENTITY_PATTERNS])
 
 
 def discount_in(c: Column) -> Column:
@@ -55,7 +51,7 @@ def discount_in(c: Column) -> Column:
 
 def numbers_in(c: Column) -> Column:
     """All numbers in Italian notation."""
-    return F.filter(F.transform(F.regexp_extract_all(c, F.lit(f"({NUMBER})"), 1), italian_number), lambda x: x.isNotNull())
+    return F.filter(F.transform(F.regexp_extract_all(c, F.lit(f"({R.NUMBER})"), 1), italian_number), lambda x: x.isNotNull())
 
 
 def first_number_in(c: Column) -> Column:
@@ -72,7 +68,7 @@ def digits_of(c: Column) -> Column:
 
 def winner_in(c: Column) -> Column:
     """One to seven capitalised words after ``aggiudicat``."""
-    return F.trim(_found(c, r"[Aa]ggiudicat[oa].{0,40}?\b([A-Z][\w&'.-]+(?:\s+[A-Z][\w&'.-]+){0,6})"))
+    return F.trim(_found(c, R.WINNER))
 
 
 def notice_fields(df: DataFrame, text: str, head: int = 500) -> DataFrame:

@@ -234,11 +234,11 @@ def _code(c: Column, pattern: str) -> Column:
 
 
 def lot_code(c: Column) -> Column:
-    return _code(c, r"^(?:[0-9A-F]{10}|[ZX][0-9A-F]{9})$")
+    return _code(c, R.LOT_CODE)
 
 
 def project_code(c: Column) -> Column:
-    return _code(c, r"^[A-Z][0-9A-Z]{14}$")
+    return _code(c, R.PROJECT_CODE)
 
 
 def vat_number(c: Column) -> Column:
@@ -249,12 +249,12 @@ def vat_number(c: Column) -> Column:
 
 def tax_code(c: Column) -> Column:
     t = F.upper(F.trim(c))
-    return F.when(t.rlike(r"^[A-Z]{6}[0-9]{2}[A-Z][0-9]{2}[A-Z][0-9]{3}[A-Z]$"), t).when(t.rlike(r"^[0-9]{11}$"), vat_number(t))
+    return F.when(t.rlike(R.PERSON_CODE), t).when(t.rlike(r"^[0-9]{11}$"), vat_number(t))
 
 
 def email(c: Column) -> Column:
     t = F.lower(F.trim(c))
-    return F.when(t.rlike(r"^[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}$"), t)
+    return F.when(t.rlike(R.EMAIL), t)
 
 
 def alnum_code(c: Column) -> Column:

@@ -19,12 +19,12 @@ def completeness(cols: list[str]) -> Column:
 def best_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """The first row of each key by the order; rows without key all stay.
 
-    Null keys are given a key of their own row's hash for the shuffle, so they
-    do not meet in one task.
+    Rows without key go by themselves, so that the others can be cut down to
+    one a key in each task before the shuffle.  ``df`` is read once for each.
     """
-    spread = F.when(C(key).isNull(), F.xxhash64(*[F.col(c) for c in df.columns]))
-    rank = F.row_number().over(Window.partitionBy(key, "_spread").orderBy(*order))
-    return df.withColumn("_spread", spread).withColumn("_rank", rank).filter((C("_rank") == 1) | C(key).isNull()).drop("_rank", "_spread")
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    best = df.filter(C(key).isNotNull()).withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    return best.unionByName(df.filter(C(key).isNull())) if df.schema[key].nullable else best
 
 
 def first_or_by_hash(df: DataFrame, key: str, hash_col: str, order: list[Column]) -> DataFrame:
@@ -51,7 +51,37 @@ def upsert(target: DataFrame, stage: DataFrame, key: str) -> DataFrame:
 
 
 def filled(df: DataFrame, col: str, group: list[str], order: list[Column]) -> DataFrame:
-    """Nulls take the last value before them in their group, else the next one after."""
+    """Nulls take the last value before them in their group, else the next one after; rows without a whole group key stay as they are."""
     before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     after = Window.partitionBy(*group).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
-    return df.withColumn(col, F.coalesce(F.last(col, True).over(before), F.first(col, True).over(after)))
+    whole = F.lit(True)
+    for g in group:
+        whole = whole & C(g).isNotNull()
+    out = df.filter(whole).withColumn(col, F.coalesce(F.last(col, True).over(before), F.first(col, True).over(after)))
+    return out.unionByName(df.filter(~whole)).select(*df.columns)
+
+
+def filled_by(df: DataFrame, col: str, groups: list[list[str]], order: list[Column]) -> DataFrame:
+    """``filled`` by one group key after the other: a later key fills what is left, from values filled before, too."""
+    for group in groups:
+        df = filled(df, col, group, order)
+    return df
+
+
+def with_verdicts(df: DataFrame, ledger: DataFrame, key: str, verdict: list[str], judge) -> DataFrame:
+    """``df`` with the columns ``verdict``: rows whose key the ledger has carry the stored ones, the others what ``judge`` adds.
+
+    The ledger has one row per key.  ``judge`` runs on rows that are not in it
+    alone.  Rows without key are judged.  ``seen`` tells which ones were stored.
+    """
+    known = ledger.select(C(key).alias("_key"), F.struct(*verdict).alias("_verdict"))
+    met = df.drop(*verdict).join(known, C(key) == C("_key"), "left").drop("_key")
+    seen = met.filter(C("_verdict").isNotNull()).select(*[c for c in df.columns if c not in verdict], *[C(f"_verdict.{v}").alias(v) for v in verdict], F.lit(True).alias("seen"))
+    new = judge(met.filter(C("_verdict").isNull()).drop("_verdict")).withColumn("seen", F.lit(False))
+    return seen.unionByName(new.select(*seen.columns))
+
+
+def record(ledger: DataFrame, judged: DataFrame, key: str, verdict: list[str]) -> DataFrame:
+    """The ledger with the verdicts of rows that it had not, one per key (of several, the least)."""
+    new = judged.filter(~C("seen") & C(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*verdict)).alias("v")).select(key, "v.*")
+    return ledger.select(key, *verdict).unionByName(new)

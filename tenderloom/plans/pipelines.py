@@ -62,19 +62,23 @@ def framework_table(notices: DataFrame, history: DataFrame | None = None) -> Dat
 CRITICAL = ["oggetto", "importo_aggiudicazione", "ente_appaltante", "comune", "aggiudicatario", "data_aggiudicazione", "procedura"]
 
 
-def unify(frames: list[DataFrame], fuzzy: bool = False, most: float = 1e10) -> DataFrame:
-    """Union, cross-source survivor per code, amounts, dates, keys, labels, towns, regions; entities by fuzzy match on request."""
+def unify(frames: list[DataFrame], fuzzy: bool = False, most: float = 1e10, years: tuple[int, int] = (2000, 2030)) -> DataFrame:
+    """Union, cross-source survivor per code, amounts, dates, keys, labels, towns, regions; entities by fuzzy match on request.
+
+    Award, expiry and tender dates outside ``years`` are NULL.
+    """
     df = J.union_aligned(frames).withColumn("cig", S.first_key(C("cig")))
     prio = F.lit(R.OTHER_PRIORITY)
     for name, p in R.SOURCE_PRIORITY.items():
         prio = F.when(C("fonte") == name, p).otherwise(prio)
     tie = F.xxhash64(*R.UNIFIED_COLUMNS)
     df = D.best_per_key(df, "cig", [prio, D.completeness(CRITICAL).desc(), tie])
-    day = S.valid_date(C("data_aggiudicazione"), 1990, 2030)
+    day = S.valid_date(C("data_aggiudicazione"), *years)
     df = df.withColumns({
         "importo_aggiudicazione": S.within(C("importo_aggiudicazione"), 0, most),
         "sconto": S.within(C("sconto"), 0, 100),
         "data_aggiudicazione": day,
+        **{c: S.valid_date(C(c), *years).cast(kind) for c, kind in df.dtypes if c in ("data_scadenza", "scadenza_gara")},
         "anno": F.year(day),
         "chiave": F.coalesce("cig", "ocid"),
         "categoria": S.title_case(F.coalesce("categoria", "quick_category")),

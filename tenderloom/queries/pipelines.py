@@ -77,12 +77,12 @@ def pl09_standardised_golden(spark, d):
     SELECT key AS cig, arg_min(fonte, prio) AS fonte, 1 AS n FROM k WHERE key IS NOT NULL GROUP BY key UNION ALL SELECT NULL, fonte, count(*) FROM k WHERE key IS NULL GROUP BY fonte""")
 def pl10_unified_keys(spark, d):
     """Which source's row stays for each code, and how many rows without a code, of the unified table."""
-    return P.unify(sources(spark, d)).groupBy("cig", "fonte").agg(F.count("*").alias("n"))
+    return P.unify(sources(spark, d), years=(1990, 2030)).groupBy("cig", "fonte").agg(F.count("*").alias("n"))
 
 
 @query()
 def pl02_unified(spark, d):
-    return P.unify(sources(spark, d), fuzzy=True)
+    return P.unify(sources(spark, d), fuzzy=True, years=(1990, 2030))
 
 
 @query(f"""n: WITH {_framework('f', 'n WHERE id % 2 = 1')}, {_framework('h', 'n WHERE id % 2 = 0')}, codes AS (SELECT DISTINCT upper(trim(unnest(string_split(codes, ';')))) AS k FROM f)

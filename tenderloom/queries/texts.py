@@ -109,6 +109,22 @@ def cls16_result_cache(spark, d):
     return not_in_ledger(hashed, hashed.filter("doc_id % 3 = 0"), "hash")
 
 
+_numbers = r"list_filter(list_transform(regexp_extract_all(text, '\d{1,3}(?:\.\d{3})*(?:,\d+)?|\d+(?:,\d+)?'), lambda x: TRY_CAST(replace(replace(x, '.', ''), ',', '.') AS DOUBLE)), lambda x: x IS NOT NULL)"
+
+
+@query(f"""WITH h AS (SELECT doc_id, sha256(text) AS hash, list_max(list_filter({_numbers}, lambda x: x > 100)) AS own FROM documents), l AS (SELECT hash, CAST(min(-doc_id) AS DOUBLE) AS old FROM h WHERE doc_id % 3 = 0 AND hash IS NOT NULL GROUP BY hash)
+    SELECT doc_id, CASE WHEN l.hash IS NULL THEN own ELSE old END AS highest, l.hash IS NOT NULL AS seen, (SELECT count(DISTINCT hash) FROM h) AS ledger FROM h LEFT JOIN l USING (hash)""")
+def cls17_cached_verdicts(spark, d):
+    """Texts met before carry the ledger's verdict (here one that judging again would not give); new ones are judged and recorded."""
+    from ..operators import dedup as D
+
+    hashed = table(spark, d, "documents").select("doc_id", "text", F.sha2("text", 256).alias("hash"))
+    ledger = hashed.filter("doc_id % 3 = 0 and hash is not null").groupBy("hash").agg(F.min(-C("doc_id")).cast("double").alias("highest"))
+    out = D.with_verdicts(hashed, ledger, "hash", ["highest"], lambda new: new.withColumn("highest", X.highest_number_in(C("text"))))
+    size = D.record(ledger, out, "hash", ["highest"]).agg(F.count("*").alias("ledger"))
+    return out.select("doc_id", "highest", "seen").crossJoin(F.broadcast(size))
+
+
 @query(r"""n: SELECT id, coalesce(nullif(regexp_extract(text, '(?i)CIG[:\s]+([A-Z0-9]{10})', 1), ''), list_filter(regexp_extract_all(text, '\b[A-Z0-9]{10}\b'), lambda x: regexp_matches(x, '^(?:[0-9]|Z0|Y0|X0)'))[1]) AS code FROM n""")
 def ext01_lot_code(spark, d):
     return notices(spark, d).select("id", X.lot_code_in(C("text")).alias("code"))
@@ -141,7 +157,6 @@ def ext05_batch_row(spark, d):
     return X.notice_fields(spread(notices(spark, d)).select("id", "text"), "text").drop("text")
 
 
-_numbers = r"list_filter(list_transform(regexp_extract_all(text, '\d{1,3}(?:\.\d{3})*(?:,\d+)?|\d+(?:,\d+)?'), lambda x: TRY_CAST(replace(replace(x, '.', ''), ',', '.') AS DOUBLE)), lambda x: x IS NOT NULL)"
 
 
 @query(rf"""n: SELECT id, list_max({_numbers}) AS highest, nullif(trim(regexp_extract(text, '[Aa]ggiudicat[oa].{{0,40}}?\b([A-Z][\w&''.-]+(?:\s+[A-Z][\w&''.-]+){{0,6}})', 1)), '') AS winner FROM n""")
@@ -149,7 +164,7 @@ def ext06_regex_lot(spark, d):
     return notices(spark, d).select("id", F.array_max(X.numbers_in(C("text"))).alias("highest"), X.winner_in(C("text")).alias("winner"))
 
 
-_pats = [r"(\d+[.,]\d+)\s*%", r"[-–]\s*(\d+[.,]\d+)", r"^(\d+[.,]\d+)$", r"^(\d+)$"]
+_pats = X.DISCOUNT_PATTERNS
 
 
 @query("n: SELECT id, coalesce(" + ", ".join(f"(SELECT CASE WHEN v BETWEEN 0 AND 100 THEN v END FROM (SELECT TRY_CAST(replace(nullif(regexp_extract(discount_raw, {K.quoted(p)}, 1), ''), ',', '.') AS DOUBLE) AS v))" for p in _pats) + ") AS discount FROM n")

@@ -32,6 +32,17 @@ def wn02_fill_within_group(spark, d):
     return D.filled(e, "v", ["user_id"], [C("ts"), C("event_id")]).select("event_id", "v")
 
 
+@query("""n: WITH k AS (SELECT id, nullif(code_raw, '') AS code, CASE WHEN id % 7 <> 0 THEN text END AS text, subject, town_raw, award_date FROM n),
+    a AS (SELECT id, text, subject, town_raw, award_date, CASE WHEN text IS NOT NULL THEN coalesce(last_value(code IGNORE NULLS) OVER (PARTITION BY text ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+        first_value(code IGNORE NULLS) OVER (PARTITION BY text ORDER BY id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) ELSE code END AS code FROM k)
+    SELECT id, CASE WHEN subject IS NOT NULL AND town_raw IS NOT NULL AND award_date IS NOT NULL THEN coalesce(last_value(code IGNORE NULLS) OVER (PARTITION BY subject, town_raw, award_date ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+        first_value(code IGNORE NULLS) OVER (PARTITION BY subject, town_raw, award_date ORDER BY id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) ELSE code END AS code FROM a""")
+def wn11_fill_by_two_keys(spark, d):
+    """Codes filled from rows of the same text, then from those of the same subject, town and date; rows without a key stay as they are."""
+    n = notices(spark, d).select("id", F.nullif("code_raw", F.lit("")).alias("code"), F.when(C("id") % 7 != 0, C("text")).alias("text"), "subject", "town_raw", "award_date")
+    return D.filled_by(n, "code", [["text"], ["subject", "town_raw", "award_date"]], [C("id")]).select("id", "code")
+
+
 @query("t: WITH g AS (SELECT region, category, sum(amount) AS v FROM t GROUP BY 1, 2) SELECT region, category, round(v * 100 / sum(v) OVER (PARTITION BY region), 4) AS share FROM g")
 def wn03_share_of_total(spark, d):
     return M.shares(tenders(spark, d), ["region"], "category", "amount").select("region", "category", F.round("share", 4).alias("share"))
