@@ -1,15 +1,16 @@
 """Phrase mining: ids ranked by frequency, pairs counted in tiles, frequent pairs ranked again.
 
 Texts become blocks of word sequences.  A block knows its own distinct words;
-their counts are summed in Spark, and each block is told which of its words are
-frequent, with their ids and frequencies.  It ranks those by frequency.  A pair
-of neighbouring ranks is a cell of a matrix that is cut into square tiles: the
-few tiles where frequent ranks meet are dense and counted by ``bincount``, what
-falls into the others as sorted coordinates.  Spark sums the cells of all blocks;
-a block sends a cell once, so no pair is hot.  Frequent pairs get ids in turn and
-take the place of the words: two neighbouring pairs that overlap are a phrase
-of three words, two of those a phrase of four.  A phrase can only be frequent
-if both parts are, so sequences thin out from level to level.
+their counts are summed by parts of all words, and each block is told which of
+its words are frequent, with their ids and frequencies.  It ranks those by
+frequency.  A pair of neighbouring ranks is a cell of a matrix that is cut into
+square tiles: the few tiles where frequent ranks meet are dense and counted by
+``bincount``, what falls into the others as sorted coordinates.  A block sends
+each cell once, sorted and packed, to the part of its hash, where the sorted
+lists of all blocks are merged; so no pair is hot.  Frequent pairs get ids in
+turn and take the place of the words: two neighbouring pairs that overlap are a
+phrase of three words, two of those a phrase of four.  A phrase can only be
+frequent if both halves are, so sequences thin out from level to level.
 
 No table of all words or pairs is ever in one place: blocks get by a join what
 they have themselves.
@@ -18,6 +19,8 @@ they have themselves.
 from __future__ import annotations
 
 import contextlib
+import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +35,7 @@ from .shared import BASES, LOWER, SHORT, lookup, mix, prepared_tasks, short_keys
 BLOCK = 8 << 20  # bytes of text
 BAND = 1024  # ids along a side of a tile
 DENSE = BAND * BAND // 8  # pairs from which a tile is counted cell by cell
+PART_BYTES = 8 << 20  # of text, about a million words, whose words or pairs meet in one part
 BLOCKS_AT_ONCE = 4  # in one Arrow batch
 
 # What ends a piece, and what stands between words.
@@ -42,13 +46,18 @@ BETWEEN[[0x20, 0x09]] = True
 ANY = np.ones(256, bool)
 
 
-def shut(x: np.ndarray) -> bytes:
-    return len(x).to_bytes(8, "little") + pa.compress(x.astype("<i4").tobytes(), codec="zstd", asbytes=True)
+def shut(*columns: np.ndarray, text: bytes = b"") -> bytes:
+    """Numbers of equal count by byte planes, the higher of which are mostly zero, and bytes; compressed."""
+    planes = [np.ascontiguousarray(np.asarray(x, "<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for x in columns]
+    raw = b"".join([*planes, text])
+    return len(columns[0]).to_bytes(8, "little") + len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def opened(raw: bytes) -> np.ndarray:
-    n = int.from_bytes(raw[:8], "little")
-    return np.frombuffer(pa.decompress(raw[8:], decompressed_size=4 * n, codec="zstd", asbytes=True), "<i4")
+def opened(raw: bytes, columns: int) -> tuple[list[np.ndarray], bytes]:
+    n, size = int.from_bytes(raw[:8], "little"), int.from_bytes(raw[8:16], "little")
+    plain = pa.decompress(raw[16:], decompressed_size=size, codec="zstd", asbytes=True)
+    planes = np.frombuffer(plain, np.uint8, 8 * n * columns).reshape(columns, 8, n)
+    return [np.ascontiguousarray(x.T).view("<i8").ravel() for x in planes], plain[8 * n * columns :]
 
 
 def distinct(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,19 +74,31 @@ def distinct(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return first, kind.ravel(), many
 
 
-def block_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """Lower-cased words of rows as numbers with -1 between pieces, the words, and their counts."""
+def block_of(data: np.ndarray, bounds: np.ndarray, parts: int = 1, seed: int = 0) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """Lower-cased words of rows as numbers with -1 between pieces; the words in the order of their parts, their counts and parts."""
     a, b = int(bounds[0]), int(bounds[-1])
     raw = np.append(LOWER[data[a:b]], np.zeros(16, np.uint8))
     starts, ends, rows = words(raw[: b - a], bounds - a, 0, len(bounds) - 1, BETWEEN)
     if not len(starts):
-        return np.zeros(0, np.int32), [], np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return none, [], none, none
     first, kind, many = distinct(raw, starts, ends)
+    own = [raw[x:y].tobytes() for x, y in zip(starts[first].tolist(), ends[first].tolist())]
+    part = np.fromiter((zlib.crc32(w, seed) % parts for w in own), np.int64, len(own))
+    order = np.array(sorted(range(len(own)), key=lambda k: (part[k], own[k])), np.int64)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
     piece = np.cumsum(BREAK[raw[: b - a]], dtype=np.int32)[starts]
     parted = np.append(False, (piece[1:] != piece[:-1]) | (rows[1:] != rows[:-1]))
-    sequence = np.full(len(starts) + int(parted.sum()), -1, np.int32)
-    sequence[np.arange(len(starts)) + np.cumsum(parted)] = kind
-    return sequence, [raw[x:y].tobytes().decode() for x, y in zip(starts[first].tolist(), ends[first].tolist())], many
+    sequence = np.full(len(starts) + int(parted.sum()), -1, np.int64)
+    sequence[np.arange(len(starts)) + np.cumsum(parted)] = place[kind]
+    return sequence, [own[k] for k in order.tolist()], many[order], part[order]
+
+
+def by_part(part: np.ndarray) -> list[tuple[int, int, int]]:
+    """(part, from, to) of an ascending column of parts."""
+    edges = np.flatnonzero(np.diff(part, prepend=-1))
+    return list(zip(part[edges].tolist(), edges.tolist(), [*edges[1:].tolist(), len(part)]))
 
 
 def pair_cells(x: np.ndarray, y: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -104,22 +125,26 @@ def pair_cells(x: np.ndarray, y: np.ndarray, m: int) -> tuple[np.ndarray, np.nda
     return np.concatenate([*left, cell // m]), np.concatenate([*right, cell % m]), np.concatenate([*many, count]), index
 
 
-def next_block(sequence: np.ndarray, at: np.ndarray, ids: np.ndarray, frequency: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """From a block's sequence and its frequent numbers, their ids and frequencies: the sequence of pairs, and the pairs (both ids, count)."""
+def next_block(sequence: np.ndarray, at: np.ndarray, ids: np.ndarray, frequency: np.ndarray, parts: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """From a block's sequence and its frequent numbers, their ids and frequencies: the sequence of pairs, and the pairs (both ids, count, part) by part and ids."""
     order = np.lexsort((ids, -frequency))  # the most frequent first, so that they share tiles
     own = np.full(int(sequence.max(initial=-1)) + 2, -1, np.int64)  # the last place is what -1 reads
     own[at[order]] = np.arange(len(order))
     s = own[sequence]
     first = np.flatnonzero((s[:-1] >= 0) & (s[1:] >= 0))
     if not len(first):
-        none = np.zeros(0, np.int64)
-        return np.zeros(0, np.int32), none, none, none
+        return (np.zeros(0, np.int64),) * 5
     a, b, many, index = pair_cells(s[first], s[first + 1], len(order))
-    parted = np.append(False, np.diff(first) > 1)
-    out = np.full(len(first) + int(parted.sum()), -1, np.int32)
-    out[np.arange(len(first)) + np.cumsum(parted)] = index
     ids = ids[order]
-    return out, ids[a], ids[b], many
+    a, b = ids[a], ids[b]
+    part = (mix(a.astype(np.uint64) * np.uint64(BASES[0]) ^ mix(b.astype(np.uint64))) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((b, a, part))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    parted = np.append(False, np.diff(first) > 1)
+    out = np.full(len(first) + int(parted.sum()), -1, np.int64)
+    out[np.arange(len(first)) + np.cumsum(parted)] = place[index]
+    return out, a[order], b[order], many[order], part[order]
 
 
 @contextlib.contextmanager
@@ -134,17 +159,22 @@ def few_rows(spark: SparkSession, rows: int):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-def word_blocks(docs: DataFrame, text_col: str, lang_col: str, block: int = BLOCK) -> DataFrame:
-    """Rows (block, lang, sequence, words, counts): texts of one language, about ``block`` bytes at most."""
+_CELLS = pa.list_(pa.struct([("part", pa.int32()), ("start", pa.int64()), ("cells", pa.binary())]))
+CELLS = "cells array<struct<part:int,start:long,cells:binary>>"
+
+
+def word_blocks(docs: DataFrame, text_col: str, lang_col: str, parts: int, block: int = BLOCK) -> DataFrame:
+    """Rows (block, lang, words, sequence, cells): texts of one language, about ``block`` bytes at most; the distinct words and their counts by part."""
 
     def rows_of(texts: pa.Table, fresh) -> Iterator[pa.RecordBatch]:
         for lang in pc.unique(texts.column(1)).to_pylist():
             data, offsets = string_buffers(texts.filter(pc.equal(texts.column(1), lang)).column(0))
             bounds, _ = windows(data, offsets, BREAK, ANY, block)
             for lo, hi in slices(bounds, block):
-                sequence, own, many = block_of(data, bounds[lo : hi + 1])
+                sequence, own, many, part = block_of(data, bounds[lo : hi + 1], parts, zlib.crc32(lang.encode()))
                 if len(own):
-                    yield pa.record_batch([pa.array([next(fresh)]), pa.array([lang]), pa.array([shut(sequence)]), pa.array([own]), pa.array([many])], ["block", "lang", "sequence", "words", "counts"])
+                    cells = [{"part": p, "start": x, "cells": shut(many[x:y], text=b"\n".join(own[x:y]))} for p, x, y in by_part(part)]
+                    yield pa.record_batch([pa.array([next(fresh)]), pa.array([lang]), pa.array([int(many.sum())]), pa.array([shut(sequence)]), pa.array([cells], _CELLS)], ["block", "lang", "words", "sequence", "cells"])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = iter(range(TaskContext.get().partitionId() << 32, 1 << 62))
@@ -161,37 +191,86 @@ def word_blocks(docs: DataFrame, text_col: str, lang_col: str, block: int = BLOC
 
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang")
     out = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), lang)
-    return out.mapInArrow(blocks, "block long, lang string, sequence binary, words array<string>, counts array<long>")
+    return out.mapInArrow(blocks, f"block long, lang string, words long, sequence binary, {CELLS}")
 
 
-def pair_blocks(blocks: DataFrame, answers: DataFrame, last: bool) -> DataFrame:
-    """Rows (block, sequence, a, b, counts) of the blocks that have answers (block, answer: at, id, f); the last level needs no sequence."""
+def pair_blocks(blocks: DataFrame, answers: DataFrame, parts: int, last: bool) -> DataFrame:
+    """Rows (block, sequence, cells) of the blocks that have answers (block, answers); the last level needs no sequence."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                answer = batch.column(2)[k].values
-                own = [answer.field(c).to_numpy(zero_copy_only=False) for c in ("at", "id", "f")]
-                sequence, a, b, many = next_block(opened(batch.column(1)[k].as_py()), *own)
+                told = [opened(x, 3)[0] for x in batch.column(2)[k].as_py()]
+                at, ids, frequency = (np.concatenate(x) for x in zip(*told))
+                sequence, a, b, many, part = next_block(opened(batch.column(1)[k].as_py(), 1)[0][0], at, ids, frequency, parts)
                 if len(a):
-                    yield pa.record_batch([batch.column(0).slice(k, 1), pa.array([b"" if last else shut(sequence)]), *[pa.array([x]) for x in (a, b, many)]], ["block", "sequence", "a", "b", "counts"])
+                    cells = [{"part": p, "start": x, "cells": shut(np.diff(a[x:y], prepend=0), b[x:y], many[x:y])} for p, x, y in by_part(part)]
+                    yield pa.record_batch([batch.column(0).slice(k, 1), pa.array([b"" if last else shut(sequence)]), pa.array([cells], _CELLS)], ["block", "sequence", "cells"])
         trim()
 
-    joined = blocks.select("block", "sequence").join(answers, "block").select("block", "sequence", "answer")
-    return joined.mapInArrow(pairs, "block long, sequence binary, a array<long>, b array<long>, counts array<long>")
+    joined = blocks.select("block", "sequence").join(answers, "block").select("block", "sequence", "answers")
+    return joined.mapInArrow(pairs, f"block long, sequence binary, {CELLS}")
+
+
+FOUND = "block long, answer binary, lang array<string>, phrase array<string>, a array<long>, b array<long>, f array<long>, id array<long>"
+_FOUND = [pa.int64(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.string()), *[pa.list_(pa.int64())] * 4]
 
 
-def frequent(counts: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
-    """Of rows (block, at, keys, k) those whose key has k summed to ``least``: with f, that sum, id, a number of the key, and head, true in one row of each key.
+def frequent(blocks: DataFrame, least: int, parts: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """Sums of the blocks' cells by part: what each block is told (block, answers: packed at, id, f), and the frequent words or pairs.
 
-    One shuffle: a window sums, and the rows stay with it.  A key has a row a
-    block at most.  Rows come from a stored table, so that their own numbers,
-    of which a key takes the least, are the same if a task runs again.
+    A part holds about ``PART_BYTES`` of text's cells, each block's at most
+    once.  ids are numbers below the number of frequent ones, but for uneven
+    parts.
     """
-    w = Window.partitionBy(*keys)
-    out = counts.withColumn("_row", F.monotonically_increasing_id()).withColumns({"f": F.sum("k").over(w), "id": F.min("_row").over(w)})
-    out = out.filter(F.col("f") >= least).withColumn("head", F.col("_row") == F.col("id")).drop("_row", "k")
-    return stored(out, name)
+    with_words = "lang" in blocks.columns
+
+    def merged(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        sizes, many, keys = [], [], []
+        for raw, lang in zip(table.column("cells").to_pylist(), table.column("lang").to_pylist()):
+            columns, text = opened(raw, 1 if with_words else 3)
+            sizes.append(len(columns[0]))
+            many.append(columns[-1])
+            keys.append(pa.array([f"{lang}\n{w}" for w in text.decode().split("\n")]) if with_words else (np.cumsum(columns[0]), columns[1]))
+        many = np.concatenate(many)
+        if with_words:
+            coded = pa.chunked_array(keys).combine_chunks().dictionary_encode()
+            kind, kinds = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        else:
+            a, b = (np.concatenate(x) for x in zip(*keys))
+            order = np.lexsort((b, a))
+            new = np.append(True, (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0))
+            kind = np.empty(len(order), np.int64)
+            kind[order] = np.cumsum(new) - 1
+            heads = order[new]
+        total = np.zeros(int(kind.max()) + 1, np.int64)
+        np.add.at(total, kind, many)
+        hot = np.flatnonzero(total >= least)
+        ids = np.full(len(total), -1, np.int64)
+        ids[hot] = np.arange(len(hot)) * parts + part
+        rows, lo = [], 0
+        for block, start, n in zip(table.column("block").to_pylist(), table.column("start").to_pylist(), sizes):
+            own = kind[lo : lo + n]
+            held = np.flatnonzero(ids[own] >= 0)
+            lo += n
+            if len(held):
+                rows.append((block, shut(start + held, ids[own[held]], total[own[held]]), *[None] * 6))
+        if len(hot):
+            named = [x.rsplit("\n", 1) for x in (kinds[k] for k in hot.tolist())] if with_words else []
+            found = [[x for x, _ in named], [x for _, x in named], None, None] if with_words else [None, None, a[heads[hot]], b[heads[hot]]]
+            rows.append((None, None, *found, total[hot], ids[hot]))
+        trim()
+        columns = zip(*rows) if rows else [[]] * len(_FOUND)
+        return pa.table([pa.array(list(c), t) for c, t in zip(columns, _FOUND)], [x.split()[0] for x in FOUND.split(", ")])
+
+    lang = F.col("lang") if with_words else F.lit(None).cast("string").alias("lang")
+    dealt = blocks.select("block", lang, F.explode("cells").alias("z")).select("block", "lang", "z.part", "z.start", "z.cells")
+    found = stored(dealt.groupBy("part").applyInArrow(merged, FOUND), name)
+    answers = found.filter(F.col("block").isNotNull()).groupBy("block").agg(F.collect_list("answer").alias("answers"))
+    columns = ["lang", "phrase", "f", "id"] if with_words else ["a", "b", "f", "id"]
+    heads = found.filter(F.col("block").isNull()).select(F.explode(F.arrays_zip(*columns)).alias("z")).select("z.*")
+    return answers, heads
 
 
 def with_parts(pairs: DataFrame, parts: DataFrame, side: str, names: dict[str, str]) -> DataFrame:
@@ -216,21 +295,18 @@ def candidates(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     between pieces; a long piece or word is taken whole.
     """
     spark = docs.sparkSession
-    prepared_tasks(spark)
-    blocks = stored(word_blocks(docs, text_col, lang_col), "word-blocks")
-    totals = blocks.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y).alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
-
-    own = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "z")).select("block", "at", "lang", F.col("z.words").alias("phrase"), F.col("z.counts").alias("k"))
-    found = frequent(own, ["lang", "phrase"], least, "words")
-    level = found.filter("head").select("id", "lang", "phrase", F.col("phrase").alias("tail"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"))
+    tasks = prepared_tasks(spark)
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    parts = max(tasks, math.ceil(size / PART_BYTES))
+    blocks = stored(word_blocks(docs, text_col, lang_col, parts), "word-blocks")
+    totals = blocks.groupBy("lang").agg(F.sum("words").alias("n"))
+    answers, found = frequent(blocks, least, parts, "words")
+    level = found.select("id", "lang", "phrase", F.col("phrase").alias("tail"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"))
     levels = []
     for k in range(2, most_words + 1):
-        answers = found.groupBy("block").agg(F.collect_list(F.struct("at", "id", "f")).alias("answer"))
         with few_rows(spark, BLOCKS_AT_ONCE):
-            blocks = stored(pair_blocks(blocks, answers, k == most_words), f"blocks-{k}")
-        own = blocks.select("block", F.posexplode(F.arrays_zip("a", "b", "counts")).alias("at", "z")).select("block", "at", "z.a", "z.b", F.col("z.counts").alias("k"))
-        found = frequent(own, ["a", "b"], least, f"pairs-{k}")
-        pairs = found.filter("head").select("id", "a", "b", "f")
+            blocks = stored(pair_blocks(blocks, answers, parts, k == most_words), f"blocks-{k}")
+        answers, pairs = frequent(blocks, least, parts, f"pairs-{k}")
         inner = pairs.select(F.col("a").alias("id"), "f").unionByName(pairs.select(F.col("b").alias("id"), "f")).groupBy("id").agg(F.max("f").alias("within"))
         if k > 2:
             levels.append(level.join(inner, "id", "left"))

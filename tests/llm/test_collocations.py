@@ -65,11 +65,21 @@ def test_cells_of_tiles(monkeypatch, band, dense):
         assert (a[index] == x).all() and (b[index] == y).all()
 
 
+def test_packed_columns_come_back():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 70):
+        x, y = rng.integers(0, 1 << 62, n), rng.integers(0, 9, n)
+        (a, b), text = K.opened(K.shut(x, y, text="é\nz".encode()), 2)
+        assert (a == x).all() and (b == y).all() and text == "é\nz".encode()
+
+
 def test_words_of_one_hash_stay_apart(monkeypatch):
     monkeypatch.setattr(K, "mix", lambda x: x & np.uint64(3))
     data, bounds = string_buffers(pa.array(["b a a c d e", HARD, f"{HARD} a f. g"]))
-    sequence, words, many = K.block_of(data, bounds)
+    sequence, words, many, part = K.block_of(data, bounds, 3)
+    words = [w.decode() for w in words]
     shown = [words[i] if i >= 0 else "|" for i in sequence]
+    assert (np.diff(part) >= 0).all() and [p for p, _, _ in K.by_part(part)] == sorted(set(part.tolist()))
     assert shown == ["b", "a", "a", "c", "d", "e", "|", HARD, "|", HARD, "a", "f", "|", "g"]
     assert dict(zip(words, many.tolist())) == collections.Counter(w for w in shown if w != "|")
 
@@ -81,6 +91,7 @@ def test_phrases_equal_brute_force(spark, monkeypatch, block):
     docs = spark.createDataFrame([(t, lang, 1, "x") for t, lang in rows], "text string, lang string, n int, phrase string").repartition(3)
     blocks = K.word_blocks
     monkeypatch.setattr(K, "word_blocks", lambda *a: blocks(*a, block))
+    monkeypatch.setattr(K, "PART_BYTES", block * 10)
     for least, most, top in ((5, 4, 2000), (3, 2, 10), (8, 5, 7)):
         want = brute(rows, least, most, top)
         assert tuples(K.collocations(docs, least=least, most_words=most, top=top)) == want and want
