@@ -1,13 +1,19 @@
 """Main text of web pages by the maximum-scoring subsequence.
 
-A page is a sequence of tags and text runs.  Words score positive, tags
-negative; words in elements that never hold the article (menus, forms,
-adverts ...) and their tags score nothing.  One linear scan finds the contiguous region with
-the highest sum; the text in it, without those elements, is the result.
-
-Weights come from log-odds of lying inside the article, learned from labelled
-pages: those whose markup names the article by ``article`` or ``main``.  They
-come from a bounded sample of such pages (``SAMPLE_PAGES``).
+A page is a sequence of tags and text runs.  Tags score negative; words score
+positive, but for those in elements that labelled pages show outside the
+article.  One linear scan finds the contiguous region with the highest sum.
+
+All weights are log-odds of lying inside the article, learned from labelled
+pages, for tags and for the classes, ids and roles they carry; labelled pages
+are those whose markup names the article by ``article`` or ``main``, and these
+two tags themselves score nothing.  Weights come from a bounded sample
+(``SAMPLE_PAGES``) and are a bounded table (``FEATURES``).
+
+What such pages can't teach, since they hardly show it, is which elements
+inside the article are none of it: from the chosen region's text, elements are
+left out by fixed lists of tags and names.  Only where there are no labelled pages
+do these lists take part in the scan.
 """
 
 from __future__ import annotations
@@ -26,6 +32,7 @@ from pyspark.sql import functions as F
 from .shared import prepared_tasks
 
 SAMPLE_PAGES = 2000
+FEATURES = 1000
 
 # Fixed values of HTML: elements without end, elements whose content is not markup, blocks.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -37,6 +44,8 @@ BLOCKS = frozenset(
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 # Elements that are not the article.
 OUTSIDE = frozenset("nav header footer aside form script style noscript template head title svg math iframe noembed noframes button select textarea input dialog menu canvas object audio video map xmp".split())
+# Of those, elements whose content is never shown as text.
+HIDDEN = frozenset("script style template head title noscript noembed noframes iframe svg math canvas object xmp textarea".split())
 # Names that classes, ids and roles give to what is not the article: whole ones, and words that may stand beside them.
 # A name with any other word in it, such as post-header or related-work, says nothing.
 NAMES = frozenset(
@@ -65,6 +74,7 @@ WRITTEN = frozenset("h1 h2 h3 h4 h5 h6 p br hr blockquote pre ul ol li dl dt dd
 UNSEEN_WRITTEN, UNSEEN = -0.02, -1.0
 WORD = 1.0
 LEAST, MOST = -30.0, -0.02  # of learned tags
+DARK = -2.0  # a word in an element that is none of the article
 
 
 def outside(tag: str, attributes: str) -> bool:
@@ -85,6 +95,16 @@ def outside(tag: str, attributes: str) -> bool:
     return False
 
 
+def features(tag: str, attributes: str) -> str:
+    """The words of an element's class, id and role, as names of weights, blank between; a few at most."""
+    found = []
+    for m in _attribute.finditer(attributes) if attributes else ():
+        name = m[1].lower()
+        if name in ("class", "id", "role"):
+            found += [f"{name}:{w[:40]}" for w in (m[2] or m[3] or m[4] or "").lower().split()[:4]]
+    return " ".join(found[:8])
+
+
 def tags(page: str) -> Iterator[tuple[int, int, str, bool, str, bool]]:
     """Start, end, name, whether it closes, attributes of each tag, and whether what lies between it and its fellow is no markup.
 
@@ -148,54 +168,94 @@ def _raw_end(name: str) -> re.Pattern:
     return re.compile(rf"</{re.escape(name)}(?![^\s/>])", re.IGNORECASE)
 
 
-def pieces(page: str) -> list[tuple[str, str, str, bool]]:
-    """(kind, name, text, in an outside element) of each tag and text run; kind: "open", "close", "text"."""
-    out, at, skip, depth = [], 0, None, 0
+def pieces(page: str) -> list[tuple[str, str, str, int]]:
+    """(kind, name, text, out) of each tag and text run; kind: "open", "close", "text".
+
+    The text of an opening tag is its ``features``.  out: 1 in an element that
+    is outside by the lists, 2 in one that is not shown, else 0.
+    """
+    out, at, skip, depth, level = [], 0, None, 0, 0
     for start, end, name, closing, attributes, raw in tags(page):
         if start > at and not (raw and closing):
-            out.append(("text", "", page[at:start], skip is not None))
+            out.append(("text", "", page[at:start], level))
         at = end
         if not name:
             continue
         if raw:
-            out.append(("close" if closing else "open", name, "", True))
+            out.append(("close" if closing else "open", name, "", 2))
             continue
         if skip is not None:
             if name in ("article", "main") and not closing and skip not in ("article", "main"):
-                skip = None  # an element that was never closed does not hold the article
+                skip, level = None, 0  # an element that was never closed does not hold the article
             elif name == skip:
                 depth += -1 if closing else 1
                 if depth == 0:
-                    out.append(("close", name, "", True))
-                    skip = None
+                    out.append(("close", name, "", level))
+                    skip, level = None, 0
                     continue
         elif not closing and name not in VOID and outside(name, attributes) and not attributes.rstrip().endswith("/"):
-            skip, depth = name, 1
-        out.append(("close" if closing else "open", name, "", skip is not None))
+            skip, depth, level = name, 1, 2 if name in HIDDEN else 1
+        out.append(("close" if closing else "open", name, "" if closing else features(name, attributes), level))
     if at < len(page):
-        out.append(("text", "", page[at:], skip is not None))
+        out.append(("text", "", page[at:], level))
     return out
 
 
-def region(parts: list[tuple[str, str, str, bool]], weights: dict[str, float]) -> tuple[int, int]:
-    """[start, end) of the parts with the highest sum; (0, 0) if no sum is positive.  Of ties the first.
+class Inside:
+    """Which weights decide about words at a place: those of the innermost open element that has some."""
+
+    def __init__(self, known):
+        self.known, self.open = known, []
+
+    def step(self, kind: str, name: str, text: str) -> None:
+        if kind == "close":
+            for k in range(len(self.open) - 1, max(-1, len(self.open) - 65), -1):  # a closing tag far from its opening one closes nothing
+                if self.open[k][0] == name:
+                    del self.open[k:]
+                    break
+        elif name not in VOID:
+            # tags that articles are written with say nothing about the words in them
+            own = [f for f in text.split() if self.known(f)] or ([name] if name not in WRITTEN and self.known(name) else [])
+            self.open.append((name, own or (self.open[-1][1] if self.open else [])))
+
+    def names(self) -> list[str]:
+        return self.open[-1][1] if self.open else []
+
 
-    Where the page itself marks its article, tags inside cost what those cost
-    that articles are written with: labelled pages can't count against them.
+def scores(parts: list[tuple[str, str, str, int]], weights: dict[str, float]) -> list[float]:
+    """What each part adds to the sum of a region.
+
+    With learned weights only what is not shown scores nothing.  Without, all
+    that is outside by the lists, and tags in a marked article cost what those
+    cost that articles are written with.
     """
-    word, marks = weights.get("word", WORD), 0
-    best, best_at, total, start = 0.0, (0, 0), 0.0, 0
-    for i, (kind, name, text, out) in enumerate(parts):
-        if out:
-            value = 0.0
+    word, learned, out, marks = weights.get("word", WORD), "learned" in weights, [], 0
+    where = Inside(lambda f: f"in {f}" in weights or learned and f in OUTSIDE)
+    for kind, name, text, dark in parts:
+        if dark == 2 or dark and not learned:
+            out.append(0.0)
         elif kind == "text":
-            value = len(_word.findall(text)) * word
+            own = [weights.get(f"in {f}", DARK) for f in where.names()] if learned else []
+            out.append(len(_word.findall(text)) * (min(own) if own else word))
+        elif name in ("article", "main"):
+            marks = marks + 1 if kind == "open" else max(0, marks - 1)
+            out.append(0.0)
         else:
-            value = weights.get(name, UNSEEN_WRITTEN if name in WRITTEN else UNSEEN)
-            if name in ("article", "main"):
-                marks = marks + 1 if kind == "open" else max(0, marks - 1)
-            elif marks:
+            where.step(kind, name, text)
+            own = [weights[f] for f in (name, *text.split()) if f in weights] if kind == "open" else []
+            value = min(own) if own else weights.get(name, UNSEEN_WRITTEN if name in WRITTEN else UNSEEN)
+            if learned and name in WRITTEN and not text:
+                value = max(value, 25 * UNSEEN_WRITTEN)  # an article may have lists where the labelled ones have none
+            elif not learned and marks:
                 value = max(value, UNSEEN_WRITTEN)
+            out.append(value)
+    return out
+
+
+def region(parts: list[tuple[str, str, str, int]], weights: dict[str, float]) -> tuple[int, int]:
+    """[start, end) of the parts with the highest sum; (0, 0) if no sum is positive.  Of ties the first."""
+    best, best_at, total, start = 0.0, (0, 0), 0.0, 0
+    for i, value in enumerate(scores(parts, weights)):
         if total <= 0:
             total, start = 0.0, i
         total += value
@@ -218,9 +278,9 @@ def main_text(page: str, weights: dict[str, float]) -> str:
         if text:
             blocks.append(text)
 
-    for kind, name, text, out in parts[a:b]:
+    for kind, name, text, dark in parts[a:b]:
         if kind == "text":
-            if not out:
+            if not dark:
                 own.append(text)
         elif name in BLOCKS:
             close()
@@ -231,13 +291,14 @@ def main_text(page: str, weights: dict[str, float]) -> str:
 
 
 def learn_weights(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", sample_pages: int = SAMPLE_PAGES) -> dict[str, float]:
-    """Log-odds of words and tags inside the article; tags are held below zero, words above.
-
-    Labelled pages are those with an ``article`` or ``main`` element; of them
-    the ``sample_pages`` with the smallest hash of the id are counted, and all
-    others of the same id.  Only
-    names that HTML knows are kept, so the table is bounded.  Empty without
-    labelled pages: then the defaults hold.
+    """Log-odds of words and tags inside the article; tags are held below zero, words outside shown elements above.
+
+    Keys: tags and features (``class:x``); ``in`` one of these, for words in
+    such elements; ``word`` for all others.  Labelled pages are those with an
+    ``article`` or ``main`` element; of them the ``sample_pages`` with the
+    smallest hash of the id are counted, and all others of the same id.  Tags
+    that HTML knows and the most frequent features are kept, so the table is
+    bounded.  Empty without labelled pages: then the defaults hold.
     """
     prepared_tasks(pages.sparkSession)
     known = VOID | RAW | BLOCKS | INLINE | OUTSIDE
@@ -253,22 +314,36 @@ def learn_weights(pages: DataFrame, html_col: str = "html", id_col: str = "page_
         total: Counter = Counter()
         for batch in batches:
             for page in batch.column(0).to_pylist():
-                depth = 0
-                for kind, name, text, out in pieces(page):
+                depth, where = 0, Inside(lambda f: True)
+                for kind, name, text, dark in pieces(page):
                     if name in ("article", "main"):
                         depth = max(0, depth + (1 if kind == "open" else -1))
-                        total[name, False] += 1
+                    elif dark == 2:
+                        continue
                     elif kind == "text":
-                        total["word", depth > 0 and not out] += len(_word.findall(text))
-                    elif name in known and not out:
-                        total[name, depth > 0] += 1
+                        n = len(_word.findall(text))
+                        total["word", depth > 0] += n
+                        for f in where.names():
+                            total[f"in {f}", depth > 0] += n
+                    else:
+                        where.step(kind, name, text)
+                        for f in (name, *text.split()):
+                            if ":" in f or name in known:
+                                total[f, depth > 0] += 1
         yield pa.record_batch([pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.bool_()), pa.array(list(total.values()), pa.int64())], ["name", "inside", "n"])
 
-    found = sample.mapInArrow(counted, "name string, inside boolean, n long").groupBy("name").agg(F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(~F.col("inside"), F.col("n")).otherwise(0)).alias("b")).collect()
-    out = {}
-    for r in found:
+    n = lambda inside: F.sum(F.when(F.col("inside") == inside, F.col("n")).otherwise(0))
+    found = sample.mapInArrow(counted, "name string, inside boolean, n long").groupBy("name").agg(n(True).alias("a"), n(False).alias("b"))
+    out = {"learned": 1.0}
+    for r in found.orderBy(F.desc(F.col("a") + F.col("b")), "name").limit(FEATURES).collect():
         odds = math.log((r["a"] + 1) / (r["b"] + 1))
-        out[r["name"]] = max(0.5, odds) if r["name"] == "word" else min(MOST, max(LEAST, 3 * (odds - 1)))
+        if r["name"] == "word":
+            out["word"] = max(0.5, odds)
+        elif r["name"].startswith("in "):
+            if odds < 0:
+                out[r["name"]] = max(DARK, odds)
+        else:
+            out[r["name"]] = min(MOST, max(LEAST, 3 * (odds - 1)))
     return out
 
 

@@ -65,6 +65,55 @@ def test_region_is_the_best_contiguous_one():
         assert (sums[a, b] if b else 0) == max(0, max(sums.values()))
 
 
+def labelled(spark, junk):
+    """Pages whose junk has names that no list knows, before and after the article and of more words than some articles."""
+    words = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
+    rows = []
+    for k in range(40):
+        article = f"<h1>{words(k, 3)}</h1>" + "".join(f"<p>{words(k, 2 + 5 * (k % 9))}.</p>" for _ in range(1 + k % 4))
+        rows.append((k, f'<body><div class="{junk}"><p>{words("a", 9)}</p></div><article>{article}</article><section id="{junk}-2"><p>{words("b", 14)}</p></section></body>', "\n".join(re.sub("<[^>]*>", " ", b).strip() for b in re.split("(?<=</h1>)|(?<=</p>)", article) if b)))
+    return spark.createDataFrame(rows, "page_id long, html string, want string")
+
+
+@pytest.mark.parametrize("junk", ["qx-17", "zz_blurb"])
+def test_the_scan_decides_by_learned_names(spark, junk):
+    df = labelled(spark, junk)
+    weights = H.learn_weights(df)
+    assert weights[f"class:{junk}"] < -1 and weights[f"in class:{junk}"] == H.DARK
+    for r in df.collect():
+        assert H.main_text(r.html, weights) == r.want
+        assert H.main_text(re.sub("(</?)article>", r"\1div>", r.html), weights) == r.want  # the label is no input
+        assert H.main_text(r.html, {}) != r.want
+
+
+def test_given_pages_need_no_lists(spark, monkeypatch):
+    """Without the lists all texts stay; with the whole page instead of the scan's region they don't."""
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    weights, rows = H.learn_weights(pages), pages.collect()
+    texts = [H.main_text(r.html, weights) for r in rows]
+    monkeypatch.setattr(H, "OUTSIDE", H.HIDDEN)
+    monkeypatch.setattr(H, "NAMES", frozenset())
+    assert [H.main_text(r.html, weights) for r in rows] == texts
+    monkeypatch.setattr(H, "region", lambda parts, weights: (0, len(parts)))
+    assert np.mean([H.main_text(r.html, weights) != t for r, t in zip(rows, texts)]) > 0.9
+
+
+def test_op5_regions_by_all_bounds(spark):
+    """The registered query's texts are those of the region that is best among all pairs of bounds."""
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    weights = H.learn_weights(pages)
+    got = {r.page_id: r.text for r in queries.op5_html_text(spark, FOLDER).collect()}
+    for r in pages.collect():
+        parts = H.pieces(r.html)
+        until = np.append(0, np.cumsum(H.scores(parts, weights)))
+        sums = np.triu(until[None, :] - until[:, None], 1)
+        a, b = H.region(parts, weights)
+        assert sums.max() == pytest.approx(until[b] - until[a]) and sums.max() > 0
+        first, last = np.argwhere(sums > sums.max() - 1e-9)[0]
+        own = [html.unescape(t) for k, _, t, dark in parts[first:last] if k == "text" and not dark]
+        assert "".join("".join(own).split()) == "".join(got[r.page_id].split())
+
+
 def test_extract_edge_rows(spark):
     df = spark.createDataFrame([(1, "u", None, "old"), (2, "u", "", "old"), (3, "u", PAGE, "old")], "page_id long, url string, html string, text string")
     got = {r.page_id: (r.text, r.n_chars) for r in H.extract(df, H.learn_weights(df)).collect()}
