@@ -60,6 +60,20 @@ def opened(raw: bytes, columns: int) -> tuple[list[np.ndarray], bytes]:
     return [np.ascontiguousarray(x.T).view("<i8").ravel() for x in planes], plain[8 * n * columns :]
 
 
+def shut_sequence(sequence: np.ndarray, many: np.ndarray) -> bytes:
+    """A sequence of numbers (-1 between pieces) by their ranks, which are small for frequent ones, and the numbers by rank."""
+    order = np.argsort(-many, kind="stable")
+    rank = np.zeros(len(many) + 1, np.int64)  # the last place is what -1 reads
+    rank[order] = np.arange(1, len(many) + 1)
+    ranks = shut(rank[sequence])
+    return len(ranks).to_bytes(8, "little") + ranks + shut(order)
+
+
+def opened_sequence(raw: bytes) -> np.ndarray:
+    n = 8 + int.from_bytes(raw[:8], "little")
+    return np.append(-1, opened(raw[n:], 1)[0][0])[opened(raw[8:n], 1)[0][0]]
+
+
 def distinct(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of byte spans: the place of one of each kind, each span's kind, and the kinds' counts.  Bytes decide; ``raw`` has 16 more than the spans reach."""
     size = ends - starts
@@ -126,7 +140,7 @@ def pair_cells(x: np.ndarray, y: np.ndarray, m: int) -> tuple[np.ndarray, np.nda
 
 
 def next_block(sequence: np.ndarray, at: np.ndarray, ids: np.ndarray, frequency: np.ndarray, parts: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """From a block's sequence and its frequent numbers, their ids and frequencies: the sequence of pairs, and the pairs (both ids, count, part) by part and ids."""
+    """From a block's sequence and its frequent numbers, their ids and magnitudes: the sequence of pairs, and the pairs (both ids, count, part) by part and ids."""
     order = np.lexsort((ids, -frequency))  # the most frequent first, so that they share tiles
     own = np.full(int(sequence.max(initial=-1)) + 2, -1, np.int64)  # the last place is what -1 reads
     own[at[order]] = np.arange(len(order))
@@ -174,7 +188,7 @@ def word_blocks(docs: DataFrame, text_col: str, lang_col: str, parts: int, block
                 sequence, own, many, part = block_of(data, bounds[lo : hi + 1], parts, zlib.crc32(lang.encode()))
                 if len(own):
                     cells = [{"part": p, "start": x, "cells": shut(many[x:y], text=b"\n".join(own[x:y]))} for p, x, y in by_part(part)]
-                    yield pa.record_batch([pa.array([next(fresh)]), pa.array([lang]), pa.array([int(many.sum())]), pa.array([shut(sequence)]), pa.array([cells], _CELLS)], ["block", "lang", "words", "sequence", "cells"])
+                    yield pa.record_batch([pa.array([next(fresh)]), pa.array([lang]), pa.array([int(many.sum())]), pa.array([shut_sequence(sequence, many)]), pa.array([cells], _CELLS)], ["block", "lang", "words", "sequence", "cells"])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = iter(range(TaskContext.get().partitionId() << 32, 1 << 62))
@@ -200,24 +214,35 @@ def pair_blocks(blocks: DataFrame, answers: DataFrame, parts: int, last: bool) -
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                told = [opened(x, 3)[0] for x in batch.column(2)[k].as_py()]
-                at, ids, frequency = (np.concatenate(x) for x in zip(*told))
-                sequence, a, b, many, part = next_block(opened(batch.column(1)[k].as_py(), 1)[0][0], at, ids, frequency, parts)
+                at, ids, frequency = (np.concatenate(x) for x in zip(*[told(x, parts) for x in batch.column(2)[k].as_py()]))
+                sequence, a, b, many, part = next_block(opened_sequence(batch.column(1)[k].as_py()), at, ids, frequency, parts)
                 if len(a):
                     cells = [{"part": p, "start": x, "cells": shut(np.diff(a[x:y], prepend=0), b[x:y], many[x:y])} for p, x, y in by_part(part)]
-                    yield pa.record_batch([batch.column(0).slice(k, 1), pa.array([b"" if last else shut(sequence)]), pa.array([cells], _CELLS)], ["block", "sequence", "cells"])
+                    yield pa.record_batch([batch.column(0).slice(k, 1), pa.array([b"" if last else shut_sequence(sequence, many)]), pa.array([cells], _CELLS)], ["block", "sequence", "cells"])
         trim()
 
     joined = blocks.select("block", "sequence").join(answers, "block").select("block", "sequence", "answers")
     return joined.mapInArrow(pairs, f"block long, sequence binary, {CELLS}")
 
 
+def tell(at: np.ndarray, number: np.ndarray, frequency: np.ndarray, part: int) -> bytes:
+    """Ascending places and numbers inside a part, by their steps; of frequencies the binary magnitude is enough to rank by."""
+    size = np.frexp(frequency.astype(float))[1]
+    return shut(np.diff(at, prepend=0), np.diff(number, prepend=0), size, text=part.to_bytes(8, "little"))
+
+
+def told(raw: bytes, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, ids and magnitudes of ``tell``."""
+    (at, number, size), part = opened(raw, 3)
+    return np.cumsum(at), np.cumsum(number) * parts + int.from_bytes(part, "little"), size
+
+
 FOUND = "block long, answer binary, lang array<string>, phrase array<string>, a array<long>, b array<long>, f array<long>, id array<long>"
 _FOUND = [pa.int64(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.string()), *[pa.list_(pa.int64())] * 4]
 
 
 def frequent(blocks: DataFrame, least: int, parts: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """Sums of the blocks' cells by part: what each block is told (block, answers: packed at, id, f), and the frequent words or pairs.
+    """Sums of the blocks' cells by part: what each block is told (block, answers: see ``tell``), and the frequent words or pairs.
 
     A part holds about ``PART_BYTES`` of text's cells, each block's at most
     once.  ids are numbers below the number of frequent ones, but for uneven
@@ -247,19 +272,21 @@ def frequent(blocks: DataFrame, least: int, parts: int, name: str) -> tuple[Data
         total = np.zeros(int(kind.max()) + 1, np.int64)
         np.add.at(total, kind, many)
         hot = np.flatnonzero(total >= least)
-        ids = np.full(len(total), -1, np.int64)
-        ids[hot] = np.arange(len(hot)) * parts + part
+        if with_words:  # in the order in which blocks list them
+            hot = np.array(sorted(hot.tolist(), key=kinds.__getitem__), np.int64)
+        number = np.full(len(total), -1, np.int64)
+        number[hot] = np.arange(len(hot))
         rows, lo = [], 0
         for block, start, n in zip(table.column("block").to_pylist(), table.column("start").to_pylist(), sizes):
             own = kind[lo : lo + n]
-            held = np.flatnonzero(ids[own] >= 0)
+            held = np.flatnonzero(number[own] >= 0)
             lo += n
             if len(held):
-                rows.append((block, shut(start + held, ids[own[held]], total[own[held]]), *[None] * 6))
+                rows.append((block, tell(start + held, number[own[held]], total[own[held]], part), *[None] * 6))
         if len(hot):
             named = [x.rsplit("\n", 1) for x in (kinds[k] for k in hot.tolist())] if with_words else []
             found = [[x for x, _ in named], [x for _, x in named], None, None] if with_words else [None, None, a[heads[hot]], b[heads[hot]]]
-            rows.append((None, None, *found, total[hot], ids[hot]))
+            rows.append((None, None, *found, total[hot], number[hot] * parts + part))
         trim()
         columns = zip(*rows) if rows else [[]] * len(_FOUND)
         return pa.table([pa.array(list(c), t) for c, t in zip(columns, _FOUND)], [x.split()[0] for x in FOUND.split(", ")])

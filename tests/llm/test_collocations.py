@@ -73,6 +73,14 @@ def test_packed_columns_come_back():
         assert (a == x).all() and (b == y).all() and text == "é\nz".encode()
 
 
+def test_sequences_and_answers_come_back():
+    sequence, many = np.array([2, 0, -1, 2, 1, 2, -1, 0]), np.array([2, 1, 3])
+    assert K.opened_sequence(K.shut_sequence(sequence, many)).tolist() == sequence.tolist()
+    assert K.opened_sequence(K.shut_sequence(sequence[:0], many[:0])).tolist() == []
+    at, ids, size = K.told(K.tell(np.array([3, 4, 9]), np.array([0, 5, 6]), np.array([30, 1 << 40, 31]), 2), 7)
+    assert at.tolist() == [3, 4, 9] and ids.tolist() == [2, 37, 44] and size[1] > size[0] == size[2]
+
+
 def test_words_of_one_hash_stay_apart(monkeypatch):
     monkeypatch.setattr(K, "mix", lambda x: x & np.uint64(3))
     data, bounds = string_buffers(pa.array(["b a a c d e", HARD, f"{HARD} a f. g"]))
