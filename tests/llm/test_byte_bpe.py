@@ -41,7 +41,8 @@ def test_ids_equal_the_library(name, limit):
 
     texts, ranks = odd_texts()[:: 1 if limit > 50 else 15], B.RankCache(B.vocabulary(P.path(name)).ranks, slots=1 << 10)
     got = split(*B.encoded(pa.array([*texts, None]), ranks, limit))
-    assert got == [library(name).encode_ordinary(t) for t in texts] + [[]]
+    own = library(name)
+    assert got == [own.encode_ordinary(t) for t in texts] + [[]]
 
 
 def test_ranks_that_fall_while_merging():
