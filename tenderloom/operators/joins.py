@@ -57,7 +57,15 @@ def keyword_top(df: DataFrame, name: str, keywords: list[str], top: int = 10) ->
     """
     counts = df.filter(C(name).isNotNull()).groupBy(name).agg(F.count("*").alias("n"))
     hit = F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(F.lower(C(name)), F.lower(k)))
-    rows = counts.withColumn("keyword", F.explode(hit))
+    return _most_frequent(counts.withColumn("keyword", F.explode(hit)), name, top)
+
+
+def keyword_top_in(index, name: str, keywords: list[str], top: int = 10) -> DataFrame:
+    """``keyword_top`` in a trigram index over the names with their number of rows, ``n``."""
+    return _most_frequent(index.containing(name, keywords), name, top)
+
+
+def _most_frequent(rows: DataFrame, name: str, top: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("keyword").orderBy(F.desc("n"), name))
     return rows.withColumn("rank", rank).filter(C("rank") <= top).select("keyword", name, "n", "rank")
 

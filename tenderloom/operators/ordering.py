@@ -18,7 +18,7 @@ _ROW = (1 << 33) - 1  # monotonically_increasing_id numbers the rows of a partit
 
 
 class Ordered:
-    """``df`` in its order, written once to the shared folder, one folder per range.
+    """``df`` in its order, written once to the shared folder (or to ``path``), one folder per range.
 
     ``df`` is read twice (bounds of the ranges, then the rows): store it first
     if it costs much.  Rows equal in the whole order stand in any order.  An
@@ -26,11 +26,11 @@ class Ordered:
     not allowed.
     """
 
-    def __init__(self, df: DataFrame, order: list[Column | str]):
+    def __init__(self, df: DataFrame, order: list[Column | str], path: str | None = None):
         spark = df.sparkSession
         if clash := {"_part", "_row", "_n"} & set(df.columns):
             raise ValueError(f"columns {sorted(clash)} are taken")
-        self.columns, self.path = df.columns, shared_path(spark, "ranges")
+        self.columns, self.path = df.columns, path or shared_path(spark, "ranges")
         out = df.repartitionByRange(*order).sortWithinPartitions(*order)
         out = out.withColumns({"_row": F.monotonically_increasing_id().bitwiseAND(_ROW), "_part": F.spark_partition_id()})
         out.write.partitionBy("_part").parquet(self.path)

@@ -10,7 +10,9 @@ from ..operators import dedup as D
 from ..operators import fuzzy as Z
 from ..operators import joins as J
 from ..operators import metrics as M
+from ..operators.trigrams import TrigramIndex
 from ..plans.bindings import notices, table, tenders
+from ..streaming.incremental import shared_path
 from .registry import query
 from .scalars import sentinel_sql
 
@@ -151,11 +153,22 @@ def jn08_fuzzy_weighted(spark, d):
     return Z.canonical(spelt_entities(spark, d), "entity", 85, 30)
 
 
-@query("t: WITH c AS (SELECT supplier, count(*) AS n FROM t GROUP BY 1), k(keyword) AS (VALUES ('00001'), ('0002'), ('#0')), j AS (SELECT keyword, supplier, n, row_number() OVER (PARTITION BY keyword ORDER BY n DESC, supplier) AS rank FROM c JOIN k ON contains(lower(supplier), keyword)) SELECT * FROM j WHERE rank <= 10")
+_keyword_top = "t: WITH c AS (SELECT supplier, count(*) AS n FROM t GROUP BY 1), k(keyword) AS (VALUES ('00001'), ('0002'), ('#0')), j AS (SELECT keyword, supplier, n, row_number() OVER (PARTITION BY keyword ORDER BY n DESC, supplier) AS rank FROM c JOIN k ON contains(lower(supplier), keyword)) SELECT * FROM j WHERE rank <= 10"
+
+
+@query(_keyword_top)
 def jn09_keyword_top(spark, d):
     return J.keyword_top(tenders(spark, d), "supplier", ["00001", "0002", "#0"])
 
 
+@query(_keyword_top)
+def jn11_indexed_keyword_top(spark, d):
+    """The same through the trigram index of the names; the keyword of two characters scans the names."""
+    index = TrigramIndex(spark, shared_path(spark, "trigrams"))
+    index.add(tenders(spark, d).filter("supplier IS NOT NULL").groupBy("supplier").agg(F.count("*").alias("n")), ["supplier"], ["supplier"])
+    return J.keyword_top_in(index, "supplier", ["00001", "0002", "#0"])
+
+
 @query("t: SELECT region, count(*) AS n, round(sum(amount), 2) AS total, count(DISTINCT category) AS categories, round(avg(discount), 4) AS mean_discount FROM t WHERE region IN ('ASIA', 'EUROPE') GROUP BY region")
 def jn10_compare(spark, d):
     return J.compared(tenders(spark, d), "region", "ASIA", "EUROPE", [F.count("*").alias("n"), F.round(F.sum("amount"), 2).alias("total"), F.countDistinct("category").alias("categories"), F.round(F.avg("discount"), 4).alias("mean_discount")])

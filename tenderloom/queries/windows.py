@@ -11,7 +11,9 @@ from ..operators import metrics as M
 from ..operators import search as Q
 from ..operators import windows as W
 from ..operators.ordering import Ordered, numbered
+from ..operators.trigrams import TrigramIndex
 from ..plans.bindings import notices, table, tenders
+from ..streaming.incremental import shared_path
 from .registry import query
 
 C = F.col
@@ -148,6 +150,28 @@ def sl08_supplier_search(spark, d):
     return out.withColumn("total", F.round("total", 2)).select("supplier", "total", "n", "how")
 
 
+_searched = ["worthless|data.{1,4}set", "aux? (?:ou|la)|thet[ht]e", "qu[ei] .n"]
+
+
+@query("SELECT pattern, doc_id FROM documents, (VALUES " + ", ".join(f"('{p}')" for p in _searched) + ") AS p(pattern) WHERE " + " OR ".join(f"(pattern = '{p}' AND regexp_matches(text, '{p}', 'i'))" for p in _searched))
+def sl12_indexed_text_search(spark, d):
+    """Text search over all documents through the trigram index, filled by two feeds; the second and third patterns have no trigram to ask for in some part, and scan."""
+    index = TrigramIndex(spark, shared_path(spark, "trigrams"))
+    documents = table(spark, d, "documents").select("doc_id", "text", "source")
+    for feed in ("source < 'src5'", "source >= 'src5' OR source IS NULL"):
+        index.add(documents.filter(feed), ["doc_id"], ["text"])
+    found = [index.search(p, ["text"]).select(F.lit(p).alias("pattern"), "doc_id") for p in _searched]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query("t: SELECT supplier, round(sum(amount), 2) AS total, count(*) AS n FROM t WHERE supplier IS NOT NULL GROUP BY 1 HAVING contains(upper(supplier), 'R#00000') ORDER BY supplier LIMIT 50")
+def sl13_indexed_name_search(spark, d):
+    """The supplier search of sl08, through the trigram index of the names with their totals."""
+    index = TrigramIndex(spark, shared_path(spark, "trigrams"))
+    index.add(Q.names_with_totals(tenders(spark, d), "supplier", "amount"), ["supplier"], ["supplier"])
+    return Q.name_search_in(index, "supplier", "r#00000").select("supplier", F.round("total", 2).alias("total"), "n")
+
+
 @query("t: SELECT key, lot, amount FROM t WHERE amount >= 20000 AND amount <= 50000 AND award_date >= DATE '1996-01-01' AND award_date <= DATE '1996-06-30' AND discount >= 3")
 def sl09_ranges(spark, d):
     return Q.ranged(tenders(spark, d), {"amount": (20_000, 50_000), "award_date": (F.lit("1996-01-01").cast("date"), F.lit("1996-06-30").cast("date")), "discount": (3, None)}).select("key", "lot", "amount")
