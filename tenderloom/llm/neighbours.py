@@ -2,9 +2,9 @@
 
 A unit vector, turned by three sign flips and fast Hadamard transforms, falls
 to the nearest of the 2 * d signed axes.  Each of ``TABLES`` turns gives one
-table.  A query visits the axes nearest to it in every table and measures all
-vectors found there exactly, in double precision.  The more vectors there are,
-the nearer the nearest ones lie, so the fewer axes do: see ``probes_for``.
+table.  A query visits the axes nearest to it, whichever tables they belong to,
+and measures all vectors found there exactly, in double precision.  How many it
+visits follows from the recall that is asked for: see ``axes_for``.
 
 Equal vectors are one entry that names its smallest ids only: no result can
 hold more than k of them.  Buckets are dealt in parts of at most PART entries
@@ -13,6 +13,7 @@ and as many queries, so a bucket may hold any share of all rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,21 +24,11 @@ from pyspark.sql import functions as F
 from .shared import cut, prepared_tasks
 
 TABLES = 6
-PROBES, PROBED, FALL = 16, 2000, 0.15
+RECALL, SAMPLE = 0.95, 200
 PART = 20_000
 SEED = 20_240_229
 
 
-def probes_for(n: int) -> int:
-    """Axes to visit among n vectors: 16 of 2,000, then fewer by n ** -0.15.
-
-    On vectors spread nearly evenly over a sphere in 64 dimensions, the
-    hardest kind, recall of ten is measured as 0.965 (16 of 2,000), 0.96 (13
-    of 10,000) and 0.95 (10 of 51,000).
-    """
-    return max(2, round(PROBES * min(1.0, PROBED / max(1, n)) ** FALL))
-
-
 def turned(x: np.ndarray, flips: np.ndarray) -> np.ndarray:
     """Three rounds of sign flips and Hadamard transform; the rows' width is a power of two."""
     n = x.shape[1]
@@ -50,18 +41,25 @@ def turned(x: np.ndarray, flips: np.ndarray) -> np.ndarray:
     return x
 
 
-def axes(vectors: np.ndarray, tables: int, probes: int) -> np.ndarray:
-    """tables x rows x probes: the nearest signed axes (2 * axis + sign), nearest first."""
+def placed(vectors: np.ndarray, tables: int) -> np.ndarray:
+    """rows x tables x signed axes (2 * axis + sign): how near each axis is to the unit vector; more is nearer."""
     width = 1 << max(0, vectors.shape[1] - 1).bit_length()
     unit = np.zeros((len(vectors), width))
     unit[:, : vectors.shape[1]] = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     flips = np.random.default_rng(SEED).choice([-1.0, 1.0], (tables, 3, width))
-    out = np.empty((tables, len(vectors), min(probes, 2 * width)), np.int32)
-    for t in range(tables):
-        y = turned(unit, flips[t])
-        both = np.stack([y, -y], 2).reshape(len(y), -1)
-        out[t] = np.argsort(-both, 1, kind="stable")[:, : out.shape[2]]
-    return out
+    turns = [turned(unit, f) for f in flips]
+    return np.stack([np.stack([y, -y], 2).reshape(len(y), -1) for y in turns], 1)
+
+
+def buckets(vectors: np.ndarray, tables: int) -> np.ndarray:
+    """rows x tables: the number of each vector's bucket, counted over all tables."""
+    near = placed(vectors, tables)
+    return near.argmax(2) + np.arange(tables) * near.shape[2]
+
+
+def visits(vectors: np.ndarray, tables: int) -> np.ndarray:
+    """rows x buckets of all tables: their numbers, in the order in which a query visits them."""
+    return np.argsort(-placed(vectors, tables).reshape(len(vectors), -1), 1, kind="stable")
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -69,7 +67,45 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.astype(np.float64).reshape(len(column), -1)
 
 
-def nearest(vectors: DataFrame, queries, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: int | None = None) -> DataFrame:
+def axes_for(entries: DataFrame, asked: DataFrame, k: int, tables: int, recall: float) -> int:
+    """The fewest axes to visit at which a sample of the queries finds the share ``recall`` of its k nearest other vectors.
+
+    The sample (SAMPLE queries with the smallest hashes of their ids, a bound
+    of its own) is measured against all entries in one pass; a task sends k
+    entries per sampled query.  With 2,000 neighbours the share is known to
+    about half a percent, at every size of the table.
+    """
+    sample = asked.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()
+    if not sample:
+        return 1
+    points = np.array([r["v"] for r in sample])
+    order = visits(points, tables)
+    place = np.argsort(order, 1)  # of each bucket in a query's order
+    squares, rows = (points**2).sum(1)[:, None], np.arange(len(points))[:, None]
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, need = np.empty((len(points), 0)), np.empty((len(points), 0), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                x = matrix(batch.column(0))
+                far = np.maximum((x**2).sum(1) + squares - 2 * points @ x.T, 0)
+                for q, i in np.argwhere(far <= 1e-9 * squares):
+                    far[q, i] = np.inf if np.array_equal(points[q], x[i]) else far[q, i]
+                pick = np.argpartition(far, k - 1, 1)[:, :k] if len(x) > k else np.tile(np.arange(len(x)), (len(points), 1))
+                first = place[rows[:, :, None], buckets(x, tables)[pick]].min(2)
+                best, need = np.hstack([best, far[rows, pick]]), np.hstack([need, first])
+                keep = np.argsort(best, 1, kind="stable")[:, :k]
+                best, need = best[rows, keep], need[rows, keep]
+        q, i = np.nonzero(np.isfinite(best))
+        yield pa.record_batch([pa.array(q), pa.array(best[q, i]), pa.array(need[q, i])], ["q", "far", "need"])
+
+    found = entries.select("v").mapInArrow(measured, "q long, far double, need long")
+    nearest_ = found.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy("far", "need"))).filter(F.col("r") <= k)
+    need = sorted(r["need"] for r in nearest_.select("need").collect())
+    return need[math.ceil(recall * len(need)) - 1] + 1 if need else 1
+
+
+def nearest(vectors: DataFrame, queries, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: int | None = None, recall: float = RECALL) -> DataFrame:
     """The k nearest rows of each query row: query_id, rank (from 1), vec_id, score (Euclidean distance).
 
     ``queries`` is a condition on ``vectors`` that picks the query rows;
@@ -78,8 +114,9 @@ def nearest(vectors: DataFrame, queries, k: int = 10, id_col: str = "vec_id", ve
     non-finite components, or has another length than most, take no part.
     Rows that agree in id and vector count once.  A query that finds fewer
     than k rows in its buckets searches all; only if fewer exist is its list
-    shorter.  ``probes``: axes to visit in each table, ``probes_for`` the
-    number of vectors if not given.  Other columns are ignored; an empty table gives an empty result.
+    shorter.  ``probes``: axes to visit over all tables; if not given, as many
+    as the ``recall`` needs (``axes_for``).  Other columns are ignored; an empty
+    table gives an empty result.
     """
     spark = vectors.sparkSession
     prepared_tasks(spark)
@@ -101,19 +138,21 @@ def nearest(vectors: DataFrame, queries, k: int = 10, id_col: str = "vec_id", ve
     asked = rows.filter("q").select("id", "v").distinct()
 
     def dealt(n_probes: int, only_first: bool):
+        """A vector with its bucket in each table, or, as a query, with those that it visits."""
+
         def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
-                    found = axes(matrix(batch.column(1)), 1 if only_first else tables, n_probes)
-                    width = found.shape[2]
-                    for t in range(len(found)):
-                        key = (found[t].astype(np.int64) + (t << 32)).reshape(-1)
-                        yield pa.record_batch([pa.array(key), batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), width))), batch.column(1).take(pa.array(np.repeat(np.arange(batch.num_rows), width)))], ["key", batch.schema.names[0], "v"])
+                    n = 1 if only_first else tables
+                    found = visits(matrix(batch.column(1)), n)[:, :n_probes] if n_probes else buckets(matrix(batch.column(1)), n)
+                    for some in np.array_split(found, math.ceil(found.shape[1] / tables), 1):  # records of moderate size
+                        of = pa.array(np.repeat(np.arange(len(some)), some.shape[1]))
+                        yield pa.record_batch([pa.array(some.reshape(-1)), batch.column(0).take(of), batch.column(1).take(of)], ["key", batch.schema.names[0], "v"])
 
         return keys
 
     def searched(asked: DataFrame, n_probes: int, only_first: bool) -> DataFrame:
-        base = entries.select("ids", "v").mapInArrow(dealt(1, only_first), "key long, ids array<long>, v array<double>")
+        base = entries.select("ids", "v").mapInArrow(dealt(0, only_first), "key long, ids array<long>, v array<double>")
         ask = asked.select("id", "v").mapInArrow(dealt(n_probes, only_first), "key long, id long, v array<double>")
         # how many parts each bucket has on either side; a row per bucket, tables * axes rows at most
         n_base = base.groupBy("key").agg(F.ceil(F.count("*") / PART).alias("base_parts"))
@@ -151,7 +190,7 @@ def nearest(vectors: DataFrame, queries, k: int = 10, id_col: str = "vec_id", ve
         found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
         return found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))).filter(F.col("rank") <= k)
 
-    found = cut(searched(asked, probes or probes_for(entries.count()), False))
+    found = cut(searched(asked, probes or axes_for(entries, asked, k, tables, recall), False))
     full = found.groupBy("query_id").count().filter(F.col("count") >= k)
     short = cut(asked.join(full, F.col("id") == F.col("query_id"), "left_anti"))
     if not short.isEmpty():

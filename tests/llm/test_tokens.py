@@ -273,3 +273,35 @@ def test_neighbours_edge_rows(spark, monkeypatch):
     few = neighbours.nearest(df.filter("vec_id < 4"), F.col("vec_id") == 0, k=10).collect()
     assert [r.vec_id for r in sorted(few, key=lambda r: r["rank"])] == [i for i, _ in brute_nearest(ids[:4], points[:4], 0)]
     assert neighbours.nearest(df.limit(0), F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("n,width,clustered", [(1500, 48, False), (6000, 32, False), (3000, 64, True)])
+def test_axes_follow_the_recall(spark, n, width, clustered):
+    """Generated vectors: what the sample asks for holds for all queries, at each size and kind of table."""
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, width))
+    if clustered:
+        x = rng.normal(size=(40, width))[rng.integers(0, 40, n)] + 0.2 * x
+    x[5] = x[100]  # equal vectors are no neighbours that the sample counts
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    picked = F.col("vec_id") % 10 == 0
+    got = {}
+    for r in neighbours.nearest(df, picked, recall=0.9).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = [len(got[q] & {i for i, _ in brute_nearest(np.arange(n), x, q)}) / 10 for q in range(0, n, 10)]
+    assert len(hit) == n // 10 and np.mean(hit) >= 0.87
+    entries = df.select(F.col("embedding").alias("v")).distinct()
+    fit = [neighbours.axes_for(entries, df.filter(picked).select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), 10, 6, share) for share in (0.5, 0.9, 1.0)]
+    assert 1 <= fit[0] <= fit[1] <= fit[2] <= 6 * 2 * 64
+
+
+def test_axes_of_a_few_vectors_by_hand(spark):
+    """The number equals the one from all pairs."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(120, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>").repartition(5)
+    place, home = np.argsort(neighbours.visits(x, 3), 1), neighbours.buckets(x, 3)
+    need = sorted(int(place[q, home[i]].min()) for q in range(120) for i, _ in brute_nearest(np.arange(120), x, q, 4))
+    assert neighbours.axes_for(df.select("v"), df, 4, 3, 0.8) == need[int(np.ceil(0.8 * len(need))) - 1] + 1
+    assert neighbours.axes_for(df.select("v"), df.limit(0), 4, 3, 0.8) == 1
+    assert neighbours.axes_for(df.filter("id = 3").select("v"), df.filter("id = 3"), 4, 3, 0.8) == 1
