@@ -63,6 +63,31 @@ def st05_drop_late(spark, d):
     return streamed(spark, d, True).read().select("event_id", "user_id", "event_type")
 
 
+_first = "(feed = 'even' AND day < '2024-01-15' AND day <> '2024-01-05') OR (feed = 'odd' AND day < '2024-01-10')"
+
+
+@query(f"""WITH e AS (SELECT event_id, user_id, event_type, ts, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS feed FROM events),
+    one AS (SELECT * FROM e WHERE {_first}), bound AS (SELECT feed, max(day) AS last FROM one GROUP BY feed),
+    two AS (SELECT e.*, day <= last AS late FROM e LEFT JOIN bound USING (feed) WHERE NOT ({_first})),
+    both_ AS (SELECT 'dropped' AS late_rows, * FROM one UNION ALL SELECT 'kept', * FROM one UNION ALL SELECT 'kept', * EXCLUDE (late) FROM two UNION ALL SELECT 'dropped', * EXCLUDE (late) FROM two WHERE NOT coalesce(late, false))
+    SELECT late_rows, feed, user_id, event_type, event_id FROM both_ QUALIFY row_number() OVER (PARTITION BY late_rows, feed, user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
+def st08_late_by_state(spark, d):
+    """Two feeds that got to different days, a restart, then the rest: what each feed had processed decides which rows are late, and a parameter whether they go."""
+    events = table(spark, d, "events").withColumns({"day": F.date_format("ts", "yyyy-MM-dd"), "feed": F.when(C("event_id") % 2 == 0, "even").otherwise("odd")})
+    source = I.shared_path(spark, "feeds")
+    out = []
+    targets = {rule: [I.shared_path(spark, n) for n in ("merged", "progress", "processed")] for rule in ("dropped", "kept")}
+    for run, some in enumerate((_first, f"NOT ({_first})")):
+        events.filter(some).write.parquet(f"{source}/{run}")
+        for rule, (target, checkpoint, state) in targets.items():
+            # new objects each time: table and state live in their folders
+            merged = I.KeyedTable(spark, target, ["feed", "user_id", "event_type"], ["ts", "event_id"])
+            I.ingest(spark, source, events.schema, merged, checkpoint, late=I.Processed(spark, state, "feed", "day") if rule == "dropped" else None)
+            if run:
+                out.append(merged.read().select(F.lit(rule).alias("late_rows"), "feed", "user_id", "event_type", "event_id"))
+    return out[0].unionByName(out[1])
+
+
 @query("""WITH n AS (SELECT event_type, count(DISTINCT user_id) + max(CASE WHEN user_id IS NULL THEN 1 ELSE 0 END) AS n FROM events GROUP BY event_type)
     SELECT run, rebuilt, event_type, CASE WHEN rebuilt THEN n END AS n FROM n, (VALUES (1, true), (2, false), (3, true)) AS r(run, rebuilt)""")
 def st06_forced_rebuild(spark, d):

@@ -226,13 +226,66 @@ class KeyedTable:
         return reduce(DataFrame.unionByName, counted) if counted else self.spark.createDataFrame([], "sequence long, stream string, batch long, rows long, total long")
 
 
-def ingest(spark: SparkSession, source: str, schema, table: KeyedTable, checkpoint: str, glob: str = "*", late_after: tuple[str, str] | None = None) -> None:
-    """Process all files that the checkpoint has not seen, then stop; a new checkpoint folder starts anew."""
-    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", glob).parquet(source)
+class Processed:
+    """The last processed period of each feed, kept in a folder, and the old rule that goes by it: up to there, rows are late.
+
+    All batches of a run go by what was processed when the run began, so the
+    order in which a run meets its files does not matter.  A batch notes its
+    periods after its merge, and they count when its run has come to its end:
+    a run that breaks off is taken up again under the bounds that it began with.
+    A feed that was never seen has no late rows, a null feed is one of its own,
+    and rows without a period never pass.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, feed: str, period: str):
+        self.feed, self.period = feed, period
+        self.state = KeyedTable(spark, path, ["feed", "closed"], ["period"], parts=1)
+
+    def bounds(self, closed: bool = True) -> DataFrame | None:
+        """feed, period: the last one of runs that came to their end (or of batches of the one that has not)."""
+        rows = self.state.read()
+        return None if rows is None else rows.filter(C("closed") == closed).select("feed", "period")
+
+    def on_time(self, batch: DataFrame) -> DataFrame:
+        known = self.bounds()
+        batch = batch.filter(C(self.period).isNotNull())
+        if known is None:
+            return batch
+        known = known.select(C("feed").alias("_feed"), C("period").alias("_period"))
+        late = C(self.feed).eqNullSafe(C("_feed")) & (C(self.period) <= C("_period"))
+        return batch.join(known, late, "left_anti")
+
+    def saw(self, batch: DataFrame, batch_id: int, stream: str) -> None:
+        last = batch.groupBy(C(self.feed).cast("string").alias("feed")).agg(F.max(self.period).cast("string").alias("period"))
+        self.state.merge(last.filter("period IS NOT NULL").withColumn("closed", F.lit(False)), batch_id, stream)
+
+    def close(self) -> None:
+        """The run has come to its end: what its batches noted counts from now on."""
+        noted = self.bounds(False)
+        if noted is not None:
+            self.state.merge(noted.withColumn("closed", F.lit(True)), self.state.ledger().count(), "close")
+
+
+def ingest(spark: SparkSession, source: str, schema, table: KeyedTable, checkpoint: str, glob: str = "*", late_after: tuple[str, str] | None = None, late: Processed | None = None, files: int | None = None) -> None:
+    """Process all files that the checkpoint has not seen, then stop; a new checkpoint folder starts anew.
+
+    Late rows count, unless ``late_after`` names a column and its last
+    processed period, or ``late`` keeps that per feed.  ``files``: at most so many a batch.
+    """
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    stream = (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(source)
     if late_after:
         stream = drop_late(stream, *late_after)
-    q = stream.writeStream.foreachBatch(lambda batch, k: table.merge(batch, k, checkpoint)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+    def merge(batch: DataFrame, k: int) -> None:
+        table.merge(late.on_time(batch) if late else batch, k, checkpoint)
+        if late:
+            late.saw(batch, k, checkpoint)
+
+    q = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
+    if late:
+        late.close()
 
 
 def update(spark: SparkSession, source: str, schema, table: KeyedTable, checkpoint: str, rebuild: Callable[[DataFrame], None], force: bool = False) -> dict:
