@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import classify as K
 from ..functions import extract as X
 from ..functions import rules as R
+from ..operators.interim import stored
 from ..plans.bindings import notices, spread, table
+from ..streaming.incremental import shared_path
 from .registry import query
 from .scalars import _date_sql  # noqa: F401  the date SQL is shared
 
@@ -125,6 +127,22 @@ def cls17_cached_verdicts(spark, d):
     return out.select("doc_id", "highest", "seen").crossJoin(F.broadcast(size))
 
 
+@query("""WITH h AS (SELECT doc_id, sha256(text) AS hash, CAST(length(text) AS BIGINT) AS size FROM documents), done AS (SELECT DISTINCT hash FROM h WHERE doc_id % 3 = 0 AND hash IS NOT NULL)
+    SELECT doc_id, size, CASE WHEN done.hash IS NULL THEN 2 ELSE 1 END AS run, done.hash IS NOT NULL AS seen, (SELECT count(DISTINCT hash) FROM h) AS ledger FROM h LEFT JOIN done USING (hash)""")
+def cls18_stored_ledger(spark, d):
+    """Two runs over a stored, bucketed ledger: texts that the first one judged keep its verdict in the second."""
+    from ..operators.ledger import Ledger
+
+    path = shared_path(spark, "ledger")
+    hashed = table(spark, d, "documents").select("doc_id", "text", F.sha2("text", 256).alias("hash"))
+    for run, rows in ((1, hashed.filter("doc_id % 3 = 0")), (2, hashed)):
+        ledger = Ledger(spark, path, "size long, run int", buckets=16)
+        out = ledger.judged(rows, lambda new, run=run: new.withColumns({"size": F.char_length("text").cast("long"), "run": F.lit(run)}))
+        out = stored(out.select("doc_id", "hash", "size", "run", "seen"))  # the answer is of the ledger as it was
+        ledger.record(out)
+    return out.drop("hash").crossJoin(F.broadcast(ledger.rows().agg(F.count("*").alias("ledger"))))
+
+
 @query(r"""n: SELECT id, coalesce(nullif(regexp_extract(text, '(?i)CIG[:\s]+([A-Z0-9]{10})', 1), ''), list_filter(regexp_extract_all(text, '\b[A-Z0-9]{10}\b'), lambda x: regexp_matches(x, '^(?:[0-9]|Z0|Y0|X0)'))[1]) AS code FROM n""")
 def ext01_lot_code(spark, d):
     return notices(spark, d).select("id", X.lot_code_in(C("text")).alias("code"))
