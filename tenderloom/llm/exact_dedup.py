@@ -121,7 +121,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of rows that agree in id and text, one."""
+    """The rows of ``docs`` that stay, with all their columns; of rows that agree in id and text, one.
+
+    A row without an id stays only where no equal text has one.
+    """
     out = exact_dedup(docs, id_col, text_col)
     kept = cut(out.select(F.col(id_col).alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"), "kept"))
     keyed = docs.withColumn("_sha", F.sha2(lowered(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), 256))

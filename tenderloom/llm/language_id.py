@@ -314,8 +314,9 @@ def identify(docs: DataFrame, models: LanguageModels | None, id_col: str = "doc_
     letter, or if nothing could be learned.  score: how far the best language
     is ahead of the others.  rejected: also a text whose cross-entropy is far
     above that of texts in its language; short texts are given more room.
-    Ties go to the language whose name sorts first.  Other columns of ``docs``
-    are ignored.
+    Ties go to the language whose name sorts first.  Repeated rows are judged
+    each, very long texts whole.  Other columns of ``docs`` are ignored; an
+    empty table gives an empty result.
     """
     prepared_tasks(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(models)

@@ -311,6 +311,9 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: of each group the document with the smallest id."""
+    """The rows of ``docs`` that stay, with all their columns: of each group the document with the smallest id.
+
+    Rows of one id are one document and stay or go together; rows without an id stay.
+    """
     gone = minhash_dedup(docs, id_col, text_col, **options).filter("not kept").select(F.col(id_col).alias("_gone"))
     return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")

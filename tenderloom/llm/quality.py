@@ -159,7 +159,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_
 
     Learns from the labels that fulfil the condition ``learn``; ids with
     several labels count once for each.  Empty texts have a score like any
-    other.  Null ids are scored, too.  Other columns of ``docs`` are ignored.
+    other, very long ones are scored whole.  Null ids and repeated rows are
+    scored, too, each row by itself.  Other columns of ``docs`` are ignored.
     An empty table gives an empty result.
     """
     stats = stored(document_statistics(docs, id_col, text_col), "statistics")

@@ -70,7 +70,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty.  Rows with the same id don't make each other's words go.  A row
     whose id is null keeps everything and is no other row's origin.  Columns
     of ``docs`` named like a new column are replaced.  Repeats inside one
-    document stay.
+    document stay.  Very long texts are read whole; an empty table gives an
+    empty result.
     """
     spark = docs.sparkSession
     new = {"n_words": "long", "n_removed": "long", "removed": "array<struct<start:int,end:int>>", "kept_text": "string"}

@@ -30,6 +30,36 @@ def test_stages(spark):
         assert stages[name](spark, docs.limit(0), FOLDER).count() == 0
 
 
+def say(k, n=40):
+    return " ".join(f"w{(k * 7919 + j * 104729) % 1000003}x" for j in range(n))
+
+
+EDGES = [
+    (1, say(1)), (2, say(1).upper().replace("W", "w")), (2, say(2)), (2, say(2)), (3, None), (4, ""), (5, say(4)), (6, say(4) + " and one more"),
+    (7, say(5, 3000)), (8, "tail " + say(1)), (None, say(3)), (None, say(3)), (None, None),
+]
+
+
+def test_edge_rows_of_the_stages(spark):
+    """Nulls in every column, empty and long texts, repeated rows and ids, clashing columns: what the docstrings say."""
+    schema = "doc_id long, text string, lang string, source string, n_chars int, kept int, component_id int, rank int, n_removed int"
+    docs = spark.createDataFrame([(i, t, None if i in (1, None) else "en", None, None, 7, 7, 7, 7) for i, t in EDGES], schema)
+    text = {(i, t) for i, t in EDGES if t}
+    stays = {
+        "language_id": sorted(((i, t) for i, t in EDGES if t), key=str),
+        "exact_dedup": sorted((text - {(1, say(1))} | {(2, EDGES[1][1]), (4, "")}), key=str),
+        "near_dedup": sorted(((i, t) for i, t in EDGES if i not in (2, 6, 8)), key=str),
+        "substring_dedup": sorted(((i, {6: "and one more", 8: "tail"}.get(i, t)) for i, t in EDGES), key=str),
+    }
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, FOLDER)
+        rows = out.collect()
+        assert out.columns == docs.columns and all((r.kept, r.component_id, r["rank"]) == (7, 7, 7) for r in rows), name
+        assert sorted(((r.doc_id, r.text) for r in rows), key=str) == stays[name], name
+    pieces = corpus_pipeline.packing(spark, docs, FOLDER).filter("start = 0").collect()
+    assert sorted((r.doc_id for r in pieces), key=str) == sorted((i for i, _ in EDGES), key=str)
+
+
 def test_queries_equal_their_sql(spark):
     for name, sql in ORACLE.items():
         assert spark_rows(QUERIES[name](spark, FOLDER)) == duck_rows(sql, FOLDER), name
