@@ -26,6 +26,8 @@ from .interim import stored
 C = F.col
 #: About so many names a side meet in one cell of a block; a block with more is dealt over several cells.
 CELL = 256
+#: Thresholds that are tried before a lower one; the word and part keys of these say most.
+STEPS = (95, 90)
 
 
 def comparable(c: Column) -> Column:
@@ -141,24 +143,34 @@ def levenshtein_ratio(a: Column, b: Column) -> Column:
     return F.round(100.0 * (1 - F.levenshtein(a, b) / F.greatest(F.char_length(a), F.char_length(b), F.lit(1))), 4)
 
 
-def block_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs of left (name, keys, ...) and right (candidate, c_keys, ...) that share a key, each once.
+def meetings(left: DataFrame, right: DataFrame, near: Column | None = None) -> DataFrame:
+    """Pairs of left (name, keys, size) and right (candidate, c_keys, c_size) that share a key, once for each; ``near`` may ask for both sizes.
 
-    A key's names are dealt over rows of cells, its candidates over columns,
-    and each side goes to all cells of its row or column, so that no task
-    holds a whole common key.  A pair counts in the first key it shares.
+    A row per key carries its hash (equal hashes of other keys only add pairs),
+    the name and its size, nothing else.  The names of a frequent key are dealt
+    over rows of cells, its candidates over columns, and each side goes to all
+    cells of its row or column, so that no task holds a whole common key.
     """
     spark = left.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-    x, y = left.withColumn("key", F.explode("keys")), right.withColumn("key", F.explode("c_keys"))
+    hashed = lambda c: F.explode(F.array_distinct(F.transform(c, lambda k: F.xxhash64(k)))).alias("key")
+    x, y = left.select("name", "size", hashed("keys")), right.select("candidate", "c_size", hashed("c_keys"))
     sizes = x.groupBy("key").agg(F.count("*").alias("k")).join(y.groupBy("key").agg(F.count("*").alias("c_k")), "key")
-    grid = sizes.select("key", F.ceil(C("k") / CELL).alias("rows"), F.ceil(C("c_k") / CELL).alias("columns"))
-    part = lambda c, of: F.pmod(F.xxhash64(c), C(of))
-    every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), C(of) - 1))
-    x = x.join(grid, "key").withColumns({"_i": part("name", "rows"), "_j": every("columns")}).drop("rows", "columns")
-    y = y.join(grid, "key").withColumns({"_j": part("candidate", "columns"), "_i": every("rows")}).drop("rows", "columns")
+    grid = sizes.filter((C("k") > CELL) | (C("c_k") > CELL)).select("key", F.ceil(C("k") / CELL).alias("rows"), F.ceil(C("c_k") / CELL).alias("columns"))
+    part = lambda c, of: F.coalesce(F.pmod(F.xxhash64(c), C(of)), F.lit(0))
+    every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(C(of), F.lit(1)) - 1))
+    x = x.join(grid, "key", "left").withColumns({"_i": part("name", "rows"), "_j": every("columns")}).drop("rows", "columns")
+    y = y.join(grid, "key", "left").withColumns({"_j": part("candidate", "columns"), "_i": every("rows")}).drop("rows", "columns")
     pairs = x.repartition(n, "key", "_i", "_j").join(y.repartition(n, "key", "_i", "_j"), ["key", "_i", "_j"])
-    return pairs.filter(C("key") == F.array_min(F.array_intersect("keys", "c_keys"))).drop("key", "_i", "_j", "keys", "c_keys")
+    return (pairs if near is None else pairs.filter(near)).select("name", "candidate")
+
+
+def block_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of left (name, keys, ...) and right (candidate, c_keys, ...) that share a key, each once, see ``meetings``."""
+    spark = left.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    met = meetings(left.select("name", "keys", F.lit(0).alias("size")), right.select("candidate", "c_keys", F.lit(0).alias("c_size")))
+    return met.repartition(n, "name", "candidate").distinct().join(left.drop("keys"), "name").join(right.drop("c_keys"), "candidate")
 
 
 def gram_keys(names: DataFrame, norm: str, threshold: float) -> DataFrame:
@@ -194,10 +206,6 @@ def _length(c: str) -> Column:
     return F.char_length(c)
 
 
-def _far(a: str, b: str) -> Column:
-    return F.greatest(_length(a), _length(b)) / F.least(_length(a), _length(b))
-
-
 def _grams(text: Column, n: int) -> Column:
     """All runs of n characters."""
     return F.when(F.char_length(text) >= n, F.transform(F.sequence(F.lit(1), F.char_length(text) - (n - 1)), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
@@ -207,10 +215,6 @@ def _inside_words(words: Column, n: int) -> Column:
     return F.flatten(F.transform(words, lambda x: _grams(x, n)))
 
 
-def _combined(bands: Column, grams: Column) -> Column:
-    return F.flatten(F.transform(bands, lambda b: F.transform(grams, lambda g: F.concat_ws("|", F.lit("p"), b.cast("string"), g))))
-
-
 def _rarest(items: DataFrame, item: str, weight: str, spared: Column, by: list[str]) -> DataFrame:
     """``by`` and ``own``: of each row's items the rarest, but for so many frequent ones as weigh less than ``spared``.
 
@@ -223,6 +227,16 @@ def _rarest(items: DataFrame, item: str, weight: str, spared: Column, by: list[s
     return kept.groupBy(*by).agg(F.collect_set(item).alias("own"))
 
 
+def _chosen(items: str, n: int) -> Column:
+    """Hashes of all choices of n of an array's items, in their order."""
+    if n == 1:
+        return F.transform(C(items), lambda x: F.xxhash64(x))
+    behind = lambda i: F.filter(F.transform(C(items), lambda y, j: F.when(j > i, F.struct(j.alias("j"), y.alias("y")))), lambda z: z.isNotNull())
+    if n == 2:
+        return F.flatten(F.transform(C(items), lambda x, i: F.transform(behind(i), lambda z: F.xxhash64(x, z["y"]))))
+    return F.flatten(F.transform(C(items), lambda x, i: F.flatten(F.transform(behind(i), lambda z: F.transform(behind(z["j"]), lambda u: F.xxhash64(x, z["y"], u["y"]))))))
+
+
 def order_keys(names: DataFrame, threshold: float) -> DataFrame:
     """(name, norm, side) with ``keys``: pairs whose texts reach the threshold as a whole, in whatever order of words, share one.
 
@@ -230,26 +244,36 @@ def order_keys(names: DataFrame, threshold: float) -> DataFrame:
     of the first go and b - l come in.  One that goes touches two letter pairs,
     one that comes in parts one; pairs inside words don't depend on the words'
     order.  l >= (a + b) * threshold / 200, so a bounded part of a's pairs
-    goes, whatever b is, and the rest is in common.  Names with so short words
-    that none need be left share their length instead.
+    goes, whatever b is, and the rest is in common.  The rarest m of what is in
+    common are among each side's rarest pairs, but for so many frequent ones as
+    must be in common beyond m; every choice of m of those is a key.  Names
+    whose bound leaves less than m have single pairs as keys as well, and with
+    so short words that none need be left, their length.
     """
     t = threshold / 200
+    m = 3 if threshold >= 93 else 2
     least, most = t / (1 - t), (1 - t) / t
     lost = (2 - 3 * t) + least * (1 - 3 * t)
     none = F.array().cast("array<string>")
     words = F.split("form", " ")
     forms = names.select("name", "norm", "side", F.explode(F.array_distinct(F.array("norm", F.array_join(F.array_distinct(F.split("norm", " ")), " ")))).alias("form"))
     forms = forms.withColumn("pairs", _inside_words(words, 2)).withColumn("left", F.ceil(F.size("pairs") - _length("form") * lost - 1e-9))
-    one = forms.select("name", "form", "left", F.explode("pairs").alias("gram")).groupBy("name", "form", "left", "gram").agg(F.count("*").alias("k"))
-    out = forms.join(_rarest(one, "gram", "k", C("left"), ["name", "form"]), ["name", "form"], "left")
+    one = forms.select("name", "form", "left", F.size("pairs").alias("all"), F.explode("pairs").alias("gram")).groupBy("name", "form", "left", "all", "gram").agg(F.count("*").alias("k"))
+    one = one.select("name", "form", "left", "all", F.explode(F.transform(F.sequence(F.lit(1).cast("long"), C("k")), lambda i: F.concat(C("gram"), i.cast("string")))).alias("item"))
+    own = one.join(one.groupBy("item").agg(F.count("*").alias("f")), "item").groupBy("name", "form", "left", "all").agg(F.sort_array(F.collect_list(F.struct("f", "item"))).alias("own"))
+    first = lambda k: F.slice("own", F.lit(1), F.greatest(F.lit(1), F.least(C("all"), C("all") - C("left") + k)).cast("int"))["item"]
+    own = own.select("name", "form", first(m).alias("several"), F.when(C("left") < m, first(1)).alias("single"))
+    own = own.select("name", "form", F.concat(_chosen("several", m), F.coalesce(_chosen("single", 1), F.array().cast("array<long>"))).alias("own"))
+    out = forms.join(own, ["name", "form"], "left")
     band = lambda n: F.floor(F.log(n) / F.log(F.lit(most)) + 1e-9)
     near = F.when(C("side") == 0, F.array(band(_length("form")))).otherwise(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: band(_length("form")) + i))
     # names without pairs that must be left: by length, against all names of the other side
     span = F.sequence(F.ceil(_length("form") * least - 1e-9), F.floor(_length("form") * most + 1e-9))
     tags = [F.when(C("side") == 0, F.lit(x)).otherwise(F.lit(y)) for x, y in (("s", "t"), ("t", "s"))]
     short = F.when(C("left") <= 0, F.transform(span, lambda n: F.concat(tags[0], n.cast("string")))).otherwise(none)
-    keys = F.concat(_combined(near, F.coalesce("own", none)), short, F.array(F.concat(tags[1], _length("form").cast("string"))))
-    return out.withColumn("keys", keys).groupBy("name", "norm", "side").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"))
+    by_length = F.transform(F.concat(short, F.array(F.concat(tags[1], _length("form").cast("string")))), lambda k: F.xxhash64(k))
+    by_pairs = F.flatten(F.transform(near, lambda b: F.transform(F.coalesce("own", F.array().cast("array<long>")), lambda g: F.xxhash64(b, g))))
+    return out.withColumn("keys", F.concat(by_pairs, by_length)).groupBy("name", "norm", "side").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"))
 
 
 def word_keys(names: DataFrame, threshold: float) -> DataFrame:
@@ -310,14 +334,19 @@ def weighted_pairs(counts: DataFrame, min_occurrences: int, threshold: float) ->
         raise ValueError("the weighted ratio has keys for thresholds above 80")
     names = counts.filter(C("norm") != "").withColumn("side", (C("n") >= min_occurrences).cast("int"))
 
-    def met(keyed: DataFrame, near: Column) -> DataFrame:
-        left = keyed.filter("side = 0").select("name", "norm", "keys")
-        right = keyed.filter("side = 1").select(C("name").alias("candidate"), C("n").alias("c_n"), C("norm").alias("c_norm"), C("keys").alias("c_keys"))
-        return block_pairs(left, right).filter(near).select("name", "norm", "candidate", "c_n", "c_norm")
+    numbered = "id" in counts.columns  # numbers take less room than names
+    names = names if numbered else names.withColumn("id", C("name"))
+    by = names.select("name", "id")
 
-    like, long = _far("norm", "c_norm") < 1.5, (_far("norm", "c_norm") >= 1.5) & (_far("norm", "c_norm") <= 8)
-    by = names.select("name", "n")
-    out = [met(order_keys(names, threshold).join(by, "name"), like)]
+    def met(keyed: DataFrame, near: Column) -> DataFrame:
+        keyed = keyed.select("name", "side", "keys", _length("norm").alias("size"))
+        left = keyed.filter("side = 0").join(by, "name").select(C("id").alias("name"), "keys", "size")
+        right = keyed.filter("side = 1").join(by, "name").select(C("id").alias("candidate"), C("keys").alias("c_keys"), C("size").alias("c_size"))
+        return meetings(*(stored(x, "keys") for x in (left, right)), near)
+
+    far = F.greatest("size", "c_size") / F.least("size", "c_size")
+    like, long = far < 1.5, (far >= 1.5) & (far <= 8)
+    out = [met(order_keys(names, threshold), like)]
     if threshold <= 95:
         out.append(met(word_keys(names, threshold / 0.95), like))
     if threshold <= 90:
@@ -331,7 +360,11 @@ def weighted_pairs(counts: DataFrame, min_occurrences: int, threshold: float) ->
         best = best.groupBy(C("b.name").alias("name"), (-C("b.m")).alias("n"), C("b.norm").alias("norm")).agg(F.collect_set("word").alias("keys")).withColumn("side", F.lit(1))
         rare = names.filter("side = 0").select("name", "n", "norm", words.alias("keys"), "side")
         out.append(met(rare.unionByName(best), long))
-    return reduce(DataFrame.unionByName, out)
+    pairs = reduce(DataFrame.unionByName, out).distinct()
+    left = names.filter("side = 0").select(C("id").alias("_l"), "name", "norm")
+    right = names.filter("side = 1").select(C("id").alias("_r"), C("name").alias("candidate"), C("n").alias("c_n"), C("norm").alias("c_norm"))
+    pairs = pairs.select(C("name").alias("_l"), C("candidate").alias("_r"))
+    return pairs.join(left, "_l").join(right, "_r").select("name", "norm", "candidate", "c_n", "c_norm")
 
 
 def canonical(df: DataFrame, name: str, threshold: float = 90, min_occurrences: int = 2, blocked: bool | str = True, score=None) -> DataFrame:
@@ -339,15 +372,19 @@ def canonical(df: DataFrame, name: str, threshold: float = 90, min_occurrences:
 
     Names that occur ``min_occurrences`` times are their own canonical form
     and the candidates for the rest.  Best score wins, then count, then name.
+    Under the weighted ratio thresholds are taken from above: at each all pairs
+    that reach it are found, so that a name with one has its best, and only the
+    others meet candidates at the next, where keys say less.
     blocked: True for ``weighted_pairs`` (loses nothing under the weighted
     ratio above 80; below, words and leading parts are the keys, which can miss
     pairs), "grams" for ``gram_keys`` (the same for
     ``levenshtein_ratio``), False for all pairs of small tables.
     """
     ship(df.sparkSession)
+    steps = [t for t in STEPS if t > threshold] if score is None and blocked is True and threshold > 80 else []
     score = score or similarity(threshold)
     counts = df.filter(C(name).isNotNull() & (F.trim(name) != "") & ~F.lower(name).isin("nan", "none")).groupBy(C(name).alias("name")).agg(F.count("*").alias("n"))
-    counts = stored(counts.withColumn("norm", comparable(C("name"))), "names")  # keys ask for it many times
+    counts = stored(counts.withColumns({"norm": comparable(C("name")), "id": F.monotonically_increasing_id()}), "names")  # keys ask for it many times
     frequent = counts.filter(C("n") >= min_occurrences)
     rare = counts.filter(C("n") < min_occurrences)
     f = frequent.select(C("name").alias("candidate"), C("n").alias("c_n"), C("norm").alias("c_norm"))
@@ -357,13 +394,26 @@ def canonical(df: DataFrame, name: str, threshold: float = 90, min_occurrences:
         f = keyed.filter(C("n") >= min_occurrences).select(C("name").alias("candidate"), C("n").alias("c_n"), C("norm").alias("c_norm"), C("keys").alias("c_keys"))
         pairs = block_pairs(keyed.filter(C("n") < min_occurrences).select("name", "norm", "keys"), f).filter(near)
     elif blocked and threshold > 80:
-        pairs = weighted_pairs(counts, min_occurrences, threshold)
+        open_, found = counts, []
+        for step in steps:
+            found.append(stored(_best(weighted_pairs(open_, min_occurrences, step), similarity(step), step), "best"))
+            open_ = stored(open_.join(found[-1], "name", "left_anti"), "names")
+        best = _best(weighted_pairs(open_, min_occurrences, threshold), score, threshold)
+        return _with_canonical(counts, reduce(DataFrame.unionByName, [*found, best]))
     elif blocked:
         keys = lambda c: F.array_distinct(F.concat(F.filter(F.split(c, " "), lambda w: F.length(w) > 2), F.array(F.concat(F.lit("^"), F.substring(c, 1, 4)))))
         pairs = block_pairs(rare.select("name", "norm", keys(C("norm")).alias("keys")), f.withColumn("c_keys", keys(C("c_norm"))))
     else:
         pairs = rare.join(f, F.lit(True))
+    return _with_canonical(counts, _best(pairs, score, threshold))
+
+
+def _best(pairs: DataFrame, score, threshold: float) -> DataFrame:
+    """name, canonical, score of the best candidate that reaches the threshold."""
     scored = pairs.withColumn("score", score(C("norm"), C("c_norm"))).filter(C("score") >= threshold)
     best = scored.groupBy("name").agg(F.min(F.struct((-C("score")).alias("s"), (-C("c_n")).alias("n"), "candidate")).alias("b"))
-    best = best.select("name", C("b.candidate").alias("canonical"), (-C("b.s")).alias("score"))
+    return best.select("name", C("b.candidate").alias("canonical"), (-C("b.s")).alias("score"))
+
+
+def _with_canonical(counts: DataFrame, best: DataFrame) -> DataFrame:
     return counts.select("name", "n").join(best, "name", "left").select("name", "n", F.coalesce("canonical", "name").alias("canonical"), "score")

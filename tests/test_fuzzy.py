@@ -63,3 +63,14 @@ def test_no_key_emits_all_its_pairs(spark):
     assert pairs.select("name", "candidate").distinct().count() < 600 * 600 / 2
     with pytest.raises(ValueError):
         Z.weighted_pairs(counts, 2, 80)
+
+
+def test_frequent_pairs_of_letters_alone_are_no_key(spark):
+    """Names of common words and an own code: under 2 % of all pairs are scored, each once."""
+    rng = random.Random(2)
+    code = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(6))
+    names = [(f"azienda servizi {code()} {code()}", 1 + k % 2) for k in range(1200)]
+    counts = spark.createDataFrame(names, "name string, n int").withColumn("norm", Z.comparable(C("name")))
+    pairs = Z.weighted_pairs(counts, 2, 95).select("name", "candidate")
+    got = pairs.agg(F.count("*"), F.countDistinct("name", "candidate")).first()
+    assert got[0] == got[1] < 600 * 600 / 50
