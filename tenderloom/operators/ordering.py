@@ -43,7 +43,7 @@ class Ordered:
         all_ = Window.partitionBy(F.lit(0))
         out = g.withColumn("_n_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         for k in sums:
-            out = out.withColumns({f"{k}_before": F.coalesce(F.sum(k).over(before), F.lit(0)), f"{k}_all": F.sum(k).over(all_)}).drop(k)
+            out = out.withColumns({f"{k}_before": F.sum(k).over(before), f"{k}_all": F.sum(k).over(all_)}).drop(k)
         return out
 
     def numbered(self, name: str = "rank") -> DataFrame:
@@ -51,12 +51,15 @@ class Ordered:
         out = self.rows.join(F.broadcast(self.ranges().select("_part", "_n_before")), "_part")
         return out.select(*self.columns, (C("_n_before") + C("_row") + 1).alias(name))
 
-    def running(self, value: Column, name: str, rank: str = "rank") -> DataFrame:
-        """``numbered`` with ``name``, the sum of a value up to each row, and ``<name>_all``, that of all rows."""
-        ranges = self.ranges(_s=value)
+    def running(self, value: Column, name: str, rank: str = "rank", beside: dict[str, Column] | None = None) -> DataFrame:
+        """``numbered`` with ``name``, the sum of a value up to each row, and ``<name>_all``, that of all rows; and of the values ``beside`` it."""
+        sums = {name: value, **(beside or {})}
+        ranges = self.ranges(**{f"_s{i}": v for i, v in enumerate(sums.values())})
         own = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
-        out = self.rows.withColumn("_run", F.sum(value).over(own)).join(F.broadcast(ranges), "_part")
-        return out.select(*self.columns, (C("_n_before") + C("_row") + 1).alias(rank), (C("_run") + C("_s_before")).alias(name), C("_s_all").alias(f"{name}_all"))
+        out = self.rows.withColumns({f"_run{i}": F.sum(v).over(own) for i, v in enumerate(sums.values())}).join(F.broadcast(ranges), "_part")
+        until = lambda i: F.when(C(f"_run{i}").isNull(), C(f"_before{i}")).otherwise(C(f"_run{i}") + F.coalesce(f"_before{i}", F.lit(0)))
+        out = out.withColumnsRenamed({f"_s{i}_before": f"_before{i}" for i in range(len(sums))})
+        return out.select(*self.columns, (C("_n_before") + C("_row") + 1).alias(rank), *[c for i, k in enumerate(sums) for c in (until(i).alias(k), C(f"_s{i}_all").alias(f"{k}_all"))])
 
     def page(self, page: int, size: int = 50, name: str = "rank") -> DataFrame:
         """Page ``page`` (from 1) in order; only the folders of its ranges are read.

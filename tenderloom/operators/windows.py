@@ -15,10 +15,22 @@ from .ordering import Ordered
 C = F.col
 
 
+EXACT = "decimal(28,6)"
+
+
 def concentration_curve(df: DataFrame, key: str, amount: str) -> DataFrame:
-    """Rank, cumulative sum and cumulative percent of keys by falling value (ties: by key), see ``Ordered``."""
-    g = df.filter(C(key).isNotNull()).groupBy(key).agg(F.sum(amount).alias("value"))
-    out = Ordered(g, [F.desc("value"), C(key)]).running(C("value"), "cumulative")
+    """Rank, cumulative sum and cumulative percent of keys by falling value (ties: by key), see ``Ordered``.
+
+    Amounts are summed as decimals of six places, so that equal keys tie and
+    the order of rows changes nothing; what is no such number (NaN, infinite,
+    1e22 and more) is summed as double beside them.
+    """
+    exact, odd = C(amount).try_cast(EXACT), C(amount).cast("double")
+    g = df.filter(C(key).isNotNull()).groupBy(key).agg(F.sum(exact).alias("_exact"), F.sum(F.when(exact.isNull(), odd)).alias("_odd"))
+    both = lambda x, y: F.when(C(y).isNull(), C(x).cast("double")).otherwise(F.coalesce(C(x).cast("double"), F.lit(0.0)) + C(y))
+    g = g.withColumn("value", both("_exact", "_odd"))
+    out = Ordered(g, [F.desc("value"), F.desc("_exact"), C(key)]).running(C("_exact"), "_sum", beside={"_rest": C("_odd")})
+    out = out.withColumns({"cumulative": both("_sum", "_rest"), "cumulative_all": both("_sum_all", "_rest_all")})
     return out.select(key, "value", "rank", "cumulative", F.try_divide(C("cumulative") * 100, "cumulative_all").alias("percent"))
 
 

@@ -345,3 +345,17 @@ def test_unified_row_is_enriched(spark):
     assert (one.comune, one.regione, one.procedura, one.fonte, one.durata_appalto) == ("Torino", "Piemonte", "Procedura Aperta", "Gazzetta", None)
     assert (two.cig, two.importo_aggiudicazione, two.sconto, two.data_aggiudicazione, two.anno, two.regione) == ("C3", None, None, None, None, None)
     assert two.procedura == R.OTHER_PROCEDURE and two.ente_appaltante is None
+
+
+def test_concentration_curve_sums_exactly(spark):
+    """Keys with the same amounts tie, in whatever order their rows come; amounts that are no numbers count beside."""
+    from tenderloom.operators import windows as W
+
+    amounts = [0.1, 0.2, 0.3, 1e9, 900.7]
+    rows = [(f"k{i}", x) for i in range(40) for x in (amounts if i % 2 else amounts[::-1])]
+    df = spark.createDataFrame(rows, "k string, v double").coalesce(1)
+    got = W.concentration_curve(df, "k", "v").orderBy("rank").collect()
+    assert [r.k for r in got] == sorted({k for k, _ in rows})
+    assert [r.cumulative for r in got] == [round(n * 1000000901.3, 1) for n in range(1, 41)]
+    odd = spark.createDataFrame([("a", 1.0), ("b", float("inf")), ("c", None)], "k string, v double")
+    assert [(r.k, r.value, r.cumulative) for r in W.concentration_curve(odd, "k", "v").orderBy("rank").collect()] == [("b", float("inf"), float("inf")), ("a", 1.0, float("inf")), ("c", None, float("inf"))]
