@@ -143,20 +143,24 @@ def shown(amount: Column, day: Column) -> list[Column]:
 
 
 def packed_releases(rows: DataFrame) -> DataFrame:
-    """Release structures from flat rows: ocid, title, details, method, buyer, supplier, postal_code, published, lot_id, lot_title, lot_amount; one release per ocid."""
-    g = rows.groupBy("ocid", "title", "details", "method", "buyer", "supplier", "postal_code", "published").agg(F.array_sort(F.collect_list(F.struct(C("lot_id").alias("id"), C("lot_title").alias("title"), F.lit(None).cast("string").alias("description"), F.struct(C("lot_amount").alias("amount")).alias("value")))).alias("lots"))
-    party = lambda role, name: F.struct(F.lit(None).cast("string").alias("id"), C(name).alias("name"), F.array(F.lit(role)).alias("roles"), F.struct(F.lit("Roma").alias("locality"), C("postal_code").alias("postalCode")).alias("address"))
-    total = F.aggregate("lots", F.lit(0.0), lambda a, x: a + x["value"]["amount"])
+    """Release structures from flat rows, see ``packed_json``; parsed by the feed's schema."""
     from ..sources.sources import release_schema
 
+    return packed_json(rows).select(F.from_json("json", release_schema()).alias("r")).select("r.*")
+
+
+def packed_json(rows: DataFrame) -> DataFrame:
+    """(ocid, json) of releases from flat rows: ocid, title, details, method, buyer, supplier, postal_code, published, lot_id, lot_title, lot_amount; one release per ocid."""
+    g = rows.groupBy("ocid", "title", "details", "method", "buyer", "supplier", "postal_code", "published").agg(F.sort_array(F.collect_list(F.struct(C("lot_id").alias("id"), C("lot_title").alias("title"), F.lit(None).cast("string").alias("description"), F.struct(C("lot_amount").alias("amount")).alias("value")))).alias("lots"))
+    party = lambda role, name: F.struct(F.lit(None).cast("string").alias("id"), C(name).alias("name"), F.array(F.lit(role)).alias("roles"), F.struct(F.lit("Roma").alias("locality"), C("postal_code").alias("postalCode")).alias("address"))
+    total = F.aggregate("lots", F.lit(0.0), lambda a, x: a + x["value"]["amount"])
     tender = F.struct(
         C("ocid").alias("id"), "title", F.lit(None).cast("string").alias("description"), C("details").alias("procurementMethodDetails"), C("method").alias("procurementMethod"), "lots",
         F.struct(total.alias("amount"), F.lit("EUR").alias("currency")).alias("value"),
         F.array(F.struct(C("title").alias("description"), F.struct(F.lit("45000000").alias("id")).alias("classification"))).alias("items"),
     )
     awards = F.array(F.struct(C("title"), C("published").alias("date"), F.struct(total.alias("amount"), F.lit("EUR").alias("currency")).alias("value"), F.array(F.struct(C("supplier").alias("name"))).alias("suppliers")))
-    doc = g.select(F.to_json(F.struct("ocid", C("ocid").alias("id"), C("published").alias("date"), tender.alias("tender"), F.array(party("buyer", "buyer"), party("supplier", "supplier")).alias("parties"), awards.alias("awards"))).alias("json"))
-    return doc.select(F.from_json("json", release_schema()).alias("r")).select("r.*")
+    return g.select("ocid", F.to_json(F.struct("ocid", C("ocid").alias("id"), C("published").alias("date"), tender.alias("tender"), F.array(party("buyer", "buyer"), party("supplier", "supplier")).alias("parties"), awards.alias("awards"))).alias("json"))
 
 
 def merged(frames: list[DataFrame]) -> DataFrame:

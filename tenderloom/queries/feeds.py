@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import nested as N
 from ..plans.bindings import notices, table
 from ..sources import sinks, sources
-from ..sources.archives import write_archives
+from ..sources.archives import write_archives, write_files
 from ..streaming.incremental import month_of, shared_path
-from .nested import _base, _ocid, lot_code_records, releases
+from .nested import _base, _ocid, lot_code_records, release_rows
 from .registry import query
 
 C = F.col
@@ -16,16 +17,19 @@ PER_FILE = 500
 
 
 def written_packages(spark, d, extra_lines: bool = False):
-    """Packages of about PER_FILE releases, a folder each; with ``extra_lines`` half of them line by line, with a bad line."""
+    """Packages of about PER_FILE releases in one folder; with ``extra_lines`` half of them line by line, with a bad line.
+
+    A folder for each would cost every reader a listing per package.
+    """
     path = shared_path(spark, "packages")
-    r = releases(spark, d)
+    r = N.packed_json(release_rows(spark, d))
     files = max(1, table(spark, d, "orders").count() // PER_FILE)
-    one = r.select(F.pmod(F.xxhash64("ocid"), F.lit(files)).alias("part"), F.to_json(F.struct(*r.columns)).alias("j"))
-    packed = one.groupBy("part").agg(F.array_sort(F.collect_list("j")).alias("js"))
+    one = r.select(F.pmod(F.xxhash64("ocid"), F.lit(files)).alias("part"), C("json").alias("j"))
+    packed = one.groupBy("part").agg(F.sort_array(F.collect_list("j")).alias("js"))
     whole = F.concat(F.lit('{"releases": ['), F.array_join("js", ","), F.lit("]}"))
     if extra_lines:
         whole = F.when(C("part") % 2 == 0, whole).otherwise(F.concat(F.array_join("js", "\n"), F.lit("\n{ broken")))
-    packed.select("part", whole.alias("value")).write.partitionBy("part").text(path)
+    write_files(packed.select(F.concat(F.lit("package_"), C("part").cast("string"), F.lit(".txt")).alias("name"), whole.alias("text")), path)
     return path
 
 
@@ -52,7 +56,7 @@ def archives(spark, d):
     path = shared_path(spark, "archives")
     r = lot_code_records(spark, d)
     lines = r.select(F.substring("data_pubblicazione", 1, 7).alias("month"), F.to_json(F.struct(*r.columns)).alias("line"))
-    text = F.concat(F.array_join(F.array_sort(F.collect_list("line")), "\n"), F.lit("\n{ broken"))
+    text = F.concat(F.array_join(F.sort_array(F.collect_list("line")), "\n"), F.lit("\n{ broken"))
     files = lines.groupBy("month").agg(F.ceil(F.count("*") / PER_FILE).alias("files"))
     parts = lines.join(files, "month").withColumn("part", F.pmod(F.xxhash64("line"), C("files"))).groupBy("month", "part").agg(text.alias("text"))
     name = F.concat(F.lit("cig_json_"), F.translate("month", "-", "_"), F.lit("_"), C("part").cast("string"), F.lit(".zip"))

@@ -116,7 +116,8 @@ def write_archives(texts: DataFrame, folder: str) -> int:
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, member, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for row in zip(*(batch.column(k) for k in range(3))):  # one text at a time leaves Arrow
+                name, member, text = (x.as_py() for x in row)
                 raw = io.BytesIO()
                 with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
                     z.writestr(zipfile.ZipInfo(member), text or "", zipfile.ZIP_DEFLATED)
@@ -127,6 +128,19 @@ def write_archives(texts: DataFrame, folder: str) -> int:
     return rows.agg(F.sum("n")).first()[0] or 0
 
 
+def write_files(texts: DataFrame, folder: str) -> int:
+    """Write a file per row (name, text) into one folder; returns how many.  Each is renamed once it is whole, and a task that is repeated writes the same files."""
+    ship(texts.sparkSession)
+
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(batch.column(0), batch.column(1)):
+                put(f"{folder}/{name.as_py()}", (text.as_py() or "").encode())
+            yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    return texts.select("name", "text").mapInArrow(written, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def put(path: str, raw: bytes) -> None:
     from pyarrow import fs
 

@@ -186,3 +186,13 @@ def test_nested_blocks_of_a_tag(spark):
     df = spark.createDataFrame([(1, '<li>one<ul><li>two <a href="u">x</a></li></ul></li>'), (2, None), (3, "<li>open")], "id int, html string")
     got = [(r.id, r.block, r.text, r.link) for r in sources.html_blocks(df, "id", "html", "li", "o").orderBy("id", "block").collect()]
     assert got == [(1, 0, "one two x", "u"), (1, 1, "two x", "u"), (3, 0, "open", None)]
+
+
+def test_packages_lie_in_one_folder(spark):
+    """A reader lists one folder, however many packages there are."""
+    from compare import SMALL
+
+    from tenderloom.queries import feeds
+
+    files = spark.read.format("binaryFile").load(feeds.written_packages(spark, SMALL)).select("path").collect()
+    assert len(files) > 1 and len({r.path.rsplit("/", 1)[0] for r in files}) == 1
