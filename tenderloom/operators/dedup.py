@@ -19,12 +19,13 @@ def completeness(cols: list[str]) -> Column:
 def best_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """The first row of each key by the order; rows without key all stay.
 
-    Rows without key go by themselves, so that the others can be cut down to
-    one a key in each task before the shuffle.  ``df`` is read once for each.
+    Each row without key has a number of its own beside the key, so that it is
+    the first of its kind, and ``df`` is read once.  Rows of a key are cut down
+    to one in each task before the shuffle.
     """
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    best = df.filter(C(key).isNotNull()).withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
-    return best.unionByName(df.filter(C(key).isNull())) if df.schema[key].nullable else best
+    alone = F.when(C(key).isNull(), F.monotonically_increasing_id())
+    rank = F.row_number().over(Window.partitionBy(key, "_alone").orderBy(*order))
+    return df.withColumn("_alone", alone).withColumn("_rank", rank).filter("_rank = 1").drop("_rank", "_alone")
 
 
 def first_or_by_hash(df: DataFrame, key: str, hash_col: str, order: list[Column]) -> DataFrame:

@@ -359,3 +359,13 @@ def test_concentration_curve_sums_exactly(spark):
     assert [r.cumulative for r in got] == [round(n * 1000000901.3, 1) for n in range(1, 41)]
     odd = spark.createDataFrame([("a", 1.0), ("b", float("inf")), ("c", None)], "k string, v double")
     assert [(r.k, r.value, r.cumulative) for r in W.concentration_curve(odd, "k", "v").orderBy("rank").collect()] == [("b", float("inf"), float("inf")), ("a", 1.0, float("inf")), ("c", None, float("inf"))]
+
+
+def test_best_per_key_reads_once(spark, tmp_path):
+    """Rows without key all stay, and the frame is read once for them and the others."""
+    rows = [("a", 2), ("a", 1), (None, 5), (None, 5), ("b", 3)]
+    spark.createDataFrame(rows, "k string, v int").write.parquet(str(tmp_path / "t"))
+    got = D.best_per_key(spark.read.parquet(str(tmp_path / "t")), "k", [C("v")])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("a", 1), ("b", 3), (None, 5), (None, 5)], key=str)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1 and "WindowGroupLimit" in got._jdf.queryExecution().sparkPlan().toString()
