@@ -11,6 +11,7 @@ from ..functions import scalars as S
 from ..operators import dedup as D
 from ..operators import fuzzy as Z
 from ..operators import joins as J
+from ..operators.interim import stored
 
 C = F.col
 TYPES = {"importo_aggiudicazione": "double", "sconto": "double", "offerte_ricevute": "double", "num_lotti": "double", "filter_confidence": "double", "data_aggiudicazione": "timestamp", "data_scadenza": "timestamp", "scadenza_gara": "timestamp", "anno": "int"}
@@ -91,6 +92,7 @@ def unify(frames: list[DataFrame], fuzzy: bool = False, most: float = 1e10, year
     })
     df = J.looked_up(df, C("comune"), R.TOWN_REGION, "_region").withColumn("regione", F.coalesce("regione", "_region")).drop("_region")
     if fuzzy:
+        df = stored(df.select(*R.UNIFIED_COLUMNS), "unified")  # the names are counted before they are replaced
         names = Z.canonical(df, "ente_appaltante").select(C("name").alias("ente_appaltante"), "canonical")
         df = df.join(names, "ente_appaltante", "left").withColumn("ente_appaltante", F.coalesce("canonical", "ente_appaltante")).drop("canonical")
     return df.select(*R.UNIFIED_COLUMNS)
