@@ -114,17 +114,16 @@ def write_archives(texts: DataFrame, folder: str) -> int:
     """
     ship(texts.sparkSession)
 
-    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in zip(*(batch.column(k) for k in range(3))):  # one text at a time leaves Arrow
-                name, member, text = (x.as_py() for x in row)
-                raw = io.BytesIO()
-                with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
-                    z.writestr(zipfile.ZipInfo(member), text or "", zipfile.ZIP_DEFLATED)
-                put(f"{folder}/{name}", raw.getvalue())
-            yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], ["n"])
-
-    rows = texts.select("name", "member", "text").mapInArrow(written, "n long")
+    def written(rows: pa.Table) -> pa.Table:
+        for name, member, text in zip(*(rows.column(k).to_pylist() for k in ("name", "member", "text"))):
+            raw = io.BytesIO()
+            with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr(zipfile.ZipInfo(member), text or "", zipfile.ZIP_DEFLATED)
+            put(f"{folder}/{name}", raw.getvalue())
+        return pa.table({"n": pa.array([rows.num_rows], pa.int64())})
+
+    # a batch of rows would hold as many texts as a task has; a group holds one
+    rows = texts.select("name", "member", "text").groupBy("name").applyInArrow(written, "n long")
     return rows.agg(F.sum("n")).first()[0] or 0
 
 
@@ -132,13 +131,13 @@ def write_files(texts: DataFrame, folder: str) -> int:
     """Write a file per row (name, text) into one folder; returns how many.  Each is renamed once it is whole, and a task that is repeated writes the same files."""
     ship(texts.sparkSession)
 
-    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, text in zip(batch.column(0), batch.column(1)):
-                put(f"{folder}/{name.as_py()}", (text.as_py() or "").encode())
-            yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], ["n"])
+    def written(rows: pa.Table) -> pa.Table:
+        for name, text in zip(*(rows.column(k).to_pylist() for k in ("name", "text"))):
+            put(f"{folder}/{name}", (text or "").encode())
+        return pa.table({"n": pa.array([rows.num_rows], pa.int64())})
 
-    return texts.select("name", "text").mapInArrow(written, "n long").agg(F.sum("n")).first()[0] or 0
+    rows = texts.select("name", "text").groupBy("name").applyInArrow(written, "n long")
+    return rows.agg(F.sum("n")).first()[0] or 0
 
 
 def put(path: str, raw: bytes) -> None:

@@ -196,3 +196,13 @@ def test_packages_lie_in_one_folder(spark):
 
     files = spark.read.format("binaryFile").load(feeds.written_packages(spark, SMALL)).select("path").collect()
     assert len(files) > 1 and len({r.path.rsplit("/", 1)[0] for r in files}) == 1
+
+
+def test_many_archives_of_one_task(spark, tmp_path):
+    """All archives that one task holds are written, and read back."""
+    from tenderloom.sources import archives
+
+    path = str(tmp_path / "a")
+    texts = spark.range(40).coalesce(1).selectExpr("concat('x', id, '.zip') AS name", "'m.json' AS member", "repeat('y', 1000) AS text")
+    assert archives.write_archives(texts, path) == 40
+    assert archives.member_lines(archives.members_of(spark, path)).filter("length(line) = 1000").count() == 40
