@@ -108,10 +108,16 @@ NOTICES_SQL = f"""SELECT {K} AS id,
 NOTICES_SQL = NOTICES_SQL.replace("STRING", "VARCHAR")
 
 
+ROWS_AT_ONCE = 50_000
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """The same rows in as many tasks as there are cores, where a scan has fewer: for costly expressions over small or unsplit files."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """The same rows in tasks of about ROWS_AT_ONCE, at least as many as there are cores, where a scan has fewer: for costly expressions, so that no task grows with the table.
+
+    Rows are counted before: ``df`` is a projection of a stored table.
+    """
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_AT_ONCE))
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
 def notices(spark: SparkSession, sf_dir: str) -> DataFrame:

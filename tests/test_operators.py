@@ -369,3 +369,12 @@ def test_best_per_key_reads_once(spark, tmp_path):
     assert sorted(map(tuple, got.collect()), key=str) == sorted([("a", 1), ("b", 3), (None, 5), (None, 5)], key=str)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parquet") == 1 and "WindowGroupLimit" in got._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_costly_rows_are_spread_by_their_number(spark, tmp_path, monkeypatch):
+    from tenderloom.plans import bindings
+
+    monkeypatch.setattr(bindings, "ROWS_AT_ONCE", 100, raising=False)
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    got = bindings.spread(spark.read.parquet(str(tmp_path / "t")))
+    assert got.rdd.getNumPartitions() == 10 and got.count() == 1000
