@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import rules as R
 from ..functions import scalars as S
@@ -142,25 +143,47 @@ def shown(amount: Column, day: Column) -> list[Column]:
     return [F.format_string("%.2f", amount), F.date_format(F.try_to_timestamp(F.substring(day, 1, 10), F.lit("yyyy-MM-dd")), "dd/MM/yyyy")]
 
 
-def packed_releases(rows: DataFrame) -> DataFrame:
-    """Release structures from flat rows, see ``packed_json``; parsed by the feed's schema."""
+HEAD = ["ocid", "title", "details", "method", "buyer", "supplier", "postal_code", "published"]
+
+
+def structured(kind: T.StructType, **given: Column) -> Column:
+    """A struct of a feed's type; fields that are not given are NULL."""
+    return F.struct(*[given.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in kind])
+
+
+def packed_releases(heads: DataFrame, lots: DataFrame) -> DataFrame:
+    """Release structures in the feed's schema: ``heads`` has key and HEAD, ``lots`` has key, lot_id, lot_title, lot_amount; one release per distinct head with lots.
+
+    Lots are collected by key before they meet their head, so that its texts
+    are moved once a release, and both sides are dealt out by the key alone.
+    A head that comes several times has its lots as often.
+    """
     from ..sources.sources import release_schema
 
-    return packed_json(rows).select(F.from_json("json", release_schema()).alias("r")).select("r.*")
-
-
-def packed_json(rows: DataFrame) -> DataFrame:
-    """(ocid, json) of releases from flat rows: ocid, title, details, method, buyer, supplier, postal_code, published, lot_id, lot_title, lot_amount; one release per ocid."""
-    g = rows.groupBy("ocid", "title", "details", "method", "buyer", "supplier", "postal_code", "published").agg(F.sort_array(F.collect_list(F.struct(C("lot_id").alias("id"), C("lot_title").alias("title"), F.lit(None).cast("string").alias("description"), F.struct(C("lot_amount").alias("amount")).alias("value")))).alias("lots"))
-    party = lambda role, name: F.struct(F.lit(None).cast("string").alias("id"), C(name).alias("name"), F.array(F.lit(role)).alias("roles"), F.struct(F.lit("Roma").alias("locality"), C("postal_code").alias("postalCode")).alias("address"))
-    total = F.aggregate("lots", F.lit(0.0), lambda a, x: a + x["value"]["amount"])
-    tender = F.struct(
-        C("ocid").alias("id"), "title", F.lit(None).cast("string").alias("description"), C("details").alias("procurementMethodDetails"), C("method").alias("procurementMethod"), "lots",
-        F.struct(total.alias("amount"), F.lit("EUR").alias("currency")).alias("value"),
-        F.array(F.struct(C("title").alias("description"), F.struct(F.lit("45000000").alias("id")).alias("classification"))).alias("items"),
-    )
-    awards = F.array(F.struct(C("title"), C("published").alias("date"), F.struct(total.alias("amount"), F.lit("EUR").alias("currency")).alias("value"), F.array(F.struct(C("supplier").alias("name"))).alias("suppliers")))
-    return g.select("ocid", F.to_json(F.struct("ocid", C("ocid").alias("id"), C("published").alias("date"), tender.alias("tender"), F.array(party("buyer", "buyer"), party("supplier", "supplier")).alias("parties"), awards.alias("awards"))).alias("json"))
+    kind = {f.name: f.dataType for f in release_schema()}
+    tender, party, award = kind["tender"], kind["parties"].elementType, kind["awards"].elementType
+    item, lot = tender["items"].dataType.elementType, tender["lots"].dataType.elementType
+    lots = lots.groupBy("key").agg(F.collect_list(structured(lot, id=C("lot_id"), title=C("lot_title"), value=F.struct(C("lot_amount").alias("amount")))).alias("lots"))
+    heads = heads.repartition("key").groupBy("key", *HEAD).agg(F.count("*").cast("int").alias("_copies"))
+    g = heads.join(lots, "key").withColumn("lots", F.sort_array(F.when(C("_copies") == 1, C("lots")).otherwise(F.flatten(F.array_repeat("lots", C("_copies"))))))
+    g = g.withColumn("total", F.aggregate("lots", F.lit(0.0), lambda a, x: a + x["value"]["amount"]))
+    value = F.struct(C("total").alias("amount"), F.lit("EUR").alias("currency"))
+    given = {
+        "ocid": C("ocid"), "id": C("ocid"), "date": C("published"),
+        "tender": structured(
+            tender, id=C("ocid"), title=C("title"), procurementMethodDetails=C("details"), procurementMethod=C("method"), lots=C("lots"), value=value,
+            items=F.array(structured(item, description=C("title"), classification=structured(item["classification"].dataType, id=F.lit("45000000")))),
+        ),
+        "parties": F.array(*[structured(party, name=C(role), roles=F.array(F.lit(role)), address=F.struct(F.lit("Roma").alias("locality"), C("postal_code").alias("postalCode"))) for role in ("buyer", "supplier")]),
+        "awards": F.array(structured(award, title=C("title"), date=C("published"), value=value, suppliers=F.array(structured(award["suppliers"].dataType.elementType, name=C("supplier"))))),
+    }
+    return g.select(*[given.get(k, F.lit(None).cast(t)).alias(k) for k, t in kind.items()])
+
+
+def packed_json(heads: DataFrame, lots: DataFrame) -> DataFrame:
+    """(ocid, json) of ``packed_releases``, without the fields that are NULL."""
+    df = packed_releases(heads, lots)
+    return df.select("ocid", F.to_json(F.struct(*df.columns)).alias("json"))
 
 
 def merged(frames: list[DataFrame]) -> DataFrame:

@@ -22,7 +22,7 @@ def written_packages(spark, d, extra_lines: bool = False):
     A folder for each would cost every reader a listing per package.
     """
     path = shared_path(spark, "packages")
-    r = N.packed_json(release_rows(spark, d))
+    r = N.packed_json(*release_rows(spark, d))
     files = max(1, table(spark, d, "orders").count() // PER_FILE)
     one = r.select(F.pmod(F.xxhash64("ocid"), F.lit(files)).alias("part"), C("json").alias("j"))
     packed = one.groupBy("part").agg(F.sort_array(F.collect_list("j")).alias("js"))
