@@ -35,6 +35,10 @@ def release_schema() -> T.StructType:
     return T._parse_datatype_string(RELEASE)
 
 
+def lot_code_schema() -> T.StructType:
+    return T._parse_datatype_string(LOT_CODE)
+
+
 def read_releases(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per release with a tender, tagged with its file.
 

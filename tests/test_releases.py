@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tenderloom.operators import nested as N
 from tenderloom.queries import nested as Q
-from tenderloom.sources.sources import release_schema
+from tenderloom.sources.sources import LOT_CODE, release_schema
 
 C = F.col
 
@@ -47,3 +47,12 @@ def test_heads_that_come_twice_have_their_lots_twice(spark):
     heads = spark.createDataFrame([head(1, "a"), head(1, "a"), head(1, "b"), head(2, None), head(3, "no lots"), head(None, "no key")], "key long, " + ", ".join(f"{c} string" for c in N.HEAD))
     got = N.packed_releases(heads, lots).select("ocid", "tender.title", C("tender.lots.title").alias("lots"), "tender.value.amount").collect()
     assert sorted(map(tuple, got), key=str) == [("ocds-1", "a", ["Lotto A", "Lotto A", "Lotto B", "Lotto B"], 6.0), ("ocds-1", "b", ["Lotto A", "Lotto B"], 3.0), ("ocds-2", None, ["Lotto C"], 4.0)]
+
+
+def test_lot_code_records_equal_their_json(spark):
+    """The records are structures of the feed; they were written as JSON and parsed for each query."""
+    df = Q.lot_code_records(spark, SMALL)
+    assert "from_json" not in plan(df)
+    parsed = df.select(F.from_json(F.to_json(F.struct(*df.columns)), LOT_CODE).alias("r")).select("r.*")
+    assert parsed.schema.simpleString() == df.schema.simpleString()
+    assert parsed.exceptAll(df).count() == df.exceptAll(parsed).count() == 0 < df.count()
