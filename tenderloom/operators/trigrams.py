@@ -21,15 +21,19 @@ import re
 import uuid
 from string import ascii_lowercase, ascii_uppercase
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.classify import literals
+from ..shipping import ship
 from .interim import stored
 from .ordering import Ordered
 from .search import text_search
 
 C = F.col
+BATCH, TEXTS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000  # whole texts go to Python workers, so few at a time
 BLOCK = 8192  # rows of a range whose places share a list
 AT = ["_segment", "_part", "_row"]
 # fixed values: letters beyond ASCII that match an ASCII one whatever the case, and that one
@@ -77,12 +81,28 @@ def needed(pattern: str) -> list[set[str]] | None:
     return need if all(need) else None
 
 
-def trigrams_of(c: Column) -> Column:
-    """All trigrams of a text, under each folding that a search may use; none of NULL."""
-    of = lambda t: F.regexp_extract_all(t, F.lit(r"(?=([\x01-\x7f]{3}))"), F.lit(1))
-    raised = F.when(F.octet_length(c) != F.char_length(c), of(F.translate(F.upper(c), ascii_uppercase, ascii_lowercase)))  # lower(upper) would be planned as lower
-    none = F.array().cast("array<string>")
-    return F.concat(F.coalesce(of(F.lower(F.translate(c, *NEAR_ASCII))), none), F.coalesce(raised, none))
+def folded(columns: list[str]) -> Column:
+    """The texts of some columns under each folding that a search may use, parted by a character that no trigram has."""
+    out = []
+    for c in map(C, columns):
+        raised = F.when(F.octet_length(c) != F.char_length(c), F.translate(F.upper(c), ascii_uppercase, ascii_lowercase))  # lower(upper) would be planned as lower
+        out += [F.lower(F.translate(c, *NEAR_ASCII)), raised]
+    return F.concat_ws("\u00a0", *out)
+
+
+def codes(texts: pd.Series) -> pd.Series:
+    """The distinct trigrams of each text, as numbers of three times seven bits.
+
+    Bytes of other characters are above 127, so no trigram runs across them.
+    """
+
+    def of(text: str) -> np.ndarray:
+        b = np.frombuffer(text.encode(), np.uint8)
+        ok = (b > 0) & (b < 128)
+        n = b.astype(np.int32)
+        return np.unique(((n[:-2] << 14) | (n[1:-1] << 7) | n[2:])[ok[:-2] & ok[1:-1] & ok[2:]])
+
+    return texts.map(of)
 
 
 class TrigramIndex:
@@ -107,9 +127,14 @@ class TrigramIndex:
             raise ValueError("column _segment is taken")
         segment = f"_segment=s{uuid.uuid4().hex}"
         rows = Ordered(df, key, f"{self.path}/rows/{segment}").rows
-        texts = F.array_distinct(F.flatten(F.array(*[trigrams_of(C(c)) for c in columns])))
-        at = rows.select("_part", F.expr(f"_row - _row % {BLOCK}").alias("_block"), F.expr(f"CAST(_row % {BLOCK} AS INT)").alias("place"), F.explode(texts).alias("gram"))
-        lists = at.groupBy("gram", "_part", "_block").agg(F.sort_array(F.collect_list("place")).alias("places"))
+        ship(self.spark)
+        kept = self.spark.conf
+        kept.set(BATCH, min(int(kept.get(BATCH)), TEXTS_AT_ONCE))
+        texts = F.pandas_udf(codes, "array<int>")(folded(columns))
+        at = rows.select("_part", F.expr(f"_row - _row % {BLOCK}").alias("_block"), F.expr(f"CAST(_row % {BLOCK} AS INT)").alias("place"), F.explode(texts).alias("code"))
+        letter = lambda shift: F.chr(F.shiftright("code", shift).bitwiseAND(127).cast("long"))
+        lists = at.groupBy("code", "_part", "_block").agg(F.sort_array(F.collect_list("place")).alias("places"))
+        lists = lists.select(F.concat(letter(14), letter(7), letter(0)).alias("gram"), "_part", "_block", "places")
         by = ["gram", "_part", "_block"]
         lists.repartitionByRange(*by).sortWithinPartitions(*by).write.parquet(f"{self.path}/lists/{segment}")
 

@@ -77,3 +77,12 @@ def test_bounds_and_names(spark, filled, tmp_path):
         index.add(spark.range(1).withColumn("_segment", F.lit("x")), ["id"], ["_segment"])
     with pytest.raises(ValueError):
         T.TrigramIndex(spark, str(tmp_path / "none")).rows()
+
+
+def test_grams_of_texts_come_as_numbers(spark):
+    """Were regular expressions at every character; the letters that a search folds, NUL and other characters as before."""
+    import pandas as pd
+
+    assert [list(x) for x in T.codes(pd.Series(["abab", "ab", "", "aébcd", "\x00abc", "a\u00a0bc"]))] == [[97 << 14 | 98 << 7 | 97, 98 << 14 | 97 << 7 | 98], [], [], [98 << 14 | 99 << 7 | 100], [97 << 14 | 98 << 7 | 99], []]
+    df = spark.createDataFrame([("A\u212a\u017fx", "\u00e9"), (None, "ABC"), (None, None)], "a string, b string")
+    assert [r[0].split("\u00a0") for r in df.select(T.folded(["a", "b"])).collect()] == [["aksx", "a\u212asx", "\u00e9", "\u00c9"], ["abc"], [""]]
