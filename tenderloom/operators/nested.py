@@ -146,9 +146,14 @@ def shown(amount: Column, day: Column) -> list[Column]:
 HEAD = ["ocid", "title", "details", "method", "buyer", "supplier", "postal_code", "published"]
 
 
+def fields(kind: T.StructType, **given: Column) -> list[Column]:
+    """The columns of a feed's type; those that are not given are NULL."""
+    return [given.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in kind]
+
+
 def structured(kind: T.StructType, **given: Column) -> Column:
     """A struct of a feed's type; fields that are not given are NULL."""
-    return F.struct(*[given.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in kind])
+    return F.struct(*fields(kind, **given))
 
 
 def packed_releases(heads: DataFrame, lots: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ _SOURCES = f"""{_framework('fw', 'n WHERE true')}, u AS (
 def sources(spark, d):
     n = notices(spark, d)
     return [
-        P.from_gazette(n.filter("source = 'Gazzetta'")),
+        P.from_gazette(notices(spark, d, by_place=True).filter("source = 'Gazzetta'")),
         P.from_releases(N.flat_release(releases(spark, d)).withColumnsRenamed({"title": "subject", "full_text": "text"})),
         P.from_releases(N.flat_lot_code(lot_code_records(spark, d)), "CIG_JSON"),
         P.from_frameworks(P.framework_table(n)),

@@ -5,6 +5,7 @@ from compare import SMALL
 from pyspark.sql import functions as F
 
 from tenderloom.operators import nested as N
+from tenderloom.plans import bindings as B
 from tenderloom.queries import nested as Q
 from tenderloom.sources.sources import LOT_CODE, release_schema
 
@@ -56,3 +57,24 @@ def test_lot_code_records_equal_their_json(spark):
     parsed = df.select(F.from_json(F.to_json(F.struct(*df.columns)), LOT_CODE).alias("r")).select("r.*")
     assert parsed.schema.simpleString() == df.schema.simpleString()
     assert parsed.exceptAll(df).count() == df.exceptAll(parsed).count() == 0 < df.count()
+
+
+def test_lots_are_dealt_out_before_their_texts(spark, sort_merge):
+    """Lots were collected in each scan task, and once more behind the shuffle, with the texts of all lots in both."""
+    p = plan(Q.releases(spark, SMALL))
+    assert p.index("partial_collect_list") < p.index("Lotto ") < p.rindex("REPARTITION_BY_COL") and p.count("REPARTITION_BY_COL") == 2
+
+
+def test_fields_of_lot_codes_are_computed_on_demand(spark):
+    """All fields were packed into one structure, whichever were asked for."""
+    p = plan(Q.lot_code_records(spark, SMALL).select("cpv"))
+    assert "Museo civico" not in p and "lpad" not in p
+
+
+def test_notices_by_place_are_the_notices(spark, tmp_path):
+    """Also for keys that are null or negative, whose remainder is none of the CASE's."""
+    key = F.when(C("o_orderkey") % 5 == 0, -C("o_orderkey")).when(C("o_orderkey") % 7 != 0, C("o_orderkey"))
+    B.table(spark, SMALL, "orders").withColumn("o_orderkey", key).write.parquet(f"{tmp_path}/orders.parquet")
+    looked, chosen = B.notices(spark, str(tmp_path), by_place=True), B.notices(spark, str(tmp_path))
+    assert looked.schema.simpleString() == chosen.schema.simpleString()
+    assert looked.exceptAll(chosen).count() == chosen.exceptAll(looked).count() == 0 < looked.filter("id < 0").count()
