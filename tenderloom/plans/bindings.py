@@ -12,14 +12,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+LOTS_AT_ONCE = 1_000_000
+
+
 def tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per awarded lot: key, lot, buyer, supplier, category, plant, method, region, town, amount, discount (percent), offers, award_date, expiry_date, year.
 
     The large tables join on their keys; the small ones (by count, not by
     guess) are left to Spark's size check to broadcast.  Column pruning keeps
-    out what a query does not use.
+    out what a query does not use.  Where scans are larger than LOTS_AT_ONCE,
+    lots are dealt out by their order in tasks of about that many: sorts and
+    groups of a task, which follow in it, then don't grow with the table.
     """
     li, o, c, s, p, n, r = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "supplier", "part", "nation", "region"))
+    tasks = -(-li.count() // LOTS_AT_ONCE)
+    li = li.repartition(tasks, "l_orderkey") if tasks > li.rdd.getNumPartitions() else li
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey).join(s, li.l_suppkey == s.s_suppkey).join(p, li.l_partkey == p.p_partkey)
     j = j.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
     return j.select(

@@ -78,3 +78,13 @@ def test_notices_by_place_are_the_notices(spark, tmp_path):
     looked, chosen = B.notices(spark, str(tmp_path), by_place=True), B.notices(spark, str(tmp_path))
     assert looked.schema.simpleString() == chosen.schema.simpleString()
     assert looked.exceptAll(chosen).count() == chosen.exceptAll(looked).count() == 0 < looked.filter("id < 0").count()
+
+
+def test_lots_of_tenders_are_dealt_out_in_bounded_tasks(spark, sort_merge, monkeypatch):
+    """Sorts and groups of a task grew with the table, as there were as many tasks as the shuffle's size asked for."""
+    old = sorted(map(tuple, B.tenders(spark, SMALL).select("key", "lot", "supplier", "category", "amount").collect()))
+    monkeypatch.setattr(B, "LOTS_AT_ONCE", 500)
+    df = B.tenders(spark, SMALL).select("key", "lot", "supplier", "category", "amount")
+    tasks = -(-B.table(spark, SMALL, "lineitem").count() // 500)
+    assert tasks > 4 and "hashpartitioning(l_orderkey#" in plan(df) and f", {tasks}), REPARTITION_BY_NUM" in plan(df)
+    assert sorted(map(tuple, df.collect())) == old
