@@ -6,15 +6,20 @@ each scaled by how far the lengths differ.  Candidates share a key with the
 name (blocking).  The keys lose no pair that a full scan finds: each way in
 which two names can reach the threshold leaves something rare in common, which
 ``weighted_pairs`` and ``gram_keys`` derive.  The names of a common key are dealt
-over a grid of cells.
+over a grid of cells.  Where one side has few names, all pairs are bounded
+instead, a batch of the other side at a time (``few_best``).
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache, reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +33,10 @@ C = F.col
 CELL = 256
 #: Thresholds that are tried before a lower one; the word and part keys of these say most.
 STEPS = (95, 90)
+#: So many names on one side at most meet all of the other side without keys: the work grows with the other side alone.
+FEW = 10_000
+#: From this threshold on a much longer text must hold the shorter one whole.
+WHOLE = 90
 
 
 def comparable(c: Column) -> Column:
@@ -374,7 +383,8 @@ def canonical(df: DataFrame, name: str, threshold: float = 90, min_occurrences:
     and the candidates for the rest.  Best score wins, then count, then name.
     Under the weighted ratio thresholds are taken from above: at each all pairs
     that reach it are found, so that a name with one has its best, and only the
-    others meet candidates at the next, where keys say less.
+    others meet candidates at the next, where keys say less.  Where rare or
+    frequent names are ``FEW``, all pairs are bounded instead, see ``few_best``.
     blocked: True for ``weighted_pairs`` (loses nothing under the weighted
     ratio above 80; below, words and leading parts are the keys, which can miss
     pairs), "grams" for ``gram_keys`` (the same for
@@ -382,11 +392,19 @@ def canonical(df: DataFrame, name: str, threshold: float = 90, min_occurrences:
     """
     ship(df.sparkSession)
     steps = [t for t in STEPS if t > threshold] if score is None and blocked is True and threshold > 80 else []
+    direct = score is None and blocked is True and threshold >= WHOLE
     score = score or similarity(threshold)
     counts = df.filter(C(name).isNotNull() & (F.trim(name) != "") & ~F.lower(name).isin("nan", "none")).groupBy(C(name).alias("name")).agg(F.count("*").alias("n"))
     counts = stored(counts.withColumns({"norm": comparable(C("name")), "id": F.monotonically_increasing_id()}), "names")  # keys ask for it many times
     frequent = counts.filter(C("n") >= min_occurrences)
     rare = counts.filter(C("n") < min_occurrences)
+    if direct:
+        sizes = counts.filter(C("norm") != "").agg(F.count_if(C("n") < min_occurrences), F.count_if(C("n") >= min_occurrences)).first()
+        if min(sizes) <= FEW:
+            few, many = (rare, frequent) if sizes[0] <= sizes[1] else (frequent, rare)
+            tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-max(sizes) // (4 * FEW)))
+            best = few_best(few.filter(C("norm") != ""), many.filter(C("norm") != "").repartition(tasks), few is rare, threshold)
+            return _with_canonical(counts, best)
     f = frequent.select(C("name").alias("candidate"), C("n").alias("c_n"), C("norm").alias("c_norm"))
     if blocked == "grams":
         keyed = gram_keys(counts, "norm", threshold)
@@ -408,6 +426,153 @@ def canonical(df: DataFrame, name: str, threshold: float = 90, min_occurrences:
     return _with_canonical(counts, _best(pairs, score, threshold))
 
 
+class Texts:
+    """Names in arrays, so that one name is bounded against all of them at once.
+
+    Characters are told apart by 64 buckets, white space by none: a common
+    subsequence of buckets is as long as one of characters at least.
+    """
+
+    def __init__(self, texts: list[str]):
+        words = [t.split() for t in texts]
+        self.texts, self.words = texts, [frozenset(w) for w in words]
+        self.ordered = [" ".join(sorted(w)) for w in words]
+        once = [sum(map(len, w)) + max(0, len(w) - 1) for w in self.words]
+        #: lengths: as given, with single blanks, with each word once
+        self.lengths = np.array([*zip(map(len, texts), map(len, self.ordered), once)], np.int64).reshape(-1, 3)
+        self.again = self.lengths[:, 1] != self.lengths[:, 2]
+        self.turned = np.array([o != t for o, t in zip(self.ordered, texts)], bool)
+        self.kinds, self.kind = np.unique(self.lengths, axis=0, return_inverse=True)
+        self.kind = self.kind.reshape(-1)
+        self.given, self.sorted = self.buckets(texts), self.buckets(self.ordered)
+        n, (flat, start) = len(texts), self.given
+        row = np.repeat(np.arange(n), np.diff(start))
+        self.counts = np.bincount(flat[:-1].astype(np.int64) * n + row, minlength=64 * n).reshape(64, n)
+        self.counts = self.counts.astype(np.uint16 if self.lengths.max(initial=0) < 1 << 16 else np.int64)
+
+    @staticmethod
+    def buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All characters' buckets, behind them one that none has; where each text begins, and the end."""
+        codes = np.frombuffer(re.sub(r"\s", " ", "".join(texts)).encode("utf-32-le"), np.uint32)
+        return np.append(codes % 64, 64).astype(np.uint8), np.cumsum([0, *map(len, texts)])
+
+    def holding(self, wanted: frozenset[str]) -> dict[str, np.ndarray]:
+        """The rows that have each wanted word."""
+        found: dict[str, list[int]] = {}
+        for k, words in enumerate(self.words):
+            for w in words & wanted:
+                found.setdefault(w, []).append(k)
+        return {w: np.array(rows) for w, rows in found.items()}
+
+
+def _common_lengths(one: np.ndarray, flat: np.ndarray, start: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """``common_length`` of a text of 64 characters at most and many others, in buckets."""
+    places = np.zeros(65, np.uint64)
+    for i, b in enumerate(one.tolist()):
+        places[b] |= np.uint64(1 << i)
+    full = np.uint64((1 << len(one)) - 1)
+    begin, size = start[rows], start[rows + 1] - start[rows]
+    row = np.full(len(rows), full)
+    for j in range(int(size.max(initial=0))):
+        mask = places[flat[np.where(j < size, begin + j, len(flat) - 1)]]
+        hit = row & mask
+        row = ((row + hit) | (row - hit)) & full
+    return len(one) - np.bitwise_count(row).astype(np.int64)
+
+
+def reaching(few: Texts, k: int, many: Texts, holding: dict[str, np.ndarray], least: float) -> np.ndarray:
+    """Rows of ``many`` whose weighted ratio with name k of ``few`` may reach ``least`` (``WHOLE`` or more): none that does is missing.
+
+    As in ``most_ratio`` the bounds follow from lengths, characters in common
+    and shared words; then from common subsequences, of the texts as they are
+    and of their sorted words.
+    """
+    least -= 1e-6
+    own = few.lengths[k]
+    small, large = np.minimum(own, many.kinds), np.maximum(own, many.kinds)
+    like = large[:, 0] < 1.5 * small[:, 0]
+    scaled = least / np.array([200, 190, 190]) * (own + many.kinds)
+    scaled[scaled > small] = np.inf
+    # of a longer text: that it has all characters of the shorter one
+    long = np.where((large[:, 0] <= 8 * small[:, 0]) & (least <= WHOLE), small[:, 0], np.inf)
+    needed = np.minimum(np.where(like, scaled.min(axis=1), long), 1 << 30)
+    common = np.zeros(len(many.texts), many.counts.dtype)
+    held = few.counts[:, k]
+    for b in np.flatnonzero(held).tolist():
+        common += np.minimum(many.counts[b], many.counts.dtype.type(min(held[b], np.iinfo(many.counts.dtype).max)))
+    rows = np.flatnonzero(common >= np.ceil(needed - 1e-9).astype(np.int64)[many.kind])
+    near = like[many.kind[rows]]
+    far, rows = rows[~near], rows[near]
+    text = few.texts[k]
+    far = far[[text in many.texts[r] or many.texts[r] in text for r in far.tolist()]] if len(far) else far
+    base = None
+    if least <= 95 and (shared := [(w, holding[w]) for w in few.words[k] if w in holding]):
+        base, times = np.zeros(len(many.texts), np.int64), np.zeros(len(many.texts), np.int64)
+        for w, at in shared:
+            base[at] += len(w) + 1
+            times[at] += 1
+    if len(rows) and max(own[0], own[1]) <= 64:
+        lengths = many.lengths[rows]
+        best = 200.0 / (own[0] + lengths[:, 0]) * _common_lengths(few.given[0][few.given[1][k] : few.given[1][k + 1]], *many.given, rows)
+        turned = np.flatnonzero(many.turned[rows] | few.turned[k])
+        if len(turned):
+            ratio_ = 190.0 / np.maximum(own[1] + lengths[turned, 1], 1) * _common_lengths(few.sorted[0][few.sorted[1][k] : few.sorted[1][k + 1]], *many.sorted, rows[turned])
+            best[turned] = np.maximum(best[turned], np.where(own[1] + lengths[turned, 1] == 0, 100, ratio_))
+        again = many.again[rows] | few.again[k] | (False if base is None else base[rows] > 0)
+        loose = 190.0 / np.maximum(own[2] + lengths[:, 2], 1) * np.minimum(common[rows], np.minimum(own[2], lengths[:, 2]))
+        rows = rows[np.maximum(best, np.where(again, loose, 0)) >= least]
+    if base is not None:
+        at = np.flatnonzero(base)
+        at = at[like[many.kind[at]]]
+        count = np.array([len(many.words[r]) for r in at.tolist()], np.int64)
+        whole = (times[at] == len(few.words[k])) | (times[at] == count)
+        b, less = base[at] - 1, np.minimum(own[2], many.lengths[at, 2])
+        rows = np.concatenate([rows, at[np.where(whole, 95.0, 190.0 * b / (b + less)) >= least]])
+    return np.unique(np.concatenate([rows, far]))
+
+
+def few_best(few: DataFrame, many: DataFrame, rare_few: bool, threshold: float) -> DataFrame:
+    """``_best`` of all pairs of a few names and many, each (name, n, norm): name, canonical, score.  ``rare_few``: the few are the rare names.
+
+    The few go to all tasks, the others stay where they are, and meet them in
+    batches; a pair whose bound is too low is not scored.
+    """
+    given = few.select("name", "n", "norm").collect()
+    names, ns, norms = ([r[c] for r in given] for c in ("name", "n", "norm"))
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        held = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= FEW:
+                yield pa.Table.from_batches(held)
+                held = []
+        if held:
+            yield pa.Table.from_batches(held)
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, least = Texts(norms), [threshold] * len(norms)
+        wanted = frozenset().union(*own.words)
+        for table in gathered(batches):
+            name, n, norm = (table.column(c).to_pylist() for c in ("name", "n", "norm"))
+            texts = Texts(norm)
+            holding, best = texts.holding(wanted), {}
+            for k, text in enumerate(norms):
+                for r in reaching(own, k, texts, holding, least[k]).tolist():
+                    rare, candidate = (names[k], (-n[r], name[r])) if rare_few else (name[r], (-ns[k], names[k]))
+                    score = weighted_ratio(text, norm[r], least[k]) if rare_few else weighted_ratio(norm[r], text, threshold)
+                    if score >= least[k]:
+                        best[rare] = min(best.get(rare, (0.0,)), (-score, *candidate))
+                        if rare_few:  # what scores less can't be its best
+                            least[k] = score
+            rows = [[rare for rare in best], *zip(*best.values())] if best else [[]] * 4
+            yield pa.record_batch([pa.array(x, t) for x, t in zip(rows, (pa.string(), pa.float64(), pa.int64(), pa.string()))], ["name", "s", "m", "candidate"])
+
+    found = many.select("name", "n", "norm").mapInArrow(met, "name string, s double, m long, candidate string")
+    best = found.groupBy("name").agg(F.min(F.struct("s", "m", "candidate")).alias("b"))
+    return best.select("name", C("b.candidate").alias("canonical"), (-C("b.s")).alias("score"))
+
+
 def _best(pairs: DataFrame, score, threshold: float) -> DataFrame:
     """name, canonical, score of the best candidate that reaches the threshold."""
     scored = pairs.withColumn("score", score(C("norm"), C("c_norm"))).filter(C("score") >= threshold)

@@ -93,7 +93,8 @@ def unify(frames: list[DataFrame], fuzzy: bool = False, most: float = 1e10, year
     df = J.looked_up(df, C("comune"), R.TOWN_REGION, "_region").withColumn("regione", F.coalesce("regione", "_region")).drop("_region")
     if fuzzy:
         df = stored(df.select(*R.UNIFIED_COLUMNS), "unified")  # the names are counted before they are replaced
-        names = Z.canonical(df, "ente_appaltante").select(C("name").alias("ente_appaltante"), "canonical")
+        names = Z.canonical(df, "ente_appaltante").filter(C("canonical") != C("name"))  # stored, so that their size is known: they may be few
+        names = stored(names.select(C("name").alias("ente_appaltante"), "canonical"), "renamed")
         df = df.join(names, "ente_appaltante", "left").withColumn("ente_appaltante", F.coalesce("canonical", "ente_appaltante")).drop("canonical")
     return df.select(*R.UNIFIED_COLUMNS)
 
