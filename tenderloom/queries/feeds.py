@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import nested as N
 from ..plans.bindings import notices, table
 from ..sources import sinks, sources
-from ..sources.archives import write_archives, write_files
+from ..sources.archives import write_archives, write_packed
 from ..streaming.incremental import month_of, shared_path
 from .nested import _base, _ocid, lot_code_records, release_rows
 from .registry import query
@@ -19,17 +19,18 @@ PER_FILE = 500
 def written_packages(spark, d, extra_lines: bool = False):
     """Packages of about PER_FILE releases in one folder; with ``extra_lines`` half of them line by line, with a bad line.
 
-    A folder for each would cost every reader a listing per package.
+    A folder for each would cost every reader a listing per package.  A task
+    writes its releases itself, gzipped: as text they take some ten times the
+    room of the tables, and shuffles of it by package are large as well.
     """
     path = shared_path(spark, "packages")
-    r = N.packed_json(*release_rows(spark, d))
-    files = max(1, table(spark, d, "orders").count() // PER_FILE)
-    one = r.select(F.pmod(F.xxhash64("ocid"), F.lit(files)).alias("part"), C("json").alias("j"))
-    packed = one.groupBy("part").agg(F.sort_array(F.collect_list("j")).alias("js"))
-    whole = F.concat(F.lit('{"releases": ['), F.array_join("js", ","), F.lit("]}"))
-    if extra_lines:
-        whole = F.when(C("part") % 2 == 0, whole).otherwise(F.concat(F.array_join("js", "\n"), F.lit("\n{ broken")))
-    write_files(packed.select(F.concat(F.lit("package_"), C("part").cast("string"), F.lit(".txt")).alias("name"), whole.alias("text")), path)
+
+    def whole(number: int, releases: list[str]) -> str:
+        if extra_lines and number % 2:
+            return "\n".join(releases) + "\n{ broken"
+        return '{"releases": [' + ",".join(releases) + "]}"
+
+    write_packed(N.packed_json(*release_rows(spark, d), ordered=True).select("json"), path, "package_{}.txt.gz", PER_FILE, whole)
     return path
 
 
@@ -42,7 +43,7 @@ def src01_packages(spark, d):
 @query(f"SELECT count(DISTINCT o_orderkey) AS releases, true AS tagged {_base}")
 def src02_tagged_directory(spark, d):
     got = sources.read_releases(spark, written_packages(spark, d))
-    return got.agg(F.count("*").alias("releases"), F.every(C("source_file").endswith(".txt")).alias("tagged"))
+    return got.agg(F.count("*").alias("releases"), F.every(C("source_file").endswith(".txt.gz")).alias("tagged"))
 
 
 @query(f"SELECT {_ocid} {_base} GROUP BY o_orderkey")

@@ -8,15 +8,17 @@ systems.  Members of more than 4 GB and archives of more than 65,535 members
 
 from __future__ import annotations
 
+import gzip
 import io
 import math
 import re
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,17 +129,34 @@ def write_archives(texts: DataFrame, folder: str) -> int:
     return rows.agg(F.sum("n")).first()[0] or 0
 
 
-def write_files(texts: DataFrame, folder: str) -> int:
-    """Write a file per row (name, text) into one folder; returns how many.  Each is renamed once it is whole, and a task that is repeated writes the same files."""
+def write_packed(texts: DataFrame, folder: str, name: str, size: int, whole: Callable[[int, list[str]], str]) -> int:
+    """Write the texts (one column) into gzipped files of ``size`` texts, as they lie in their tasks; returns how many files.
+
+    ``whole`` makes a file's text of its number in the task and its texts, and
+    ``name`` has a place for that file's key.  No text is shuffled.  A file is
+    renamed once it is whole, and a task that is repeated writes the same files,
+    if its rows come in the same order.
+    """
     ship(texts.sparkSession)
 
-    def written(rows: pa.Table) -> pa.Table:
-        for name, text in zip(*(rows.column(k).to_pylist() for k in ("name", "text"))):
-            put(f"{folder}/{name}", (text or "").encode())
-        return pa.table({"n": pa.array([rows.num_rows], pa.int64())})
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n, held = TaskContext.get().partitionId(), 0, []
 
-    rows = texts.select("name", "text").groupBy("name").applyInArrow(written, "n long")
-    return rows.agg(F.sum("n")).first()[0] or 0
+        def flush() -> None:
+            nonlocal n, held
+            put(f"{folder}/{name.format(f'{part}_{n}')}", gzip.compress(whole(n, held).encode(), 6, mtime=0))
+            n, held = n + 1, []
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                held.append(text)
+                if len(held) == size:
+                    flush()
+        if held:
+            flush()
+        yield pa.record_batch([pa.array([n], pa.int64())], ["n"])
+
+    return texts.mapInArrow(written, "n long").agg(F.sum("n")).first()[0] or 0
 
 
 def put(path: str, raw: bytes) -> None:

@@ -11,7 +11,7 @@ So the first pass notes for both cases: parity of quotes, change of depth,
 lowest depth, which arrays opened near that depth.  These effects are summed
 per file by a window over its ranges (one row each).  The second pass then
 starts every range at its true place and cuts out the releases; those that lie
-across ranges come as fragments, at most two a range, and are joined.
+across ranges come as fragments, at most two a range, and are joined in a third.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.interim import stored
 from ..shipping import ship
 
 C = F.col
@@ -164,10 +165,11 @@ def places(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataF
 
     Kinds: ``package``, ``bare`` (one value without releases), ``lines``
     (anything else: several values, or brackets or quotes that don't close).
+    The effects are stored, a row a range, so that files are read for them once.
     """
     own = Window.partitionBy("file").orderBy("block")
     before = own.rowsBetween(Window.unboundedPreceding, -1)
-    e = effects(spark, path).withColumn("inside", F.coalesce(F.sum("parity").over(before), F.lit(0)) % 2)
+    e = stored(effects(spark, path), "effects").withColumn("inside", F.coalesce(F.sum("parity").over(before), F.lit(0)) % 2)
     for c in "dmfgc":
         e = e.withColumn(c, F.when(C("inside") == 0, C(f"{c}0")).otherwise(C(f"{c}1")))
     e = e.withColumn("depth", F.coalesce(F.sum("d").over(before), F.lit(0)))
@@ -261,15 +263,18 @@ def pieces(spark: SparkSession, path: str | list[str], at: DataFrame, files: Dat
 def documents_of(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """(source_file, kind, text) of every release of packages and bare values; and the table of files.
 
-    Files are read three times: for the effects, for whole releases, for
-    fragments.  A release is one row; a file is as many tasks as its ranges.
+    Files are read twice, for the effects and for whole releases, and a third
+    time for fragments where a file has several ranges.  A release is one row;
+    a file is as many tasks as its ranges.
     """
     ship(spark)
     at, files = places(spark, path)
-    found = pieces(spark, path, at, files)
-    whole = found.filter("part = 0").select("file", "text")
-    parts = found.filter("part > 0").withColumn("own", F.sum((C("part") == 1).cast("int")).over(Window.partitionBy("file").orderBy("block", "place")))
-    glued = parts.groupBy("file", "own").agg(F.array_sort(F.collect_list(F.struct("block", "place", "text"))).alias("p"))
-    glued = glued.select("file", F.aggregate("p", F.lit(b""), lambda x, p: F.concat(x, p["text"])).alias("text"))
-    text = whole.unionByName(glued).select("file", C("text").cast("string").alias("text"))
+    text = pieces(spark, path, at, files).filter("part = 0").select("file", "text")
+    several = at.groupBy("file").agg(F.count("*").alias("ranges")).filter("ranges > 1").select("file")
+    if not several.isEmpty():
+        parts = pieces(spark, path, at.join(several, "file"), files).filter("part > 0")
+        parts = parts.withColumn("own", F.sum((C("part") == 1).cast("int")).over(Window.partitionBy("file").orderBy("block", "place")))
+        glued = parts.groupBy("file", "own").agg(F.array_sort(F.collect_list(F.struct("block", "place", "text"))).alias("p"))
+        text = text.unionByName(glued.select("file", F.aggregate("p", F.lit(b""), lambda x, p: F.concat(x, p["text"])).alias("text")))
+    text = text.select("file", C("text").cast("string").alias("text"))
     return text.join(F.broadcast(files.select("file", "source_file", "kind")), "file").select("source_file", "kind", "text"), files

@@ -206,3 +206,49 @@ def test_many_archives_of_one_task(spark, tmp_path):
     texts = spark.range(40).coalesce(1).selectExpr("concat('x', id, '.zip') AS name", "'m.json' AS member", "repeat('y', 1000) AS text")
     assert archives.write_archives(texts, path) == 40
     assert archives.member_lines(archives.members_of(spark, path)).filter("length(line) = 1000").count() == 40
+
+
+def test_packages_take_little_room(spark):
+    """Packages are written by the tasks that make their releases, gzipped: neither their texts nor shuffles of these are the most of the disk."""
+    from compare import SMALL
+
+    from tenderloom.operators import nested as N
+    from tenderloom.queries import feeds, nested
+
+    text = N.packed_json(*nested.release_rows(spark, SMALL)).agg(F.sum(F.length("json")), F.count("*")).first()
+    stages = lambda: {x.stageId(): x.shuffleWriteBytes() for x in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None))}
+    store = spark.sparkContext._jsc.sc().statusStore()
+    for extra_lines in (False, True):
+        before = stages()
+        path = feeds.written_packages(spark, SMALL, extra_lines)
+        moved = sum(n for k, n in stages().items() if k not in before)
+        files = spark.read.format("binaryFile").load(path).agg(F.sum("length"), F.count("*")).first()
+        assert files[0] + moved < text[0] / 3 and text[1] / feeds.PER_FILE <= files[1] <= text[1] / feeds.PER_FILE + 4
+        got = sources.read_releases_tolerant(spark, path)
+        assert got.filter("ocid is not null").select("ocid").distinct().count() == text[1] == got.filter("ocid is not null").count()
+        assert (got.filter("bad is not null").count() > 0) == extra_lines
+
+
+def test_gzipped_files_are_read_like_others(spark, tmp_path):
+    import gzip
+
+    own, text = package(random.Random(8), 20)
+    one = json.dumps({"ocid": "one", "tender": {"title": "t }{"}})
+    for folder, suffix, pack in (("plain", "", bytes), ("packed", ".gz", gzip.compress)):
+        (tmp_path / folder).mkdir()
+        for name, x in {"package.txt": text, "lines.txt": f"{one}\n{one}\n{{ broken", "one.txt": f"{one}\n{{ broken", "bare.txt": one, "cut.txt": text[:-30]}.items():
+            (tmp_path / folder / f"{name}{suffix}").write_bytes(pack(x.encode()))
+    plain, packed = (sorted((r.source_file.removesuffix(".gz"), r.ocid or "", r.bad or "") for r in sources.read_releases_tolerant(spark, str(tmp_path / x)).collect()) for x in ("plain", "packed"))
+    assert plain == packed and len(plain) > 20
+
+
+def test_files_are_read_twice(spark, tmp_path, small_ranges):
+    """Effects are stored; a pass for fragments only where a file has several ranges."""
+    own, text = package(random.Random(9), 3)
+    reads = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Relation [value")
+    (tmp_path / "long.json").write_text(text)
+    assert reads(sources.read_releases(spark, str(tmp_path))) == 2
+    for k in ("maxPartitionBytes", "openCostInBytes"):
+        spark.conf.set(f"spark.sql.files.{k}", "4m")
+    got = sources.read_releases(spark, str(tmp_path))
+    assert reads(got) == 1 and sorted(r.ocid for r in got.collect()) == sorted(r["ocid"] for r in own if "tender" in r)
